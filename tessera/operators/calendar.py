@@ -52,7 +52,8 @@ def year_bounds(df: DataFrame, ts_col: str) -> DataFrame:
 
 
 def fixed_bounds(spark: SparkSession, first_year: int, last_year: int, today: str) -> DataFrame:
-    return spark.createDataFrame([(first_year, last_year, today)], "first_year int, last_year int, today string") \
+    from tessera.session import literal_frame
+    return literal_frame(spark, [(first_year, last_year, today)], "first_year int, last_year int, today string") \
         .withColumn("today", F.to_date("today"))
 
 
@@ -61,7 +62,8 @@ def _weekly_periods(bounds: DataFrame, cfg: CalendarConfig) -> DataFrame:
     spark = bounds.sparkSession
     fdw = cfg.first_day_of_week
     if cfg.custom_periods:
-        per = spark.createDataFrame(cfg.custom_periods, "fw_year int, fw_start string, fw_end string") \
+        from tessera.session import literal_frame
+        per = literal_frame(spark, cfg.custom_periods, "fw_year int, fw_start string, fw_end string") \
             .select("fw_year", F.to_date("fw_start").alias("fw_start"), F.to_date("fw_end").alias("fw_end"))
         bad = F.dayofweek(F.col("fw_start")) - 1 != fdw
         return per.withColumn("fw_start", F.when(bad, F.raise_error(

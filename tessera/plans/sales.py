@@ -20,8 +20,12 @@ from pyspark.sql import functions as F
 from tessera.functions.dates import boundary_diff, date_key
 from tessera.operators.calendar import CalendarConfig, calendar, year_bounds
 from tessera.plans.model import Measure, Model, Relationship
+from tessera.session import materialize
 from tessera.sources.tables import load
 
+# Date dimensions already materialised in this session, keyed by (session, data folder, config).
+_DATE_TABLES: dict = {}
+
 # The model's relationships and measures.
 RELATIONSHIPS = [
     Relationship("R1", "customer", "c_nationkey", "geo_customers", "n_nationkey", "many:many"),
@@ -84,7 +88,12 @@ def sales_model(spark: SparkSession, sf_dir: str, cfg: CalendarConfig | None = N
     t = lambda n: load(spark, sf_dir, n)
 
     def date_dim() -> DataFrame:
-        return calendar(spark, year_bounds(t("orders"), "o_orderdate"), cfg)
+        """The Date dimension is a calculated table: built once from the order years and
+        materialised (checkpointed), as a model refresh would import it."""
+        key = (id(spark), sf_dir, repr(cfg))
+        if key not in _DATE_TABLES:
+            _DATE_TABLES[key] = materialize(calendar(spark, year_bounds(t("orders"), "o_orderdate"), cfg))
+        return _DATE_TABLES[key]
 
     def leads() -> DataFrame:
         return t("customer").select("c_custkey", "c_mktsegment")

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.plans.model import Model, distinct_count_with_blank
+from tessera.session import materialize
 
 # Calculation items and their ordinals.
 ITEMS = {"Current": 0, "MTD": 1, "YTD": 2, "PY": 3, "YOY": 4, "YOY%": 5}
@@ -58,7 +59,9 @@ def with_time(model: Model, measure: str, items=tuple(ITEMS), grain: str = "day"
         period = {"_p": (F.year(F.col(dcol)) * 12 + F.month(F.col(dcol)) - 1)}
     else:
         raise ValueError("grain must be 'day' or 'month'")
-    part = model.partials(m, group_by, filters, extra_home=period)
+    # partial aggregates per (group, period): small (groups x periods), reused by the current
+    # value, the running windows and the previous-year join -> materialise once
+    part = materialize(model.partials(m, group_by, filters, extra_home=period))
 
     # spine: every period of the calendar years, for every group present
     cal = model.table("date")

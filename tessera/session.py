@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,6 +63,30 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Write a small, reused intermediate (a dimension, per-period partials, resampled
+    series) once as a parquet table in the shared checkpoint folder and read it back:
+    later branches of the plan scan it instead of recomputing its lineage (one job, no
+    second checkpoint pass), and it survives executor loss."""
+    spark = df.sparkSession
+    path = scratch_path(spark, f"mat-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def literal_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A small constant table built as a JVM literal (``inline`` of an array of structs):
+    no Python worker and no serialisation round trip, unlike ``createDataFrame`` of a list."""
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import _parse_datatype_string
+    st = _parse_datatype_string(schema)
+    names = [f.name for f in st.fields]
+    if not rows:
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in st.fields])
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(n) for v, n, f in zip(r, names, st.fields)]) for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs))).select(*names)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for intermediate tables."""
     base = checkpoint_dir(spark)

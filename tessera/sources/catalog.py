@@ -19,7 +19,8 @@ def list_tables(spark: SparkSession, model: Model, exclude: list[str] | None = N
     for f in frames[1:]:
         out = out.unionByName(f)
     if exclude:
-        ex = spark.createDataFrame([(x,) for x in exclude], "table_name string")
+        from tessera.session import literal_frame
+        ex = literal_frame(spark, [(x,) for x in exclude], "table_name string")
         out = out.join(ex, "table_name", "left_anti")
     return out.withColumns({"description": F.lit(None).cast("string"), "is_hidden": F.lit(None).cast("boolean")})
 

@@ -8,6 +8,7 @@ from tessera.operators import forecast as FC
 from tessera.operators.series import bfill, drop_last, ffill, resample
 from tessera.operators.windows import last_n, top_n_per
 from tessera.plans.sales import orders_fact, sales_model
+from tessera.session import materialize
 from tessera.sources.tables import load
 from tessera.suite.common import FACT_SQL, rounded
 from tessera.suite.registry import query
@@ -27,7 +28,8 @@ def _weekly(spark, sf):
 
 
 def _indexed(spark, sf):
-    return FC.index_series(_weekly(spark, sf), KEYS, H)
+    # resampled series are small (series x periods) and feed every candidate: materialise once
+    return materialize(FC.index_series(_weekly(spark, sf), KEYS, H))
 
 
 SEG_SQL = """seg0 AS (SELECT c.c_mktsegment, CAST(o.o_orderdate AS DATE) AS d, l.l_extendedprice AS v

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tessera.operators import batching as B
 from tessera.operators.joins import exclude_by_name, extend_lookup, merge_left, one_per_key, translate_lookup
 from tessera.operators.translate import WORD_DICTIONARY, translate_columns
+from tessera.session import literal_frame
 from tessera.sources.tables import load
 from tessera.suite.common import rounded
 from tessera.suite.registry import query
@@ -192,7 +193,7 @@ CATEGORY_NAMES = [("ECONOMY", "economia"), ("STANDARD", "padrao"), ("MEDIUM", "m
 
 def _category_lookup(spark, sf):
     part = load(spark, sf, "part")
-    base = spark.createDataFrame(CATEGORY_NAMES, "p_type string, category_name string")
+    base = literal_frame(spark, CATEGORY_NAMES, "p_type string, category_name string")
     missing = exclude_by_name(part.select("p_type").distinct(), base, "p_type") \
         .select("p_type", F.lower("p_type").alias("category_name"))
     return extend_lookup(base, missing)
