@@ -180,7 +180,10 @@ def defect_scores(df: DataFrame, id_col: str, text_col: str, scorer: Callable =
     """Reviews -> (id, review, defect_score) and the rejected batches."""
     texts = df.filter(F.col(text_col).isNotNull()).select(id_col, text_col)
     prompts = batch_prompts(chunk(texts, id_col, size, shards), id_col, text_col, instruction)
-    scored = score_batches(prompts, scorer)
+    # the scored prompts feed both the accepted rows and the rejects: write them once so the
+    # (possibly remote, paid) scorer is never called twice for a batch
+    from tessera.session import materialize
+    scored = materialize(score_batches(prompts, scorer))
     ok, rejects = check_answers(scored)
     res = unbatch(ok, "defect_score").select(F.col("id").alias(id_col), F.col("text").alias("review"), "defect_score")
     return res, rejects

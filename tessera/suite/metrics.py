@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tessera.functions.dates import boundary_diff
 from tessera.functions.text import format_measure, length_profile
 from tessera.plans.sales import orders_fact, sales_model
-from tessera.plans.timeintel import with_time
+from tessera.plans.timeintel import items_long, with_time
 from tessera.sources.tables import load
 from tessera.suite.common import FACT_SQL, rounded
 from tessera.suite.registry import query
@@ -342,3 +342,21 @@ def q_ti_ytd_distinct(spark, sf):
     """Year-to-date distinct customers by month: first occurrence per year, running count."""
     m = sales_model(spark, sf)
     return with_time(m, "active_customers", ["Current", "YTD"], "month")
+
+
+@query("ti_items_long", sql=_ti_sql("f.l_extendedprice", "sum", "month", ["Current", "MTD", "YTD", "PY", "YOY", "YOY%"])
+       .replace("SELECT CAST(p // 12 AS INTEGER) AS year,", "SELECT CAST(p // 12 AS INTEGER) AS year,", 1)
+       .rsplit("SELECT", 1)[0] + """SELECT year, month, time_calculation, ordinal, round(value, 6) AS value FROM (
+  SELECT CAST(p // 12 AS INTEGER) AS year, CAST(p % 12 + 1 AS INTEGER) AS month, cur, mtd, ytd, py, yoy, yoy_pct FROM t
+  WHERE cur IS NOT NULL OR mtd IS NOT NULL OR ytd IS NOT NULL OR py IS NOT NULL OR yoy IS NOT NULL OR yoy_pct IS NOT NULL)
+UNPIVOT (value FOR time_calculation IN (cur AS 'Current', mtd AS 'MTD', ytd AS 'YTD', py AS 'PY', yoy AS 'YOY',
+                                        yoy_pct AS 'YOY%'))
+JOIN (VALUES ('Current', 0), ('MTD', 1), ('YTD', 2), ('PY', 3), ('YOY', 4), ('YOY%', 5)) o(tc, ordinal)
+  ON o.tc = time_calculation""")
+def q_ti_items_long(spark, sf):
+    """Monthly sales with every calculation item stacked as rows (time_calculation, ordinal,
+    value), ordered by the item's ordinal."""
+    m = sales_model(spark, sf)
+    wide = with_time(m, "total_sales", ["Current", "MTD", "YTD", "PY", "YOY", "YOY%"], "month")
+    long = items_long(wide, ["year", "month"])
+    return rounded(long.filter(F.col("value").isNotNull()), 6).orderBy("year", "month", "ordinal")

@@ -279,3 +279,21 @@ def q_last_n_dates(spark, sf):
     m = sales_model(spark, sf)
     daily = m.evaluate(["total_sales"], ["date.date"])
     return rounded(last_n(daily, "date", 31))
+
+
+@query("forecast_history")
+def q_forecast_history(spark, sf):
+    """Two forecast runs appended to a history table with their run timestamps; the latest run
+    per segment and date is read back (rows only: timestamps differ per run)."""
+    import time
+    import uuid
+
+    from tessera.session import scratch_path
+    from tessera.sources.sinks import append_table, latest_run
+    path = scratch_path(spark, f"forecast-history-{uuid.uuid4().hex}")
+    nxt = _next(spark, sf)
+    append_table(nxt, path)
+    time.sleep(0.01)
+    append_table(nxt, path)
+    hist = spark.read.parquet(path)
+    return latest_run(hist, KEYS + ["ds"]).select(*KEYS, "ds", "model", "predicted_sales", "prediction_ts")
