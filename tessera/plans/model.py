@@ -139,10 +139,14 @@ class Model:
 
     def _restricted(self, name: str, filters: dict, m: Measure | None = None,
                     visiting: frozenset = frozenset()) -> DataFrame:
-        """Table `name` under the filter context: its own filters plus a ``left_semi``
-        join on the key set each other filtered table passes along its path."""
+        """Table `name` under the filter context: its own filters plus one ``left_semi`` join
+        per incoming relationship that a filtered table reaches it through.  The key set of
+        that relationship comes from the neighbour table restricted by every filter reaching
+        *it*, so filters combine as one context (rows satisfying all of them), and the fact
+        behind a hub is scanned once however many filters pass through it."""
         df = self._filtered(name, filters)
         visiting = visiting | {name}
+        last_edges: dict = {}
         for t in dict.fromkeys(_split(r)[0] for r in filters):
             if t in visiting:
                 continue
@@ -152,8 +156,11 @@ class Model:
                 continue  # this filter does not reach the table
             if any(e.dst in visiting for e in p[:-1]):
                 continue
-            keys = self._carry(self._filtered(t, filters), [], p, filters, m, visiting).distinct()
-            df = df.join(keys, df[p[-1].dst_col] == keys["_k"], "left_semi")
+            e = p[-1]
+            last_edges.setdefault((e.src, e.src_col, e.dst_col), e)
+        for (src, src_col, dst_col), e in last_edges.items():
+            keys = self._restricted(src, filters, m, visiting).select(F.col(src_col).alias("_k")).distinct()
+            df = df.join(keys, df[dst_col] == keys["_k"], "left_semi")
         return df
 
     def _home(self, m: Measure, filters: dict) -> DataFrame:
@@ -213,20 +220,98 @@ class Model:
         joined = bridge.join(pre, bridge["_k"] == pre["_key"]).drop("_k", "_key")
         return _reaggregate(joined, keys_out + bcols, m.kind)
 
+    def _evaluate_group(self, ms: list[Measure], group_by: list[str], filters: dict) -> DataFrame:
+        """Final values of measures sharing a home table and cross-filter setting, in as few
+        passes over the home table as possible: one aggregation when every group column is
+        reached by a many:1 hop; with a bridge, one pre-aggregation per bridge key for all
+        additive measures (distinct counts keep their own (key, value) pass)."""
+        m0 = ms[0]
+        gk = [f"g{i}" for i in range(len(group_by))]
+        home = self._home(m0, filters)
+        for i, m in enumerate(ms):
+            home = home.withColumn(f"_v{i}", F.col(m.column) if m.column else F.lit(1))
+        gtabs: dict = {}
+        for i, ref in enumerate(group_by):
+            t, c = _split(ref)
+            gtabs.setdefault(t, []).append((f"g{i}", c))
+        keys_out = []
+        bridged = None
+        for t, lst in gtabs.items():
+            if t == m0.table:
+                for a, c in lst:
+                    home = home.withColumn(a, F.col(c))
+                keys_out += [a for a, _ in lst]
+                continue
+            p = self.path(t, m0.table, m0)
+            dim = self._filtered(t, filters)
+            if len(p) == 1 and p[0].lookup:
+                d = dim.select(F.col(p[0].src_col).alias("_dk"), *[F.col(c).alias(a) for a, c in lst])
+                home = home.join(d, home[p[0].dst_col] == d["_dk"], "left").drop("_dk")
+                keys_out += [a for a, _ in lst]
+            else:
+                if bridged is not None:
+                    raise ValueError("only one bridged group table per evaluation")
+                start = dim.select(*[F.col(c).alias(a) for a, c in lst], F.col(p[0].src_col))
+                bridged = (self._carry(start, [a for a, _ in lst], p, filters, m0, frozenset({m0.table})),
+                           [a for a, _ in lst], p[-1].dst_col)
+        if bridged is None:
+            aggs = []
+            for i, m in enumerate(ms):
+                v = F.col(f"_v{i}")
+                aggs.append({"sum": F.sum(v), "count": F.count(F.lit(1)), "avg": F.avg(v),
+                             "distinct": distinct_count_with_blank(v)}[m.kind].alias(m.name))
+            return home.groupBy(*keys_out).agg(*aggs).select(*gk, *[m.name for m in ms])
+        bridge, bcols, key = bridged
+        home = home.withColumn("_key", F.col(key))
+        out = None
+        additive = [(i, m) for i, m in enumerate(ms) if m.kind != "distinct"]
+        if additive:
+            pre_aggs = []
+            for i, m in additive:
+                v = F.col(f"_v{i}")
+                if m.kind == "sum":
+                    pre_aggs.append(F.sum(v).alias(f"_s{i}"))
+                elif m.kind == "count":
+                    pre_aggs.append(F.count(F.lit(1)).alias(f"_s{i}"))
+                else:
+                    pre_aggs += [F.sum(v).alias(f"_s{i}"), F.count(v).alias(f"_c{i}")]
+            pre = home.groupBy(*keys_out, "_key").agg(*pre_aggs)
+            j = bridge.join(pre, bridge["_k"] == pre["_key"])
+            fin = []
+            for i, m in additive:
+                if m.kind == "avg":
+                    fin.append(F.try_divide(F.sum(f"_s{i}"), F.sum(f"_c{i}").cast("double")).alias(m.name))
+                else:
+                    fin.append(F.sum(f"_s{i}").alias(m.name))
+            out = j.groupBy(*keys_out, *bcols).agg(*fin)
+        for i, m in enumerate(ms):
+            if m.kind != "distinct":
+                continue
+            pre = home.select(*keys_out, "_key", F.col(f"_v{i}").alias("_v")).distinct()
+            j = bridge.join(pre, bridge["_k"] == pre["_key"]).select(*keys_out, *bcols, "_v").distinct()
+            one = j.groupBy(*keys_out, *bcols).agg(distinct_count_with_blank(F.col("_v")).alias(m.name))
+            out = one if out is None else align(out, one, gk)
+        return out.select(*gk, *[m.name for m in ms])
+
     def evaluate(self, measures: list[str], group_by: list[str] | None = None, filters: dict | None = None,
                  keep_empty: bool = False) -> DataFrame:
         """One row per group with one column per measure (named after the measure).
 
+        Measures of the same home table (and cross-filter setting) are computed in one pass;
+        results of different home tables are aligned with a null-safe full outer join.
         Rows whose measures are all NULL are dropped unless `keep_empty`.
         """
         group_by = group_by or []
+        filters = filters or {}
         names = [_split(g)[1] for g in group_by]
         gcols = [f"g{i}" for i in range(len(group_by))]
-        result = None
+        groups: dict = {}
         for mname in measures:
             m = self.measures[mname]
-            part = self.partials(m, group_by, filters)
-            one = finalize(part, gcols, m.kind, mname)
+            groups.setdefault((m.table, m.crossfilter_both), []).append(m)
+        result = None
+        for ms in groups.values():
+            one = self._evaluate_group(ms, group_by, filters)
             result = one if result is None else align(result, one, gcols)
         if not keep_empty and measures:
             result = result.filter(F.greatest(*[F.col(n).isNotNull() for n in measures]) if len(measures) > 1
