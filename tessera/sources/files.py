@@ -29,7 +29,7 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def table_name_from_file(name: str) -> str:
-    """'olist_order_items_dataset.csv' -> 'order_items' (the middle parts of the name)."""
+    """'shop_order_items_dataset.csv' -> 'order_items' (the middle parts of the name)."""
     stem = name[:-4] if name.lower().endswith(".csv") else name
     return "_".join(stem.split("_")[1:-1])
 
