@@ -75,16 +75,21 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 def literal_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    """A small constant table built as a JVM literal (``inline`` of an array of structs):
-    no Python worker and no serialisation round trip, unlike ``createDataFrame`` of a list."""
+    """A small constant table computed on the JVM: a ``range`` of row numbers whose columns
+    pick values out of literal arrays.  No Python worker or serialisation round trip (unlike
+    ``createDataFrame`` of a list), and unlike a literal relation the optimizer does not try
+    to fold whole downstream pipelines at planning time."""
     from pyspark.sql import functions as F
     from pyspark.sql.types import _parse_datatype_string
     st = _parse_datatype_string(schema)
-    names = [f.name for f in st.fields]
     if not rows:
         return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in st.fields])
-    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(n) for v, n, f in zip(r, names, st.fields)]) for r in rows]
-    return spark.range(1).select(F.inline(F.array(*structs))).select(*names)
+    idx = F.col("id").cast("int") + 1
+    cols = []
+    for j, f in enumerate(st.fields):
+        arr = F.array(*[F.lit(r[j]).cast(f.dataType) for r in rows])
+        cols.append(F.element_at(arr, idx).alias(f.name))
+    return spark.range(len(rows)).select(*cols)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -15,7 +15,7 @@ from tessera.suite.registry import query
 SHARDS = 4
 INSTRUCTION = "Score each review for product defects from 0 to 1.\nReviews: "
 
-CHUNK_SQL = """ch AS (SELECT doc_id, text, doc_id % 4 AS shard,
+CHUNK_SQL = """ch AS (SELECT doc_id, text, CAST(doc_id % 4 AS INTEGER) AS shard,
    CAST((row_number() OVER (PARTITION BY doc_id % 4 ORDER BY doc_id) - 1) // 20 AS INTEGER) AS batch,
    CAST((row_number() OVER (PARTITION BY doc_id % 4 ORDER BY doc_id) - 1) % 20 AS INTEGER) AS pos
    FROM documents WHERE text IS NOT NULL)"""
