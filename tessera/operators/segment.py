@@ -64,11 +64,18 @@ def kmeans(df: DataFrame, vec_col: str, k: int = 18, seed: int = 42, out_col: st
 
 
 def _centroid_distance(df: DataFrame, key: str, vec_col: str) -> DataFrame:
-    """Squared distance of each member to its group's centroid (element-wise average)."""
-    e = df.select(key, "_name", F.posexplode(vec_col).alias("_i", "_x"))
-    cen = e.groupBy(key, "_i").agg(F.avg("_x").alias("_c"))
-    j = e.join(cen, [key, "_i"])
-    return j.groupBy(key, "_name").agg(F.sum((F.col("_x") - F.col("_c")) ** 2).alias("_d"))
+    """Squared distance of each member to its group's centroid.  Centroids are a grouped
+    ``Summarizer.mean`` (partial aggregation of whole vectors, one small row per group);
+    distances are computed in-row with ``zip_with`` — vectors are never exploded."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    v = df.withColumn("_vec", array_to_vector(F.col(vec_col)))
+    cen = v.groupBy(key).agg(Summarizer.mean(F.col("_vec")).alias("_c")) \
+        .select(key, vector_to_array(F.col("_c")).alias("_c"))
+    j = v.join(cen, key)
+    sq = F.zip_with(F.col(vec_col), F.col("_c"), lambda a, b: (a.cast("double") - b) * (a.cast("double") - b))
+    return j.select(key, "_name", F.aggregate(sq, F.lit(0.0), lambda acc, x: acc + x).alias("_d"))
 
 
 def name_groups(df: DataFrame, key: str, name_col: str, vec_col: str) -> DataFrame:

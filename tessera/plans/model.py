@@ -235,6 +235,7 @@ class Model:
             t, c = _split(ref)
             gtabs.setdefault(t, []).append((f"g{i}", c))
         keys_out = []
+        lookups = []
         bridged = None
         for t, lst in gtabs.items():
             if t == m0.table:
@@ -246,14 +247,22 @@ class Model:
             dim = self._filtered(t, filters)
             if len(p) == 1 and p[0].lookup:
                 d = dim.select(F.col(p[0].src_col).alias("_dk"), *[F.col(c).alias(a) for a, c in lst])
-                home = home.join(d, home[p[0].dst_col] == d["_dk"], "left").drop("_dk")
-                keys_out += [a for a, _ in lst]
+                lookups.append((d, p[0].dst_col, [a for a, _ in lst]))
             else:
                 if bridged is not None:
                     raise ValueError("only one bridged group table per evaluation")
                 start = dim.select(*[F.col(c).alias(a) for a, c in lst], F.col(p[0].src_col))
                 bridged = (self._carry(start, [a for a, _ in lst], p, filters, m0, frozenset({m0.table})),
                            [a for a, _ in lst], p[-1].dst_col)
+        if bridged is None and len(lookups) == 1 and not keys_out and \
+                estimated_bytes(lookups[0][0]) > broadcast_limit(home.sparkSession):
+            # eager aggregation: the dimension is too big to broadcast, so reduce the fact to one
+            # row per join key (map-side partial aggregation absorbs hot keys) before the join
+            d, fk, gcols = lookups[0]
+            return _eager_lookup(home, ms, d, fk, gcols).select(*gk, *[m.name for m in ms])
+        for d, fk, gcols in lookups:
+            home = home.join(d, home[fk] == d["_dk"], "left").drop("_dk")
+            keys_out += gcols
         if bridged is None:
             aggs = []
             for i, m in enumerate(ms):
@@ -358,6 +367,50 @@ class Model:
 
 # --- aggregation helpers -------------------------------------------------------
 
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of a plan (from file sizes and projections)."""
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:  # noqa: BLE001 - no estimate: treat as large
+        return 1 << 62
+
+
+def broadcast_limit(spark) -> int:
+    v = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    try:
+        return int(v)
+    except ValueError:
+        return 10 << 20
+
+
+def _eager_lookup(home: DataFrame, ms: list[Measure], dim: DataFrame, fk: str, gcols: list[str]) -> DataFrame:
+    """Aggregate the fact per foreign key, join the dimension, aggregate per group."""
+    pre, fin = [], []
+    for i, m in enumerate(ms):
+        v = F.col(f"_v{i}")
+        if m.kind == "sum":
+            pre.append(F.sum(v).alias(f"_s{i}"))
+            fin.append(F.sum(f"_s{i}").alias(m.name))
+        elif m.kind == "count":
+            pre.append(F.count(F.lit(1)).alias(f"_s{i}"))
+            fin.append(F.sum(f"_s{i}").alias(m.name))
+        elif m.kind == "avg":
+            pre += [F.sum(v).alias(f"_s{i}"), F.count(v).alias(f"_c{i}")]
+            fin.append(F.try_divide(F.sum(f"_s{i}"), F.sum(f"_c{i}").cast("double")).alias(m.name))
+    distinct = [(i, m) for i, m in enumerate(ms) if m.kind == "distinct"]
+    out = None
+    if pre:
+        agg = home.groupBy(F.col(fk).alias("_fk")).agg(*pre)
+        j = agg.join(dim, agg["_fk"] == dim["_dk"], "left")
+        out = j.groupBy(*gcols).agg(*fin)
+    for i, m in distinct:
+        pairs = home.select(F.col(fk).alias("_fk"), F.col(f"_v{i}").alias("_v")).distinct()
+        j = pairs.join(dim, pairs["_fk"] == dim["_dk"], "left").select(*gcols, "_v").distinct()
+        one = j.groupBy(*gcols).agg(distinct_count_with_blank(F.col("_v")).alias(m.name))
+        out = one if out is None else align(out, one, gcols)
+    return out
+
+
 def _cond(c: Column, cond) -> Column:
     if isinstance(cond, Column):
         return cond
