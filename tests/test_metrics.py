@@ -63,14 +63,13 @@ def test_yoy_semantics(spark):
 def test_eager_aggregation_path_matches(spark):
     """With broadcasts disabled the many:1 evaluation pre-aggregates the fact per key;
     results must equal the direct join path."""
-    from tessera.suite.registry import QUERIES
+    import __spark_entry__
     from conftest import SF_SMALL
-    import __spark_entry__  # noqa: F401  (fills the registry)
-    direct = sorted(tuple(r) for r in QUERIES["sales_by_dim"](spark, SF_SMALL).collect())
+    q = __spark_entry__.queries()["sales_by_dim"]
+    direct = sorted(tuple(r) for r in q(spark, SF_SMALL).collect())
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        __spark_entry__.queries()
-        eager = sorted(tuple(r) for r in QUERIES["sales_by_dim"](spark, SF_SMALL).collect())
+        eager = sorted(tuple(r) for r in q(spark, SF_SMALL).collect())
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert eager == direct
