@@ -331,24 +331,51 @@ class Model:
         """Measures at every prefix of the hierarchy `levels` of `table`, with ``level`` =
         the roll-up bitmask (bit set = that column rolled up, first column highest bit).
 
-        Additive measures of one fact reached by a many:1 hop use a single ``rollup``;
-        bridged or non-additive measures are evaluated per level and unioned (a roll-up
-        of distinct counts or averages cannot be summed from the level below).
+        Measures of one fact reached by a many:1 hop are reduced first — to (levels, partial
+        sums / counts) for additive measures and averages, to distinct (levels, value) pairs
+        for distinct counts — and then rolled up, which is exact for every kind; bridged
+        measures are evaluated per level and unioned.
         """
         filters = filters or {}
         ms = [self.measures[n] for n in measures]
-        home = {m.table for m in ms}
+        home = {(m.table, m.crossfilter_both) for m in ms}
         n = len(levels)
-        if all(m.kind in ("sum", "count") for m in ms) and len(home) == 1:
+        if len(home) == 1:
             m0 = ms[0]
             p = self.path(table, m0.table, m0)
             if len(p) == 1 and p[0].lookup:
-                fact = self._home(m0, {**filters})
+                fact = self._home(m0, filters)
                 dim = self._filtered(table, filters).select(F.col(p[0].src_col).alias("_dk"), *levels)
                 j = fact.join(dim, fact[p[0].dst_col] == dim["_dk"], "left")
-                aggs = [(F.sum(m.column) if m.kind == "sum" else F.count(F.lit(1))).alias(m.name) for m in ms]
-                return j.rollup(*levels).agg(*aggs, F.grouping_id().alias("level")) \
-                    .select(*levels, "level", *measures)
+                for i, m in enumerate(ms):
+                    j = j.withColumn(f"_v{i}", F.col(m.column) if m.column else F.lit(1))
+                out = None
+                # additive and average measures: reduce to (levels, partial sums) then roll up
+                add = [(i, m) for i, m in enumerate(ms) if m.kind != "distinct"]
+                if add:
+                    pre, fin = [], []
+                    for i, m in add:
+                        v = F.col(f"_v{i}")
+                        if m.kind == "count":
+                            pre.append(F.count(F.lit(1)).alias(f"_s{i}"))
+                        else:
+                            pre.append(F.sum(v).alias(f"_s{i}"))
+                        if m.kind == "avg":
+                            pre.append(F.count(v).alias(f"_c{i}"))
+                            fin.append(F.try_divide(F.sum(f"_s{i}"), F.sum(f"_c{i}").cast("double")).alias(m.name))
+                        else:
+                            fin.append(F.sum(f"_s{i}").alias(m.name))
+                    base = j.groupBy(*levels).agg(*pre)
+                    out = base.rollup(*levels).agg(*fin, F.grouping_id().alias("level"))
+                # distinct counts: reduce to distinct (levels, value) pairs, then roll up
+                for i, m in enumerate(ms):
+                    if m.kind != "distinct":
+                        continue
+                    pairs = j.select(*levels, F.col(f"_v{i}").alias("_v")).distinct()
+                    one = pairs.rollup(*levels).agg(distinct_count_with_blank(F.col("_v")).alias(m.name),
+                                                    F.grouping_id().alias("level"))
+                    out = one if out is None else align(out, one, levels + ["level"])
+                return out.select(*levels, "level", *measures)
         types = dict(self.table(table).select(*levels).dtypes)
         out = None
         for i in range(n, -1, -1):

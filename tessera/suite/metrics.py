@@ -360,3 +360,14 @@ def q_ti_items_long(spark, sf):
     wide = with_time(m, "total_sales", ["Current", "MTD", "YTD", "PY", "YOY", "YOY%"], "month")
     long = items_long(wide, ["year", "month"])
     return rounded(long.filter(F.col("value").isNotNull()), 6).orderBy("year", "month", "ordinal")
+
+
+@query("drill_average", sql=f"""
+SELECT p.p_type, p.p_brand, CAST(GROUPING(p.p_type, p.p_brand) AS BIGINT) AS level,
+       round(avg(f.delivery_hours), 4) AS avg_delivery_hours, round(sum(f.l_extendedprice), 2) AS total_sales
+FROM {F_} f LEFT JOIN part p ON f.l_partkey = p.p_partkey GROUP BY ROLLUP (p.p_type, p.p_brand)""")
+def q_drill_average(spark, sf):
+    """Average delivery hours rolled up over the product hierarchy from (sum, count) partials."""
+    m = sales_model(spark, sf)
+    r = m.drill(["avg_delivery_hours", "total_sales"], "part", ["p_type", "p_brand"])
+    return rounded(rounded(r, 4, ["avg_delivery_hours"]), 2, ["total_sales"])
