@@ -61,10 +61,27 @@ def greedy_batches(df: DataFrame, id_col: str, text_col: str, max_items: int = M
     return out.select(F.col("_id").alias(id_col), "shard", "batch", F.col("_len").alias("n_chars"))
 
 
-def chunk(df: DataFrame, id_col: str, size: int = CHUNK_SIZE, shards: int = 4) -> DataFrame:
+def rank_in_shard(df: DataFrame, id_col: str, shards: int, bucket_width: int = 1 << 20) -> DataFrame:
+    """0-based position of each row in id order inside its shard, computed in parallel:
+    rows are grouped in id buckets of `bucket_width` ids; a small table of counts per
+    (shard, bucket) gives each bucket's starting offset (running sum over buckets), and
+    ``row_number`` runs only inside one bucket, so no task ever sorts a whole shard.
+    Deterministic (no sampling), and independent of partitioning."""
+    d = df.withColumns({"shard": shard_of(id_col, shards),
+                        "_bkt": F.floor(F.col(id_col) / bucket_width).cast("long")})
+    counts = d.groupBy("shard", "_bkt").agg(F.count(F.lit(1)).alias("_n"))
+    wo = Window.partitionBy("shard").orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(wo), F.lit(0))).drop("_n")
+    wb = Window.partitionBy("shard", "_bkt").orderBy(id_col)
+    r = d.withColumn("_rb", F.row_number().over(wb) - 1)
+    return r.join(offsets, ["shard", "_bkt"]).withColumn("_rn", F.col("_off") + F.col("_rb")) \
+        .drop("_bkt", "_off", "_rb")
+
+
+def chunk(df: DataFrame, id_col: str, size: int = CHUNK_SIZE, shards: int = 4,
+          bucket_width: int = 1 << 20) -> DataFrame:
     """Fixed-size chunks in id order inside each shard: adds shard, batch, pos (0-based)."""
-    w = Window.partitionBy("shard").orderBy(id_col)
-    d = df.withColumn("shard", shard_of(id_col, shards)).withColumn("_rn", F.row_number().over(w) - 1)
+    d = rank_in_shard(df, id_col, shards, bucket_width)
     return d.withColumns({"batch": F.floor(F.col("_rn") / size).cast("int"),
                           "pos": F.pmod(F.col("_rn"), F.lit(size)).cast("int")}).drop("_rn")
 

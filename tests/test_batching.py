@@ -83,3 +83,12 @@ def test_flaky_scorer_retries(spark):
 
     bad = B.score_batches(p, down, retries=2).collect()
     assert all(r.answer is None and "down" in r.error and r.attempts == 2 for r in bad)
+
+
+def test_rank_in_shard_matches_global_order(spark):
+    ids = [7, 3, 11, 2, 40, 41, 5, 100, 64, 63, 9, 8]
+    df = spark.createDataFrame([(i,) for i in ids], "id long")
+    got = {r.id: (r.shard, r._rn) for r in B.rank_in_shard(df, "id", 2, bucket_width=4).collect()}
+    for sh in (0, 1):
+        members = sorted(i for i in ids if i % 2 == sh)
+        assert [got[i] for i in members] == [(sh, k) for k in range(len(members))]
