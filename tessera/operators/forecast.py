@@ -103,6 +103,14 @@ def forecast_next(s: DataFrame, best: DataFrame, keys: list[str], h: int, season
     return pred.select(*keys, ds.alias("ds"), "model", F.col("yhat").alias("predicted_sales"))
 
 
+def compare(actual: DataFrame, pred: DataFrame, keys: list[str]) -> DataFrame:
+    """Actual vs predicted aligned on (keys, ds) with a full outer join: periods only one side
+    has keep a NULL on the other."""
+    a = actual.select(*keys, "ds", F.col("y").alias("actual"))
+    p = pred.select(*keys, "ds", F.col("yhat").alias("predicted"))
+    return a.join(p, keys + ["ds"], "full")
+
+
 # --- exponential smoothing, one pandas frame per series ------------------------------------
 
 def _ses_fit(y: np.ndarray, alphas=np.linspace(0.05, 0.95, 19)) -> tuple[float, float]:

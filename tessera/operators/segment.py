@@ -7,7 +7,7 @@ vectors, so nothing is matched by position.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -84,12 +84,11 @@ def name_groups(df: DataFrame, key: str, name_col: str, vec_col: str) -> DataFra
     group_name.  Members are never gathered into one row."""
     d = df.select(key, F.col(name_col).alias("_name"), vec_col)
     dist = _centroid_distance(d, key, vec_col)
-    w = Window.partitionBy(key).orderBy("_d", "_name")
-    nearest = dist.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").select(key, F.col("_name").alias("_near"))
-    cnt = d.groupBy(key).agg(F.count(F.lit(1)).alias("n_members"), F.min("_name").alias("_only"))
-    j = cnt.join(nearest, key)
-    return j.select(key, "n_members", F.when(F.col("n_members") == 1, F.col("_only")).otherwise(F.col("_near"))
-                    .alias("group_name"))
+    # nearest member and size in one partial aggregation (a hot group is reduced map-side)
+    g = dist.groupBy(key).agg(F.count(F.lit(1)).alias("n_members"), F.min(F.struct("_d", "_name")).alias("_near"),
+                              F.min("_name").alias("_only"))
+    return g.select(key, "n_members", F.when(F.col("n_members") == 1, F.col("_only"))
+                    .otherwise(F.col("_near._name")).alias("group_name"))
 
 
 def category_mapping(df: DataFrame, key: str, name_col: str, names: DataFrame) -> DataFrame:

@@ -208,10 +208,8 @@ def q_actual_vs_forecast(spark, sf):
     s = _indexed(spark, sf)
     pred = FC.closed_form_candidates(s, KEYS, H, SEASON, WINDOW)
     best = FC.best_model(FC.mape(pred, KEYS), KEYS)
-    bp = pred.join(best.select(*KEYS, "model"), KEYS + ["model"], "left_semi").select(*KEYS, "ds", "yhat")
-    test = s.filter(F.col("split") == "test").select(*KEYS, "ds", "y")
-    j = test.join(bp, KEYS + ["ds"], "full")
-    j = j.select(*KEYS, "ds", F.col("y").alias("actual"), F.col("yhat").alias("predicted"))
+    bp = pred.join(best.select(*KEYS, "model"), KEYS + ["model"], "left_semi")
+    j = FC.compare(s.filter(F.col("split") == "test"), bp, KEYS)
     return rounded(rounded(j, 0, ["predicted"]), 2, ["actual"])
 
 

@@ -157,18 +157,17 @@ SELECT conv_id, CAST(count(*) AS INTEGER) AS n_turns,
        CAST(sum(len(string_split(text, chr(10)))) AS INTEGER) AS n_lines
 FROM conversations GROUP BY conv_id""")
 def q_messages_flatten(spark, sf):
-    """Turns -> one ordered message array per conversation; the first user text and the last
-    assistant text are read through the array; lines are counted on the flattened line arrays."""
+    """Per conversation: number of turns, first user text, last assistant text and number of
+    lines.  All are partial aggregates (a very long conversation is reduced map-side); the
+    ordered message array of a conversation is only built for bounded batches
+    (``batch_prompts``)."""
     c = load(spark, sf, "conversations")
-    g = c.groupBy("conv_id").agg(
-        F.sort_array(F.collect_list(F.struct("turn", "role", F.col("text").alias("content")))).alias("messages"))
-    users = F.filter("messages", lambda m: m["role"] == "user")
-    assistants = F.filter("messages", lambda m: m["role"] == "assistant")
-    lines = F.flatten(F.transform("messages", lambda m: F.split(m["content"], "\n")))
-    return g.select("conv_id", F.size("messages").alias("n_turns"),
-                    F.try_element_at(users, F.lit(1))["content"].alias("first_user_text"),
-                    F.try_element_at(assistants, F.lit(-1))["content"].alias("last_assistant_text"),
-                    F.size(lines).alias("n_lines"))
+    user, asst = F.col("role") == "user", F.col("role") == "assistant"
+    return c.groupBy("conv_id").agg(
+        F.count(F.lit(1)).cast("int").alias("n_turns"),
+        F.min(F.when(user, F.struct("turn", "text")))["text"].alias("first_user_text"),
+        F.max(F.when(asst, F.struct("turn", "text")))["text"].alias("last_assistant_text"),
+        F.sum(F.size(F.split("text", "\n"))).cast("int").alias("n_lines"))
 
 
 def _dict_sql() -> str:

@@ -27,3 +27,12 @@ def test_format_measure(spark):
     assert got == ["R$1,234,567.50", "-R$99.99"]
     got0 = [r.f for r in df.select(format_measure("x", '"R$" #,0').alias("f")).collect()]
     assert got0 == ["R$ 1,234,568", "-R$ 100"]
+
+
+def test_first_translation(spark):
+    from tessera.functions.arrays import first_translation
+    schema = "resp array<struct<translations: array<struct<text: string, to: string>>>>"
+    rows = [([{"translations": [{"text": "hello", "to": "en"}, {"text": "hallo", "to": "de"}]}],),
+            ([{"translations": []}],), ([],)]
+    df = spark.createDataFrame(rows, schema)
+    assert [r.t for r in df.select(first_translation("resp").alias("t")).collect()] == ["hello", None, None]
