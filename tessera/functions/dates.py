@@ -27,12 +27,24 @@ def date_key(c) -> Column:
 def boundary_diff(unit: str, start, end) -> Column:
     """Number of `unit` boundaries crossed from `start` to `end` (negative if reversed).
 
-    Unlike ``timestampdiff`` this counts boundaries: 10:59 -> 11:01 is 1 hour.
+    Unlike ``timestampdiff`` this counts boundaries: 10:59 -> 11:01 is 1 hour.  Computed on
+    wall-clock fields (days between the dates, then hour / minute / second differences), so
+    the result does not depend on the session time zone or daylight-saving shifts.
     """
-    seconds = {"SECOND": 1, "MINUTE": 60, "HOUR": 3600, "DAY": 86400}[unit.upper()]
-    a = F.unix_timestamp(F.date_trunc(unit, _c(start)))
-    b = F.unix_timestamp(F.date_trunc(unit, _c(end)))
-    return ((b - a) / F.lit(seconds)).cast("bigint")
+    a, b = _c(start), _c(end)
+    u = unit.upper()
+    days = F.datediff(F.to_date(b), F.to_date(a)).cast("bigint")
+    if u == "DAY":
+        return days
+    hours = days * 24 + (F.hour(b) - F.hour(a))
+    if u == "HOUR":
+        return hours
+    minutes = hours * 60 + (F.minute(b) - F.minute(a))
+    if u == "MINUTE":
+        return minutes
+    if u == "SECOND":
+        return minutes * 60 + (F.second(b) - F.second(a))
+    raise ValueError(f"unsupported unit {unit!r}")
 
 
 def dow0(c) -> Column:

@@ -36,3 +36,15 @@ def test_first_translation(spark):
             ([{"translations": []}],), ([],)]
     df = spark.createDataFrame(rows, schema)
     assert [r.t for r in df.select(first_translation("resp").alias("t")).collect()] == ["hello", None, None]
+
+
+def test_boundary_hours_ignore_session_zone(spark):
+    """Wall-clock boundary counting: a naive interval across a DST change is not shifted."""
+    rows = [(dt.datetime(2017, 3, 11, 23, 30), dt.datetime(2017, 3, 12, 4, 10))]
+    df = spark.createDataFrame(rows, "a timestamp_ntz, b timestamp_ntz")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        got = df.select(boundary_diff("HOUR", "a", "b").alias("h")).first().h
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == 5
