@@ -7,7 +7,7 @@ Sub-packages:
              batching, series, forecasting, segmentation)
   plans      the metric layer: model tables, relationships, measures,
              evaluate, drill, time intelligence
-  streaming  (the reference has no streams; see its docstring)
+  streaming  (the workload has no streams; see its docstring)
   suite      the registered queries and their SQL oracles
 """
 __all__ = ["session"]

@@ -49,3 +49,12 @@ def length_profile(df: DataFrame, text_col: str, by: list[str] | None = None) ->
     quart = j.groupBy(*by).agg(*qs)
     out = stats.join(quart, by)
     return out.select(*keep, "n", "mean", "stddev", "min", "q1", "median", "q3", "max")
+
+
+def text_profile(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Length profile of several text columns, one row per column (``column`` names it)."""
+    out = None
+    for c in cols:
+        p = length_profile(df, c).withColumn("column", F.lit(c))
+        out = p if out is None else out.unionByName(p)
+    return out.select("column", "n", "mean", "stddev", "min", "q1", "median", "q3", "max")

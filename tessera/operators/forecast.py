@@ -190,3 +190,12 @@ def latest(registry: DataFrame, keys: list[str]) -> DataFrame:
     """Newest version per (name, keys): compares integer versions."""
     w = Window.partitionBy("name", *keys).orderBy(F.col("version").desc())
     return registry.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+
+
+def fit_select(series: DataFrame, keys: list[str], freq: str, window: int = 8):
+    """Hold-out selection in one call: (test predictions of every candidate, MAPE per series
+    and model, best model per series) for the frequency's horizon and season."""
+    s = index_series(series, keys, HORIZON[freq])
+    pred = closed_form_candidates(s, keys, HORIZON[freq], SEASON[freq], window)
+    err = mape(pred, keys)
+    return pred, err, best_model(err, keys)

@@ -41,3 +41,9 @@ def export_tables(spark: SparkSession, tables: dict, dst: str, fmt: str = "parqu
         except Exception as e:  # noqa: BLE001 - reported per table
             status.append((name, False, f"{type(e).__name__}: {str(e).splitlines()[0][:200]}", None))
     return spark.createDataFrame(status, "table string, ok boolean, error string, rows long")
+
+
+def export_model(model, dst: str, fmt: str = "parquet") -> DataFrame:
+    """Export every table of a model (see ``export_tables``)."""
+    from pyspark.sql import SparkSession
+    return export_tables(SparkSession.getActiveSession(), model.tables, dst, fmt)

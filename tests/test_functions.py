@@ -48,3 +48,10 @@ def test_boundary_hours_ignore_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert got == 5
+
+
+def test_text_profile_two_columns(spark):
+    from tessera.functions.text import text_profile
+    df = spark.createDataFrame([("a", "xyz"), ("abcd", None), ("ab", "q")], "s string, t string")
+    got = {r.column: (r.n, r.min, r.q1, r.median, r.q3, r.max) for r in text_profile(df, ["s", "t"]).collect()}
+    assert got == {"s": (3, 1, 1, 2, 4, 4), "t": (2, 1, 1, 1, 3, 3)}
