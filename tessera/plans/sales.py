@@ -23,7 +23,8 @@ from tessera.plans.model import Measure, Model, Relationship
 from tessera.session import materialize
 from tessera.sources.tables import load
 
-# Date dimensions already materialised in this session, keyed by (session, data folder, config).
+# Date dimensions already materialised, keyed by (Spark application, checkpoint folder, data
+# folder, config): a new or restarted session never sees another application's tables.
 _DATE_TABLES: dict = {}
 
 # The model's relationships and measures.
@@ -90,7 +91,7 @@ def sales_model(spark: SparkSession, sf_dir: str, cfg: CalendarConfig | None = N
     def date_dim() -> DataFrame:
         """The Date dimension is a calculated table: built once from the order years and
         materialised (checkpointed), as a model refresh would import it."""
-        key = (id(spark), sf_dir, repr(cfg))
+        key = (spark.sparkContext.applicationId, spark.conf.get("spark.checkpoint.dir", ""), sf_dir, repr(cfg))
         if key not in _DATE_TABLES:
             _DATE_TABLES[key] = materialize(calendar(spark, year_bounds(t("orders"), "o_orderdate"), cfg))
         return _DATE_TABLES[key]
