@@ -94,10 +94,14 @@ def with_time(model: Model, measure: str, items=tuple(ITEMS), grain: str = "day"
             .groupBy(*keys).agg(F.count(F.lit(1)).alias("_fy"))
         fm = tagged.groupBy(*gk, "_y", "_m", vkey.alias("_vk")).agg(F.min("_p").alias("_p")) \
             .groupBy(*keys).agg(F.count(F.lit(1)).alias("_fm"))
-        s = spine
-        for extra in (cur, fy, fm):
-            s = _null_safe_join(s, extra.select(*[F.col(k).alias(f"_r_{k}") for k in keys],
-                                                *[c for c in extra.columns if c not in keys]), keys)
+        # current count and first occurrences per (group, period): stacked and reduced to one
+        # row per (group, period), then one join to the spine
+        nul = F.lit(None).cast("bigint")
+        comb = (cur.select(*keys, "_cur", nul.alias("_fy"), nul.alias("_fm"))
+                .unionByName(fy.select(*keys, nul.alias("_cur"), "_fy", nul.alias("_fm")))
+                .unionByName(fm.select(*keys, nul.alias("_cur"), nul.alias("_fy"), "_fm"))
+                .groupBy(*keys).agg(F.max("_cur").alias("_cur"), F.max("_fy").alias("_fy"), F.max("_fm").alias("_fm")))
+        s = _null_safe_join(spine, comb.select(*[F.col(k).alias(f"_r_{k}") for k in keys], "_cur", "_fy", "_fm"), keys)
         s = s.withColumns({
             "cur": F.col("_cur"),
             "ytd": F.sum("_fy").over(wy),
