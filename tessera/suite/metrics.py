@@ -371,3 +371,18 @@ def q_drill_average(spark, sf):
     m = sales_model(spark, sf)
     r = m.drill(["avg_delivery_hours", "total_sales"], "part", ["p_type", "p_brand"])
     return rounded(rounded(r, 4, ["avg_delivery_hours"]), 2, ["total_sales"])
+
+
+@query("ti_mtd_distinct", sql=f"""
+WITH f AS (SELECT CAST(o_orderdate AS DATE) AS d, o_custkey AS k FROM {F_} x),
+b AS (SELECT min(year(d)) AS y0, max(year(d)) AS y1 FROM f),
+sp AS (SELECT CAST(unnest(generate_series(make_date(y0, 1, 1), make_date(y1, 12, 31), INTERVAL 1 DAY)) AS DATE) AS d FROM b),
+cur AS (SELECT d, count(DISTINCT k) AS cur FROM f GROUP BY d),
+mtd AS (SELECT sp.d, (SELECT count(DISTINCT k) FROM f WHERE f.d BETWEEN date_trunc('month', sp.d) AND sp.d) AS mtd FROM sp)
+SELECT mtd.d AS date, cur.cur AS cur, CAST(CASE WHEN mtd.mtd = 0 THEN NULL ELSE mtd.mtd END AS BIGINT) AS mtd
+FROM mtd LEFT JOIN cur ON cur.d = mtd.d WHERE cur.cur IS NOT NULL OR mtd.mtd > 0""")
+def q_ti_mtd_distinct(spark, sf):
+    """Month-to-date distinct customers by day (first occurrence per month, running count),
+    checked against a direct range count."""
+    m = sales_model(spark, sf)
+    return with_time(m, "active_customers", ["Current", "MTD"], "day")
