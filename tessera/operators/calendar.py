@@ -155,15 +155,17 @@ def calendar(spark: SparkSession, bounds: DataFrame, cfg: CalendarConfig | None
     """
     cfg = cfg or CalendarConfig()
     fdw = cfg.first_day_of_week
-    b = bounds
-    if today is not None:
-        b = b.withColumn("today", F.lit(today).cast("date"))
-    b = b.select(F.col("first_year").cast("int").alias("first_year"),
-                 F.col("last_year").cast("int").alias("last_year"), F.col("today").cast("date").alias("today"))
+    # the bounds are one aggregate row (two years and a date): read it once and generate the
+    # dimension from JVM ranges, so no branch of the plan re-runs the aggregate over the fact
+    row = bounds.select(F.col("first_year").cast("int"), F.col("last_year").cast("int"),
+                        F.col("today").cast("date").cast("string")).first()
+    if row is None or row[0] is None:
+        raise ValueError("calendar bounds are empty")
+    b = fixed_bounds(spark, row[0], row[1], today if today is not None else row[2])
     days = b.select("first_year", "last_year", "today", F.explode(F.sequence(
         F.make_date(F.col("first_year") - 1, F.lit(1), F.lit(1)),
         F.make_date(F.col("last_year") + 1, F.lit(12), F.lit(31)))).alias("date"))
-    years = b.select(F.explode(F.sequence(F.col("first_year") - 1, F.col("last_year") + 1)).alias("year"))
+    years = spark.range(row[0] - 1, row[1] + 2).select(F.col("id").cast("int").alias("year"))
     hol = one_per_date(holidays(spark, years, cfg.country, cfg.working_days)) \
         .select("date", F.col("holiday_name"))
     # holiday list: bounded by rules x years -> broadcast is safe

@@ -63,21 +63,24 @@ def with_time(model: Model, measure: str, items=tuple(ITEMS), grain: str = "day"
     # value, the running windows and the previous-year join -> materialise once
     part = materialize(model.partials(m, group_by, filters, extra_home=period))
 
-    # spine: every period of the calendar years, for every group present
+    # spine: for every group, the calendar periods from its first period to the end of the
+    # year after its last one (earlier or later periods would carry no item value), clipped
+    # to the calendar; the group ranges come from the small partials table
     cal = model.table("date")
-    b = cal.agg(F.min("date").alias("_lo"), F.max("date").alias("_hi"))
-    groups = part.select(*gk).distinct().withColumn("_one", F.lit(1))
-    spine = groups.join(b.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    b = cal.agg(F.min("date").alias("_lo"), F.max("date").alias("_hi")).withColumn("_one", F.lit(1))
+    ranges = part.groupBy(*gk).agg(F.min("_p").alias("_gmin"), F.max("_p").alias("_gmax")) \
+        .withColumn("_one", F.lit(1))
+    spine = ranges.join(b, "_one").drop("_one")
     if grain == "day":
-        spine = spine.select(*gk, F.explode(F.sequence("_lo", "_hi")).alias("_p"))
+        lo = F.greatest(F.col("_lo"), F.col("_gmin"))
+        hi = F.least(F.col("_hi"), F.make_date(F.year(F.col("_gmax")) + 1, F.lit(12), F.lit(31)))
+        spine = spine.select(*gk, F.explode(F.sequence(lo, hi)).alias("_p"))
         yr, mo = F.year("_p"), F.month("_p")
-        prev = F.add_months(F.col("_p"), -12)
     else:
-        lo = F.year("_lo") * 12 + F.month("_lo") - 1
-        hi = F.year("_hi") * 12 + F.month("_hi") - 1
-        spine = spine.select(*gk, F.explode(F.sequence(lo, hi)).alias("_p"))
+        lo = F.greatest(F.year("_lo") * 12 + F.month("_lo") - 1, F.col("_gmin"))
+        hi = F.least(F.year("_hi") * 12 + F.month("_hi") - 1, (F.floor(F.col("_gmax") / 12) + 1) * 12 + 11)
+        spine = spine.select(*gk, F.explode(F.sequence(lo.cast("int"), hi.cast("int"))).alias("_p"))
         yr, mo = F.floor(F.col("_p") / 12), F.col("_p")
-        prev = F.col("_p") - 12
     spine = spine.withColumns({"_y": yr, "_m": mo})
 
     keys = gk + ["_p"]
