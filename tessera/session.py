@@ -7,7 +7,6 @@ cluster); a scratch folder is only chosen when it is unset, as in tests.
 """
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -46,20 +45,23 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared checkpoint folder of the cluster; a scratch folder only if unset."""
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    """Shared checkpoint folder of the cluster; a scratch folder only if unset and every
+    executor runs in this process (``local[*]``).  On a cluster an unset folder, or one
+    without a scheme and unknown to the other machines, is refused rather than guessed."""
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="tessera-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
     return d
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    checkpoint_dir(df.sparkSession)
+    spark = df.sparkSession
+    spark.sparkContext.setCheckpointDir(checkpoint_dir(spark))
     return df.checkpoint(eager=True)
 
 
@@ -93,8 +95,6 @@ def literal_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFr
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the shared checkpoint folder for intermediate tables."""
-    base = checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[5:]
-    return os.path.join(base, name)
+    """A sub-folder of the shared checkpoint folder for intermediate tables; the folder's
+    scheme (``file:``, ``hdfs:``, ``s3a:``) is kept."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}"
