@@ -6,7 +6,7 @@ from typing import Callable
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tessera.llm import quality_rules, tokens
+from tessera.llm import langid, quality_model, quality_rules, tokens
 from tessera.llm.common import table
 
 QUERIES: dict[str, Callable] = {}
@@ -71,3 +71,16 @@ def op10_token_counts(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     return tokens.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json")).select(
         "doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+@query("op5_language_id")
+def op5_language_id(spark, sf):
+    """Language of every document (held-out accuracy and brute force in the tests)."""
+    return langid.identify_languages(table(spark, sf, "documents").select("doc_id", "lang", "text"))
+
+
+@query("op7_quality_classifier")
+def op7_quality_classifier(spark, sf):
+    """Quality score of every document (held-out accuracy and brute force in the tests)."""
+    return quality_model.classify(table(spark, sf, "documents").select("doc_id", "text"),
+                                  table(spark, sf, "labels").select("doc_id", "quality"))
