@@ -6,7 +6,7 @@ from typing import Callable
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tessera.llm import langid, quality_model, quality_rules, tokens
+from tessera.llm import chat, langid, licenses, mixing, quality_model, quality_rules, sharding, tokens
 from tessera.llm.common import table
 
 QUERIES: dict[str, Callable] = {}
@@ -84,3 +84,66 @@ def op7_quality_classifier(spark, sf):
     """Quality score of every document (held-out accuracy and brute force in the tests)."""
     return quality_model.classify(table(spark, sf, "documents").select("doc_id", "text"),
                                   table(spark, sf, "labels").select("doc_id", "quality"))
+
+
+@query("op1_license_scan", sql=licenses.sql())
+def op1_license_scan(spark, sf):
+    """Licence sentences, licences and verdict of every document (built-in functions only)."""
+    out = licenses.scan(table(spark, sf, "documents").select("doc_id", "text"))
+    return out.select("doc_id", F.array_join("sentence_ids", ",").alias("sentence_ids"),
+                      F.array_join("licenses", ",").alias("licenses"), "n_unknown", "n_unused", "verdict")
+
+
+def _sharding_sql() -> str:
+    """Shards take turns in a recursive query; the state is the table and each shard's next preference."""
+    m, n = sharding.SLOTS, sharding.SHARDS
+    number = lambda text: f"CAST('0x' || substr(md5({text}), 1, 15) AS BIGINT)"
+    return f"""
+WITH RECURSIVE shards AS (SELECT i, {number("'start shard-' || i")} % {m} AS a, {number("'step shard-' || i")} % {m - 1} + 1 AS d
+                            FROM range({n}) r(i)),
+     walks AS (SELECT list(a ORDER BY i) AS starts, list(d ORDER BY i) AS steps FROM shards),
+     fill(t, nexts, filled) AS (
+       SELECT 0, list_transform(range({n}), lambda i: CAST(0 AS BIGINT)), list_transform(range({m}), lambda i: CAST(-1 AS BIGINT))
+       UNION ALL
+       SELECT t + 1, list_transform(range({n}), lambda i: CASE WHEN i = t % {n} THEN j + 1 ELSE nexts[i + 1] END),
+              list_transform(filled, lambda x, k: CASE WHEN k = (a + j * d) % {m} + 1 THEN t % {n} ELSE x END)
+         FROM (SELECT t, nexts, filled, starts[t % {n} + 1] AS a, steps[t % {n} + 1] AS d,
+                      (SELECT min(q) FROM range({m}) r(q) WHERE q >= nexts[t % {n} + 1]
+                          AND filled[(starts[t % {n} + 1] + q * steps[t % {n} + 1]) % {m} + 1] < 0) AS j
+                 FROM fill, walks WHERE t < {m})),
+     slots AS (SELECT unnest(range({m})) AS slot, unnest(filled) AS shard FROM fill WHERE t = {m})
+SELECT doc_id, CAST(d.slot AS BIGINT) AS slot, CAST(shard AS INTEGER) AS shard
+  FROM (SELECT doc_id, {number("coalesce(CAST(doc_id AS VARCHAR), concat_ws('|', 'null', coalesce(source, ''), coalesce(lang, ''), coalesce(CAST(n_chars AS VARCHAR), '')))")} % {m} AS slot FROM documents) d
+  JOIN slots ON d.slot = slots.slot"""
+
+
+@query("op3_sharding", sql=_sharding_sql())
+def op3_sharding(spark, sf):
+    """Slot and shard of every document (built-in functions only)."""
+    docs = table(spark, sf, "documents").select("doc_id", "source", "lang", "n_chars")
+    return sharding.place(docs).select("doc_id", "slot", "shard")
+
+
+@query("op6_mixing", sql=mixing.sql())
+def op6_mixing(spark, sf):
+    """Words that the mixture takes of every document."""
+    return mixing.mix_plan(table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op8_chat_format", sql=f"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL VALUES (-7, 0, 'user', '{chat.TRICKY}'), (-7, 1, 'assistant', '{chat.TRICKY}')),
+     e AS (SELECT *, length(text) + length(text) - length(replace(text, '\\', ''))
+                     + coalesce(list_sum(list_transform(regexp_extract_all(text, '#{{3,}}'), lambda x: length(x) - 2)), 0)
+                     + (length(text) - length(replace(replace(text, '</turn>', '</turn'), '</role>', '</role'))) AS escaped,
+                  CASE role WHEN 'system' THEN 12 WHEN 'user' THEN 10 WHEN 'assistant' THEN 15
+                       ELSE 12 + length(role) END AS header FROM c)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(header + escaped + 8) AS BIGINT) AS formatted_chars
+  FROM e GROUP BY conv_id""")
+def op8_chat_format(spark, sf):
+    """Every conversation formatted and read back."""
+    turns = chat.with_tricky(spark, table(spark, sf, "conversations"))
+    return chat.digests(chat.format_conversations(turns))
