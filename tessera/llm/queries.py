@@ -6,7 +6,7 @@ from typing import Callable
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tessera.llm import chat, langid, licenses, mixing, quality_model, quality_rules, sharding, tokens
+from tessera.llm import chat, langid, licenses, mixing, neardup, quality_model, quality_rules, sharding, tokens
 from tessera.llm.common import table
 
 QUERIES: dict[str, Callable] = {}
@@ -147,3 +147,9 @@ def op8_chat_format(spark, sf):
     """Every conversation formatted and read back."""
     turns = chat.with_tricky(spark, table(spark, sf, "conversations"))
     return chat.digests(chat.format_conversations(turns))
+
+
+@query("op2_minhash_neardup", sql=neardup.sql())
+def op2_minhash_neardup(spark, sf):
+    """Near-duplicate groups of all documents (the SQL compares all pairs)."""
+    return neardup.groups(table(spark, sf, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
