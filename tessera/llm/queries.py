@@ -6,7 +6,7 @@ from typing import Callable
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tessera.llm import chat, langid, licenses, mixing, neardup, quality_model, quality_rules, sharding, tokens
+from tessera.llm import chat, decontam, langid, licenses, mixing, neardup, quality_model, quality_rules, sharding, tokens
 from tessera.llm.common import table
 
 QUERIES: dict[str, Callable] = {}
@@ -153,3 +153,17 @@ def op8_chat_format(spark, sf):
 def op2_minhash_neardup(spark, sf):
     """Near-duplicate groups of all documents (the SQL compares all pairs)."""
     return neardup.groups(table(spark, sf, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query("op9_decontamination")
+def op9_decontamination(spark, sf):
+    """Documents that hold benchmark items, one row per document and item (checked against all
+    windows in the tests)."""
+    return decontam.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query("pipeline")
+def pipeline(spark, sf):
+    """The stages of corpus_pipeline.py over documents."""
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf)
