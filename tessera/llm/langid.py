@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import held_out, stored
+from tessera.llm.common import free_name, held_out, stored
 
 SAMPLE = 300       # documents learned from for each language at most (those with the smallest hashes)
 LANDMARKS = 40     # landmark texts for each language, out of the sample
@@ -118,11 +118,10 @@ def learn(docs: DataFrame, sample: int = SAMPLE) -> KernelModel | None:
     ids = (docs.select("doc_id", "lang").filter(F.col("lang").isNotNull() & ~held_out())
            .withColumn("h", F.md5(F.concat_ws(" ", F.lit("langid"), "doc_id")))
            .withColumn("n", F.row_number().over(per_lang)).filter(F.col("n") <= sample)
-           .select(F.col("doc_id").alias("__id"), F.col("lang").alias("__lang"), "h", "n").distinct())
+           .select(F.col("doc_id").alias("__id"), F.col("lang").alias("__lang"), "h").distinct())
     picked = docs.select("doc_id", "lang", "text").join(
         F.broadcast(ids), (F.col("doc_id") == F.col("__id")) & (F.col("lang") == F.col("__lang")))
-    rows = stored(picked.filter(F.col("text").isNotNull()).dropDuplicates(["doc_id", "lang"])
-                  .select("lang", "h", "text"), "langid-sample")
+    rows = stored(picked.filter(F.col("text").isNotNull()).select("lang", "h", "text"), "langid-sample")
 
     @F.arrow_udf("array<int>")
     def letters(texts: pa.Array) -> pa.Array:
@@ -141,7 +140,9 @@ def learn(docs: DataFrame, sample: int = SAMPLE) -> KernelModel | None:
         return pa.array([ngrams(t, table.value, seen).astype(np.int32) if has_letter(t) else None
                          for t in texts.to_pylist()], pa.list_(pa.int32()))
 
-    known = rows.select("lang", "h", grams("text").alias("g")).filter("g IS NOT NULL").orderBy("lang", "h").collect()
+    known = rows.select("lang", "h", grams("text").alias("g")).filter("g IS NOT NULL").orderBy("lang", "h", "g").collect()
+    if not known:
+        return None
     return fit([np.array(r["g"], np.int64) for r in known], [r["lang"] for r in known], table.value)
 
 
@@ -164,8 +165,9 @@ def identify(docs: DataFrame, model: KernelModel | None) -> DataFrame:
                                           names=["lang_pred", "score"])
 
     udf = F.arrow_udf(predict, "struct<lang_pred:string,score:double>")
-    out = docs.withColumn("__p", udf(F.col("text")))
-    return out.withColumns({"lang_pred": F.col("__p.lang_pred"), "score": F.col("__p.score")}).drop("__p")
+    at = free_name(docs, "__p")
+    out = docs.withColumn(at, udf(F.col("text")))
+    return out.withColumns({"lang_pred": F.col(f"{at}.lang_pred"), "score": F.col(f"{at}.score")}).drop(at)
 
 
 def identify_languages(docs: DataFrame) -> DataFrame:

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import free_name
+
 #: A text without any of these has no licence sentence (each pattern below contains one).
 STEMS = ("licen", "copyright", "rights reserved", "redistribut", "permission", "warrant", "public domain",
          "free software", "creative commons", "as is", "liable", "endorse")
@@ -161,16 +163,17 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     empty = F.array().cast("array<string>")
     ids = F.when(has_stem(t), F.filter(F.transform(sentences(t), identifier), lambda x: x.isNotNull())).otherwise(empty)
     # each step is a projection of its own, so that the array is computed once and not inlined
-    out = docs.withColumn("__ids", ids)
-    out = out.withColumn("__left", F.when(F.size("__ids") > 0, apply_rules(
-        F.concat(F.lit("["), F.array_join("__ids", "]["), F.lit("]")))).otherwise(F.lit("")))
-    out = out.withColumn("__lic", F.array_distinct(F.regexp_extract_all("__left", F.lit(r"\{([^}]*)\}"), F.lit(1))))
+    seq, left, lic = (free_name(docs, n) for n in ("__ids", "__left", "__lic"))
+    out = docs.withColumn(seq, ids)
+    out = out.withColumn(left, F.when(F.size(seq) > 0, apply_rules(
+        F.concat(F.lit("["), F.array_join(seq, "]["), F.lit("]")))).otherwise(F.lit("")))
+    out = out.withColumn(lic, F.array_distinct(F.regexp_extract_all(left, F.lit(r"\{([^}]*)\}"), F.lit(1))))
     out = out.withColumns({
-        "sentence_ids": F.col("__ids"), "licenses": F.col("__lic"),
-        "n_unknown": F.size(F.filter("__ids", lambda x: x == "UNKNOWN")).cast("long"),
-        "n_unused": F.size(F.regexp_extract_all("__left", F.lit(r"\[([A-Z][a-z0-9][A-Za-z0-9]*)\]"), F.lit(1))).cast("long")})
-    return out.withColumn("verdict", F.when(F.size("__lic") > 1, "several").when(F.size("__lic") == 1, "one")
-                          .when(F.size("__ids") > 0, "unknown").otherwise("none")).drop("__ids", "__left", "__lic")
+        "sentence_ids": F.col(seq), "licenses": F.col(lic),
+        "n_unknown": F.size(F.filter(seq, lambda x: x == "UNKNOWN")).cast("long"),
+        "n_unused": F.size(F.regexp_extract_all(left, F.lit(r"\[([A-Z][a-z0-9][A-Za-z0-9]*)\]"), F.lit(1))).cast("long")})
+    return out.withColumn("verdict", F.when(F.size(lic) > 1, "several").when(F.size(lic) == 1, "one")
+                          .when(F.size(seq) > 0, "unknown").otherwise("none")).drop(seq, left, lic)
 
 
 def sql(documents: str = "documents") -> str:

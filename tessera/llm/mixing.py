@@ -34,11 +34,13 @@ def order_key(doc_id: Column, text: Column, seed: str = SEED) -> Column:
     return F.substring(F.md5(F.concat(F.lit(f"{seed} "), own)), 1, 15)
 
 
-def sized(docs: DataFrame) -> DataFrame:
-    """`docs` with size (words; null text: 0) and the order key."""
-    return docs.withColumns({
-        "size": F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD)).cast("long"),
-        "__h": order_key(F.col("doc_id"), F.col("text"))})
+def sized(docs: DataFrame, whole: bool = False) -> DataFrame:
+    """doc_id, source, size (words; null text: 0) and the order key of every row; with `whole`, the
+    row itself too, as one struct (so that no name of a caller can clash with ours)."""
+    row = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc")] if whole else []
+    return docs.select(
+        "doc_id", "source", F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD)).cast("long").alias("size"),
+        order_key(F.col("doc_id"), F.col("text")).alias("__h"), *row)
 
 
 def targets(sizes: DataFrame) -> DataFrame:
@@ -111,7 +113,7 @@ def _spark(sql: str) -> str:
 
 
 def planned(docs: DataFrame) -> DataFrame:
-    """`docs`, as `sized` gives them, with size, source_size, target, and what the plan needs: __start (words
+    """`docs`, as `sized` gives them, with source_size, target, and what the plan needs: __start (words
     of the source before the document), block, blocks, quota, rank.
 
     Positions in a source come from sums of (source, bucket of the order key) and a running sum
@@ -129,8 +131,7 @@ def planned(docs: DataFrame) -> DataFrame:
                                         "blocks", "quota")
     inside = Window.partitionBy("source", "__b").orderBy("__h", F.asc_nulls_first("doc_id"), "size")
     out = sizes.withColumn("__in", F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
-    drop = {"rank", "source_size", "target", "block", "blocks", "quota", "before"} & set(docs.columns)
-    out = out.drop(*drop).join(before, F.col("source").eqNullSafe(F.col("__s")) & (F.col("__b") == F.col("__sb")))
+    out = out.join(before, F.col("source").eqNullSafe(F.col("__s")) & (F.col("__b") == F.col("__sb")))
     out = out.join(src, F.col("source").eqNullSafe(F.col("__src")))
     return out.withColumn("__start", F.col("before") + F.col("__in")).drop("__s", "__sb", "__src", "before", "__in", "__b", "__h")
 
@@ -153,7 +154,7 @@ def mix_plan(docs: DataFrame) -> DataFrame:
     Sources are ordered by code point (null: a source, last).  Null ids and repeated rows are
     documents of their own; empty texts have size 0 and give nothing; an empty table gives an
     empty result.  The same table gives the same rows on every run."""
-    p = planned(sized(docs.select("doc_id", "text", "source")).drop("text"))
+    p = planned(sized(docs))
     return p.withColumn("__spans", spans()).select("doc_id", "source", "size", "source_size", "target",
                                                    F.expr(TAKEN).cast("long").alias("taken"))
 
@@ -163,18 +164,19 @@ def mixed(docs: DataFrame) -> DataFrame:
     of it (LIMIT passes at most).  A pass that takes all its words gives the text unchanged, else
     the text is cut to the words taken (their own spacing kept, cuts joined by a line break);
     n_chars, if there, is that of the new text."""
-    p = planned(sized(docs.drop("size"))).withColumn("__spans", spans())
+    p = planned(sized(docs, whole=True)).withColumn("__spans", spans())
     passes = p.withColumn("__pass", F.explode(F.sequence(F.lit(1), F.lit(LIMIT))))
     own = F.filter("__spans", lambda s: s["times"] >= F.col("__pass"))
     got = F.aggregate("__own", F.lit(0).cast("long"), lambda a, s: a + s["to"] - s["from"])
     passes = passes.withColumn("__own", own).withColumn("__got", got).filter("__got > 0")
-    text = F.when(F.col("__got") == F.col("size"), F.col("text")).otherwise(
-        F.arrow_udf(_cut, "string")(F.col("text"), F.transform("__own", lambda s: s["from"]),
-                                    F.transform("__own", lambda s: s["to"])))
-    out = passes.withColumn("text", text)
+    ends = F.transform("__own", lambda s: s["from"]), F.transform("__own", lambda s: s["to"])
+    # a null text in place of one that is taken whole, so that it need not travel to Python
+    cut = F.arrow_udf(_cut, "string")(F.when(F.col("__got") < F.col("size"), F.col("__doc.text")), *ends)
+    out = passes.withColumn("__text", cut).withColumn("__text", F.coalesce("__text", "__doc.text"))
+    changed = {"text": F.col("__text")}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+        changed["n_chars"] = F.length("__text").cast(docs.schema["n_chars"].dataType)
+    return out.select(*[changed.get(c, F.col(f"__doc.`{c}`")).alias(c) for c in docs.columns])
 
 
 def _cut(texts: pa.Array, starts: pa.Array, stops: pa.Array) -> pa.Array:

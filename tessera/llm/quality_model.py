@@ -16,7 +16,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import held_out, stored
+from tessera.llm.common import free_name, held_out, stored
 from tessera.llm.measures import measures
 
 SAMPLE = 6000        # labelled documents learned from at most (those with the smallest hashes)
@@ -144,7 +144,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> RuleModel:
 def scored(docs: DataFrame, model: RuleModel, score: str = "score") -> DataFrame:
     """`docs` with a score column (replaced if there).  Row by row: null ids, repeated rows and
     extra columns stay; a null text scores like an empty one."""
-    own = "__" + score
+    own = free_name(docs, "__measured")
     m = docs.withColumn(own, measures())
     s = m.withColumn(own, statistics(own))
     return s.withColumn(score, model.score(own)).drop(own)

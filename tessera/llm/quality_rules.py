@@ -9,9 +9,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import free_name
 from tessera.llm.measures import NAMES, measures
 
 
@@ -60,8 +61,9 @@ def ledger(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     fails few_words and no_text.  Columns named like a measurement are replaced."""
     own = {c.lower() for c in (*NAMES, "fail_bits", "text")}
     keep = [c for c in docs.columns if c.lower() not in own]
-    m = docs.select(*[F.col(f"`{c}`") for c in keep], measures().alias("__m"))
-    flat = m.select(*[F.col(f"`{c}`") for c in keep], *[F.col(f"__m.{n}").alias(n) for n in NAMES])
+    at = free_name(docs, "__m")
+    m = docs.select(*[F.col(f"`{c}`") for c in keep], measures().alias(at))
+    flat = m.select(*[F.col(f"`{c}`") for c in keep], *[F.col(f"{at}.{n}").alias(n) for n in NAMES])
     bits = F.lit(0).cast("long")
     for r in rules:
         bits = bits.bitwiseOR(F.when(F.expr(r.fails), F.lit(1 << r.bit)).otherwise(F.lit(0)).cast("long"))
@@ -93,7 +95,7 @@ def ablation(led: DataFrame, version: int = CURRENT, rules: tuple[Rule, ...] = R
         total(kept, "docs").alias("kept_without"), total(kept, "words").alias("words_kept_without"))
 
 
-def quality_ledger(spark: SparkSession, docs: DataFrame, version: int = CURRENT) -> DataFrame:
+def quality_ledger(docs: DataFrame, version: int = CURRENT) -> DataFrame:
     """Ledger with the verdicts: base_failed (the two base rules) and kept (not base_failed and
     the policy's verdict)."""
     led = ledger(docs)

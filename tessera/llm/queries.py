@@ -58,7 +58,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   FROM b""")
 def op4_quality_rules(spark, sf):
     """Measurements, failure bits and verdicts of every document (policies 1, 2 and the current)."""
-    led = quality_rules.quality_ledger(spark, table(spark, sf, "documents").select("doc_id", "text"))
+    led = quality_rules.quality_ledger(table(spark, sf, "documents").select("doc_id", "text"))
     return led.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                       "kept", "fail_bits", quality_rules.passes(1).alias("kept_v1"),
                       quality_rules.passes(2).alias("kept_v2"))

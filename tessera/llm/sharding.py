@@ -74,10 +74,10 @@ def place(df: DataFrame, shards: list[str] | None = None, slots: int = SLOTS, ke
     """`df` with columns slot (long) and shard (int), replaced if there.  Row by row: repeated rows
     go to the same shard, extra columns stay, an empty table gives an empty result."""
     table = table_frame(df.sparkSession, fill_table(shards or names(SHARDS), slots))
-    slot = free_name(df, "__at")
-    out = df.withColumn(slot, slot_of(row_key(df, key), slots)).join(
-        F.broadcast(table), F.col(slot) == F.col("__slot"))
-    return out.withColumns({"slot": F.col("__slot"), "shard": F.col("__shard")}).drop("__slot", "__shard", slot)
+    own, at, shard = (free_name(df, n) for n in ("__own", "__slot", "__shard"))
+    out = df.withColumn(own, slot_of(row_key(df, key), slots)).join(
+        F.broadcast(table.toDF(at, shard)), F.col(own) == F.col(at))
+    return out.withColumns({"slot": F.col(at), "shard": F.col(shard)}).drop(own, at, shard)
 
 
 def write_shards(df: DataFrame, path: str, files: int = 1) -> None:
