@@ -15,7 +15,7 @@ from tessera.llm.common import free_name
 
 #: A text without any of these has no licence sentence (each pattern below contains one).
 STEMS = ("licen", "copyright", "rights reserved", "redistribut", "permission", "warrant", "public domain",
-         "free software", "creative commons", "as is", "liable", "endorse")
+         "free software", "creative commons", "cc by-", "as is", "liable", "endorse", "of the mpl")
 
 #: Known sentences: identifier and pattern, which a normalised sentence must contain; the first
 #: that fits counts.  Fixed values: the wording of the public licences and of their usual notices.
