@@ -353,9 +353,9 @@ PART_CHARS = 1 << 20
 FORMATTED = "part long, n_turns long, formatted string, loss array<struct<start:long,stop:long>>"
 
 
-def format_conversations(turns: DataFrame, template: str = TEMPLATE) -> DataFrame:
+def format_conversations(turns: DataFrame, template: str = TEMPLATE, part_chars: int = PART_CHARS) -> DataFrame:
     """One row per conversation: conv_id, part (0), n_turns, formatted, loss (code point ranges of
-    `formatted` under the loss).  A conversation longer than PART_CHARS goes on in further parts,
+    `formatted` under the loss).  A conversation longer than part_chars goes on in further parts,
     each of whole turns, so a task never holds more than one part, whatever a conversation's size.
 
     Turns are ordered by turn, then role and text (nulls first); null roles and texts count as
@@ -373,10 +373,10 @@ def format_conversations(turns: DataFrame, template: str = TEMPLATE) -> DataFram
         stream = ((c, {"role": r or "", "text": t or ""}) for b in batches for c, r, t in zip(
             b.column("conv_id").to_pylist(), b.column("role").to_pylist(), b.column("text").to_pylist()))
         done, size = [], 0
-        for row in _format(stream, render):
+        for row in _format(stream, render, part_chars):
             done.append(row)
             size += len(row[3])
-            if size >= PART_CHARS or len(done) >= 1000:
+            if size >= part_chars or len(done) >= 1000:
                 yield _batch(done, names, schema_pa)
                 done, size = [], 0
         if done:
@@ -392,7 +392,7 @@ def _batch(rows: list[tuple], names: list[str], types: list[pa.DataType]) -> pa.
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
 
-def _format(stream: Iterator[tuple[object, dict]], render: Callable) -> Iterator[tuple]:
+def _format(stream: Iterator[tuple[object, dict]], render: Callable, part_chars: int) -> Iterator[tuple]:
     held = next(stream, None)
     while held is not None:
         conv = held[0]
@@ -407,7 +407,7 @@ def _format(stream: Iterator[tuple[object, dict]], render: Callable) -> Iterator
         for text, inside in render(messages()):
             if inside is None:
                 n += 1
-                if at >= PART_CHARS:
+                if at >= part_chars:
                     yield conv, part, n, "".join(out), loss
                     out, loss, at, part, n = [], [], 0, part + 1, 0
                 continue
