@@ -26,7 +26,7 @@ from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import free_name
+from tessera.llm.common import WORD, free_name
 from tessera.llm.shingles import shingles, word_hashes
 
 SHINGLE = 5
@@ -90,11 +90,12 @@ class Hit:
 
 class Benchmark:
     """Items prepared for search.  Items of fewer than SHINGLE words are too short to be evidence
-    and are left out, as are null texts."""
+    and are left out, as are null texts.  `lengths`: of all items, also of those in other blocks, so
+    that the blocks do not show in the result."""
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int, str]], lengths: list[int]):
         self.ids, self.counts, prints = [], [], []
-        lengths, everything = set(), []
+        self.lengths, everything = sorted(n for n in lengths if n >= SHINGLE), []
         for item_id, text in items:
             h = word_hashes((text or "").encode())
             if len(h) < SHINGLE:
@@ -103,9 +104,7 @@ class Benchmark:
             self.ids.append(item_id)
             self.counts.append(np.unique(s, return_counts=True))
             prints.append(fingerprints(running_bits(h), np.zeros(1, np.int64), len(h))[0])
-            lengths.add(len(h))
             everything.append(s)
-        self.lengths = sorted(lengths)
         self.known = np.unique(np.concatenate(everything)) if everything else np.zeros(0, np.uint64)
         self.maybe = np.zeros(1 << _FILTER, bool)
         self.maybe[(self.known >> np.uint64(64 - _FILTER)).astype(np.int64)] = True
@@ -164,20 +163,24 @@ def similarity(a: Counts, b: Counts) -> float:
     return common / (int(a[1].sum()) + int(b[1].sum()) - common)
 
 
-_READY: dict[int, tuple[list, Benchmark]] = {}
+_READY: list = [None, None]  # the block last sent to this worker, and the same prepared
 
 
-def _prepared(items: list[tuple[int, str]]) -> Benchmark:
-    key = id(items)
-    if key not in _READY or _READY[key][0] is not items:
-        _READY.clear()
-        _READY[key] = (items, Benchmark(items))
-    return _READY[key][1]
+def _prepared(block: tuple[list[tuple[int, str]], list[int]]) -> Benchmark:
+    if _READY[0] is not block:
+        _READY[:] = block, Benchmark(*block)
+    return _READY[1]
 
 
 _HITS = "array<struct<item_id:bigint,start_word:bigint,n_words:bigint,hamming:int,similarity:double>>"
 
 
+def item_lengths(benchmark: DataFrame) -> list[int]:
+    """The distinct numbers of words of the items."""
+    words = F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD))
+    return sorted(r[0] for r in benchmark.select(words).distinct().collect())
+
+
 def blocks_of(benchmark: DataFrame, size: int = PASS_ITEMS) -> list[list[tuple[int, str]]]:
     """The benchmark's (item_id, text) in blocks of about `size` rows, each small enough to send."""
     n = benchmark.count()
@@ -205,8 +208,9 @@ def with_hits(docs: DataFrame, benchmark: DataFrame, column: str) -> DataFrame:
     spark = docs.sparkSession
     out, text = docs, F.coalesce(F.col("text"), F.lit(""))
     found = []
+    lengths = item_lengths(benchmark)
     for k, block in enumerate(blocks_of(benchmark)):
-        sent = spark.sparkContext.broadcast(block)
+        sent = spark.sparkContext.broadcast((block, lengths))
         name = free_name(out, f"__hits{k}")
         out = out.withColumn(name, F.arrow_udf(_searcher(sent), _HITS)(text))
         found.append(name)
