@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 # Fixed values of the calendar rules.
 WEEK_ANCHOR_SUNDAY = "1900-12-30"   # a Sunday; continuous week index origin
 DATE_SERIAL_ORIGIN = "1899-12-30"   # day 0 of the spreadsheet date serial
-LEAP_YEARS_BEFORE_1900 = 460        # 1899//4 - 1899//100 + 1899//400
 
 
 def _c(c) -> Column:
@@ -79,11 +78,13 @@ def date_serial(c) -> Column:
 
 
 def seq365(c) -> Column:
-    """Leap-neutral sequential day number: 29 Feb shares 28 Feb's number."""
+    """Leap-neutral sequential day number: 29 Feb shares 28 Feb's number, so the 29 Februaries up to
+    the date are taken off the serial number."""
     c = _c(c)
-    y = F.year(c) - F.when((F.month(c) < 2) | ((F.month(c) == 2) & (F.dayofmonth(c) < 29)), 1).otherwise(0)
-    leaps = F.floor(y / 4) - F.floor(y / 100) + F.floor(y / 400) - LEAP_YEARS_BEFORE_1900
-    return (date_serial(c) - leaps).cast("int")
+    ends = F.transform(F.sequence(F.lit(1900), F.greatest(F.year(c), F.lit(1900))),
+                       lambda y: F.last_day(F.make_date(y, F.lit(2), F.lit(1))))
+    leap_days = F.filter(ends, lambda e: (F.dayofmonth(e) == 29) & (e <= c))
+    return (date_serial(c) - F.size(leap_days)).cast("int")
 
 
 def easter(year) -> Column:

@@ -19,12 +19,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import dates as D
+from tessera.operators.fiscal import fiscal_columns, weekly_calendar
 from tessera.operators.holidays import DEFAULT_WORKING_DAYS, holidays, one_per_date
 
 # Labels used by the calendar.
 WORKING_DAY_LABEL = "Working day"
 NON_WORKING_DAY_LABEL = "Non-working day"
-QUARTER_WEEK_TYPES = {"445": (4, 4, 5), "454": (4, 5, 4), "544": (5, 4, 4)}
 
 
 @dataclass
@@ -34,10 +34,11 @@ class CalendarConfig:
     working_days: tuple = DEFAULT_WORKING_DAYS
     fiscal_first_month: int = 1
     fiscal_named_by_last_day: bool = True  # fiscal year named after the calendar year it ends in
-    weekly_type: str = "Last"              # "Last" or "Nearest"
+    weekly_type: str = "Last"              # "Last", "Nearest" or "Custom"
     quarter_week_type: str = "445"
     calendar_range: str = "Calendar"       # "Calendar", "FiscalGregorian", "FiscalWeekly"
-    custom_periods: list | None = None     # [(fiscal_year, 'yyyy-mm-dd', 'yyyy-mm-dd'), …]
+    custom_periods: object = None          # [(fiscal_year, 'yyyy-mm-dd', 'yyyy-mm-dd'), …] or a frame of those
+    ignore_weekly: bool = False            # custom years only, on any first weekday
     include_fiscal: bool = False
     include_weekly: bool = False
     extra: dict = field(default_factory=dict)
@@ -57,95 +58,6 @@ def fixed_bounds(spark: SparkSession, first_year: int, last_year: int, today: st
         .withColumn("today", F.to_date("today"))
 
 
-def _weekly_periods(bounds: DataFrame, cfg: CalendarConfig) -> DataFrame:
-    """Fiscal weekly years: (fw_year, fw_start, fw_end)."""
-    spark = bounds.sparkSession
-    fdw = cfg.first_day_of_week
-    if cfg.custom_periods:
-        from tessera.session import literal_frame
-        per = literal_frame(spark, cfg.custom_periods, "fw_year int, fw_start string, fw_end string") \
-            .select("fw_year", F.to_date("fw_start").alias("fw_start"), F.to_date("fw_end").alias("fw_end"))
-        bad = F.dayofweek(F.col("fw_start")) - 1 != fdw
-        return per.withColumn("fw_start", F.when(bad, F.raise_error(
-            F.lit("custom fiscal periods do not start on the first day of week"))).otherwise(F.col("fw_start")))
-    if cfg.weekly_type not in ("Last", "Nearest"):
-        raise ValueError(f"unknown weekly type {cfg.weekly_type!r}")
-    off = 1 if cfg.fiscal_first_month > 1 else 0
-    start_shift = off * (1 if cfg.fiscal_named_by_last_day else 0)
-    years = bounds.select(F.explode(F.sequence(F.col("first_year") - off, F.col("last_year") + off)).alias("fw_year"))
-    first_cur = F.make_date(F.col("fw_year") - start_shift, F.lit(cfg.fiscal_first_month), F.lit(1))
-    first_next = F.add_months(first_cur, 12)
-    dw_cur = D.weekday_number(first_cur, fdw)
-    dw_next = D.weekday_number(first_next, fdw)
-    if cfg.weekly_type == "Last":
-        o_cur, o_next = 1 - dw_cur, -dw_next
-    else:
-        o_cur = F.when(dw_cur >= 5, 8 - dw_cur).otherwise(1 - dw_cur)
-        o_next = F.when(dw_next >= 5, 7 - dw_next).otherwise(-dw_next)
-    return years.select("fw_year", F.date_add(first_cur, o_cur.cast("int")).alias("fw_start"),
-                        F.date_add(first_next, o_next.cast("int")).alias("fw_end"))
-
-
-def weekly_calendar(bounds: DataFrame, cfg: CalendarConfig) -> DataFrame:
-    """Fiscal weekly columns per date (C17/C18)."""
-    if cfg.quarter_week_type not in QUARTER_WEEK_TYPES:
-        raise ValueError("quarter week type supports only 445, 454 and 544")
-    p1, p2, _ = QUARTER_WEEK_TYPES[cfg.quarter_week_type]
-    per = _weekly_periods(bounds, cfg)
-    days = per.select("fw_year", "fw_start", F.explode(F.sequence("fw_start", "fw_end")).alias("date"))
-    doy = F.datediff("date", "fw_start") + 1
-    week = F.ceil(doy / 7).cast("int")
-    q = F.when(week > 52, 4).otherwise(F.ceil(week / 13)).cast("int")
-    wiq = F.when(week > 52, 14).otherwise(week - 13 * (q - 1))
-    month = ((q - 1) * 3 + F.when(wiq <= p1, 1).when(wiq <= p1 + p2, 2).otherwise(3)).cast("int")
-    period = F.when(week > 52, 14).otherwise(F.ceil(week / 4)).cast("int")
-    wd = D.weekday_number("date", cfg.first_day_of_week)
-    return days.select(
-        "date", "fw_year",
-        F.concat(F.lit("FW "), F.col("fw_year").cast("string")).alias("fw_year_label"),
-        doy.cast("int").alias("fw_day_of_year"), week.alias("fw_week_number"), q.alias("fw_quarter_number"),
-        month.alias("fw_month_number"), period.alias("fw_period_number"),
-        (F.col("fw_year") * 4 - 1 + q).alias("fw_year_quarter_number"),
-        (F.col("fw_year") * 12 - 1 + month).alias("fw_year_month_number"),
-        F.concat(F.lit("FWP"), F.lpad(month.cast("string"), 2, "0"), F.lit(" "), F.col("fw_year").cast("string"))
-        .alias("fw_month_year"),
-        F.concat(F.lit("FWW"), F.lpad(week.cast("string"), 2, "0")).alias("fw_week"),
-        (D.year_week_number("date", cfg.first_day_of_week) + 1).alias("fw_year_week_number"),
-        F.date_sub("date", (wd - 1).cast("int")).alias("fw_start_of_week"),
-        F.date_add("date", (7 - wd).cast("int")).alias("fw_end_of_week"),
-        F.col("fw_start").alias("fw_start_of_year"),
-    )
-
-
-def fiscal_columns(cfg: CalendarConfig) -> list[Column]:
-    """Fiscal Gregorian columns (C16) for a frame with a ``date`` column."""
-    fm = cfg.fiscal_first_month
-    off = 1 if fm > 1 else 0
-    y, m = F.year("date"), F.month("date")
-    if fm > 1:
-        fy = y + (F.when(m >= fm, 1).otherwise(0) if cfg.fiscal_named_by_last_day
-                  else F.when(m >= fm, 0).otherwise(-1))
-    else:
-        fy = y
-    fmn = (F.pmod(m - fm, F.lit(12)) + 1).cast("int")
-    fq = F.ceil(fmn / 3).cast("int")
-    start = F.make_date((fy - off * (1 if cfg.fiscal_named_by_last_day else 0)).cast("int"), F.lit(fm), F.lit(1))
-    fweek = D.year_week_number("date", cfg.first_day_of_week) - D.year_week_number(start, cfg.first_day_of_week) + 1
-    return [
-        fy.cast("int").alias("fiscal_year_number"),
-        F.concat(F.lit("F "), fy.cast("string")).alias("fiscal_year"),
-        fq.alias("fiscal_quarter_number"),
-        F.concat(F.lit("FQ"), fq.cast("string"), F.lit(" ")).alias("fiscal_quarter"),
-        (fy * 4 - 1 + fq).cast("int").alias("fiscal_year_quarter_number"),
-        fmn.alias("fiscal_month_number"),
-        (fy * 12 - 1 + fmn).cast("int").alias("fiscal_year_month_number"),
-        fweek.cast("int").alias("fiscal_week_number"),
-        (F.datediff(F.col("date"), start) + 1).alias("fiscal_day_of_year"),
-        start.alias("fiscal_start_of_year"),
-        F.date_sub(F.add_months(start, 12), 1).alias("fiscal_end_of_year"),
-    ]
-
-
 def calendar(spark: SparkSession, bounds: DataFrame, cfg: CalendarConfig | None = None,
              today: str | None = None) -> DataFrame:
     """The Date dimension over the years of `bounds` (first_year, last_year[, today]).
@@ -233,7 +145,7 @@ def calendar(spark: SparkSession, bounds: DataFrame, cfg: CalendarConfig | None
     keep = ["first_year", "last_year"]
     out = days.select(*cols, *keep)
     if cfg.include_fiscal or cfg.calendar_range == "FiscalGregorian":
-        out = out.select("*", *fiscal_columns(cfg))
+        out = out.join(F.broadcast(b.select("today")), F.lit(True)).select("*", *fiscal_columns(cfg, F.col("today"))).drop("today")
     if cfg.include_weekly or cfg.calendar_range == "FiscalWeekly":
         wk = weekly_calendar(b, cfg)
         out = out.join(wk, "date", "left")

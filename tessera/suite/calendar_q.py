@@ -211,10 +211,29 @@ def q_holidays_us(spark, sf):
     return _holiday_sales(spark, sf, "US").select("date", "holiday_name", "total_sales")
 
 
-@query("holidays_gb_substitutes")
+@query("holidays_gb_substitutes", sql=f"""
+WITH {CAL_CTE}, yrs AS (SELECT unnest(generate_series(y0 - 1, y1 + 1)) AS y FROM b),
+yd AS (SELECT d, year(d) AS y, month(d) AS m, dayofweek(d) AS w,
+              row_number() OVER (PARTITION BY year(d), month(d), dayofweek(d) ORDER BY d) AS nth,
+              row_number() OVER (PARTITION BY year(d), month(d), dayofweek(d) ORDER BY d DESC) AS nth_last FROM alld),
+h AS (SELECT make_date(y, 1, 1) AS d, 'New Year''s Day' AS name, 0 AS later, true AS moves FROM yrs
+      UNION ALL SELECT make_date(y, 12, 25), 'Christmas Day', 1, true FROM yrs
+      UNION ALL SELECT make_date(y, 12, 26), 'Boxing Day', 0, true FROM yrs
+      UNION ALL SELECT CAST({EASTER_SQL} - 2 AS DATE), 'Good Friday', 0, false FROM yrs
+      UNION ALL SELECT CAST({EASTER_SQL} + 1 AS DATE), 'Easter Monday', 0, false FROM yrs
+      UNION ALL SELECT d, 'May Day Bank Holiday', 0, false FROM yd WHERE m = 5 AND w = 1 AND nth = 1
+      UNION ALL SELECT d, 'Spring Bank Holiday', 0, false FROM yd WHERE m = 5 AND w = 1 AND nth_last = 1
+      UNION ALL SELECT d, 'Late Summer Bank Holiday', 0, false FROM yd WHERE m = 8 AND w = 1 AND nth_last = 1),
+-- a weekend holiday takes a working day after it: Saturday and Sunday the Monday, one later where the rule says so
+n AS (SELECT h.*, CASE WHEN dayofweek(d) = 6 THEN 2 + later WHEN dayofweek(d) = 0 THEN 1 + later ELSE 0 END AS ahead FROM h WHERE moves),
+f AS (SELECT n.d, n.name, (SELECT min(k) FROM range(0, 12) r(k)
+             WHERE k >= n.ahead AND dayofweek(CAST(n.d + CAST(k AS INTEGER) AS DATE)) BETWEEN 1 AND 5
+               AND NOT EXISTS (SELECT 1 FROM h o WHERE o.d = n.d + CAST(k AS INTEGER) AND NOT (o.name = n.name AND o.d = n.d))) AS k FROM n),
+s AS (SELECT CAST(d + CAST(k AS INTEGER) AS DATE) AS d, '(in lieu of ' || name || ')' AS name FROM f WHERE k > 0)
+SELECT x.d AS date, x.name AS holiday_name, x.sub AS is_substitute, ds.total_sales
+  FROM (SELECT d, name, false AS sub FROM h UNION ALL SELECT d, name, true FROM s) x LEFT JOIN ds ON x.d = ds.d""")
 def q_holidays_gb(spark, sf):
-    """England and Wales bank holidays with "(in lieu of …)" substitute days, over the order
-    years; verified against golden lists in tests (no SQL oracle)."""
+    """England and Wales bank holidays with "(in lieu of …)" substitute days, over the order years."""
     return _holiday_sales(spark, sf, "GB").select("date", "holiday_name", "is_substitute", "total_sales")
 
 
@@ -279,29 +298,35 @@ def q_calendar_fiscal(spark, sf):
     return rounded(r)
 
 
-def _fw_sql(weekly: str) -> str:
-    first = ("(1 - (dayofweek(make_date(fy, 1, 1)) + 1))" if weekly == "Last" else
-             "(CASE WHEN dayofweek(make_date(fy, 1, 1)) + 1 >= 5 THEN 8 - (dayofweek(make_date(fy, 1, 1)) + 1) "
-             "ELSE 1 - (dayofweek(make_date(fy, 1, 1)) + 1) END)")
-    last = ("(-(dayofweek(make_date(fy + 1, 1, 1)) + 1))" if weekly == "Last" else
-            "(CASE WHEN dayofweek(make_date(fy + 1, 1, 1)) + 1 >= 5 THEN 7 - (dayofweek(make_date(fy + 1, 1, 1)) + 1) "
-            "ELSE -(dayofweek(make_date(fy + 1, 1, 1)) + 1) END)")
+def _fw_cte(weekly: str, weeks: tuple = (4, 4, 5)) -> str:
+    """Fiscal weeks found among all Sundays: a year begins on the last Sunday up to 1 January
+    ("Last") or on the Sunday next to it ("Nearest"); its weeks are counted, and months are
+    looked up by week."""
+    which = ("(SELECT max(s) FROM sundays WHERE s <= make_date(y, 1, 1))" if weekly == "Last" else
+             "(SELECT arg_min(s, abs(date_diff('day', s, make_date(y, 1, 1)))) FROM sundays)")
+    month, rows = 0, []
+    for m in range(12):
+        n = weeks[m % 3] + (m == 11)
+        rows += [f"({month + k + 1}, {m + 1})" for k in range(n)]
+        month += n
+    return f"""{CAL_CTE},
+sundays AS (SELECT s FROM (SELECT CAST(unnest(generate_series(make_date(y0 - 2, 1, 1), make_date(y1 + 3, 1, 31), INTERVAL 1 DAY)) AS DATE) AS s
+              FROM b) WHERE dayofweek(s) = 0),
+starts AS (SELECT y, {which} AS s FROM (SELECT unnest(generate_series(y0 - 1, y1 + 2)) AS y FROM b)),
+wk AS (SELECT starts.y, sundays.s AS sunday, row_number() OVER (PARTITION BY starts.y ORDER BY sundays.s) AS w
+         FROM starts JOIN starts nx ON nx.y = starts.y + 1 JOIN sundays ON sundays.s >= starts.s AND sundays.s < nx.s),
+lookup(w, m) AS (VALUES {", ".join(rows)}),
+fw AS (SELECT wk.y, wk.w, m, CAST((m + 2) // 3 AS INTEGER) AS q, CAST(sunday + CAST(k AS INTEGER) AS DATE) AS d
+         FROM wk JOIN lookup USING (w), range(7) r(k))"""
+
+
+def _fw_sql(weekly: str, weeks: tuple = (4, 4, 5)) -> str:
     return f"""
-WITH {CAL_CTE},
-fy AS (SELECT unnest(generate_series(y0, y1)) AS fy FROM b),
-per AS (SELECT fy, CAST(make_date(fy, 1, 1) + CAST({first} AS INTEGER) AS DATE) AS s,
-               CAST(make_date(fy + 1, 1, 1) + CAST({last} AS INTEGER) AS DATE) AS e FROM fy),
-days AS (SELECT fy, s, CAST(unnest(generate_series(s, e, INTERVAL 1 DAY)) AS DATE) AS d FROM per),
-wk AS (SELECT fy, d, CAST(ceil((date_diff('day', s, d) + 1) / 7) AS INTEGER) AS w FROM days),
-q AS (SELECT *, CASE WHEN w > 52 THEN 4 ELSE CAST(ceil(w / 13) AS INTEGER) END AS fq,
-             CASE WHEN w > 52 THEN 14 ELSE CAST(ceil(w / 4) AS INTEGER) END AS period FROM wk),
-mth AS (SELECT *, (fq - 1) * 3 + CASE WHEN (CASE WHEN w > 52 THEN 14 ELSE w - 13 * (fq - 1) END) <= 4 THEN 1
-                                     WHEN (CASE WHEN w > 52 THEN 14 ELSE w - 13 * (fq - 1) END) <= 8 THEN 2 ELSE 3 END AS fmn
-        FROM q)
-SELECT CAST(fy AS INTEGER) AS fw_year, CAST(fq AS INTEGER) AS fw_quarter_number, CAST(fmn AS INTEGER) AS fw_month_number,
-       CAST(period AS INTEGER) AS fw_period_number, CAST(count(*) AS BIGINT) AS days, CAST(max(w) AS INTEGER) AS last_week,
+WITH {_fw_cte(weekly, weeks)}
+SELECT CAST(y AS INTEGER) AS fw_year, q AS fw_quarter_number, CAST(m AS INTEGER) AS fw_month_number,
+       CAST((w - 1) // 4 + 1 AS INTEGER) AS fw_period_number, CAST(count(*) AS BIGINT) AS days, CAST(max(w) AS INTEGER) AS last_week,
        round(sum(ds.total_sales), 2) AS total_sales
-FROM mth LEFT JOIN ds USING (d) GROUP BY 1, 2, 3, 4"""
+FROM fw JOIN b ON y BETWEEN y0 AND y1 JOIN alld USING (d) LEFT JOIN ds USING (d) GROUP BY 1, 2, 3, 4"""
 
 
 def _fw_query(spark, sf, cfg):
@@ -325,23 +350,102 @@ def q_calendar_445_nearest(spark, sf):
                                                calendar_range="FiscalWeekly"))
 
 
-# Custom fiscal periods (configuration, each starting on a Sunday).
-CUSTOM_PERIODS = [(1996, "1995-07-02", "1996-06-29"), (1997, "1996-06-30", "1997-06-28"),
-                  (1998, "1997-06-29", "1998-06-27"), (1999, "1998-06-28", "1999-07-03"),
-                  (2000, "1999-07-04", "2000-07-01"), (2001, "2000-07-02", "2001-06-30")]
+@query("calendar_454", sql=_fw_sql("Last", (4, 5, 4)))
+def q_calendar_454(spark, sf):
+    """Sales by 4-5-4 fiscal weekly year/quarter/month/period."""
+    return _fw_query(spark, sf, CalendarConfig(weekly_type="Last", quarter_week_type="454", calendar_range="FiscalWeekly"))
+
+
+@query("calendar_544", sql=_fw_sql("Nearest", (5, 4, 4)))
+def q_calendar_544(spark, sf):
+    """Sales by 5-4-4 fiscal weekly year/quarter/month/period, years beginning on the nearest Sunday."""
+    return _fw_query(spark, sf, CalendarConfig(weekly_type="Nearest", quarter_week_type="544", calendar_range="FiscalWeekly"))
+
+
+FW_PREVIOUS = ("fw_date_previous_month", "fw_date_previous_quarter", "fw_date_previous_year")
+
+
+@query("calendar_fw_previous", sql=f"""
+WITH {_fw_cte("Last")},
+x AS (SELECT *, dense_rank() OVER (ORDER BY y, m) AS mno, dense_rank() OVER (ORDER BY y, q) AS qno,
+             row_number() OVER (PARTITION BY y, m ORDER BY d) AS dm, row_number() OVER (PARTITION BY y, q ORDER BY d) AS dq,
+             row_number() OVER (PARTITION BY y ORDER BY d) AS dy,
+             count(*) OVER (PARTITION BY y, m) AS nm, count(*) OVER (PARTITION BY y, q) AS nq, count(*) OVER (PARTITION BY y) AS ny FROM fw),
+t AS (SELECT x.* FROM x JOIN b ON x.d = b.today)
+SELECT x.d AS date, 'FWQ' || x.q || ' ' || x.y AS fw_quarter_year, 'FWP' || lpad(CAST((x.w - 1) // 4 + 1 AS VARCHAR), 2, '0') AS fw_period,
+       CAST(x.dm AS INTEGER) AS fw_day_of_month, CAST(x.dq AS INTEGER) AS fw_day_of_quarter, CAST(x.dy AS INTEGER) AS fw_day_of_year,
+       CAST(x.nm AS INTEGER) AS fw_month_days, CAST(x.nq AS INTEGER) AS fw_quarter_days, CAST(x.ny AS INTEGER) AS fw_year_days,
+       CAST(x.mno - t.mno AS INTEGER) AS fw_relative_month_pos, CAST(x.qno - t.qno AS INTEGER) AS fw_relative_quarter_pos,
+       CAST(x.y - t.y AS INTEGER) AS fw_relative_year_pos,
+       CAST(x.d - INTERVAL 7 DAY AS DATE) AS fw_date_previous_week,
+       (SELECT max(p.d) FROM x p WHERE p.mno = x.mno - 1 AND (p.dm <= x.dm OR x.dm = x.nm)) AS fw_date_previous_month,
+       (SELECT max(p.d) FROM x p WHERE p.qno = x.qno - 1 AND (p.dq <= x.dq OR x.dq = x.nq)) AS fw_date_previous_quarter,
+       (SELECT max(p.d) FROM x p WHERE p.y = x.y - 1 AND (p.dy <= x.dy OR x.dy = x.ny)) AS fw_date_previous_year,
+       ds.total_sales
+FROM x JOIN b ON x.y BETWEEN b.y0 + 1 AND b.y1 CROSS JOIN t LEFT JOIN ds ON x.d = ds.d""")
+def q_calendar_fw_previous(spark, sf):
+    """Labels, positions, lengths and the same day in the previous week, month, quarter and year of the
+    fiscal weekly calendar, for all fiscal years but the first of the data, with daily sales."""
+    cfg = CalendarConfig(weekly_type="Last", quarter_week_type="445", calendar_range="FiscalWeekly")
+    c = _with_sales(spark, sf, _cal(spark, sf, cfg))
+    first = year_bounds(load(spark, sf, "orders"), "o_orderdate").select(F.col("first_year").alias("__first"))
+    return c.join(F.broadcast(first), F.col("fw_year") > F.col("__first")).select(
+        "date", "fw_quarter_year", "fw_period", "fw_day_of_month", "fw_day_of_quarter", "fw_day_of_year", "fw_month_days",
+        "fw_quarter_days", "fw_year_days", "fw_relative_month_pos", "fw_relative_quarter_pos", "fw_relative_year_pos",
+        "fw_date_previous_week", *FW_PREVIOUS, "total_sales")
+
+
+@query("calendar_fiscal_positions", sql=f"""
+WITH {CAL_CTE},
+f AS (SELECT d, year(d) + CAST(month(d) >= 7 AS INTEGER) AS y, (month(d) + 5) % 12 + 1 AS m FROM alld),
+x AS (SELECT *, (m + 2) // 3 AS q, dense_rank() OVER (ORDER BY y, m) AS mno, dense_rank() OVER (ORDER BY y, (m + 2) // 3) AS qno,
+             row_number() OVER (PARTITION BY y, m ORDER BY d) AS dm, row_number() OVER (PARTITION BY y, (m + 2) // 3 ORDER BY d) AS dq,
+             row_number() OVER (PARTITION BY y ORDER BY d) AS dy, count(*) OVER (PARTITION BY y, m) AS nm,
+             count(*) OVER (PARTITION BY y, (m + 2) // 3) AS nq, count(*) OVER (PARTITION BY y) AS ny,
+             min(d) OVER (PARTITION BY y, (m + 2) // 3) AS sq, max(d) OVER (PARTITION BY y, (m + 2) // 3) AS eq FROM f),
+t AS (SELECT x.* FROM x JOIN b ON x.d = b.today)
+SELECT x.d AS date, CAST(x.mno - t.mno AS INTEGER) AS fiscal_relative_month_pos, CAST(x.qno - t.qno AS INTEGER) AS fiscal_relative_quarter_pos,
+       CAST(x.y - t.y AS INTEGER) AS fiscal_relative_year_pos, x.sq AS fiscal_start_of_quarter, x.eq AS fiscal_end_of_quarter,
+       CAST(x.nm AS INTEGER) AS fiscal_month_days, CAST(x.nq AS INTEGER) AS fiscal_quarter_days, CAST(x.ny AS INTEGER) AS fiscal_year_days,
+       CAST(x.dm AS INTEGER) AS fiscal_day_of_month, CAST(x.dq AS INTEGER) AS fiscal_day_of_quarter, CAST(x.dy AS INTEGER) AS fiscal_day_of_year,
+       CAST(x.d - INTERVAL 7 DAY AS DATE) AS fiscal_date_previous_week,
+       (SELECT max(p.d) FROM x p WHERE p.mno = x.mno - 1 AND (p.dm <= x.dm OR x.dm = x.nm)) AS fiscal_date_previous_month,
+       (SELECT max(p.d) FROM x p WHERE p.mno = x.mno - 3 AND (p.dm <= x.dm OR x.dm = x.nm)) AS fiscal_date_previous_quarter,
+       (SELECT max(p.d) FROM x p WHERE p.mno = x.mno - 12 AND (p.dm <= x.dm OR x.dm = x.nm)) AS fiscal_date_previous_year,
+       ds.total_sales
+FROM x JOIN b ON x.y BETWEEN b.y0 + 1 AND b.y1 CROSS JOIN t LEFT JOIN ds ON x.d = ds.d""")
+def q_calendar_fiscal_positions(spark, sf):
+    """Positions, bounds, lengths and the same day in previous periods of fiscal years starting in
+    July, for all fiscal years but the first of the data, with daily sales."""
+    cfg = CalendarConfig(fiscal_first_month=7, calendar_range="FiscalGregorian")
+    c = _with_sales(spark, sf, _cal(spark, sf, cfg))
+    first = year_bounds(load(spark, sf, "orders"), "o_orderdate").select(F.col("first_year").alias("__first"))
+    names = [f"fiscal_{n}" for n in (
+        "relative_month_pos", "relative_quarter_pos", "relative_year_pos", "start_of_quarter", "end_of_quarter", "month_days",
+        "quarter_days", "year_days", "day_of_month", "day_of_quarter", "day_of_year", "date_previous_week",
+        "date_previous_month", "date_previous_quarter", "date_previous_year")]
+    return c.join(F.broadcast(first), F.col("fiscal_year_number") > F.col("__first")).select("date", *names, "total_sales")
 
 
 @query("calendar_custom_periods", sql=f"""
 WITH {CAL_CTE},
-per AS (SELECT * FROM (VALUES {", ".join(f"({y}, DATE '{s}', DATE '{e}')" for y, s, e in CUSTOM_PERIODS)}) t(fy, s, e)),
-days AS (SELECT fy, s, CAST(unnest(generate_series(s, e, INTERVAL 1 DAY)) AS DATE) AS d FROM per),
-k AS (SELECT days.* FROM days, b WHERE fy BETWEEN b.y0 AND b.y1)
-SELECT CAST(fy AS INTEGER) AS fw_year, CAST(count(*) AS BIGINT) AS days,
-       CAST(max(ceil((date_diff('day', s, d) + 1) / 7)) AS INTEGER) AS weeks, round(sum(ds.total_sales), 2) AS total_sales
+july AS (SELECT unnest(generate_series(y0, y1 + 2)) AS y FROM b),
+per AS (SELECT y, (SELECT min(d) FROM (SELECT CAST(make_date(y - 1, 7, 1) + CAST(k AS INTEGER) AS DATE) AS d FROM range(7) r(k)) x
+                    WHERE dayofweek(d) = 0) AS s FROM july),
+days AS (SELECT p.y, p.s, alld.d FROM per p JOIN per n ON n.y = p.y + 1 JOIN alld ON alld.d >= p.s AND alld.d < n.s),
+k AS (SELECT days.* FROM days, b WHERE y BETWEEN b.y0 AND b.y1)
+SELECT CAST(y AS INTEGER) AS fw_year, CAST(count(*) AS BIGINT) AS days,
+       CAST(max(date_diff('day', s, d) // 7 + 1) AS INTEGER) AS weeks, round(sum(ds.total_sales), 2) AS total_sales
 FROM k LEFT JOIN ds USING (d) GROUP BY 1""")
 def q_calendar_custom_periods(spark, sf):
-    """Sales per custom fiscal year (explicit period table in place of the weekly rule)."""
-    cfg = CalendarConfig(custom_periods=CUSTOM_PERIODS, calendar_range="FiscalWeekly")
+    """Sales per custom fiscal year: explicit years in place of the weekly rule, here from the first
+    Sunday of July, for all years of the data."""
+    bounds = year_bounds(load(spark, sf, "orders"), "o_orderdate")
+    years = bounds.select(F.explode(F.sequence("first_year", F.col("last_year") + 1)).alias("fw_year"))
+    begins = lambda y: F.next_day(F.make_date(y - 1, F.lit(6), F.lit(30)), "Sun")
+    periods = years.select("fw_year", begins(F.col("fw_year")).alias("fw_start"),
+                           F.date_sub(begins(F.col("fw_year") + 1), 1).alias("fw_end"))
+    cfg = CalendarConfig(weekly_type="Custom", custom_periods=periods, calendar_range="FiscalWeekly")
     c = _with_sales(spark, sf, _cal(spark, sf, cfg))
     r = c.groupBy("fw_year").agg(F.count(F.lit(1)).alias("days"), F.max("fw_week_number").alias("weeks"),
                                  F.sum("total_sales").alias("total_sales"))
