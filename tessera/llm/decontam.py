@@ -1,11 +1,10 @@
 """Benchmark decontamination with SimHash windows.
 
-For every length that a benchmark item has, the windows of so many words in a document are
-compared with the items:
+Every benchmark item is compared with the windows of a document that have as many words as it:
 
-1. A window is worth a fingerprint only if enough of its 5-word shingles occur in some item; a
-   window with fewer cannot reach the similarity, whatever its fingerprint.  One look-up per
-   shingle decides that, and most documents end here.
+1. A window is worth a fingerprint only if enough of its 5-word shingles occur in items of that
+   length; a window with fewer cannot reach the similarity, whatever its fingerprint.  One
+   look-up per shingle decides that, and most documents end here.
 2. Its SimHash (64 bits, over its words) is looked up in a multi-index: four blocks of 16 bits;
    fingerprints within RADIUS bits differ by at most RADIUS // 4 bits in one block at least, and
    each block's table knows the items within so many bits of any value.  No item within the
@@ -26,7 +25,7 @@ from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import WORD, free_name
+from tessera.llm.common import free_name
 from tessera.llm.shingles import shingles, word_hashes
 
 SHINGLE = 5
@@ -90,12 +89,10 @@ class Hit:
 
 class Benchmark:
     """Items prepared for search.  Items of fewer than SHINGLE words are too short to be evidence
-    and are left out, as are null texts.  `lengths`: of all items, also of those in other blocks, so
-    that the blocks do not show in the result."""
+    and are left out, as are null texts."""
 
-    def __init__(self, items: list[tuple[int, str]], lengths: list[int]):
-        self.ids, self.counts, prints = [], [], []
-        self.lengths, everything = sorted(n for n in lengths if n >= SHINGLE), []
+    def __init__(self, items: list[tuple[int, str]]):
+        self.ids, self.counts, self.sizes, prints, every = [], [], [], [], []
         for item_id, text in items:
             h = word_hashes((text or "").encode())
             if len(h) < SHINGLE:
@@ -103,17 +100,21 @@ class Benchmark:
             s = shingles(h, SHINGLE)
             self.ids.append(item_id)
             self.counts.append(np.unique(s, return_counts=True))
+            self.sizes.append(len(s))
             prints.append(fingerprints(running_bits(h), np.zeros(1, np.int64), len(h))[0])
-            everything.append(s)
-        self.known = np.unique(np.concatenate(everything)) if everything else np.zeros(0, np.uint64)
+            every.append(np.stack([self.counts[-1][0], np.full(len(self.counts[-1][0]), len(s), np.uint64)], 1))
+        pairs = np.unique(np.concatenate(every), axis=0) if every else np.zeros((0, 2), np.uint64)
+        # the shingles of all items, and for each the sizes (in shingles) of the items that have it
+        self.known, first = np.unique(pairs[:, 0], return_index=True)
+        self.first, self.of_size = np.append(first, len(pairs)), pairs[:, 1].astype(np.int64)
         self.maybe = np.zeros(1 << _FILTER, bool)
         self.maybe[(self.known >> np.uint64(64 - _FILTER)).astype(np.int64)] = True
         prints = np.array(prints, np.uint64)
         self.indexes = [(at, MultiIndex(prints[at:at + TABLE_ITEMS])) for at in range(0, len(prints), TABLE_ITEMS)]
 
     def search(self, text: bytes) -> list[Hit]:
-        """The best window for each item that the text holds a copy of (ties: the first, then the
-        shorter)."""
+        """The best window of its length for each item that the text holds a copy of (ties: the
+        first).  A text shorter than an item is one window as a whole."""
         h = word_hashes(text)
         if len(h) < SHINGLE or not len(self.known):
             return []
@@ -121,32 +122,37 @@ class Benchmark:
         at = np.flatnonzero(self.maybe[(s >> np.uint64(64 - _FILTER)).view(np.int64)])
         if not len(at):
             return []
-        known = self.known[np.minimum(np.searchsorted(self.known, s[at]), len(self.known) - 1)] == s[at]
-        hits = np.zeros(len(s) + 1, np.int64)
-        hits[at[known] + 1] = 1
-        np.cumsum(hits, out=hits)
+        row = np.minimum(np.searchsorted(self.known, s[at]), len(self.known) - 1)
+        real = self.known[row] == s[at]
+        at, row = at[real], row[real]
+        n = self.first[row + 1] - self.first[row]  # sizes for each shingle found
+        where = np.repeat(at, n)
+        sizes = self.of_size[np.repeat(self.first[row], n) + np.arange(len(where)) - np.repeat(np.cumsum(n) - n, n)]
         best: dict[int, Hit] = {}
         bits = None
-        for length in self.lengths:
-            size = length - SHINGLE + 1
-            if size > len(s):
-                size, length = len(s), len(h)  # a shorter text is one window as a whole
-            starts = np.flatnonzero(hits[size:] - hits[:-size] >= LEAST * size - 1e-9)
+        for size in np.unique(sizes).tolist():
+            found = where[sizes == size]
+            if len(found) < LEAST * size - 1e-9:
+                continue
+            wide = min(size, len(s))
+            hits = np.zeros(len(s) + 1, np.int64)
+            hits[found + 1] = 1
+            np.cumsum(hits, out=hits)
+            starts = np.flatnonzero(hits[wide:] - hits[:-wide] >= LEAST * size - 1e-9)
             if not len(starts):
                 continue
-            if bits is None:
-                bits = running_bits(h)
-            prints = fingerprints(bits, starts, length)
+            bits = running_bits(h) if bits is None else bits
             seen: dict[bytes, list[tuple[int, int, float]]] = {}
-            for start, one in zip(starts.tolist(), prints):
-                window = np.sort(s[start:start + size])
+            for start, one in zip(starts.tolist(), fingerprints(bits, starts, wide + SHINGLE - 1)):
+                window = np.sort(s[start:start + wide])
                 key = window.tobytes()
                 if key not in seen:  # the same words again have the same answer
-                    seen[key] = [(i, d, x) for i, d in self._near(one)
-                                 if (x := similarity(np.unique(window, return_counts=True), self.counts[i])) >= LEAST]
+                    counts = np.unique(window, return_counts=True)
+                    near = [(i, d) for i, d in self._near(one) if self.sizes[i] == size]
+                    seen[key] = [(i, d, x) for i, d in near if (x := similarity(counts, self.counts[i])) >= LEAST]
                 for i, d, x in seen[key]:
-                    if i not in best or (x, -start, -length) > (best[i].similarity, -best[i].start_word, -best[i].n_words):
-                        best[i] = Hit(self.ids[i], start, length, d, x)
+                    if i not in best or x > best[i].similarity:
+                        best[i] = Hit(self.ids[i], start, wide + SHINGLE - 1, d, x)
         return [best[i] for i in sorted(best)]
 
     def _near(self, one: np.uint64) -> list[tuple[int, int]]:
@@ -166,21 +172,15 @@ def similarity(a: Counts, b: Counts) -> float:
 _READY: list = [None, None]  # the block last sent to this worker, and the same prepared
 
 
-def _prepared(block: tuple[list[tuple[int, str]], list[int]]) -> Benchmark:
+def _prepared(block: list[tuple[int, str]]) -> Benchmark:
     if _READY[0] is not block:
-        _READY[:] = block, Benchmark(*block)
+        _READY[:] = block, Benchmark(block)
     return _READY[1]
 
 
 _HITS = "array<struct<item_id:bigint,start_word:bigint,n_words:bigint,hamming:int,similarity:double>>"
 
 
-def item_lengths(benchmark: DataFrame) -> list[int]:
-    """The distinct numbers of words of the items."""
-    words = F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD))
-    return sorted(r[0] for r in benchmark.select(words).distinct().collect())
-
-
 def blocks_of(benchmark: DataFrame, size: int = PASS_ITEMS) -> list[list[tuple[int, str]]]:
     """The benchmark's (item_id, text) in blocks of about `size` rows, each small enough to send."""
     n = benchmark.count()
@@ -204,15 +204,15 @@ def _searcher(sent: Broadcast) -> Callable[[pa.Array], pa.Array]:
 
 def with_hits(docs: DataFrame, benchmark: DataFrame, column: str) -> DataFrame:
     """`docs` with an array column of the items found in each text; one Python pass for each block
-    of items, no shuffle."""
+    of items, no shuffle.  (Marked as not deterministic, or Spark would search a text again for
+    each later use of the column.)"""
     spark = docs.sparkSession
     out, text = docs, F.coalesce(F.col("text"), F.lit(""))
     found = []
-    lengths = item_lengths(benchmark)
     for k, block in enumerate(blocks_of(benchmark)):
-        sent = spark.sparkContext.broadcast((block, lengths))
+        sent = spark.sparkContext.broadcast(block)
         name = free_name(out, f"__hits{k}")
-        out = out.withColumn(name, F.arrow_udf(_searcher(sent), _HITS)(text))
+        out = out.withColumn(name, F.arrow_udf(_searcher(sent), _HITS).asNondeterministic()(text))
         found.append(name)
     together = F.concat(*found) if found else F.array().cast(_HITS)
     return out.withColumn(column, together).drop(*found)

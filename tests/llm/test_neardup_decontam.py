@@ -146,22 +146,20 @@ def test_components(spark):
 # --- decontamination ---------------------------------------------------------------------------------
 
 def brute_hits(docs, items):
-    """{(doc_id, item_id): best similarity} over all windows of all item lengths."""
+    """{(doc_id, item_id): best similarity} over all windows of the item's length."""
     counts = lambda ws: collections.Counter(tuple(ws[i:i + 5]) for i in range(len(ws) - 4))
     known = {i: counts(word_list(t)) for i, t in items if len(word_list(t)) >= 5}
-    lengths = sorted({len(word_list(t)) for i, t in items if i in known})
     out = {}
     for d, t in docs:
         ws = word_list(t)
-        for n in lengths:
-            n = min(n, len(ws))
+        for i, c in known.items():
+            n = min(sum(c.values()) + 4, len(ws))
             for at in range(len(ws) - n + 1):
                 w = counts(ws[at:at + n])
-                for i, c in known.items():
-                    common = sum((w & c).values())
-                    x = common / max(1, sum(w.values()) + sum(c.values()) - common)
-                    if x >= 0.8:
-                        out[d, i] = max(out.get((d, i), 0), x)
+                common = sum((w & c).values())
+                x = common / max(1, sum(w.values()) + sum(c.values()) - common)
+                if x >= 0.8:
+                    out[d, i] = max(out.get((d, i), 0), x)
     return out
 
 
