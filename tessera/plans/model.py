@@ -24,6 +24,7 @@ from __future__ import annotations
 
 from collections import deque
 from dataclasses import dataclass, field
+from datetime import timedelta
 from typing import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -159,9 +160,24 @@ class Model:
             e = p[-1]
             last_edges.setdefault((e.src, e.src_col, e.dst_col), e)
         for (src, src_col, dst_col), e in last_edges.items():
-            keys = self._restricted(src, filters, m, visiting).select(F.col(src_col).alias("_k")).distinct()
+            keys = self._restricted(src, filters, m, visiting).select(F.col(src_col).alias("_k"))
             df = df.join(keys, df[dst_col] == keys["_k"], "left_semi")
-        return df
+        return self._within_dates(df, name, filters)
+
+    def _within_dates(self, df: DataFrame, name: str, filters: dict) -> DataFrame:
+        """Filters on Date, when it is directly related to table `name`, also as a range of the table's
+        own date column: the range reaches the scan, where the semi-join on the computed key does
+        not.  The Date table is bounded (366 rows a year); its least and greatest kept date are
+        one row."""
+        own = {r: c for r, c in filters.items() if _split(r)[0] == "date"}
+        related = any(r.to_table == "date" and r.from_table == name for r in self.relationships)
+        if not own or not related or name not in self.date_columns:
+            return df
+        lo, hi = self._filtered("date", own).agg(F.min("date"), F.max("date")).first()
+        c = F.col(self.date_columns[name])
+        if lo is None:
+            return df.filter(F.lit(False))
+        return df.filter((c >= F.lit(lo)) & (c < F.lit(hi + timedelta(days=1))))
 
     def _home(self, m: Measure, filters: dict) -> DataFrame:
         return self._restricted(m.table, filters, m)
@@ -220,11 +236,57 @@ class Model:
         joined = bridge.join(pre, bridge["_k"] == pre["_key"]).drop("_k", "_key")
         return _reaggregate(joined, keys_out + bcols, m.kind)
 
+    def without(self, *names: str) -> "Model":
+        """A copy of the model without some relationships."""
+        left = [r for r in self.relationships if r.name not in names]
+        return Model(self.tables, left, self.measures, self.summarize_by, self.hierarchies, self.date_columns)
+
+    def period_pairs(self, m: Measure, group_by: list[str], filters: dict, period: Callable[[Column], Column]
+                     ) -> tuple[DataFrame, DataFrame]:
+        """For a measure that dates reach through a bridge (reviews by the order dates of their
+        customers): distinct (g0.., _p, _k), the bridge keys of each group and period; and the
+        measure's partials (_p0, _p1) per key.  Group tables must be look-ups of the bridging table."""
+        path = self.path("date", m.table, m)
+        hub, key = path[-1].src, path[-1].src_col
+        rows = self._restricted(hub, filters, m, frozenset({m.table}))
+        rows = rows.withColumn("_p", period(F.col(self.date_columns[hub])))
+        for i, ref in enumerate(group_by):
+            t, c = _split(ref)
+            if t == hub:
+                rows = rows.withColumn(f"g{i}", F.col(c))
+                continue
+            p = self.path(t, hub, m)
+            if len(p) != 1 or not p[0].lookup:
+                raise ValueError(f"{t} is no look-up of {hub}")
+            d = self._filtered(t, filters).select(F.col(p[0].src_col).alias("_dk"), F.col(c).alias(f"g{i}"))
+            rows = rows.join(d, rows[p[0].dst_col] == d["_dk"], "left").drop("_dk")
+        gk = [f"g{i}" for i in range(len(group_by))]
+        pairs = rows.select(*gk, "_p", F.col(key).alias("_k")).distinct()
+        home = self._restricted(m.table, {r: c for r, c in filters.items() if _split(r)[0] == m.table}, m)
+        home = home.withColumn("_v", F.col(m.column) if m.column else F.lit(1))
+        per_key = _aggregate(home.withColumn("_hk", F.col(path[-1].dst_col)), ["_hk"], m.kind)
+        return pairs, per_key
+
+    def related_to_dates(self, m: Measure) -> bool:
+        return "date" in self.tables and self._reach("date", m) is not None
+
+    def _reach(self, t: str, m: Measure) -> list[Edge] | None:
+        """Filter-flow path from a group table to the measure's table; None if they are unrelated."""
+        try:
+            return self.path(t, m.table, m)
+        except ValueError:
+            return None
+
     def _evaluate_group(self, ms: list[Measure], group_by: list[str], filters: dict) -> DataFrame:
-        """Final values of measures sharing a home table and cross-filter setting, in as few
-        passes over the home table as possible: one aggregation when every group column is
-        reached by a many:1 hop; with a bridge, one pre-aggregation per bridge key for all
-        additive measures (distinct counts keep their own (key, value) pass)."""
+        """Final values of measures sharing a home table and cross-filter setting, from one pass
+        over the home table, by one plan for all sizes.
+
+        The home table is first reduced to one row per (own group columns, join keys, values that are
+        counted distinctly) with partial sums and counts; map-side aggregation absorbs hot keys.
+        Then the group tables are joined: a look-up by its key, a bridge by its distinct (group,
+        key) pairs, so that a row counts once per group.  With look-ups into several tables the
+        combinations of keys would hardly be fewer than the rows, so those are joined first.
+        A group table unrelated to the measure repeats the result for each of its groups."""
         m0 = ms[0]
         gk = [f"g{i}" for i in range(len(group_by))]
         home = self._home(m0, filters)
@@ -234,72 +296,56 @@ class Model:
         for i, ref in enumerate(group_by):
             t, c = _split(ref)
             gtabs.setdefault(t, []).append((f"g{i}", c))
-        keys_out = []
-        lookups = []
-        bridged = None
+        own, lookups, bridges, apart = [], [], [], []
         for t, lst in gtabs.items():
+            names = [a for a, _ in lst]
             if t == m0.table:
                 for a, c in lst:
                     home = home.withColumn(a, F.col(c))
-                keys_out += [a for a, _ in lst]
+                own += names
                 continue
-            p = self.path(t, m0.table, m0)
-            dim = self._filtered(t, filters)
-            if len(p) == 1 and p[0].lookup:
-                d = dim.select(F.col(p[0].src_col).alias("_dk"), *[F.col(c).alias(a) for a, c in lst])
-                lookups.append((d, p[0].dst_col, [a for a, _ in lst]))
+            p, dim = self._reach(t, m0), self._filtered(t, filters)
+            if p is None:
+                apart.append(dim.select(*[F.col(c).alias(a) for a, c in lst]).distinct())
+            elif len(p) == 1 and p[0].lookup:
+                lookups.append((dim.select(F.col(p[0].src_col).alias("_k"), *[F.col(c).alias(a) for a, c in lst]),
+                                p[0].dst_col, names, "left"))
             else:
-                if bridged is not None:
-                    raise ValueError("only one bridged group table per evaluation")
                 start = dim.select(*[F.col(c).alias(a) for a, c in lst], F.col(p[0].src_col))
-                bridged = (self._carry(start, [a for a, _ in lst], p, filters, m0, frozenset({m0.table})),
-                           [a for a, _ in lst], p[-1].dst_col)
-        if bridged is None and len(lookups) == 1 and not keys_out and \
-                estimated_bytes(lookups[0][0]) > broadcast_limit(home.sparkSession):
-            # eager aggregation: the dimension is too big to broadcast, so reduce the fact to one
-            # row per join key (map-side partial aggregation absorbs hot keys) before the join
-            d, fk, gcols = lookups[0]
-            return _eager_lookup(home, ms, d, fk, gcols).select(*gk, *[m.name for m in ms])
-        for d, fk, gcols in lookups:
-            home = home.join(d, home[fk] == d["_dk"], "left").drop("_dk")
-            keys_out += gcols
-        if bridged is None:
-            aggs = []
-            for i, m in enumerate(ms):
-                v = F.col(f"_v{i}")
-                aggs.append({"sum": F.sum(v), "count": F.count(F.lit(1)), "avg": F.avg(v),
-                             "distinct": distinct_count_with_blank(v)}[m.kind].alias(m.name))
-            return home.groupBy(*keys_out).agg(*aggs).select(*gk, *[m.name for m in ms])
-        bridge, bcols, key = bridged
-        home = home.withColumn("_key", F.col(key))
-        out = None
-        additive = [(i, m) for i, m in enumerate(ms) if m.kind != "distinct"]
-        if additive:
-            pre_aggs = []
-            for i, m in additive:
-                v = F.col(f"_v{i}")
-                if m.kind == "sum":
-                    pre_aggs.append(F.sum(v).alias(f"_s{i}"))
-                elif m.kind == "count":
-                    pre_aggs.append(F.count(F.lit(1)).alias(f"_s{i}"))
-                else:
-                    pre_aggs += [F.sum(v).alias(f"_s{i}"), F.count(v).alias(f"_c{i}")]
-            pre = home.groupBy(*keys_out, "_key").agg(*pre_aggs)
-            j = bridge.join(pre, bridge["_k"] == pre["_key"])
-            fin = []
-            for i, m in additive:
-                if m.kind == "avg":
-                    fin.append(F.try_divide(F.sum(f"_s{i}"), F.sum(f"_c{i}").cast("double")).alias(m.name))
-                else:
-                    fin.append(F.sum(f"_s{i}").alias(m.name))
-            out = j.groupBy(*keys_out, *bcols).agg(*fin)
+                bridges.append((self._carry(start, names, p, filters, m0, frozenset({m0.table})), p[-1].dst_col, names,
+                                "inner"))
+        if len(lookups) > 1:
+            for d, key, names, _ in lookups:
+                home = home.join(d, home[key] == d["_k"], "left").drop("_k")
+                own += names
+            lookups = []
+        joins = lookups + bridges
+        values = [f"_v{i}" for i, m in enumerate(ms) if m.kind == "distinct"]
+        keys = []
+        for j, (_, key, _, _) in enumerate(joins):
+            home = home.withColumn(f"_key{j}", F.col(key))
+            keys.append(f"_key{j}")
+        pre, fin = [], []
         for i, m in enumerate(ms):
-            if m.kind != "distinct":
+            v = F.col(f"_v{i}")
+            if m.kind == "distinct":
+                fin.append(distinct_count_with_blank(v).alias(m.name))
                 continue
-            pre = home.select(*keys_out, "_key", F.col(f"_v{i}").alias("_v")).distinct()
-            j = bridge.join(pre, bridge["_k"] == pre["_key"]).select(*keys_out, *bcols, "_v").distinct()
-            one = j.groupBy(*keys_out, *bcols).agg(distinct_count_with_blank(F.col("_v")).alias(m.name))
-            out = one if out is None else align(out, one, gk)
+            pre.append((F.count(F.lit(1)) if m.kind == "count" else F.sum(v)).alias(f"_s{i}"))
+            if m.kind == "avg":
+                pre.append(F.count(v).alias(f"_c{i}"))
+                fin.append(F.try_divide(F.sum(f"_s{i}"), F.sum(f"_c{i}").cast("double")).alias(m.name))
+            else:
+                total = F.sum(f"_s{i}")
+                # a grand total of nothing: COUNT is 0 there, a sum NULL
+                fin.append((F.coalesce(total, F.lit(0)) if m.kind == "count" and not group_by else total).alias(m.name))
+        out = home.groupBy(*own, *keys, *values).agg(*pre) if pre else home.select(*own, *keys, *values).distinct()
+        for j, (d, _, _, how) in enumerate(joins):
+            out = out.join(d, out[f"_key{j}"] == d["_k"], how).drop("_k", f"_key{j}")
+        here = own + [n for _, _, names, _ in joins for n in names]
+        out = out.groupBy(*here).agg(*fin)
+        for d in apart:
+            out = out.crossJoin(d)  # the product is the result asked for: every group repeats it
         return out.select(*gk, *[m.name for m in ms])
 
     def evaluate(self, measures: list[str], group_by: list[str] | None = None, filters: dict | None = None,
@@ -394,50 +440,6 @@ class Model:
 
 # --- aggregation helpers -------------------------------------------------------
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a plan (from file sizes and projections)."""
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:  # noqa: BLE001 - no estimate: treat as large
-        return 1 << 62
-
-
-def broadcast_limit(spark) -> int:
-    v = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    try:
-        return int(v)
-    except ValueError:
-        return 10 << 20
-
-
-def _eager_lookup(home: DataFrame, ms: list[Measure], dim: DataFrame, fk: str, gcols: list[str]) -> DataFrame:
-    """Aggregate the fact per foreign key, join the dimension, aggregate per group."""
-    pre, fin = [], []
-    for i, m in enumerate(ms):
-        v = F.col(f"_v{i}")
-        if m.kind == "sum":
-            pre.append(F.sum(v).alias(f"_s{i}"))
-            fin.append(F.sum(f"_s{i}").alias(m.name))
-        elif m.kind == "count":
-            pre.append(F.count(F.lit(1)).alias(f"_s{i}"))
-            fin.append(F.sum(f"_s{i}").alias(m.name))
-        elif m.kind == "avg":
-            pre += [F.sum(v).alias(f"_s{i}"), F.count(v).alias(f"_c{i}")]
-            fin.append(F.try_divide(F.sum(f"_s{i}"), F.sum(f"_c{i}").cast("double")).alias(m.name))
-    distinct = [(i, m) for i, m in enumerate(ms) if m.kind == "distinct"]
-    out = None
-    if pre:
-        agg = home.groupBy(F.col(fk).alias("_fk")).agg(*pre)
-        j = agg.join(dim, agg["_fk"] == dim["_dk"], "left")
-        out = j.groupBy(*gcols).agg(*fin)
-    for i, m in distinct:
-        pairs = home.select(F.col(fk).alias("_fk"), F.col(f"_v{i}").alias("_v")).distinct()
-        j = pairs.join(dim, pairs["_fk"] == dim["_dk"], "left").select(*gcols, "_v").distinct()
-        one = j.groupBy(*gcols).agg(distinct_count_with_blank(F.col("_v")).alias(m.name))
-        out = one if out is None else align(out, one, gcols)
-    return out
-
-
 def _cond(c: Column, cond) -> Column:
     if isinstance(cond, Column):
         return cond

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.plans.model import Model, distinct_count_with_blank
+from tessera.plans.model import Model
 from tessera.session import materialize
 
 # Calculation items and their ordinals.
@@ -41,113 +41,135 @@ def with_time(model: Model, measure: str, items=tuple(ITEMS), grain: str = "day"
               date_column: str | None = None) -> DataFrame:
     """Apply calculation `items` to `measure` by date (grain 'day') or month (grain 'month').
 
-    Returns group columns, ``date`` (day grain) or ``year``/``month`` (month
-    grain) and one column per item (cur, mtd, ytd, py, yoy, yoy_pct).
-    """
+    Returns group columns, ``date`` (day grain) or ``year``/``month`` (month grain) and one column
+    per item (cur, mtd, ytd, py, yoy, yoy_pct).
+
+    Filters on Date choose which periods are shown; they do not cut the year to date or the year
+    before, which look at all dates.  At month grain they must keep whole months.  All other
+    filters restrict the measure.  A measure that dates reach through a bridge (reviews, by the
+    order dates of their customers) takes each bridge key once per period, and once per year or
+    month in running values.
+
+    The day grain writes one row per group and day from the group's first date on: meant for groups
+    of a dimension's attributes, not for millions of customers."""
     for it in items:
         if it not in ITEMS:
             raise ValueError(f"unknown calculation item {it!r}")
-    group_by = group_by or []
+    if grain not in ("day", "month"):
+        raise ValueError("grain must be 'day' or 'month'")
+    group_by, filters = group_by or [], filters or {}
+    shown = {r: c for r, c in filters.items() if r.split(".")[0] == "date"}
+    filters = {r: c for r, c in filters.items() if r not in shown}
     m = model.measures[measure]
-    dcol = date_column or model.date_columns[m.table]
     gk = [f"g{i}" for i in range(len(group_by))]
     names = [g.rsplit(".", 1)[1] for g in group_by]
+    day = grain == "day"
+    period = (lambda c: F.to_date(c)) if day else (lambda c: F.year(c) * 12 + F.month(c) - 1)
+    year = (lambda p: F.year(p)) if day else (lambda p: F.floor(p / 12))
+    month = (lambda p: F.year(p) * 12 + F.month(p)) if day else (lambda p: p)
+    keys = gk + ["_p"]
 
-    if grain == "day":
-        period = {"_p": F.to_date(F.col(dcol))}
-    elif grain == "month":
-        period = {"_p": (F.year(F.col(dcol)) * 12 + F.month(F.col(dcol)) - 1)}
+    # per (group, period): what it has itself (c0, c1), and what it adds to the year (y0, y1) and the
+    # month (m0, m1) so far; small (groups x periods)
+    dcol = date_column or model.date_columns[m.table]
+    through = [] if date_column or not model.related_to_dates(m) else model.path("date", m.table, m)
+    if len(through) > 1:
+        pairs, per_key = model.period_pairs(m, group_by, filters, period)
+        pairs = materialize(pairs)
+        parts = [_reduced(_first(pairs, gk, over, "_k").join(per_key, F.col("_k") == F.col("_hk")), keys, m.kind, name)
+                 for name, over in (("c", None), ("y", year), ("m", month))]
+        part = materialize(_stacked(parts, keys))
+    elif m.kind == "distinct":
+        values = materialize(model.partials(m, group_by, filters, extra_home={"_p": period(F.col(dcol))}))
+        values = values.withColumn("_vk", F.coalesce(F.col("_v").cast("string"), F.lit("\u0000blank")))
+        parts = [_first(values, gk, over, "_vk").groupBy(*keys).agg(F.count(F.lit(1)).alias(f"{name}0"))
+                 .withColumn(f"{name}1", F.lit(None).cast("bigint"))
+                 for name, over in (("c", None), ("y", year), ("m", month))]
+        part = materialize(_stacked(parts, keys))
     else:
-        raise ValueError("grain must be 'day' or 'month'")
-    # partial aggregates per (group, period): small (groups x periods), reused by the current
-    # value, the running windows and the previous-year join -> materialise once
-    part = materialize(model.partials(m, group_by, filters, extra_home=period))
+        part = model.partials(m, group_by, filters, extra_home={"_p": period(F.col(dcol))})
+        second = F.col("_p1") if m.kind == "avg" else F.lit(None).cast("bigint")
+        part = materialize(part.select(*keys, *[F.col("_p0").alias(f"{n}0") for n in "cym"],
+                                       *[second.alias(f"{n}1") for n in "cym"]))
 
     # spine: for every group, the calendar periods from its first period to the end of the
     # year after its last one (earlier or later periods would carry no item value), clipped
     # to the calendar; the group ranges come from the small partials table
     cal = model.table("date")
-    b = cal.agg(F.min("date").alias("_lo"), F.max("date").alias("_hi")).withColumn("_one", F.lit(1))
-    ranges = part.groupBy(*gk).agg(F.min("_p").alias("_gmin"), F.max("_p").alias("_gmax")) \
-        .withColumn("_one", F.lit(1))
-    spine = ranges.join(b, "_one").drop("_one")
-    if grain == "day":
-        lo = F.greatest(F.col("_lo"), F.col("_gmin"))
-        hi = F.least(F.col("_hi"), F.make_date(F.year(F.col("_gmax")) + 1, F.lit(12), F.lit(31)))
-        spine = spine.select(*gk, F.explode(F.sequence(lo, hi)).alias("_p"))
-        yr, mo = F.year("_p"), F.month("_p")
-    else:
-        lo = F.greatest(F.year("_lo") * 12 + F.month("_lo") - 1, F.col("_gmin"))
-        hi = F.least(F.year("_hi") * 12 + F.month("_hi") - 1, (F.floor(F.col("_gmax") / 12) + 1) * 12 + 11)
-        spine = spine.select(*gk, F.explode(F.sequence(lo.cast("int"), hi.cast("int"))).alias("_p"))
-        yr, mo = F.floor(F.col("_p") / 12), F.col("_p")
-    spine = spine.withColumns({"_y": yr, "_m": mo})
-
-    keys = gk + ["_p"]
-    wy = Window.partitionBy(*gk, "_y").orderBy("_p").rowsBetween(Window.unboundedPreceding, 0)
-    wm = Window.partitionBy(*gk, "_y", "_m").orderBy("_p").rowsBetween(Window.unboundedPreceding, 0)
-
-    if m.kind == "distinct":
-        cur = part.groupBy(*keys).agg(distinct_count_with_blank(F.col("_v")).alias("_cur"))
-        # first occurrence of each value per year / per month, counted per period
-        tagged = part.withColumns({"_y": yr if grain == "day" else F.floor(F.col("_p") / 12),
-                                   "_m": mo if grain == "day" else F.col("_p")})
-        vkey = F.coalesce(F.col("_v").cast("string"), F.lit("\u0000blank"))
-        fy = tagged.groupBy(*gk, "_y", vkey.alias("_vk")).agg(F.min("_p").alias("_p")) \
-            .groupBy(*keys).agg(F.count(F.lit(1)).alias("_fy"))
-        fm = tagged.groupBy(*gk, "_y", "_m", vkey.alias("_vk")).agg(F.min("_p").alias("_p")) \
-            .groupBy(*keys).agg(F.count(F.lit(1)).alias("_fm"))
-        # current count and first occurrences per (group, period): stacked and reduced to one
-        # row per (group, period), then one join to the spine
-        nul = F.lit(None).cast("bigint")
-        comb = (cur.select(*keys, "_cur", nul.alias("_fy"), nul.alias("_fm"))
-                .unionByName(fy.select(*keys, nul.alias("_cur"), "_fy", nul.alias("_fm")))
-                .unionByName(fm.select(*keys, nul.alias("_cur"), nul.alias("_fy"), "_fm"))
-                .groupBy(*keys).agg(F.max("_cur").alias("_cur"), F.max("_fy").alias("_fy"), F.max("_fm").alias("_fm")))
-        s = _null_safe_join(spine, comb.select(*[F.col(k).alias(f"_r_{k}") for k in keys], "_cur", "_fy", "_fm"), keys)
-        s = s.withColumns({
-            "cur": F.col("_cur"),
-            "ytd": F.sum("_fy").over(wy),
-            "mtd": F.sum("_fm").over(wm),
-        })
-    else:
-        s = _null_safe_join(spine, part.select(*[F.col(k).alias(f"_r_{k}") for k in keys],
-                                               *[c for c in part.columns if c not in keys]), keys)
-        if m.kind == "avg":
-            def val(p0: Column, p1: Column) -> Column:
-                return F.try_divide(p0, p1.cast("double"))
-            s = s.withColumns({
-                "cur": val(F.col("_p0"), F.col("_p1")),
-                "ytd": val(F.sum("_p0").over(wy), F.sum("_p1").over(wy)),
-                "mtd": val(F.sum("_p0").over(wm), F.sum("_p1").over(wm)),
-            })
-        else:
-            s = s.withColumns({"cur": F.col("_p0"), "ytd": F.sum("_p0").over(wy),
-                               "mtd": F.sum("_p0").over(wm)})
-    if grain == "month":
-        s = s.withColumn("mtd", F.col("cur"))
-    base = s.select(*gk, "_p", "_y", "cur", "mtd", "ytd")
-    py = base.select(*[F.col(k).alias(f"_r_{k}") for k in gk], F.col("_p").alias("_pp"), F.col("cur").alias("py"))
-    cond = None
-    for k in gk:
-        e = base[k].eqNullSafe(py[f"_r_{k}"])
-        cond = e if cond is None else cond & e
-    pcond = py["_pp"] == (F.add_months(base["_p"], -12) if grain == "day" else base["_p"] - 12)
-    cond = pcond if cond is None else cond & pcond
-    out = base.join(py, cond, "left").drop(*[f"_r_{k}" for k in gk], "_pp")
+    bounds = cal.agg(F.min(period(F.col("date"))).alias("_lo"), F.max(period(F.col("date"))).alias("_hi"))
+    ranges = part.groupBy(*gk).agg(F.min("_p").alias("_gmin"), F.max("_p").alias("_gmax"))
+    last = F.make_date(F.year("_gmax") + 1, F.lit(12), F.lit(31)) if day else (F.floor(F.col("_gmax") / 12) + 2) * 12 - 1
+    spine = (ranges.join(F.broadcast(bounds), F.lit(True))  # one row
+             .withColumns({"_lo": F.greatest("_lo", "_gmin"), "_hi": F.least(F.col("_hi"), last)}).filter("_lo <= _hi"))
+    if not day:
+        spine = spine.withColumns({c: F.col(c).cast("int") for c in ("_lo", "_hi")})
+    spine = spine.select(*gk, F.explode(F.sequence("_lo", "_hi")).alias("_p"))
+    s = _null_safe_join(spine, part.select(*[F.col(k).alias(f"_r_{k}") for k in keys],
+                                           *[f"{n}{i}" for n in "cym" for i in "01"]), keys)
+    s = s.withColumns({"_y": year(F.col("_p")), "_m": month(F.col("_p"))})
+
+    value = (lambda a, b: F.try_divide(a, b.cast("double"))) if m.kind == "avg" else (lambda a, b: a)
+    so_far = lambda *by: Window.partitionBy(*gk, *by).orderBy("_p").rowsBetween(Window.unboundedPreceding, 0)
+    running = lambda n, w: value(F.sum(f"{n}0").over(w), F.sum(f"{n}1").over(w))
+    s = s.withColumns({"cur": value(F.col("c0"), F.col("c1")), "ytd": running("y", so_far("_y")),
+                       "mtd": running("m", so_far("_y", "_m"))})
+    base = s.select(*gk, "_p", "cur", "mtd", "ytd")
+    if day:
+        before = base.select(*[F.col(k).alias(f"_r_{k}") for k in gk], F.col("_p").alias("_r_pp"), F.col("cur").alias("py"))
+        out = _null_safe_join(base.withColumn("pp", F.add_months("_p", -12)), before,
+                              gk + ["pp"]).drop("pp")
+    else:  # the spine has no gaps
+        out = base.withColumn("py", F.lag("cur", 12).over(Window.partitionBy(*gk).orderBy("_p")))
     yoy = F.when(F.col("cur").isNull() & F.col("py").isNull(), F.lit(None)) \
         .otherwise(F.coalesce(F.col("cur"), F.lit(0)) - F.coalesce(F.col("py"), F.lit(0)))
     out = out.withColumn("yoy", yoy)
     out = out.withColumn("yoy_pct", F.try_divide(F.col("yoy").cast("double"), F.col("py").cast("double")))
+    if shown:
+        out = out.join(F.broadcast(_shown_periods(model, shown, period, day)), "_p", "left_semi")
     cols = [ITEM_COLUMN[i] for i in items]
     out = out.filter(F.greatest(*[F.col(c).isNotNull() for c in cols]) if len(cols) > 1 else F.col(cols[0]).isNotNull())
-    if grain == "day":
+    if day:
         per = [F.col("_p").alias("date")]
     else:
         per = [F.floor(F.col("_p") / 12).cast("int").alias("year"), (F.pmod(F.col("_p"), F.lit(12)) + 1).cast("int").alias("month")]
     return out.select(*[F.col(g).alias(n) for g, n in zip(gk, names)], *per, *cols)
 
 
+def _first(rows: DataFrame, gk: list[str], over, key: str) -> DataFrame:
+    """(group, _p, key) rows; with `over` (year or month of a period) only the first period of each
+    key in it."""
+    if over is None:
+        return rows.select(*gk, "_p", key).distinct()
+    return rows.groupBy(*gk, over(F.col("_p")).alias("_o"), key).agg(F.min("_p").alias("_p"))
+
+
+def _reduced(rows: DataFrame, keys: list[str], kind: str, name: str) -> DataFrame:
+    second = F.sum("_p1") if kind == "avg" else F.lit(None).cast("bigint")
+    return rows.groupBy(*keys).agg(F.sum("_p0").alias(f"{name}0"), second.alias(f"{name}1"))
+
+
+def _stacked(parts: list[DataFrame], keys: list[str]) -> DataFrame:
+    """Parts with columns c0, c1 / y0, y1 / m0, m1 as one row per key."""
+    every = [c for p in parts for c in p.columns if c not in keys]
+    types = {c: t for p in parts for c, t in p.dtypes}
+    rows = None
+    for p in parts:
+        p = p.select(*keys, *[F.col(c) if c in p.columns else F.lit(None).cast(types[c]).alias(c) for c in every])
+        rows = p if rows is None else rows.unionByName(p)
+    return rows.groupBy(*keys).agg(*[F.max(c).alias(c) for c in every])
+
+
+def _shown_periods(model: Model, shown: dict, period, day: bool) -> DataFrame:
+    """Periods (_p) that filters on Date keep, from the bounded Date table."""
+    kept = model._filtered("date", shown)
+    if not day:
+        days = lambda df, name: df.groupBy(period(F.col("date")).alias("_p")).agg(F.count(F.lit(1)).alias(name))
+        cut = days(kept, "_kept").join(days(model.table("date"), "_all"), "_p").filter("_kept < _all")
+        if not cut.isEmpty():
+            raise ValueError("at month grain, filters on Date must keep whole months")
+    return kept.select(period(F.col("date")).alias("_p")).distinct()
+
+
 def items_long(df: DataFrame, id_cols: list[str], items=tuple(ITEMS)) -> DataFrame:
     """Stack item columns into (time_calculation, ordinal, value) rows, sortable by ordinal."""
     expr = ", ".join(f"'{it}', {ITEMS[it]}, cast(`{ITEM_COLUMN[it]}` as double)" for it in items)

@@ -386,3 +386,94 @@ def q_ti_mtd_distinct(spark, sf):
     checked against a direct range count."""
     m = sales_model(spark, sf)
     return with_time(m, "active_customers", ["Current", "MTD"], "day")
+
+
+# --- filters on Date, and measures that dates reach through a bridge -----------------------------
+
+def _shown_sql(sql: str, where: str) -> str:
+    """The unfiltered time-intelligence SQL with only some periods shown."""
+    return f"SELECT * FROM ({sql}) shown WHERE {where}"
+
+
+@query("ti_py_year_filter", sql=_shown_sql(_ti_sql("f.l_extendedprice", "sum", "month", ["Current", "PY", "YOY"]), "year = 1997"))
+def q_ti_py_year_filter(spark, sf):
+    """Sales of one year's months beside the year before: the filter does not cut the year before."""
+    return rounded(with_time(sales_model(spark, sf), "total_sales", ["Current", "PY", "YOY"], "month",
+                             filters={"date.year_number": 1997}))
+
+
+@query("ti_ytd_month_filter", sql=_shown_sql(_ti_sql("f.l_extendedprice", "sum", "month", ["YTD"], "c.c_mktsegment",
+       "LEFT JOIN customer c ON f.o_custkey = c.c_custkey WHERE c.c_mktsegment IN ('BUILDING', 'MACHINERY')"), "month = 6"))
+def q_ti_ytd_month_filter(spark, sf):
+    """Sales from January to June of every year in two segments: a Date filter that picks the months
+    shown beside a filter that restricts the measure."""
+    return rounded(with_time(sales_model(spark, sf), "total_sales", ["YTD"], "month", ["customer.c_mktsegment"],
+                             {"date.month_number": 6, "customer.c_mktsegment": ["BUILDING", "MACHINERY"]}))
+
+
+@query("ti_mtd_day_filter", sql=_shown_sql(_ti_sql("f.l_extendedprice", "sum", "day", ["Current", "MTD"]),
+                                           "date BETWEEN DATE '1998-03-10' AND DATE '1998-04-05'"))
+def q_ti_mtd_day_filter(spark, sf):
+    """Days shown from the middle of a month: month to date still begins on its first day."""
+    return rounded(with_time(sales_model(spark, sf), "total_sales", ["Current", "MTD"], "day",
+                             filters={"date.date": ("between", "1998-03-10", "1998-04-05")}))
+
+
+_BRIDGED_SQL = f"""f AS (SELECT DISTINCT {{g}} AS g, CAST(o_orderdate AS DATE) AS d, o_custkey AS k FROM {F_} x
+         LEFT JOIN customer c ON x.o_custkey = c.c_custkey),
+e AS (SELECT user_id AS k, sum(value) AS s, count(value) AS n, count(*) AS rows FROM events GROUP BY user_id)"""
+
+
+@query("ti_ytd_avg_review_bridged", sql=f"""
+WITH {_BRIDGED_SQL.replace('{g}', 'c.c_mktsegment')},
+p AS (SELECT DISTINCT g, year(d) AS y, month(d) AS m, k FROM f),
+ms AS (SELECT y, m FROM (SELECT DISTINCT y FROM p) a, range(1, 13) r(m)), gs AS (SELECT DISTINCT g FROM p),
+upto AS (SELECT DISTINCT gs.g, ms.y, ms.m, p.k FROM gs, ms JOIN p ON p.y = ms.y AND p.m <= ms.m WHERE p.g IS NOT DISTINCT FROM gs.g),
+ytd AS (SELECT g, y, m, sum(s) / sum(n) AS v FROM upto JOIN e USING (k) GROUP BY g, y, m),
+cur AS (SELECT g, y, m, sum(s) / sum(n) AS v FROM p JOIN e USING (k) GROUP BY g, y, m)
+SELECT ytd.g AS c_mktsegment, CAST(ytd.y AS INTEGER) AS year, CAST(ytd.m AS INTEGER) AS month, round(cur.v, 4) AS cur,
+       round(ytd.v, 4) AS ytd
+FROM ytd LEFT JOIN cur ON cur.g IS NOT DISTINCT FROM ytd.g AND cur.y = ytd.y AND cur.m = ytd.m
+WHERE cur.v IS NOT NULL OR ytd.v IS NOT NULL""")
+def q_ti_ytd_avg_review_bridged(spark, sf):
+    """Average review by the order months of the reviewing customers, in the month and in the year
+    so far (each customer's reviews once a year), by segment."""
+    return rounded(with_time(sales_model(spark, sf), "average_review", ["Current", "YTD"], "month",
+                             ["customer.c_mktsegment"]), 4)
+
+
+@query("ti_mtd_reviews_bridged", sql=f"""
+WITH {_BRIDGED_SQL.replace('{g}', '1')},
+b AS (SELECT min(year(d)) AS y0, max(year(d)) AS y1 FROM f),
+days AS (SELECT CAST(unnest(generate_series(make_date(y0, 1, 1), make_date(y1, 12, 31), INTERVAL 1 DAY)) AS DATE) AS d FROM b),
+upto AS (SELECT DISTINCT days.d, f.k FROM days JOIN f ON f.d <= days.d AND f.d >= date_trunc('month', days.d)),
+mtd AS (SELECT d, sum(rows) AS v FROM upto JOIN e USING (k) GROUP BY d),
+cur AS (SELECT d, sum(rows) AS v FROM f JOIN e USING (k) GROUP BY d)
+SELECT mtd.d AS date, CAST(cur.v AS BIGINT) AS cur, CAST(mtd.v AS BIGINT) AS mtd FROM mtd LEFT JOIN cur ON cur.d = mtd.d""")
+def q_ti_mtd_reviews_bridged(spark, sf):
+    """Reviews of the customers who ordered on a day, and in the month so far (each customer once)."""
+    return with_time(sales_model(spark, sf), "total_reviews", ["Current", "MTD"], "day")
+
+
+@query("evaluate_unrelated_group", sql=f"""
+WITH r AS (SELECT avg(value) AS average_review, count(*) AS total_reviews FROM events
+            WHERE user_id IN (SELECT o_custkey FROM {F_} x JOIN part ON l_partkey = p_partkey WHERE p_type = 'ECONOMY'))
+SELECT event_type AS payment_type, round(average_review, 4) AS average_review, total_reviews
+FROM r, (SELECT DISTINCT event_type FROM events) t""")
+def q_evaluate_unrelated_group(spark, sf):
+    """A group column that does not filter the measure: the total repeats for each of its values."""
+    m = sales_model(spark, sf)
+    m = m.without("R7")
+    return rounded(m.evaluate(["average_review", "total_reviews"], ["payments.payment_type"], {"part.p_type": "ECONOMY"}), 4)
+
+
+@query("evaluate_two_bridges", sql=f"""
+WITH c AS (SELECT c_custkey, n_name AS cn, r_name AS cr FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+s AS (SELECT s_suppkey, n_name AS sn, r_name AS sr FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)
+SELECT cr AS r_name, sn AS n_name, round(sum(l_extendedprice), 2) AS total_sales, count(*) AS total_orders,
+       count(DISTINCT o_custkey) AS active_customers
+FROM {F_} f JOIN c ON f.o_custkey = c.c_custkey JOIN s ON f.l_suppkey = s.s_suppkey GROUP BY 1, 2""")
+def q_evaluate_two_bridges(spark, sf):
+    """Sales by customer region and supplier nation, each reached over its own bridge."""
+    return rounded(sales_model(spark, sf).evaluate(["total_sales", "total_orders", "active_customers"],
+                                                   ["geo_customers.r_name", "geo_sellers.n_name"]))
