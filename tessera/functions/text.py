@@ -35,19 +35,18 @@ def length_profile(df: DataFrame, text_col: str, by: list[str] | None = None) ->
     by = keep or ["_all"]
     ln = F.length(F.col(text_col)).alias("_len")
     base = df.select(*(keep or [F.lit(0).alias("_all")]), ln).filter(F.col("_len").isNotNull())
-    stats = base.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n"), F.avg("_len").alias("mean"), F.stddev_samp("_len").alias("stddev"),
-        F.min("_len").alias("min"), F.max("_len").alias("max"))
     hist = base.groupBy(*by, "_len").agg(F.count(F.lit(1)).alias("_c"))
     w = Window.partitionBy(*by).orderBy("_len").rowsBetween(Window.unboundedPreceding, 0)
-    hist = hist.withColumn("_cum", F.sum("_c").over(w))
-    j = hist.join(stats.select(*by, "n"), by)
-    qs = []
-    for name, p in (("q1", 0.25), ("median", 0.5), ("q3", 0.75)):
-        k = F.ceil(F.col("n") * p)
-        qs.append(F.min(F.when(F.col("_cum") >= k, F.col("_len"))).alias(name))
-    quart = j.groupBy(*by).agg(*qs)
-    out = stats.join(quart, by)
+    hist = hist.withColumns({"_cum": F.sum("_c").over(w), "n": F.sum("_c").over(Window.partitionBy(*by))})
+    # one aggregation over the histogram, so no join has to match groups (a null group is one)
+    at = lambda p: F.min(F.when(F.col("_cum") >= F.ceil(F.col("n") * p), F.col("_len")))
+    total, n = F.sum(F.col("_c") * F.col("_len").cast("double")), F.sum("_c")
+    squares = F.sum(F.col("_c") * F.col("_len").cast("double") * F.col("_len"))
+    out = hist.groupBy(*by).agg(
+        n.alias("n"), (total / n).alias("mean"),
+        F.when(n > 1, F.sqrt(F.greatest(squares - total * total / n, F.lit(0.0)) / (n - 1))).alias("stddev"),
+        F.min("_len").alias("min"), F.max("_len").alias("max"), at(0.25).alias("q1"), at(0.5).alias("median"),
+        at(0.75).alias("q3"))
     return out.select(*keep, "n", "mean", "stddev", "min", "q1", "median", "q3", "max")
 
 

@@ -2,23 +2,24 @@
 MAPE, per-series model selection, next-horizon forecast and a versioned
 model table.
 
-Input series are long frames (keys…, ds, y) after ``resample``.  Every step is
-a Spark plan partitioned by the series keys: closed-form candidates are
-aggregates and joins (seasonal naive, moving average, linear trend via
-``regr_slope``/``regr_intercept``); exponential smoothing runs per series with
-``applyInPandas`` (one group = one resampled series, bounded by its number of
-periods); the lag regression is a Spark ML pipeline.
+Input series are long frames (keys…, ds, y) after ``resample``.  A series is
+reduced to one row (its history as an array, bounded by the number of periods,
+and a trend line), and every candidate is an expression over that row: seasonal
+naive, moving average, linear trend, simple exponential smoothing, and a
+regression on lags that Spark ML fits on all series together.
 """
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Per-frequency horizon and season length.
 HORIZON = {"D": 31, "W": 4, "M": 1}
 SEASON = {"D": 7, "W": 52, "M": 12}
+CLOSED_FORMS = ("seasonal_naive", "moving_average", "linear_trend")
+MODELS = CLOSED_FORMS + ("exp_smoothing", "lag_regression")
+FALLBACK = "moving_average"  # of a series that cannot be scored; it needs one value only
+ALPHAS = tuple(k / 20 for k in range(1, 20))
 STEP_DAYS = {"D": 1, "W": 7}
 
 
@@ -30,53 +31,77 @@ def index_series(series: DataFrame, keys: list[str], h: int) -> DataFrame:
     return s.withColumn("split", F.when(F.col("t") > F.col("n") - h, "test").otherwise("train"))
 
 
-def _targets(s: DataFrame, keys: list[str], h: int | None, future: bool) -> tuple[DataFrame, DataFrame]:
-    """(history, targets): history = rows used to fit, targets = rows to predict with column t and nt
-    (number of history points)."""
-    if not future:
-        hist = s.filter(F.col("split") == "train")
-        tgt = s.filter(F.col("split") == "test").withColumn("nt", F.col("n") - h)
-        return hist, tgt.select(*keys, "ds", "t", "nt", "y")
-    hist = s
-    last = s.groupBy(*keys).agg(F.max("t").alias("nt"), F.max("ds").alias("_last"))
-    tgt = last.select(*keys, "nt", "_last", F.explode(F.sequence(F.lit(1), F.lit(h))).alias("_i"))
-    return hist, tgt
-
-
-def seasonal_naive(hist: DataFrame, tgt: DataFrame, keys: list[str], season: int) -> DataFrame:
-    """yhat(t) = the value one or more whole seasons back inside the history."""
-    back = tgt.withColumn("_src", F.col("t") - season * F.ceil((F.col("t") - F.col("nt")) / season))
-    hh = hist.select(*keys, F.col("t").alias("_src"), F.col("y").alias("yhat"))
-    return back.join(hh, keys + ["_src"], "left").drop("_src").withColumn("model", F.lit("seasonal_naive"))
-
-
-def moving_average(hist: DataFrame, tgt: DataFrame, keys: list[str], window: int) -> DataFrame:
-    """yhat = mean of the last `window` history values (flat forecast)."""
-    n = hist.groupBy(*keys).agg(F.max("t").alias("_nt"))
-    last = hist.join(n, keys).filter(F.col("t") > F.col("_nt") - window)
-    avg = last.groupBy(*keys).agg(F.avg("y").alias("yhat"))
-    return tgt.join(avg, keys, "left").withColumn("model", F.lit("moving_average"))
-
-
-def linear_trend(hist: DataFrame, tgt: DataFrame, keys: list[str]) -> DataFrame:
-    """Least-squares line over (t, y) of the history."""
-    fit = hist.groupBy(*keys).agg(F.regr_slope("y", "t").alias("_b"), F.regr_intercept("y", "t").alias("_a"))
-    return tgt.join(fit, keys, "left").withColumn("yhat", F.col("_a") + F.col("_b") * F.col("t")) \
-        .drop("_a", "_b").withColumn("model", F.lit("linear_trend"))
+def grouped(s: DataFrame, keys: list[str], h: int, future: bool = False) -> DataFrame:
+    """One row per series: its history (array by t), trend line, length nt, and its targets (the
+    held-out part, or the next h positions).  Every candidate is derived from that row; it is as
+    long as the series has periods."""
+    fit = F.lit(True) if future else F.col("split") == "train"
+    point = lambda c, *f: F.sort_array(F.collect_list(F.when(c, F.struct(*f))))
+    g = s.groupBy(*keys).agg(
+        point(fit, "t", "y").alias("_h"), point(~fit, "t", "ds", "y").alias("_test"), F.max("ds").alias("_last"),
+        F.regr_slope(F.when(fit, F.col("y")), F.col("t")).alias("_b"),
+        F.regr_intercept(F.when(fit, F.col("y")), F.col("t")).alias("_a"))
+    g = g.withColumn("_y", F.transform("_h", lambda x: x["y"])).withColumn("nt", F.size("_y"))
+    nxt = F.transform(F.sequence(F.lit(1), F.lit(h)), lambda i: F.struct(
+        (F.col("nt") + i).cast("int").alias("t"), F.lit(None).cast("date").alias("ds"), F.lit(None).cast("double").alias("y")))
+    return g.withColumn("_tgt", nxt if future else F.col("_test"))
+
+
+def smoothed_level(y: Column) -> Column:
+    """struct(sse, alpha, level) of simple exponential smoothing: the least one-step squared error
+    over the grid of ALPHAS (ties: the smaller alpha), and the level after the last value."""
+    def run(alpha: Column) -> Column:
+        start = F.struct(F.lit(0.0).alias("sse"), F.get(y, F.lit(0)).cast("double").alias("level"))
+        end = F.aggregate(F.slice(y, 2, F.greatest(F.size(y) - 1, F.lit(0))), start, lambda acc, v: F.struct(
+            (acc["sse"] + (v - acc["level"]) * (v - acc["level"])).alias("sse"),
+            (alpha * v + (F.lit(1.0) - alpha) * acc["level"]).alias("level")))
+        return F.struct(end["sse"].alias("sse"), alpha.alias("alpha"), end["level"].alias("level"))
+    return F.array_min(F.transform(F.array(*map(F.lit, ALPHAS)), run))
+
+
+def lagged(y: Column, h: int, intercept: float, weights: list[float]) -> Column:
+    """The next h values of a regression on the last len(weights) ones, each prediction feeding the
+    next; null without enough history."""
+    n = len(weights)
+
+    def step(acc: Column, _: Column) -> Column:
+        value = F.lit(float(intercept))
+        for k, w in enumerate(weights):
+            value = value + F.lit(float(w)) * F.element_at(acc, -(k + 1))
+        return F.concat(acc, F.array(value))
+    return F.when(F.size(y) >= n, F.slice(F.aggregate(F.sequence(F.lit(1), F.lit(h)), F.slice(y, -n, n), step), n + 1, h))
+
+
+def candidates(g: DataFrame, keys: list[str], h: int, season: int, window: int, models: tuple = (), lag_fit=None) -> DataFrame:
+    """Predictions of the wanted models (default: the closed forms) for the targets of `grouped`:
+    keys, ds, t, nt, y, yhat, model, _last."""
+    models = models or CLOSED_FORMS
+    y, tail = F.col("_y"), F.slice(F.col("_y"), F.greatest(F.col("nt") - window + 1, F.lit(1)), window)
+    mean = F.try_divide(F.aggregate(tail, F.lit(0.0), lambda a, v: a + v), F.size(tail))
+    if "exp_smoothing" in models:
+        g = g.withColumn("_level", F.when(F.size(y) > 0, smoothed_level(y)["level"]))
+    if "lag_regression" in models:
+        intercept, weights = lag_fit
+        g = g.withColumn("_lagged", lagged(y, h, intercept, weights))
+    out = g.withColumn("_x", F.explode("_tgt")).select(
+        *keys, "nt", "_last", "_y", "_a", "_b", mean.alias("_mean"), F.col("_x.ds").alias("ds"), F.col("_x.t").alias("t"),
+        F.col("_x.y").alias("y"), *[c for c in ("_level", "_lagged") if c in g.columns])
+    ahead = F.col("t") - F.col("nt")
+    source = (F.col("t") - season * F.ceil(ahead / season)).cast("int")
+    forms = {"seasonal_naive": F.when(source >= 1, F.get("_y", source - 1)), "moving_average": F.col("_mean"),
+             "linear_trend": F.col("_a") + F.col("_b") * F.col("t")}
+    if "_level" in out.columns:
+        forms["exp_smoothing"] = F.col("_level")
+    if "_lagged" in out.columns:
+        forms["lag_regression"] = F.get("_lagged", ahead.cast("int") - 1)
+    each = F.array(*[F.struct(F.lit(m).alias("model"), forms[m].cast("double").alias("yhat")) for m in models])
+    return out.withColumn("_m", F.explode(each)).select(*keys, "ds", "t", "nt", "y", "_m.yhat", "_m.model", "_last")
 
 
 def closed_form_candidates(s: DataFrame, keys: list[str], h: int, season: int, window: int,
                            future: bool = False) -> DataFrame:
     """Predictions of the three closed-form candidates for the test part (or the next h periods)."""
-    hist, tgt = _targets(s, keys, h, future)
-    if future:
-        tgt = tgt.withColumn("t", F.col("nt") + F.col("_i"))
-    parts = [seasonal_naive(hist, tgt, keys, season), moving_average(hist, tgt, keys, window),
-             linear_trend(hist, tgt, keys)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return candidates(grouped(s, keys, h, future), keys, h, season, window)
 
 
 def mape(pred: DataFrame, keys: list[str]) -> DataFrame:
@@ -85,66 +110,53 @@ def mape(pred: DataFrame, keys: list[str]) -> DataFrame:
     return ok.groupBy(*keys, "model").agg(F.avg(F.abs((F.col("y") - F.col("yhat")) / F.col("y"))).alias("mape"))
 
 
-def best_model(errors: DataFrame, keys: list[str]) -> DataFrame:
-    """Lowest MAPE per series; ties go to the model name."""
-    w = Window.partitionBy(*keys).orderBy(F.col("mape").asc(), F.col("model").asc())
-    return errors.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+def best_model(errors: DataFrame, keys: list[str], series: DataFrame | None = None) -> DataFrame:
+    """Lowest MAPE per series; ties go to the model name.  With `series`, those that no MAPE could be
+    computed for (a hold-out of zeros only, or no more points than the horizon) take FALLBACK,
+    with a null mape."""
+    best = errors.groupBy(*keys).agg(F.min(F.struct("mape", "model")).alias("_e")).select(*keys, "_e.model", "_e.mape")
+    if series is None:
+        return best
+    every = series.select(*keys).distinct()
+    got = best.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "model", "mape")
+    same = [every[k].eqNullSafe(got[f"_k_{k}"]) for k in keys]
+    return every.join(got, same, "left").select(*keys, F.coalesce("model", F.lit(FALLBACK)).alias("model"), "mape")
+
+
+def _of_best(pred: DataFrame, best: DataFrame, keys: list[str]) -> DataFrame:
+    chosen = best.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("model").alias("_best"))
+    same = [pred[k].eqNullSafe(chosen[f"_k_{k}"]) for k in keys] + [pred["model"] == chosen["_best"]]
+    return pred.join(chosen, same, "left_semi")
 
 
 def forecast_next(s: DataFrame, best: DataFrame, keys: list[str], h: int, season: int, window: int,
-                  freq: str) -> DataFrame:
+                  freq: str, models: tuple = (), lag_fit=None) -> DataFrame:
     """Refit the selected model on the whole series and predict the next h periods."""
-    pred = closed_form_candidates(s, keys, h, season, window, future=True)
-    pred = pred.join(best.select(*keys, "model"), keys + ["model"], "left_semi")
-    if freq == "M":
-        ds = F.last_day(F.add_months(F.col("_last"), F.col("_i")))
-    else:
-        ds = F.date_add(F.col("_last"), F.col("_i") * STEP_DAYS[freq])
+    pred = _of_best(candidates(grouped(s, keys, h, True), keys, h, season, window, models, lag_fit), best, keys)
+    ahead = (F.col("t") - F.col("nt")).cast("int")
+    ds = F.last_day(F.add_months("_last", ahead)) if freq == "M" else F.date_add("_last", ahead * STEP_DAYS[freq])
     return pred.select(*keys, ds.alias("ds"), "model", F.col("yhat").alias("predicted_sales"))
 
 
 def compare(actual: DataFrame, pred: DataFrame, keys: list[str]) -> DataFrame:
     """Actual vs predicted aligned on (keys, ds) with a full outer join: periods only one side
     has keep a NULL on the other."""
-    a = actual.select(*keys, "ds", F.col("y").alias("actual"))
-    p = pred.select(*keys, "ds", F.col("yhat").alias("predicted"))
-    return a.join(p, keys + ["ds"], "full")
-
-
-# --- exponential smoothing, one pandas frame per series ------------------------------------
-
-def _ses_fit(y: np.ndarray, alphas=np.linspace(0.05, 0.95, 19)) -> tuple[float, float]:
-    """Grid-searched simple exponential smoothing: (alpha, final level) minimising one-step SSE."""
-    best = (None, None, np.inf)
-    for a in alphas:
-        level, sse = y[0], 0.0
-        for v in y[1:]:
-            sse += (v - level) ** 2
-            level = a * v + (1 - a) * level
-        if sse < best[2]:
-            best = (float(a), float(level), sse)
-    return best[0], best[1]
-
-
-def exp_smoothing(s: DataFrame, keys: list[str], h: int) -> DataFrame:
-    """Simple exponential smoothing per series (``applyInPandas``): fit on 'train', predict 'test'."""
-    schema = ", ".join([f"{k} {t}" for k, t in s.select(*keys).dtypes] +
-                       ["ds date", "y double", "yhat double", "alpha double", "model string"])
-
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("t")
-        train = pdf[pdf["split"] == "train"]
-        test = pdf[pdf["split"] == "test"]
-        if len(train) == 0:
-            return pd.DataFrame(columns=keys + ["ds", "y", "yhat", "alpha", "model"])
-        a, level = _ses_fit(train["y"].to_numpy(dtype=float))
-        out = test[keys + ["ds", "y"]].copy()
-        out["yhat"] = level
-        out["alpha"] = a
-        out["model"] = "exp_smoothing"
-        return out
-
-    return s.select(*keys, "ds", "y", "t", "split").groupBy(*keys).applyInPandas(fit, schema)
+    both = keys + ["ds"]
+    a = actual.select(*both, F.col("y").alias("actual"))
+    p = pred.select(*[F.col(k).alias(f"_r_{k}") for k in both], F.col("yhat").alias("predicted"))
+    j = a.join(p, [a[k].eqNullSafe(p[f"_r_{k}"]) for k in both], "full")
+    # keys may be null on purpose: take the side that has the date
+    return j.select(*[F.when(F.col("ds").isNotNull(), F.col(k)).otherwise(F.col(f"_r_{k}")).alias(k) for k in both],
+                    "actual", "predicted")
+
+
+# --- exponential smoothing ----------------------------------------------------------------
+
+def exp_smoothing(s: DataFrame, keys: list[str]) -> DataFrame:
+    """Simple exponential smoothing per series, fitted on 'train', flat over 'test'."""
+    g = grouped(s, keys, 1).filter(F.size("_y") > 0).withColumn("_s", smoothed_level(F.col("_y")))
+    return g.withColumn("_x", F.explode("_tgt")).select(
+        *keys, "_x.ds", "_x.y", F.col("_s.level").alias("yhat"), "_s.alpha", F.lit("exp_smoothing").alias("model"))
 
 
 # --- lag-feature regression (Spark ML) --------------------------------------------------------
@@ -163,7 +175,10 @@ def lag_regression(s: DataFrame, keys: list[str], lags=(1, 2, 3)):
     f = f.dropna(subset=[f"lag{lag}" for lag in lags])
     pipe = Pipeline(stages=[VectorAssembler(inputCols=[f"lag{lag}" for lag in lags], outputCol="features"),
                             LinearRegression(featuresCol="features", labelCol="y", predictionCol="yhat")])
-    model = pipe.fit(f.filter(F.col("split") == "train"))
+    train = f.filter(F.col("split") == "train")
+    if train.isEmpty():
+        return None, f.limit(0).select(*keys, "ds", "y", F.lit(None).cast("double").alias("yhat"), F.lit("lag_regression").alias("model"))
+    model = pipe.fit(train)
     pred = score(f.filter(F.col("split") == "test"), model)
     return model, pred.select(*keys, "ds", "y", "yhat").withColumn("model", F.lit("lag_regression"))
 
@@ -192,10 +207,20 @@ def latest(registry: DataFrame, keys: list[str]) -> DataFrame:
     return registry.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
-def fit_select(series: DataFrame, keys: list[str], freq: str, window: int = 8):
-    """Hold-out selection in one call: (test predictions of every candidate, MAPE per series
-    and model, best model per series) for the frequency's horizon and season."""
+def lag_weights(s: DataFrame, keys: list[str], lags=(1, 2, 3)) -> tuple[float, list[float]]:
+    """(intercept, weights of the lags) of the pooled regression on all series' training points; a
+    flat forecast of the last value where there is nothing to fit."""
+    model, _ = lag_regression(s, keys, lags)
+    if model is None:
+        return 0.0, [1.0] + [0.0] * (len(lags) - 1)
+    return float(model.stages[-1].intercept), [float(w) for w in model.stages[-1].coefficients]
+
+
+def fit_select(series: DataFrame, keys: list[str], freq: str, window: int = 8, models: tuple = MODELS):
+    """Hold-out selection among all candidates in one call: (indexed series, MAPE per series and
+    model, best model per series, lag fit) for the frequency's horizon and season."""
     s = index_series(series, keys, HORIZON[freq])
-    pred = closed_form_candidates(s, keys, HORIZON[freq], SEASON[freq], window)
+    fit = lag_weights(s, keys) if "lag_regression" in models else None
+    pred = candidates(grouped(s, keys, HORIZON[freq]), keys, HORIZON[freq], SEASON[freq], window, models, fit)
     err = mape(pred, keys)
-    return pred, err, best_model(err, keys)
+    return s, err, best_model(err, keys, s), fit

@@ -15,7 +15,7 @@ def clean_sales(df: DataFrame, date_col: str, value_col: str, from_year: int,
     """Keep rows from `from_year` on, drop the (year, month) pairs of `exclude_months`
     (and other statuses), and rename to (sales, date)."""
     d = F.col(date_col)
-    cond = F.year(d) >= from_year
+    cond = d >= F.lit(f"{from_year:04d}-01-01").cast("date")  # on the column itself: it reaches the scan
     for y, m in exclude_months:
         cond = cond & ~((F.year(d) == y) & (F.month(d) == m))
     if status_col is not None:
@@ -48,8 +48,9 @@ def resample(df: DataFrame, ts: str, val: str, freq: str, keys: list[str] | None
     else:
         step = F.expr("INTERVAL 1 DAY") if freq == "D" else F.expr("INTERVAL 7 DAYS")
         spine = rng.select(*keys, F.explode(F.sequence("_lo", "_hi", step)).alias("ds"))
-    out = spine.join(agg, keys + ["ds"], "left")
-    return out.select(*keys, "ds", F.coalesce(F.col("y"), F.lit(0.0)).alias("y"))
+    have = agg.select(*[F.col(k).alias(f"_r_{k}") for k in keys], F.col("ds").alias("_ds"), "y")
+    same = [spine[k].eqNullSafe(have[f"_r_{k}"]) for k in keys] + [spine["ds"] == have["_ds"]]  # a null key is a series
+    return spine.join(have, same, "left").select(*keys, "ds", F.coalesce(F.col("y"), F.lit(0.0)).alias("y"))
 
 
 def ffill(df: DataFrame, keys: list[str], order: str, col: str, out: str | None = None) -> DataFrame:

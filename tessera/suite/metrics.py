@@ -477,3 +477,16 @@ def q_evaluate_two_bridges(spark, sf):
     """Sales by customer region and supplier nation, each reached over its own bridge."""
     return rounded(sales_model(spark, sf).evaluate(["total_sales", "total_orders", "active_customers"],
                                                    ["geo_customers.r_name", "geo_sellers.n_name"]))
+
+
+@query("text_profile_blank_lang", sql="""
+WITH d AS (SELECT nullif(lang, 'fr') AS lang, length(text) AS n FROM documents WHERE text IS NOT NULL)
+SELECT lang, count(*) AS n, round(avg(n), 4) AS mean, round(stddev_samp(n), 4) AS stddev, min(n) AS min,
+       quantile_disc(n, 0.25) AS q1, quantile_disc(n, 0.5) AS median, quantile_disc(n, 0.75) AS q3, max(n) AS max
+FROM d GROUP BY lang""")
+def q_text_profile_blank_lang(spark, sf):
+    """Length profile where one language is unknown: its texts form a group with a null label."""
+    d = load(spark, sf, "documents").withColumn("lang", F.when(F.col("lang") != "fr", F.col("lang")))
+    p = rounded(length_profile(d, "text", ["lang"]), 4)
+    return p.select("lang", *[F.col(c) if c in ("mean", "stddev") else F.col(c).cast("bigint").alias(c)
+                              for c in p.columns if c != "lang"])

@@ -93,7 +93,7 @@ WITH {SEG_SQL},
 agg AS (SELECT c_mktsegment AS k, d AS ds, sum(v) AS y FROM seg0 GROUP BY 1, 2),
 rng AS (SELECT k, min(ds) AS lo, max(ds) AS hi FROM agg GROUP BY k),
 sp AS (SELECT k, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS ds FROM rng),
-ser AS (SELECT sp.k, sp.ds, agg.y FROM sp LEFT JOIN agg ON agg.k = sp.k AND agg.ds = sp.ds),
+ser AS (SELECT sp.k, sp.ds, agg.y FROM sp LEFT JOIN agg ON agg.k IS NOT DISTINCT FROM sp.k AND agg.ds = sp.ds),
 f AS (SELECT k, ds, y,
   last_value(y IGNORE NULLS) OVER (PARTITION BY k ORDER BY ds ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS y_ffill,
   first_value(y IGNORE NULLS) OVER (PARTITION BY k ORDER BY ds ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS y_bfill,
@@ -106,7 +106,8 @@ def q_fill_forward(spark, sf):
     agg = s.groupBy("c_mktsegment", F.to_date("o_orderdate").alias("ds")).agg(F.sum("l_extendedprice").alias("y"))
     rng = agg.groupBy("c_mktsegment").agg(F.min("ds").alias("lo"), F.max("ds").alias("hi"))
     spine = rng.select("c_mktsegment", F.explode(F.sequence("lo", "hi")).alias("ds"))
-    ser = spine.join(agg, ["c_mktsegment", "ds"], "left")
+    agg = agg.select(F.col("c_mktsegment").alias("_k"), F.col("ds").alias("_d"), "y")
+    ser = spine.join(agg, spine["c_mktsegment"].eqNullSafe(agg["_k"]) & (spine["ds"] == agg["_d"]), "left").drop("_k", "_d")
     ser = ffill(ser, KEYS, "ds", "y", "y_ffill")
     ser = bfill(ser, KEYS, "ds", "y", "y_bfill")
     return rounded(drop_last(ser, KEYS, "ds"))
@@ -159,17 +160,104 @@ def q_fc_best(spark, sf):
     return rounded(FC.best_model(_errors(spark, sf), KEYS), 6)
 
 
-@query("fc_exp_smoothing")
+def _more_models_sql(h: int, season: int, future_lags: bool = False) -> str:
+    """CTEs after `ser`: hold-out of h, the closed forms, smoothing step by step for every alpha, and the
+    pooled regression on three lags by successive orthogonal projections."""
+    return f""",
+ix AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY ds) AS t, count(*) OVER (PARTITION BY k) AS n FROM ser),
+train AS (SELECT * FROM ix WHERE t <= n - {h}), test AS (SELECT *, n - {h} AS nt FROM ix WHERE t > n - {h}),
+al AS (SELECT CAST(i AS DOUBLE) / 20 AS a FROM range(1, 20) r(i)),
+ses(k, a, t, level, sse) AS (
+  SELECT k, a, 1, CAST(y AS DOUBLE), CAST(0 AS DOUBLE) FROM train, al WHERE t = 1
+  UNION ALL SELECT s.k, s.a, s.t + 1, s.a * tr.y + (1 - s.a) * s.level, s.sse + (tr.y - s.level) * (tr.y - s.level)
+    FROM ses s JOIN train tr ON tr.k = s.k AND tr.t = s.t + 1),
+sm AS (SELECT s.k, arg_min(s.a, (sse, s.a)) AS alpha, arg_min(level, (sse, s.a)) AS level
+         FROM ses s JOIN (SELECT k, max(t) AS t FROM train GROUP BY k) e ON e.k = s.k AND e.t = s.t GROUP BY s.k),
+lg AS (SELECT *, lag(y, 1) OVER w AS l1, lag(y, 2) OVER w AS l2, lag(y, 3) OVER w AS l3 FROM ix WINDOW w AS (PARTITION BY k ORDER BY t)),
+lt AS (SELECT * FROM lg WHERE t <= n - {h} AND l3 IS NOT NULL),
+lm AS (SELECT avg(l1) AS m1, avg(l2) AS m2, avg(l3) AS m3, avg(y) AS my FROM lt),
+c0 AS (SELECT l1 - m1 AS c1, l2 - m2 AS c2, l3 - m3 AS c3, y - my AS cy FROM lt, lm),
+b1 AS (SELECT sum(c1 * c2) / sum(c1 * c1) AS b21, sum(c1 * c3) / sum(c1 * c1) AS b31, sum(c1 * cy) / sum(c1 * c1) AS g1 FROM c0),
+c1 AS (SELECT c2 - b21 * c1 AS r2, c3 - b31 * c1 AS s3, cy FROM c0, b1),
+b2 AS (SELECT sum(r2 * s3) / sum(r2 * r2) AS b32, sum(r2 * cy) / sum(r2 * r2) AS g2 FROM c1),
+b3 AS (SELECT sum((s3 - b32 * r2) * cy) / sum((s3 - b32 * r2) * (s3 - b32 * r2)) AS g3 FROM c1, b2),
+wt AS (SELECT g1 - g2 * b21 - g3 * (b31 - b32 * b21) AS w1, g2 - g3 * b32 AS w2, g3 AS w3 FROM b1, b2, b3),
+cf AS (SELECT w1, w2, w3, my - w1 * m1 - w2 * m2 - w3 * m3 AS c FROM wt, lm)"""
+
+
+WEEK_MORE_SQL = "WITH RECURSIVE " + WEEKLY_SQL.removeprefix("WITH") + _more_models_sql(H, SEASON)
+
+
+@query("fc_exp_smoothing", sql=WEEK_MORE_SQL + """
+SELECT test.k AS c_mktsegment, ds, round(y, 2) AS y, round(level, 0) AS yhat, round(alpha, 2) AS alpha, 'exp_smoothing' AS model
+FROM test JOIN sm ON sm.k = test.k""")
 def q_fc_ses(spark, sf):
-    """Simple exponential smoothing per segment (applyInPandas per series); rows only."""
-    return FC.exp_smoothing(_indexed(spark, sf), KEYS, H)
+    """Simple exponential smoothing per segment, the alpha found on a grid."""
+    r = FC.exp_smoothing(_indexed(spark, sf), KEYS)
+    return rounded(rounded(r, 0, ["yhat"]), 2, ["y", "alpha"])
 
 
-@query("fc_lag_regression")
+@query("fc_lag_regression", sql=WEEK_MORE_SQL + f"""
+SELECT k AS c_mktsegment, ds, round(y, 2) AS y, round(c + w1 * l1 + w2 * l2 + w3 * l3, 0) AS yhat, 'lag_regression' AS model
+FROM lg, cf WHERE t > n - {H}""")
 def q_fc_lag(spark, sf):
-    """Spark ML lag-feature regression fitted on all segments' training weeks; rows only."""
+    """Regression on three lags fitted on all segments' training weeks, one step ahead."""
     _, pred = FC.lag_regression(_indexed(spark, sf), KEYS)
-    return pred
+    return rounded(rounded(pred, 0, ["yhat"]), 2, ["y"])
+
+
+def _select_sql(series: str, freq: str) -> str:
+    h, season = FC.HORIZON[freq], FC.SEASON[freq]
+    return "WITH RECURSIVE " + series.removeprefix("WITH") + _more_models_sql(h, season) + f""",
+ahead(k, i, l1, l2, l3) AS (
+  SELECT k, 0, max(y) FILTER (t = n - {h}), max(y) FILTER (t = n - {h} - 1), max(y) FILTER (t = n - {h} - 2) FROM ix GROUP BY k
+  UNION ALL SELECT k, i + 1, c + w1 * l1 + w2 * l2 + w3 * l3, l1, l2 FROM ahead, cf WHERE i < {h}),
+line AS (SELECT k, regr_slope(y, t) AS b, regr_intercept(y, t) AS a FROM train GROUP BY k),
+mean AS (SELECT tr.k, avg(tr.y) AS v FROM train tr WHERE tr.t > tr.n - {h} - {WINDOW} GROUP BY tr.k),
+pred AS (SELECT test.k, test.y, 'seasonal_naive' AS model, tr.y AS yhat
+           FROM test LEFT JOIN train tr ON tr.k = test.k AND tr.t = test.t - {season} * ceil((test.t - test.nt) / {season})
+  UNION ALL SELECT test.k, test.y, 'moving_average', v FROM test JOIN mean ON mean.k = test.k
+  UNION ALL SELECT test.k, test.y, 'linear_trend', a + b * test.t FROM test JOIN line ON line.k = test.k
+  UNION ALL SELECT test.k, test.y, 'exp_smoothing', level FROM test JOIN sm ON sm.k = test.k
+  UNION ALL SELECT test.k, test.y, 'lag_regression', l1 FROM test JOIN ahead ON ahead.k = test.k AND ahead.i = test.t - test.nt),
+err AS (SELECT k, model, avg(abs((y - yhat) / y)) AS mape FROM pred WHERE y <> 0 AND yhat IS NOT NULL GROUP BY k, model)
+SELECT k AS c_mktsegment, model, round(mape, 4) AS mape,
+       row_number() OVER (PARTITION BY k ORDER BY mape, model) = 1 AS chosen FROM err"""
+
+
+def _select(spark, sf, freq):
+    series = resample(_segment_sales(spark, sf), "o_orderdate", "l_extendedprice", freq, KEYS)
+    _, err, best, _ = FC.fit_select(materialize(series), KEYS, freq, WINDOW)
+    best = best.select(F.col("c_mktsegment").alias("_k"), F.col("model").alias("_m"))
+    j = err.join(best, F.col("c_mktsegment").eqNullSafe(F.col("_k")), "left")
+    return rounded(j.select("c_mktsegment", "model", "mape", (F.col("model") == F.col("_m")).alias("chosen")), 4, ["mape"])
+
+
+@query("fc_select_all_day", sql=_select_sql(f"WITH {SEG_SQL}, {_resample_sql('d', 'INTERVAL 1 DAY')}", "D"))
+def q_fc_select_day(spark, sf):
+    """Hold-out errors of all five candidates on daily series (31 days ahead) and the one chosen."""
+    return _select(spark, sf, "D")
+
+
+@query("fc_select_all_month", sql=_select_sql(f"WITH {SEG_SQL}, {_resample_sql('last_day(d)', '', month=True)}", "M"))
+def q_fc_select_month(spark, sf):
+    """The same on monthly series (one month ahead)."""
+    return _select(spark, sf, "M")
+
+
+@query("resample_null_segment", sql=f"""
+WITH src AS (SELECT c.c_mktsegment, CAST(o.o_orderdate AS DATE) AS d, l.l_extendedprice AS v
+  FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey
+  LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) c ON o.o_custkey = c.c_custkey),
+{_resample_sql(WEEK_BUCKET, 'INTERVAL 7 DAY', 'src')}
+SELECT k AS c_mktsegment, ds, round(y, 2) AS y FROM ser""")
+def q_resample_null_segment(spark, sf):
+    """Weekly sales per segment where customers without a positive balance are unknown: their sales
+    form a series of their own, with a null key."""
+    f = orders_fact(load(spark, sf, "orders"), load(spark, sf, "lineitem"))
+    c = load(spark, sf, "customer").filter("c_acctbal > 0").select("c_custkey", "c_mktsegment")
+    j = f.join(c, f["o_custkey"] == c["c_custkey"], "left")
+    return rounded(resample(j, "o_orderdate", "l_extendedprice", "W", KEYS))
 
 
 def _next(spark, sf):
@@ -208,7 +296,7 @@ def q_actual_vs_forecast(spark, sf):
     s = _indexed(spark, sf)
     pred = FC.closed_form_candidates(s, KEYS, H, SEASON, WINDOW)
     best = FC.best_model(FC.mape(pred, KEYS), KEYS)
-    bp = pred.join(best.select(*KEYS, "model"), KEYS + ["model"], "left_semi")
+    bp = FC._of_best(pred, best, KEYS)
     j = FC.compare(s.filter(F.col("split") == "test"), bp, KEYS)
     return rounded(rounded(j, 0, ["predicted"]), 2, ["actual"])
 
