@@ -14,7 +14,7 @@ def first_translation(response: Column | str, field: str = "text") -> Column:
     return F.try_element_at(F.transform(texts, lambda t: t[field]), F.lit(1))
 
 
-def field_of_first(arr: Column | str, field: str) -> Column:
-    """`arr[0].field` as NULL-safe access (no error on an empty array)."""
+def non_empty(arr: Column | str) -> Column:
+    """True for an array with elements; false for an empty or NULL one."""
     a = F.col(arr) if isinstance(arr, str) else arr
-    return F.try_element_at(a, F.lit(1))[field]
+    return F.coalesce(F.size(a) > 0, F.lit(False))

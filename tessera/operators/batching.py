@@ -2,10 +2,13 @@
 chunks, prompt rows, scoring through a supplied function with bounded
 retries, answer parsing, length checks and positional un-batching.
 
-Determinism without a global sort: rows are spread over `shards` by
-``pmod(id, shards)`` and ordered by id inside a shard, so batch numbers do not
-depend on partitioning or Arrow batch sizes.  Each batch is then keyed by
-(shard, batch) and every later step is a join / group by on that key.
+Determinism without a global sort: rows are spread over `shards` by their id and
+ordered inside a shard, so batch numbers do not depend on partitioning or Arrow
+batch sizes.  Whole-number ids go by ``pmod(id, shards)`` and are ordered by id;
+ids of any other type go by a hash and are ordered by it (a null id is in shard
+0).  Each batch is then keyed by (shard, batch) and every later step is a join /
+group by on that key.  `shards` is the caller's choice (``shards_for``): greedy
+batches are sequential inside a shard.
 """
 from __future__ import annotations
 
@@ -24,12 +27,27 @@ MAX_CHARS = 45000
 CHUNK_SIZE = 20
 
 
-def shard_of(id_col: str, shards: int) -> Column:
-    return F.pmod(F.col(id_col), F.lit(shards)).cast("int")
+def shards_for(rows: int, rows_per_shard: int = 1_000_000) -> int:
+    """A number of shards that grows with the data."""
+    return max(1, -(-rows // rows_per_shard))
+
+
+def whole_numbers(df: DataFrame, id_col: str) -> bool:
+    return isinstance(df.schema[id_col].dataType, T.IntegralType)
+
+
+def id_hash(id_col: str) -> Column:
+    """32 bits of an id of any type, as a long."""
+    return F.conv(F.substring(F.md5(F.col(id_col).cast("string")), 1, 8), 16, 10).cast("long")
+
+
+def shard_of(df: DataFrame, id_col: str, shards: int) -> Column:
+    n = F.col(id_col) if whole_numbers(df, id_col) else id_hash(id_col)
+    return F.coalesce(F.pmod(n, F.lit(shards)).cast("int"), F.lit(0))
 
 
 def greedy_batches(df: DataFrame, id_col: str, text_col: str, max_items: int = MAX_ITEMS,
-                   max_chars: int = MAX_CHARS, shards: int = 4) -> DataFrame:
+                   max_chars: int = MAX_CHARS, *, shards: int) -> DataFrame:
     """Assign (shard, batch) so that each batch holds <= max_items texts and <= max_chars
     characters, filling batches greedily in id order inside a shard.  A text longer than
     max_chars gets a batch of its own (no empty batch is emitted).
@@ -38,9 +56,11 @@ def greedy_batches(df: DataFrame, id_col: str, text_col: str, max_items: int = M
     state (``mapInPandas`` over a partition sorted by (shard, id)); the state is carried
     across Arrow batches and reset when the shard changes.
     """
-    base = df.select(F.col(id_col).alias("_id"), F.length(F.col(text_col)).alias("_len"),
-                     shard_of(id_col, shards).alias("shard")).filter(F.col("_len").isNotNull())
-    part = base.repartition(shards, "shard").sortWithinPartitions("shard", "_id")
+    order = F.col(id_col) if whole_numbers(df, id_col) else F.md5(F.col(id_col).cast("string"))
+    kind = df.schema[id_col].dataType.simpleString()
+    base = df.select(F.col(id_col).alias("_id"), order.alias("_order"), F.length(F.col(text_col)).alias("_len"),
+                     shard_of(df, id_col, shards).alias("shard")).filter(F.col("_len").isNotNull())
+    part = base.repartition(shards, "shard").sortWithinPartitions("shard", "_order", "_id", "_len").drop("_order")
 
     def scan(it):
         cur_shard, batch, cnt, chars = None, -1, 0, 0
@@ -57,31 +77,37 @@ def greedy_batches(df: DataFrame, id_col: str, text_col: str, max_items: int = M
             yield pd.DataFrame({"_id": pdf["_id"], "shard": pdf["shard"], "batch": out_b,
                                 "_len": pdf["_len"]})
 
-    out = part.mapInPandas(scan, "_id long, shard int, batch int, _len int")
+    out = part.mapInPandas(scan, f"_id {kind}, shard int, batch int, _len int")
     return out.select(F.col("_id").alias(id_col), "shard", "batch", F.col("_len").alias("n_chars"))
 
 
-def rank_in_shard(df: DataFrame, id_col: str, shards: int, bucket_width: int = 1 << 20) -> DataFrame:
-    """0-based position of each row in id order inside its shard, computed in parallel:
-    rows are grouped in id buckets of `bucket_width` ids; a small table of counts per
-    (shard, bucket) gives each bucket's starting offset (running sum over buckets), and
-    ``row_number`` runs only inside one bucket, so no task ever sorts a whole shard.
-    Deterministic (no sampling), and independent of partitioning."""
-    d = df.withColumns({"shard": shard_of(id_col, shards),
-                        "_bkt": F.floor(F.col(id_col) / bucket_width).cast("long")})
+ROWS_A_BUCKET = 8192
+
+
+def rank_in_shard(df: DataFrame, id_col: str, shards: int, rows_a_bucket: int = ROWS_A_BUCKET) -> DataFrame:
+    """0-based position of each row inside its shard, computed in parallel: rows are grouped in
+    buckets that follow the order (ranges of whole-number ids, as wide as the ids are sparse;
+    else ranges of the id's hash), a small table of counts per (shard, bucket) gives each
+    bucket's starting offset, and ``row_number`` runs only inside one bucket, so no task ever
+    sorts a whole shard.  Deterministic (no sampling), and independent of partitioning."""
+    d = df.withColumn("shard", shard_of(df, id_col, shards))
+    order = F.col(id_col) if whole_numbers(df, id_col) else id_hash(id_col)
+    n, lo, hi = d.agg(F.count(F.lit(1)), F.min(order), F.max(order)).first()  # one row of metadata
+    width = max(1, -(-((hi or 0) - (lo or 0) + 1) * rows_a_bucket // max(n, 1)))
+    d = d.withColumns({"_o": order, "_bkt": F.floor((order - F.lit(lo or 0)) / F.lit(width)).cast("long")})
     counts = d.groupBy("shard", "_bkt").agg(F.count(F.lit(1)).alias("_n"))
-    wo = Window.partitionBy("shard").orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(wo), F.lit(0))).drop("_n")
-    wb = Window.partitionBy("shard", "_bkt").orderBy(id_col)
+    wo = Window.partitionBy("shard").orderBy(F.asc_nulls_first("_bkt")).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(F.col("shard").alias("_s"), F.col("_bkt").alias("_b"),
+                            F.coalesce(F.sum("_n").over(wo), F.lit(0)).alias("_off"))
+    wb = Window.partitionBy("shard", "_bkt").orderBy("_o", id_col)
     r = d.withColumn("_rb", F.row_number().over(wb) - 1)
-    return r.join(offsets, ["shard", "_bkt"]).withColumn("_rn", F.col("_off") + F.col("_rb")) \
-        .drop("_bkt", "_off", "_rb")
+    return r.join(offsets, (F.col("shard") == F.col("_s")) & F.col("_bkt").eqNullSafe(F.col("_b"))) \
+        .withColumn("_rn", F.col("_off") + F.col("_rb")).drop("_o", "_bkt", "_s", "_b", "_off", "_rb")
 
 
-def chunk(df: DataFrame, id_col: str, size: int = CHUNK_SIZE, shards: int = 4,
-          bucket_width: int = 1 << 20) -> DataFrame:
-    """Fixed-size chunks in id order inside each shard: adds shard, batch, pos (0-based)."""
-    d = rank_in_shard(df, id_col, shards, bucket_width)
+def chunk(df: DataFrame, id_col: str, size: int = CHUNK_SIZE, *, shards: int) -> DataFrame:
+    """Fixed-size chunks in order inside each shard: adds shard, batch, pos (0-based)."""
+    d = rank_in_shard(df, id_col, shards)
     return d.withColumns({"batch": F.floor(F.col("_rn") / size).cast("int"),
                           "pos": F.pmod(F.col("_rn"), F.lit(size)).cast("int")}).drop("_rn")
 
@@ -109,12 +135,14 @@ def parse_scores(answer: Column) -> Column:
 
 def check_answers(scored: DataFrame, answer_col: str = "answer") -> tuple[DataFrame, DataFrame]:
     """(accepted, rejects).  A batch is accepted when its parsed scores have exactly one value
-    per item, or when the whole answer is NULL (its items keep NULL scores).  Rejects carry a
-    reason: 'malformed' or 'length'."""
+    per item, or when the service answered NULL (its items keep NULL scores).  Rejects carry a
+    reason: 'failed' (the call failed; with its ``error``), 'malformed' or 'length'."""
     s = scored.withColumn("scores", parse_scores(F.col(answer_col)))
-    ok = F.col(answer_col).isNull() | F.coalesce(F.size("scores") == F.col("n_items"), F.lit(False))
-    reason = F.when(F.col("scores").isNull(), "malformed").otherwise("length")
-    return s.filter(ok), s.filter(~ok).select("shard", "batch", "n_items", reason.alias("reason"))
+    calls = "error" in scored.columns
+    failed = F.col("error").isNotNull() if calls else F.lit(False)
+    ok = ~failed & (F.col(answer_col).isNull() | F.coalesce(F.size("scores") == F.col("n_items"), F.lit(False)))
+    reason = F.when(failed, "failed").when(F.col("scores").isNull(), "malformed").otherwise("length")
+    return s.filter(ok), s.filter(~ok).select("shard", "batch", "n_items", reason.alias("reason"), *["error"] * calls)
 
 
 def unbatch(accepted: DataFrame, out_col: str = "score") -> DataFrame:
@@ -127,9 +155,10 @@ def unbatch(accepted: DataFrame, out_col: str = "score") -> DataFrame:
 def score_batches(prompts: DataFrame, fn: Callable[[pd.DataFrame], pd.Series], retries: int = 3,
                   wait_seconds: float = 0.0) -> DataFrame:
     """Call `fn` (pandas frame of prompt rows -> series of answer strings) on executors, one
-    request per prompt row.  A failing request is retried up to `retries` times, then the
+    request per prompt row.  A failing request is tried up to `retries` times, then the
     prompt gets a NULL answer and the last error text in ``error``; nothing is gathered on
-    the driver.  Adds ``answer``, ``error``, ``attempts``."""
+    the driver.  Adds ``answer``, ``error``, ``attempts``.  A task that Spark runs again calls the
+    service again for its prompts: store the result (``materialize``) before using it twice."""
     schema = T.StructType(prompts.schema.fields + [T.StructField("answer", T.StringType()),
                                                    T.StructField("error", T.StringType()),
                                                    T.StructField("attempts", T.IntegerType())])
@@ -193,10 +222,11 @@ def term_scorer(pdf: pd.DataFrame) -> pd.Series:
 
 def defect_scores(df: DataFrame, id_col: str, text_col: str, scorer: Callable = term_scorer,
                   instruction: str = "Score each review for product defects from 0 to 1.\n",
-                  size: int = CHUNK_SIZE, shards: int = 4) -> tuple[DataFrame, DataFrame]:
-    """Reviews -> (id, review, defect_score) and the rejected batches."""
+                  size: int = CHUNK_SIZE, *, shards: int) -> tuple[DataFrame, DataFrame]:
+    """Reviews -> (id, review, defect_score) and the rejected batches (failed calls with their
+    error, malformed answers, answers of the wrong length)."""
     texts = df.filter(F.col(text_col).isNotNull()).select(id_col, text_col)
-    prompts = batch_prompts(chunk(texts, id_col, size, shards), id_col, text_col, instruction)
+    prompts = batch_prompts(chunk(texts, id_col, size, shards=shards), id_col, text_col, instruction)
     # the scored prompts feed both the accepted rows and the rejects: write them once so the
     # (possibly remote, paid) scorer is never called twice for a batch
     from tessera.session import materialize

@@ -27,16 +27,11 @@ def one_per_key(df: DataFrame, key: str, order_col: str | None = None) -> DataFr
     return df.groupBy(key).agg(F.max(st).alias("_s")).select(key, *[F.col(f"_s.{c}").alias(c) for c in others])
 
 
-def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
-    """Report of keys that occur more than once (key, n)."""
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-
-
-def attach_result(df: DataFrame, result: DataFrame, id_col: str, text_col: str, out_col: str) -> DataFrame:
-    """Join a per-id result (id, out_col) back to its source, keeping (text, out_col).
-    The result side is reduced to one row per id first, so duplicate ids never fan out."""
-    res = one_per_key(result.select(id_col, out_col), id_col)
-    return df.join(res, id_col, "left")
+def attach_result(df: DataFrame, result: DataFrame, id_col: str, cols: list[str]) -> DataFrame:
+    """Join per-id results (`cols`) back to their source.  The result side is reduced to one row per
+    id first, so duplicate ids never fan out."""
+    res = one_per_key(result.select(id_col, *cols), id_col).withColumnRenamed(id_col, "_rid")
+    return df.join(res, df[id_col].eqNullSafe(res["_rid"]), "left").drop("_rid")
 
 
 def extend_lookup(lookup: DataFrame, rows: DataFrame) -> DataFrame:

@@ -44,13 +44,13 @@ def list_csv(spark: SparkSession, folder: str) -> list[str]:
 
 
 def ingest_folder(spark: SparkSession, src: str, dst: str, name_fn: Callable[[str], str] = table_name_from_file,
-                  infer: bool = False, fmt: str = "parquet") -> list[tuple[str, str]]:
+                  infer: bool = False, fmt: str = "parquet", multiline: bool = False) -> list[tuple[str, str]]:
     """Every CSV of `src` becomes table `dst/<name_fn(file)>`, overwritten (schema changes
     allowed).  Returns [(table, path)]."""
     out = []
     for f in list_csv(spark, src):
         t = name_fn(f)
         path = f"{dst.rstrip('/')}/{t}"
-        write_table(read_csv(spark, f"{src.rstrip('/')}/{f}", infer=infer), path, fmt=fmt, overwrite_schema=True)
+        write_table(read_csv(spark, f"{src.rstrip('/')}/{f}", infer=infer, multiline=multiline), path, fmt=fmt, overwrite_schema=True)
         out.append((t, path))
     return out

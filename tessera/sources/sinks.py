@@ -1,7 +1,7 @@
 """Table sinks: overwrite, append with a run timestamp, export of a whole model."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -23,24 +23,26 @@ def append_table(df: DataFrame, path: str, fmt: str = "parquet", ts_col: str = "
 
 
 def latest_run(df: DataFrame, keys: list[str], ts_col: str = "prediction_ts") -> DataFrame:
-    """Rows of the newest run per key."""
-    w = Window.partitionBy(*keys).orderBy(F.col(ts_col).desc())
-    return df.withColumn("_rn", F.dense_rank().over(w)).filter("_rn = 1").drop("_rn")
+    """Rows of the newest run per key: one row per key is reduced map-side, the history is not sorted."""
+    last = df.groupBy(*keys).agg(F.max(ts_col).alias("_last")).select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_last")
+    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys] + [F.col(ts_col) == F.col("_last")]
+    return df.join(last, same, "left_semi")
 
 
 def export_tables(spark: SparkSession, tables: dict, dst: str, fmt: str = "parquet") -> DataFrame:
     """Write every table (name -> DataFrame factory) to `dst/<name>`; a failing table does not
-    stop the others.  Returns (table, ok, error, rows) — rows are counted from the written data."""
+    stop the others.  Returns (table, ok, error, rows): the whole error text, and the rows that
+    were written, counted by the write itself."""
+    from tessera.session import literal_frame
     status = []
     for name, make in tables.items():
-        path = f"{dst.rstrip('/')}/{name}"
         try:
-            write_table(make(), path, fmt=fmt)
-            n = spark.read.format(fmt).load(path).count()
-            status.append((name, True, None, n))
+            seen = Observation()
+            write_table(make().observe(seen, F.count(F.lit(1)).alias("rows")), f"{dst.rstrip('/')}/{name}", fmt=fmt)
+            status.append((name, True, None, seen.get.get("rows", 0)))
         except Exception as e:  # noqa: BLE001 - reported per table
-            status.append((name, False, f"{type(e).__name__}: {str(e).splitlines()[0][:200]}", None))
-    return spark.createDataFrame(status, "table string, ok boolean, error string, rows long")
+            status.append((name, False, f"{type(e).__name__}: {e}", None))
+    return literal_frame(spark, status, "table string, ok boolean, error string, rows long")
 
 
 def export_model(model, dst: str, fmt: str = "parquet") -> DataFrame:

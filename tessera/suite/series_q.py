@@ -367,10 +367,10 @@ def q_last_n_dates(spark, sf):
     return rounded(last_n(daily, "date", 31))
 
 
-@query("forecast_history")
+@query("forecast_history", sql=NEXT_SQL + " SELECT k AS c_mktsegment, ds, model, round(predicted_sales, 0) AS predicted_sales FROM nxt")
 def q_forecast_history(spark, sf):
     """Two forecast runs appended to a history table with their run timestamps; the latest run
-    per segment and date is read back (rows only: timestamps differ per run)."""
+    per segment and date is read back (without its timestamp, which differs per run)."""
     import time
     import uuid
 
@@ -382,4 +382,4 @@ def q_forecast_history(spark, sf):
     time.sleep(0.01)
     append_table(nxt, path)
     hist = spark.read.parquet(path)
-    return latest_run(hist, KEYS + ["ds"]).select(*KEYS, "ds", "model", "predicted_sales", "prediction_ts")
+    return rounded(latest_run(hist, KEYS + ["ds"]).select(*KEYS, "ds", "model", "predicted_sales"), 0)

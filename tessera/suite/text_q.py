@@ -1,12 +1,15 @@
 """Registered queries: batched text jobs, messages, translation, look-ups and merges."""
 from __future__ import annotations
 
+import json
+
 import pandas as pd
 from pyspark.sql import functions as F
 
+from tessera.functions.arrays import first_translation, non_empty
 from tessera.operators import batching as B
 from tessera.operators.joins import exclude_by_name, extend_lookup, merge_left, one_per_key, translate_lookup
-from tessera.operators.translate import WORD_DICTIONARY, translate_columns
+from tessera.operators.translate import WORD_DICTIONARY, translate_columns, translate_job
 from tessera.session import literal_frame
 from tessera.sources.tables import load
 from tessera.suite.common import rounded
@@ -42,10 +45,102 @@ def q_greedy_batches(spark, sf):
 SELECT shard, batch, CAST(count(*) AS BIGINT) AS n_items, min(doc_id) AS first_id, max(doc_id) AS last_id,
        CAST(sum(length(text)) AS BIGINT) AS chars FROM ch GROUP BY 1, 2""")
 def q_fixed_chunks(spark, sf):
-    c = B.chunk(load(spark, sf, "documents").filter(F.col("text").isNotNull()), "doc_id", shards=SHARDS)
+    d = load(spark, sf, "documents").filter(F.col("text").isNotNull()).select("doc_id", F.length("text").alias("chars"))
+    c = B.chunk(d, "doc_id", shards=SHARDS)
     return c.groupBy("shard", "batch").agg(F.count(F.lit(1)).alias("n_items"), F.min("doc_id").alias("first_id"),
-                                           F.max("doc_id").alias("last_id"),
-                                           F.sum(F.length("text")).cast("bigint").alias("chars"))
+                                           F.max("doc_id").alias("last_id"), F.sum("chars").cast("bigint").alias("chars"))
+
+
+STRING_IDS_SQL = """d0 AS (SELECT 'r' || doc_id AS review_id, length(text) AS len, md5('r' || doc_id) AS h,
+   CAST('0x' || substr(md5('r' || doc_id), 1, 8) AS BIGINT) AS o FROM documents WHERE text IS NOT NULL),
+d1 AS (SELECT *, CAST(o % 4 AS INTEGER) AS shard FROM d0)"""
+
+
+def _string_ids(spark, sf):
+    d = load(spark, sf, "documents").filter(F.col("text").isNotNull())
+    return d.select(F.concat(F.lit("r"), F.col("doc_id").cast("string")).alias("review_id"), "text", F.length("text").alias("chars"))
+
+
+@query("fixed_chunks_string_id", sql=f"""WITH {STRING_IDS_SQL},
+c AS (SELECT *, row_number() OVER (PARTITION BY shard ORDER BY o, review_id) - 1 AS rn FROM d1)
+SELECT shard, CAST(rn // 20 AS INTEGER) AS batch, count(*) AS n_items, min(review_id) AS first_id, max(review_id) AS last_id,
+       CAST(sum(len) AS BIGINT) AS chars FROM c GROUP BY 1, 2""")
+def q_fixed_chunks_string_id(spark, sf):
+    """Chunks of 20 over ids that are strings."""
+    c = B.chunk(_string_ids(spark, sf).select("review_id", "chars"), "review_id", shards=SHARDS)
+    return c.groupBy("shard", "batch").agg(F.count(F.lit(1)).alias("n_items"), F.min("review_id").alias("first_id"),
+                                           F.max("review_id").alias("last_id"), F.sum("chars").cast("bigint").alias("chars"))
+
+
+_GREEDY_STEPS_SQL = """r AS (SELECT shard, rn, id, len, 0 AS batch, 1 AS cnt, len AS chars FROM d WHERE rn = 1
+      UNION ALL
+      SELECT d.shard, d.rn, d.id, d.len,
+             CASE WHEN r.cnt + 1 > 900 OR r.chars + d.len > 45000 THEN r.batch + 1 ELSE r.batch END,
+             CASE WHEN r.cnt + 1 > 900 OR r.chars + d.len > 45000 THEN 1 ELSE r.cnt + 1 END,
+             CASE WHEN r.cnt + 1 > 900 OR r.chars + d.len > 45000 THEN d.len ELSE r.chars + d.len END
+      FROM r JOIN d ON d.shard = r.shard AND d.rn = r.rn + 1)"""
+
+
+@query("greedy_batches_string_id", sql=f"""WITH RECURSIVE {STRING_IDS_SQL},
+d AS (SELECT review_id AS id, shard, len, row_number() OVER (PARTITION BY shard ORDER BY h, review_id) AS rn FROM d1),
+{_GREEDY_STEPS_SQL}
+SELECT id AS review_id, shard, CAST(batch AS INTEGER) AS batch, CAST(len AS INTEGER) AS n_chars FROM r""")
+def q_greedy_batches_string_id(spark, sf):
+    """Greedy batches over ids that are strings."""
+    return B.greedy_batches(_string_ids(spark, sf), "review_id", "text", shards=SHARDS)
+
+
+def _service(pdf: pd.DataFrame) -> pd.Series:
+    """A translation service as seen by the job: nested answers, and a failure for every request whose
+    first text has an id divisible by 5."""
+    out = []
+    for items in pdf["items"]:
+        if items[0]["id"] % 5 == 0:
+            raise RuntimeError("service unavailable")
+        out.append(json.dumps([{"translations": [{"text": "en:" + i["text"], "to": "en"}, {"text": "second", "to": "x"}]}
+                               for i in items]))
+    return pd.Series(out)
+
+
+def _job_sql(col: str) -> str:
+    steps = _GREEDY_STEPS_SQL.replace("r AS (", f"r_{col} AS (").replace("FROM r JOIN d ON d.shard = r.shard AND d.rn = r.rn + 1",
+                                                                      f"FROM r_{col} r JOIN d_{col} d ON d.shard = r.shard AND d.rn = r.rn + 1")
+    return f"""d_{col} AS (SELECT doc_id AS id, CAST(doc_id % 4 AS INTEGER) AS shard, length({col}) AS len,
+      row_number() OVER (PARTITION BY doc_id % 4 ORDER BY doc_id) AS rn FROM documents WHERE {col} IS NOT NULL),
+{steps.replace("FROM d WHERE rn = 1", f"FROM d_{col} WHERE rn = 1")},
+b_{col} AS (SELECT id, min(id) OVER (PARTITION BY shard, batch) % 5 = 0 AS failed FROM r_{col})"""
+
+
+@query("translate_job", sql=f"""WITH RECURSIVE {_job_sql('text')}, {_job_sql('lang')}
+SELECT doc_id, CASE WHEN NOT t.failed THEN 'en:' || text END AS text_en, CASE WHEN NOT l.failed THEN 'en:' || lang END AS lang_en,
+       CASE WHEN t.failed THEN 'RuntimeError: service unavailable' END AS text_error
+FROM documents LEFT JOIN b_text t ON t.id = doc_id LEFT JOIN b_lang l ON l.id = doc_id""")
+def q_translate_job(spark, sf):
+    """Two columns translated in turn by a service under its batch limits, joined back by id; failed
+    requests leave NULL and their error."""
+    d = load(spark, sf, "documents").select("doc_id", "text", "lang")
+    r = translate_job(d, "doc_id", ["text", "lang"], _service, shards=SHARDS)
+    return r.select("doc_id", "text_en", "lang_en", "text_error")
+
+
+@query("first_translation", sql="""
+SELECT doc_id, CASE WHEN length(text) % 3 > 0 THEN string_split(text, chr(10))[1] END AS first_text FROM documents""")
+def q_first_translation(spark, sf):
+    """Nested answers (results, each with translations) flattened and the first text taken; every
+    third document has results without translations."""
+    lines = F.transform(F.split("text", "\n"), lambda x: F.struct(x.alias("text"), F.lit("en").alias("to")))
+    some = F.when(F.length("text") % 3 > 0, lines).otherwise(F.slice(lines, 1, 0))
+    answer = F.array(F.struct(F.slice(lines, 1, 0).alias("translations")), F.struct(some.alias("translations")))
+    return load(spark, sf, "documents").select("doc_id", first_translation(answer).alias("first_text"))
+
+
+@query("non_empty_arrays", sql="""
+SELECT doc_id, CAST(len(list_filter(string_split(text, chr(10)), lambda x: length(x) > 300)) AS INTEGER) AS n_long_lines
+FROM documents WHERE len(list_filter(string_split(text, chr(10)), lambda x: length(x) > 300)) > 0""")
+def q_non_empty_arrays(spark, sf):
+    """Documents whose array of long lines is not empty."""
+    d = load(spark, sf, "documents").withColumn("long", F.filter(F.split("text", "\n"), lambda x: F.length(x) > 300))
+    return d.filter(non_empty("long")).select("doc_id", F.size("long").alias("n_long_lines"))
 
 
 def _prompts(spark, sf):
@@ -129,11 +224,14 @@ def q_defect_scores(spark, sf):
     return rounded(res, 4)
 
 
-@query("score_batches_retry")
+@query("score_batches_retry", sql=f"""WITH {CHUNK_SQL},
+b AS (SELECT shard, batch, count(*) AS n, arg_min(doc_id, pos) AS first FROM ch GROUP BY 1, 2)
+SELECT shard, batch, CAST(n AS INTEGER) AS n_items, CAST(CASE WHEN first % 10 = 7 OR first % 2 = 1 THEN 3 ELSE 1 END AS INTEGER) AS attempts,
+       CASE WHEN first % 10 = 7 THEN 'RuntimeError: service unavailable' END AS error, first % 10 <> 7 AS answered FROM b""")
 def q_score_batches_retry(spark, sf):
     """A flaky scorer: batches whose first document id is odd fail twice before succeeding,
     batches whose first id ends in 7 always fail.  Three attempts: the first kind succeed on
-    the third attempt, the second kind end with an error and NULL answers (rows only)."""
+    the third attempt, the second kind end with an error and NULL answers."""
     p = _prompts(spark, sf)
     calls: dict = {}
 
@@ -180,8 +278,7 @@ SELECT doc_id, lang, array_to_string(list_transform(string_split(text, ' '),
        lambda w: coalesce(({_dict_sql()})[lower(w)], w)), ' ') AS text_en
 FROM documents""")
 def q_translate_back_join(spark, sf):
-    """Distinct document texts translated once with the word dictionary, joined back to every
-    document (NULL texts stay NULL)."""
+    """Document texts translated with the word dictionary, in place (NULL texts stay NULL)."""
     d = load(spark, sf, "documents").select("doc_id", "lang", "text")
     return translate_columns(d, ["text"]).select("doc_id", "lang", "text_en")
 

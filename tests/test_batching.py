@@ -39,7 +39,7 @@ def test_greedy_independent_of_arrow_batch_size(spark):
 
 def test_chunk_unbatch_identity(spark):
     df = spark.createDataFrame([(i, f"t{i}") for i in range(57)], "id long, text string")
-    p = B.batch_prompts(B.chunk(df, "id", 20, 2), "id", "text", "score:\n")
+    p = B.batch_prompts(B.chunk(df, "id", 20, shards=2), "id", "text", "score:\n")
     answers = p.withColumn("answer", F.to_json(F.transform("items", lambda x: x["id"].cast("double"))))
     ok, rej = B.check_answers(answers)
     assert rej.count() == 0
@@ -66,7 +66,7 @@ def test_reject_reasons(spark):
 
 def test_flaky_scorer_retries(spark):
     df = spark.createDataFrame([(i, f"t{i}") for i in range(40)], "id long, text string")
-    p = B.batch_prompts(B.chunk(df, "id", 20, 1), "id", "text", "score:\n")
+    p = B.batch_prompts(B.chunk(df, "id", 20, shards=1), "id", "text", "score:\n")
     state = {"n": 0}
 
     def flaky(pdf: pd.DataFrame) -> pd.Series:
@@ -88,7 +88,60 @@ def test_flaky_scorer_retries(spark):
 def test_rank_in_shard_matches_global_order(spark):
     ids = [7, 3, 11, 2, 40, 41, 5, 100, 64, 63, 9, 8]
     df = spark.createDataFrame([(i,) for i in ids], "id long")
-    got = {r.id: (r.shard, r._rn) for r in B.rank_in_shard(df, "id", 2, bucket_width=4).collect()}
+    got = {r.id: (r.shard, r._rn) for r in B.rank_in_shard(df, "id", 2, rows_a_bucket=1).collect()}
     for sh in (0, 1):
         members = sorted(i for i in ids if i % 2 == sh)
         assert [got[i] for i in members] == [(sh, k) for k in range(len(members))]
+
+
+def test_string_and_null_ids(spark):
+    rows = [(f"r{i}", f"t{i}") for i in range(57)] + [(None, "n"), ("r3", "again")]
+    df = spark.createDataFrame(rows, "id string, text string")
+    p = B.batch_prompts(B.chunk(df, "id", 20, shards=2), "id", "text", "score:\n")
+    assert sorted((i["id"] or "", i["text"]) for r in p.collect() for i in r["items"]) == sorted((a or "", b) for a, b in rows)
+    assert max(r.n_items for r in p.collect()) == 20
+    g = B.greedy_batches(df, "id", "text", max_items=10, shards=3).collect()
+    assert len(g) == len(rows)
+    sizes = {}
+    for r in g:
+        sizes[r.shard, r.batch] = sizes.get((r.shard, r.batch), 0) + 1
+    assert max(sizes.values()) == 10
+
+
+def test_failed_calls_are_rejected_with_their_error(spark):
+    df = spark.createDataFrame([(i, f"t{i}") for i in range(40)], "id long, text string")
+
+    def down(pdf):
+        raise RuntimeError("service down")
+
+    res, rejects = B.defect_scores(df, "id", "text", down, shards=1)
+    assert res.count() == 0
+    assert [(r.reason, r.error) for r in rejects.collect()] == [("failed", "RuntimeError: service down")] * 2
+
+
+def test_translate_job(spark):
+    from tessera.operators.translate import translate_job
+    df = spark.createDataFrame([("a", "x", None), ("b", None, "y"), ("c", "fail", "z")], "id string, t string, u string")
+
+    def call(pdf):
+        out = []
+        for items in pdf["items"]:
+            if any(i["text"] == "fail" for i in items):
+                raise RuntimeError("")
+            out.append(json.dumps([{"translations": [{"text": "en " + i["text"], "to": "en"}]} for i in items]))
+        return pd.Series(out)
+
+    got = {r.id: r for r in translate_job(df, "id", ["t", "u"], call, shards=1, max_items=1, retries=2).collect()}
+    assert (got["a"].t_en, got["a"].u_en, got["b"].t_en, got["b"].u_en) == ("en x", None, None, "en y")
+    assert (got["c"].t_en, got["c"].t_error, got["c"].u_en) == (None, "RuntimeError: ", "en z")
+
+
+def test_export_goes_on_after_an_error_without_text(spark, tmp_path):
+    from tessera.sources.sinks import export_tables
+
+    def broken():
+        raise ValueError()
+
+    got = {r.table: r for r in export_tables(spark, {"a": lambda: spark.range(3), "b": broken, "c": lambda: spark.range(0)},
+                                             f"file://{tmp_path}").collect()}
+    assert (got["a"].rows, got["b"].ok, got["b"].error, got["c"].rows) == (3, False, "ValueError: ", 0)
