@@ -7,7 +7,7 @@ vectors, so nothing is matched by position.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -19,7 +19,8 @@ def distinct_values(df: DataFrame, col: str) -> DataFrame:
 
 def embed_text(df: DataFrame, text_col: str, num_features: int = 1 << 12) -> DataFrame:
     """TF-IDF embedding (tokenize -> hashed term frequencies -> IDF -> L2 normalise), column
-    ``embedding`` (vector).  Any other embedding function can be supplied as a DataFrame
+    ``embedding`` (vector).  Words share `num_features` hash buckets: with many more distinct words
+    than that, unlike texts come closer.  Any other embedding function can be supplied as a DataFrame
     transform instead."""
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
@@ -73,7 +74,8 @@ def _centroid_distance(df: DataFrame, key: str, vec_col: str) -> DataFrame:
     v = df.withColumn("_vec", array_to_vector(F.col(vec_col)))
     cen = v.groupBy(key).agg(Summarizer.mean(F.col("_vec")).alias("_c")) \
         .select(key, vector_to_array(F.col("_c")).alias("_c"))
-    j = v.join(cen, key)
+    cen = cen.withColumnRenamed(key, "_ck")
+    j = v.join(cen, v[key].eqNullSafe(cen["_ck"])).drop("_ck")  # a null group is a group
     sq = F.zip_with(F.col(vec_col), F.col("_c"), lambda a, b: (a.cast("double") - b) * (a.cast("double") - b))
     return j.select(key, "_name", F.aggregate(sq, F.lit(0.0), lambda acc, x: acc + x).alias("_d"))
 
@@ -93,12 +95,5 @@ def name_groups(df: DataFrame, key: str, name_col: str, vec_col: str) -> DataFra
 
 def category_mapping(df: DataFrame, key: str, name_col: str, names: DataFrame) -> DataFrame:
     """original name -> higher-order (group) name, one row per member."""
-    return df.select(key, F.col(name_col).alias("original_category")).join(names.select(key, "group_name"), key) \
-        .select("original_category", F.col("group_name").alias("higher_order_category"))
-
-
-def group_members(df: DataFrame, key: str, member: Column | str) -> DataFrame:
-    """Sorted member array per group.  Only for groups of bounded size (a batch, a
-    conversation); use ``category_mapping`` rows for open-ended groups."""
-    m = F.col(member) if isinstance(member, str) else member
-    return df.groupBy(key).agg(F.sort_array(F.collect_list(m)).alias("members"))
+    d, n = df.select(key, F.col(name_col).alias("original_category")), names.select(F.col(key).alias("_nk"), "group_name")
+    return d.join(n, d[key].eqNullSafe(n["_nk"])).select("original_category", F.col("group_name").alias("higher_order_category"))

@@ -25,6 +25,7 @@ from tessera.sources.tables import load
 
 # Date dimensions already materialised, keyed by (Spark application, checkpoint folder, data
 # folder, config): a new or restarted session never sees another application's tables.
+# `refresh_dates` forgets them.
 _DATE_TABLES: dict = {}
 
 # The model's relationships and measures.
@@ -84,16 +85,32 @@ def geo_table(nation: DataFrame, region: DataFrame) -> DataFrame:
     return nation.join(region, nation["n_regionkey"] == region["r_regionkey"]).select("n_nationkey", "n_name", "r_name")
 
 
+def refresh_dates() -> None:
+    """Forget the Date tables built so far, after the orders have changed."""
+    _DATE_TABLES.clear()
+
+
 def sales_model(spark: SparkSession, sf_dir: str, cfg: CalendarConfig | None = None,
                 forecast: DataFrame | None = None) -> Model:
     t = lambda n: load(spark, sf_dir, n)
 
+    wider: list[DataFrame] = []  # the Date table that covers the forecast too, once built
+
     def date_dim() -> DataFrame:
         """The Date dimension is a calculated table: built once from the order years and
         materialised (checkpointed), as a model refresh would import it."""
+        bounds = year_bounds(t("orders"), "o_orderdate")
+        if wider:
+            return wider[0]
+        if forecast is not None:  # the years of the second fact too; `today` stays that of the orders
+            more = year_bounds(forecast, "date").select("first_year", "last_year", F.lit(None).cast("date").alias("today"))
+            bounds = bounds.unionByName(more).agg(F.min("first_year").alias("first_year"),
+                                                  F.max("last_year").alias("last_year"), F.max("today").alias("today"))
+            wider.append(materialize(calendar(spark, bounds, cfg)))
+            return wider[0]
         key = (spark.sparkContext.applicationId, spark.conf.get("spark.checkpoint.dir", ""), sf_dir, repr(cfg))
         if key not in _DATE_TABLES:
-            _DATE_TABLES[key] = materialize(calendar(spark, year_bounds(t("orders"), "o_orderdate"), cfg))
+            _DATE_TABLES[key] = materialize(calendar(spark, bounds, cfg))
         return _DATE_TABLES[key]
 
     def leads() -> DataFrame:

@@ -58,13 +58,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    spark = df.sparkSession
-    spark.sparkContext.setCheckpointDir(checkpoint_dir(spark))
-    return df.checkpoint(eager=True)
-
-
 def materialize(df: DataFrame) -> DataFrame:
     """Write a small, reused intermediate (a dimension, per-period partials, resampled
     series) once as a parquet table in the shared checkpoint folder and read it back:
@@ -97,4 +90,20 @@ def literal_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFr
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for intermediate tables; the folder's
     scheme (``file:``, ``hdfs:``, ``s3a:``) is kept."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/{name}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}"
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+_SCRATCH: dict[str, list[str]] = {}
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete every intermediate folder this application has made so far (results that read them
+    must have been written by then).  Returns how many."""
+    hadoop, jvm = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm
+    paths = _SCRATCH.pop(spark.sparkContext.applicationId, [])
+    for p in paths:
+        where = jvm.org.apache.hadoop.fs.Path(p)
+        where.getFileSystem(hadoop).delete(where, True)
+    return len(paths)

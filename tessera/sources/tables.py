@@ -15,21 +15,3 @@ def table_path(sf_dir: str, name: str) -> str:
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Parquet scan of one table; projection and filters push down to it."""
     return spark.read.parquet(table_path(sf_dir, name))
-
-
-class Tables:
-    """Lazy accessor: ``Tables(spark, dir).orders`` -> DataFrame."""
-
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark = spark
-        self.sf_dir = sf_dir
-
-    def __getattr__(self, name: str) -> DataFrame:
-        if name in TABLES:
-            return load(self.spark, self.sf_dir, name)
-        raise AttributeError(name)
-
-    def register_views(self) -> None:
-        """Register every table as a temp view (for ``spark.sql``)."""
-        for t in TABLES:
-            load(self.spark, self.sf_dir, t).createOrReplaceTempView(t)

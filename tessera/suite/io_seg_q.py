@@ -52,6 +52,24 @@ def q_category_mapping(spark, sf):
     return S.category_mapping(e, "label", "name", S.name_groups(e, "label", "name", "embedding"))
 
 
+@query("segment_chain", sql="""
+SELECT replace(p_type, '_', ' ') AS original_category, count(*) AS n_products, true AS named_after_a_category FROM part
+WHERE p_type IS NOT NULL GROUP BY 1""")
+def q_segment_chain(spark, sf):
+    """The segmentation end to end: distinct category names, embedding, PCA, k-means, a name per group
+    and the mapping back to every category (the oracle checks that each category is mapped once,
+    to a category's name)."""
+    names = S.distinct_values(load(spark, sf, "part"), "p_type")
+    e = S.embed_text(names, "category", 64).withColumn("vector", vector_to_array("embedding"))
+    p, _ = S.pca_by_variance(e, "vector", 0.95)
+    c = S.kmeans(p, "pca", 3, 42).withColumn("v", vector_to_array("pca")).select("category", "n", "cluster", "v")
+    m = S.category_mapping(c, "cluster", "category", S.name_groups(c, "cluster", "category", "v"))
+    known = names.select(F.col("category").alias("_c"))
+    m = m.join(known, F.col("higher_order_category") == F.col("_c"), "left")
+    return names.join(m, F.col("category") == F.col("original_category")).select(
+        "original_category", F.col("n").alias("n_products"), F.col("_c").isNotNull().alias("named_after_a_category"))
+
+
 @query("pca_kmeans")
 def q_pca_kmeans(spark, sf):
     """Centred PCA keeping 95 % of the variance, then KMeans(k=18, seed=42) (a fit: checked against
@@ -150,7 +168,7 @@ UNION ALL SELECT 'payments', count(*), 5, NULL, NULL FROM events
 UNION ALL SELECT 'geo_customers', count(*), 3, NULL, NULL FROM nation JOIN region ON n_regionkey = r_regionkey
 UNION ALL SELECT 'geo_sellers', count(*), 3, NULL, NULL FROM nation JOIN region ON n_regionkey = r_regionkey""")
 def q_catalog_exclude(spark, sf):
-    """Model tables with row and column counts, minus the excluded names (anti join)."""
+    """Model tables with row and column counts, minus the excluded names."""
     return catalog.list_tables(spark, sales_model(spark, sf), exclude=["date", "leads"])
 
 
@@ -180,4 +198,4 @@ CALKEYS = """(SELECT CAST(year(d) * 10000 + month(d) * 100 + day(d) AS INTEGER)
 ]))
 def q_relationship_catalog(spark, sf):
     """The model's relationships as a DataFrame with an integrity count per edge."""
-    return catalog.list_relationships(sales_model(spark, sf))
+    return catalog.list_relationships(spark, sales_model(spark, sf))

@@ -325,14 +325,13 @@ def q_model_latest(spark, sf):
 @query("forecast_measure", sql=NEXT_SQL + f""",
 fc AS (SELECT ds AS d, sum(predicted_sales) AS p FROM nxt GROUP BY ds),
 sales AS (SELECT year(order_date) * 100 + month(order_date) AS ym, sum(l_extendedprice) AS s FROM {FACT_SQL} f GROUP BY 1),
-b0 AS (SELECT max(year(o_orderdate)) AS y1 FROM orders),
-fcm AS (SELECT CASE WHEN year(d) <= b0.y1 THEN year(d) * 100 + month(d) END AS ym, sum(p) AS p FROM fc, b0 GROUP BY 1)
+fcm AS (SELECT year(d) * 100 + month(d) AS ym, sum(p) AS p FROM fc GROUP BY 1)
 SELECT CAST(coalesce(sales.ym, fcm.ym) AS INTEGER) AS year_month, round(sales.s, 2) AS total_sales,
        round(fcm.p, 0) AS total_sales_forecast
 FROM sales FULL JOIN fcm ON sales.ym = fcm.ym""")
 def q_forecast_measure(spark, sf):
     """The forecast table as a second fact on Date: actual and forecast sales by month."""
-    nxt = _next(spark, sf)
+    nxt = materialize(_next(spark, sf))
     fc = nxt.groupBy(F.col("ds").alias("date")).agg(F.sum("predicted_sales").alias("predicted_sales")) \
         .withColumns({"date_key": (F.year("date") * 10000 + F.month("date") * 100 + F.dayofmonth("date")).cast("int"),
                       "prediction_ts": F.current_timestamp()})

@@ -16,3 +16,5 @@ def spark():
     if not s.conf.get("spark.checkpoint.dir", None):
         s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tessera-test-ckpt-"))
     yield s
+    from tessera.session import drop_scratch
+    drop_scratch(s)

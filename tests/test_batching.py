@@ -145,3 +145,23 @@ def test_export_goes_on_after_an_error_without_text(spark, tmp_path):
     got = {r.table: r for r in export_tables(spark, {"a": lambda: spark.range(3), "b": broken, "c": lambda: spark.range(0)},
                                              f"file://{tmp_path}").collect()}
     assert (got["a"].rows, got["b"].ok, got["b"].error, got["c"].rows) == (3, False, "ValueError: ", 0)
+
+
+def test_merge_left_matches_null_keys_on_request(spark):
+    from tessera.operators.joins import merge_left
+    a = spark.createDataFrame([("x",), (None,)], "k string")
+    b = spark.createDataFrame([("x", 1), (None, 2)], "j string, v int")
+    assert sorted((r.k or "", r.v) for r in merge_left(a, b, "k", "j", ["v"], null_safe=True).collect()) == [("", 2), ("x", 1)]
+    assert sorted((r.k or "", r.v) for r in merge_left(a, b, "k", "j", ["v"]).collect()) == [("", None), ("x", 1)]
+
+
+def test_scratch_folders_can_be_dropped(spark):
+    from tessera.session import drop_scratch, materialize
+    df = materialize(spark.range(5))
+    path = df.inputFiles()[0].rsplit("/", 1)[0]
+    assert df.count() == 5 and drop_scratch(spark) >= 1
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    assert not where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+    from tessera.plans.sales import refresh_dates
+    refresh_dates()  # the Date tables were among them
