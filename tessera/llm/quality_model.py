@@ -3,7 +3,9 @@
 Shallow trees are grown on a bounded labelled sample, every root-to-node path becomes a rule (a
 conjunction of thresholds over text statistics), an L1-penalised logistic regression picks a few
 rules and their weights, and the model is compiled into one Spark column expression.  Scoring is
-therefore a projection: no join, no shuffle, whatever the number of documents.
+therefore a projection: no join, no shuffle, whatever the number of documents.  The statistics of
+the sample are computed by Spark; its fit (a few thousand short rows, a fixed bound) takes a
+second of numpy on the driver.
 """
 from __future__ import annotations
 
@@ -11,8 +13,7 @@ import math
 import re
 from dataclasses import dataclass
 
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,7 +21,8 @@ from tessera.llm.common import free_name, held_out, stored
 from tessera.llm.measures import measures
 
 SAMPLE = 6000        # labelled documents learned from at most (those with the smallest hashes)
-TREES, DEPTH = 12, 3
+TREES, DEPTH, LEAF = 12, 3, 5  # trees, their depth, rows in a leaf at least
+STEPS = 400          # of the descent for the L1 penalty
 PENALTY = 0.001
 THRESHOLD = 0.7
 
@@ -80,18 +82,57 @@ def statistics(measured: str) -> Column:
                       for name, sql in STATISTICS.items()])
 
 
-def tree_paths(debug: str, names: list[str]) -> list[tuple[tuple[str, str, float], ...]]:
-    """Conditions on the way to every node below the root, from the printed form of Spark's trees."""
-    paths, way = [], []
-    for line in debug.splitlines():
-        m = re.match(r"( *)(?:If|Else) \(feature (\d+) (<=|>) ([^)]+)\)", line)
-        if line.lstrip().startswith("Tree"):
-            way = []
-        elif m:
-            depth = len(m[1])
-            way = [w for w in way if w[0] < depth] + [(depth, (names[int(m[2])], m[3], float(m[4])))]
-            paths.append(tuple(c for _, c in way))
-    return paths
+Path = tuple[tuple[str, str, float], ...]
+
+
+def best_split(x: np.ndarray, y: np.ndarray) -> tuple[float, float] | None:
+    """(impurity, threshold) of the best cut of one statistic: the least weighted Gini impurity with
+    LEAF rows on either side; None if there is no cut."""
+    order = np.argsort(x, kind="stable")
+    xs, ones = x[order], np.cumsum(y[order])
+    left = np.arange(1, len(xs))
+    n, good = len(xs), (xs[:-1] < xs[1:]) & (left >= LEAF) & (len(xs) - left >= LEAF)
+    if not good.any():
+        return None
+    a, b = ones[:-1], ones[-1] - ones[:-1]
+    impurity = np.where(good, a * (left - a) / left + b * (n - left - b) / (n - left), np.inf)
+    i = int(impurity.argmin())
+    middle = (xs[i] + xs[i + 1]) / 2
+    return float(impurity[i]), float(middle if middle < xs[i + 1] else xs[i])
+
+
+def tree_paths(x: np.ndarray, y: np.ndarray, names: list[str], depth: int, rng: np.random.Generator,
+               way: Path = ()) -> list[Path]:
+    """Conditions on the way to every node below the root of one greedy tree, each split chosen among
+    half of the statistics."""
+    if depth == 0 or y.min(initial=1) == y.max(initial=0):
+        return []
+    tried = [(s, int(f)) for f in rng.permutation(len(names))[:(len(names) + 1) // 2] if (s := best_split(x[:, f], y))]
+    if not tried:
+        return []
+    (_, cut), f = min(tried)
+    out = []
+    for op, part in (("<=", x[:, f] <= cut), (">", x[:, f] > cut)):
+        here = way + ((names[f], op, cut),)
+        out += [here, *tree_paths(x[part], y[part], names, depth - 1, rng, here)]
+    return out
+
+
+def lasso_logistic(x: np.ndarray, y: np.ndarray, penalty: float, steps: int = STEPS) -> tuple[float, np.ndarray]:
+    """(intercept, weights) of logistic regression with an L1 penalty on the weights, by accelerated
+    proximal gradient steps."""
+    n = len(y)
+    a = np.column_stack([np.ones(n), x])
+    rate = 4 * n / np.linalg.norm(a, 2) ** 2
+    w = ahead = np.zeros(a.shape[1])
+    t = 1.0
+    for _ in range(steps):
+        step = ahead - rate * (a.T @ (1 / (1 + np.exp(-np.clip(a @ ahead, -35, 35))) - y)) / n
+        new = np.sign(step) * np.maximum(np.abs(step) - rate * penalty, 0)
+        new[0] = step[0]
+        t_new = (1 + math.sqrt(1 + 4 * t * t)) / 2
+        ahead, w, t = new + (t - 1) / t_new * (new - w), new, t_new
+    return float(w[0]), w[1:]
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> DataFrame:
@@ -111,30 +152,26 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> D
 
 def fit(sample: DataFrame, trees: int = TREES, depth: int = DEPTH, penalty: float = PENALTY) -> RuleModel:
     """Rule ensemble from (label, s).  Without labels every score is 0.5, with one class alone it
-    is that class."""
-    seen = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
-    if len(seen) < 2:
-        return RuleModel(0.0 if not seen else (4.0 if 1.0 in seen else -4.0), ())
+    is that class.  The same sample gives the same model on every run."""
     names = list(STATISTICS)
-    # a bounded sample: one sorted partition makes the trees the same on every run
-    rows = sample.repartition(1).sortWithinPartitions("__id", "label", "s")
-    grown = VectorAssembler(inputCols=names, outputCol="x").transform(
-        rows.select("__id", "label", "s", "s.*")).select("__id", "label", "s", "x").persist()
-    try:
-        forest = RandomForestClassifier(labelCol="label", featuresCol="x", numTrees=trees, maxDepth=depth, seed=7,
-                                        featureSubsetStrategy="0.5").fit(grown)
-        paths = sorted(set(tree_paths(forest.toDebugString, names)), key=lambda p: (len(p), p))
-        if not paths:
-            return RuleModel(math.log((seen[1.0]) / seen[0.0]), ())
-        fired = grown.select("label", *[Rule(p).column("s").cast("double").alias(f"r{i}")
-                                        for i, p in enumerate(paths)])
-        x = VectorAssembler(inputCols=[f"r{i}" for i in range(len(paths))], outputCol="x").transform(fired)
-        lasso = LogisticRegression(labelCol="label", featuresCol="x", elasticNetParam=1.0, regParam=penalty,
-                                   standardization=False, maxIter=60).fit(x.select("label", "x"))
-    finally:
-        grown.unpersist()
-    rules = tuple(Rule(p, float(w)) for p, w in zip(paths, lasso.coefficients.toArray()) if w)
-    return RuleModel(float(lasso.intercept), rules)
+    rows = sorted(tuple(r) for r in sample.select("__id", "label", *[F.col(f"s.{n}") for n in names]).collect())
+    if not rows:
+        return RuleModel(0.0, ())
+    y, x = np.array([r[1] for r in rows]), np.array([r[2:] for r in rows])
+    if y.min() == y.max():
+        return RuleModel(4.0 if y[0] else -4.0, ())
+    rng, paths = np.random.default_rng(7), set()
+    for _ in range(trees):
+        drawn = rng.integers(0, len(y), len(y))
+        paths |= set(tree_paths(x[drawn], y[drawn], names, depth, rng))
+    if not paths:
+        return RuleModel(math.log(y.sum() / (1 - y).sum()), ())
+    paths = sorted(paths, key=lambda p: (len(p), p))
+    column = {n: x[:, k] for k, n in enumerate(names)}
+    fires = np.column_stack([np.all([column[n] <= c if op == "<=" else column[n] > c for n, op, c in p], axis=0)
+                             for p in paths]).astype(float)
+    intercept, weights = lasso_logistic(fires, y, penalty)
+    return RuleModel(intercept, tuple(Rule(p, float(w)) for p, w in zip(paths, weights) if w))
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> RuleModel:

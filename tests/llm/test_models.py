@@ -83,20 +83,35 @@ def test_language_odd_rows(spark, frame):
 
 # --- quality -------------------------------------------------------------------------------------
 
-def test_tree_paths_of_a_printed_tree():
-    printed = """RandomForestClassificationModel: uid=x, numTrees=2
-  Tree 0 (weight 1.0):
-    If (feature 0 <= 1.5)
-     If (feature 1 <= 0.25)
-      Predict: 0.0
-     Else (feature 1 > 0.25)
-      Predict: 1.0
-    Else (feature 0 > 1.5)
-     Predict: 1.0
-  Tree 1 (weight 1.0):
-    Predict: 1.0"""
-    assert quality_model.tree_paths(printed, ["p", "q"]) == [
-        (("p", "<=", 1.5),), (("p", "<=", 1.5), ("q", "<=", 0.25)), (("p", "<=", 1.5), ("q", ">", 0.25)), (("p", ">", 1.5),)]
+def test_best_split_equals_trying_all_cuts():
+    rng = np.random.default_rng(1)
+    for _ in range(20):
+        x, y = rng.integers(0, 12, 60).astype(float), rng.integers(0, 2, 60).astype(float)
+        gini = lambda v: len(v) * v.mean() * (1 - v.mean())
+        cuts = [c for c in np.unique(x)[:-1] if min((x <= c).sum(), (x > c).sum()) >= quality_model.LEAF]
+        impurity, cut = quality_model.best_split(x, y)
+        assert abs(impurity - min(gini(y[x <= c]) + gini(y[x > c]) for c in cuts)) < 1e-9
+        assert abs(impurity - gini(y[x <= cut]) - gini(y[x > cut])) < 1e-9
+
+
+def test_tree_paths_are_conjunctions_from_the_root():
+    rng = np.random.default_rng(0)
+    x = rng.random((400, 2))
+    y = ((x[:, 0] > 0.5) & (x[:, 1] <= 0.3)).astype(float)
+    paths = quality_model.tree_paths(x, y, ["p", "q"], 3, rng)
+    assert paths and all(1 <= len(p) <= 3 for p in paths)
+    assert all(p[:-1] == () or p[:-1] in paths for p in paths)
+
+
+def test_lasso_meets_its_optimality_conditions():
+    rng = np.random.default_rng(2)
+    x = (rng.random((300, 8)) < 0.4).astype(float)
+    y = (rng.random(300) < 1 / (1 + np.exp(-(2 * x[:, 0] - 1.5 * x[:, 1])))).astype(float)
+    b, w = quality_model.lasso_logistic(x, y, 0.02, 5000)
+    slope = x.T @ (1 / (1 + np.exp(-(b + x @ w))) - y) / 300
+    assert abs((1 / (1 + np.exp(-(b + x @ w))) - y).mean()) < 1e-6
+    assert all(abs(s + 0.02 * np.sign(v)) < 1e-5 if v else abs(s) <= 0.02 + 1e-6 for s, v in zip(slope, w))
+    assert (w == 0).any() and w[0] > 0 > w[1]
 
 
 def test_quality_held_out_accuracy_and_compiled_scores(spark):
