@@ -183,10 +183,10 @@ _HITS = "array<struct<item_id:bigint,start_word:bigint,n_words:bigint,hamming:in
 
 def blocks_of(benchmark: DataFrame, size: int = PASS_ITEMS) -> list[list[tuple[int, str]]]:
     """The benchmark's (item_id, text) in blocks of about `size` rows, each small enough to send."""
-    n = benchmark.count()
+    items = benchmark.select("item_id", "text").distinct()  # a repeated item is one item
+    n = items.count()
     k = max(1, -(-n // size))
     part = F.pmod(F.xxhash64("item_id", "text"), F.lit(k))
-    items = benchmark.select("item_id", "text")
     return [[(r[0], r[1]) for r in items.filter(part == b).orderBy("item_id", "text").collect()] for b in range(k)] if n else []
 
 

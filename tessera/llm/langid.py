@@ -121,7 +121,9 @@ def learn(docs: DataFrame, sample: int = SAMPLE) -> KernelModel | None:
            .select(F.col("doc_id").alias("__id"), F.col("lang").alias("__lang"), "h").distinct())
     picked = docs.select("doc_id", "lang", "text").join(
         F.broadcast(ids), (F.col("doc_id") == F.col("__id")) & (F.col("lang") == F.col("__lang")))
-    rows = stored(picked.filter(F.col("text").isNotNull()).select("lang", "h", "text"), "langid-sample")
+    # one text for each id however often it is repeated: the sample stays bounded, and the same
+    rows = stored(picked.filter(F.col("text").isNotNull()).groupBy("doc_id", "lang", "h").agg(F.min("text").alias("text"))
+                  .select("lang", "h", "text"), "langid-sample")
 
     @F.arrow_udf("array<int>")
     def letters(texts: pa.Array) -> pa.Array:

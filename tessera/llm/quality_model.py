@@ -147,7 +147,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> D
     texts = docs.select(F.col("doc_id").alias("__doc"), "text")
     got = texts.join(F.broadcast(chosen), F.col("__doc") == F.col("__id")).select("__id", "label",
                                                                                measures().alias("m"))
-    return stored(got.select("__id", "label", statistics("m").alias("s")), "quality-sample")
+    rows = got.select("__id", "label", statistics("m").alias("s"))
+    # one row for each id however often it is repeated: the sample stays bounded, and the same
+    return stored(rows.groupBy("__id", "label").agg(F.min("s").alias("s")), "quality-sample")
 
 
 def fit(sample: DataFrame, trees: int = TREES, depth: int = DEPTH, penalty: float = PENALTY) -> RuleModel:

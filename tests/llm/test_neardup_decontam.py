@@ -188,7 +188,7 @@ def items_frame(spark, items):
 def test_contaminated_equals_all_windows(spark, frame):
     docs, items = leak_case()
     odd = [(900, None), (901, ""), (902, "a b c"), (None, items[5][1]), (903, "w " * 30000 + items[6][1])]
-    out = decontam.contaminated(frame(docs + odd, extra=True), items_frame(spark, items + [(1, None), (2, "")]))
+    out = decontam.contaminated(frame(docs + odd, extra=True), items_frame(spark, items + items[:3] + [(1, None), (2, ""), (None, None)]))
     got = {(r["doc_id"], r["item_id"]): r["similarity"] for r in out.collect()}
     want = brute_hits(docs + odd[:4], items)
     want[903, 106] = 1.0
