@@ -121,11 +121,20 @@ CLEANING = (
 )
 
 
+#: What may stand between two words of a text that CLEANING parts by one space: white space and
+#: comment marks (their characters, so that runs of any length match without recursion).
+GAP = r"[\t\n\x0B\f\r /*#;%dnl-]+"
+
+
 def has_stem(text: Column) -> Column:
+    """False only for texts without a stem in their normalised sentences: on the raw text, the words of
+    a stem may be parted by line breaks, several spaces or comment marks."""
     low = F.lower(text)
     out = F.lit(False)
     for s in STEMS:
-        out = out | F.contains(low, F.lit(s))
+        words = s.split(" ")
+        fits = F.contains(low, F.lit(words[-1]))
+        out = out | (fits & F.rlike(low, F.lit(GAP.join(words))) if len(words) > 1 else fits)
     return out
 
 
