@@ -4,10 +4,12 @@ The kernel of two texts is the normalised number of character n-grams (1 to 3 le
 that both contain.  A Nyström map through landmark texts turns kernel ridge regression, one
 language against the rest, into a linear problem as large as the number of landmarks.  Since the
 kernel is linear in n-gram presence, landmarks and weights fold into one matrix (n-grams x
-languages), and a batch of texts is scored by one sparse-times-dense product.
+languages), and a batch of texts is scored by one sparse-times-dense product.  Every letter of
+every script is told apart; the n-grams of the landmarks are the vocabulary.
 """
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,10 +21,10 @@ from tessera.llm.common import free_name, held_out, stored
 
 SAMPLE = 300       # documents learned from for each language at most (those with the smallest hashes)
 LANDMARKS = 40     # landmark texts for each language, out of the sample
-LETTERS = 62       # letters told apart (the most frequent of the sample); all others count as one
 RIDGE = 1.0
-_OTHER, _BASE = 63, 64
-_SPACE = _BASE + _BASE ** 2 + _BASE ** 3
+_OTHER = 1         # letters that an alphabet of the caller's does not have
+_POINTS, _BITS = 0x110000, 21
+_SPACE = 1 << 18   # size of the scratch array that callers may hand to ngrams
 _BLOCK = 256       # texts in one matrix product
 
 
@@ -31,89 +33,102 @@ def has_letter(text: str) -> bool:
 
 
 def codes(text: str, alphabet: np.ndarray) -> np.ndarray:
-    """Letters as 1..62 (known), 63 (other); runs of anything else as one 0, also at both ends."""
+    """Letters by the alphabet; runs of anything else as one 0, also at both ends."""
     points = np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32)
-    out = np.full(len(points) + 2, _OTHER, np.int32)
-    out[0] = out[-1] = 0
-    low = points < len(alphabet)
-    out[1:-1][low] = alphabet[points[low]]
+    out = np.zeros(len(points) + 2, np.int64)
+    out[1:-1] = alphabet[points]
     keep = np.ones(len(out), bool)
     keep[1:] = (out[1:] != 0) | (out[:-1] != 0)
     return out[keep]
 
 
-def letter_table(letters: list[int]) -> np.ndarray:
-    """Look-up from code points to letter codes (below U+3000; beyond, all are "other")."""
-    size = 0x3000
-    table = np.fromiter((_OTHER if chr(i).isalpha() else 0 for i in range(size)), np.int32, size)
-    for k, point in enumerate(letters):
-        if point < size:
-            table[point] = k + 1
-    return table
+def letter_table(letters: list[int] | None = None) -> np.ndarray:
+    """Look-up from all code points to letter codes: every letter by its own code point, or with
+    `letters` only those, all others as one."""
+    alpha = np.fromiter((chr(i).isalpha() for i in range(_POINTS)), bool, _POINTS)
+    points = np.arange(_POINTS, dtype=np.int32)
+    if letters is None:
+        return np.where(alpha, points, 0).astype(np.int32)
+    return np.where(np.isin(points, letters), points, np.where(alpha, _OTHER, 0)).astype(np.int32)
 
 
-def ngrams(text: str, alphabet: np.ndarray, seen: np.ndarray) -> np.ndarray:
-    """Sorted numbers of the distinct 1-, 2- and 3-grams of a whole text.  `seen`: a scratch
-    array of _SPACE false values, given back so."""
-    s = codes(text, alphabet)
-    two = s[:-1] * _BASE + s[1:]
-    seen[s] = True
-    seen[_BASE + two] = True
-    seen[_BASE + _BASE ** 2 + two[:-1] * _BASE + s[2:]] = True
-    found = np.flatnonzero(seen)
-    seen[found] = False
-    return found
+@functools.cache
+def every_letter() -> np.ndarray:
+    return letter_table()
+
+
+def ngrams(text: str, alphabet: np.ndarray, seen: np.ndarray | None = None) -> np.ndarray:
+    """Sorted numbers (letter codes of 21 bits, side by side) of the distinct 1-, 2- and 3-grams of a
+    whole text.  `seen` is not needed any more and stays as it is."""
+    s = codes(text, alphabet) + 1  # so that a 0 in front is not lost
+    two = (s[:-1] << _BITS) + s[1:]
+    return np.unique(np.concatenate((s, two, (two[:-1] << _BITS) + s[2:])))
+
+
+def _places(vocabulary: np.ndarray, grams: np.ndarray) -> np.ndarray:
+    """Rows of the vocabulary that a text's n-grams have."""
+    at = np.searchsorted(vocabulary, grams)
+    inside = at < len(vocabulary)
+    at, grams = at[inside], grams[inside]
+    return at[vocabulary[at] == grams]
 
 
 @dataclass(frozen=True)
 class KernelModel:
     languages: tuple[str, ...]
-    alphabet: np.ndarray
-    row: np.ndarray      # n-gram -> row of `weights`, or -1 (in no landmark)
-    weights: np.ndarray  # rows x languages
+    alphabet: np.ndarray | None  # None: every letter
+    vocabulary: np.ndarray       # the n-grams of the landmarks, sorted
+    weights: np.ndarray          # n-grams x languages
 
     def score(self, texts: list[str]) -> np.ndarray:
         """One value per text and language, about 1 for its own and -1 for the others."""
-        seen, out = np.zeros(_SPACE, bool), np.zeros((len(texts), len(self.languages)))
+        alphabet = every_letter() if self.alphabet is None else self.alphabet
+        out = np.zeros((len(texts), len(self.languages)))
         for at in range(0, len(texts), _BLOCK):
-            grams = [ngrams(t, self.alphabet, seen) for t in texts[at:at + _BLOCK]]
-            rows = [r[r >= 0] for r in (self.row[g] for g in grams)]
-            ends = np.cumsum([len(r) for r in rows])
-            sums = np.zeros((ends[-1] + 1, len(self.languages)))
-            np.cumsum(self.weights[np.concatenate(rows)], axis=0, out=sums[1:])
-            product = sums[ends] - sums[np.concatenate(([0], ends[:-1]))]  # presence rows x weights
+            grams = [ngrams(t, alphabet) for t in texts[at:at + _BLOCK]]
+            product = np.array([self.weights[_places(self.vocabulary, g)].sum(0) for g in grams])  # presence rows x weights
             out[at:at + _BLOCK] = product / np.sqrt([max(1, len(g)) for g in grams])[:, None]
         return out
 
 
-def fit(grams: list[np.ndarray], langs: list[str], alphabet: np.ndarray, landmarks: int = LANDMARKS,
+def fit(grams: list[np.ndarray], langs: list[str], alphabet: np.ndarray | None = None, landmarks: int = LANDMARKS,
         ridge: float = RIDGE) -> KernelModel:
     """Kernel ridge regression on Nyström features; `grams` and `langs`: the bounded sample."""
     languages = tuple(sorted(set(langs)))
     chosen = [i for lang in languages for i in [j for j, x in enumerate(langs) if x == lang][:landmarks]]
-    row = np.full(_SPACE, -1, np.int32)
     vocabulary = np.unique(np.concatenate([grams[i] for i in chosen])) if chosen else np.zeros(0, np.int64)
-    row[vocabulary] = np.arange(len(vocabulary))
-    marks = np.zeros((len(vocabulary), len(chosen)))  # presence of n-grams in landmarks, normalised
-    for k, i in enumerate(chosen):
-        marks[row[grams[i]], k] = 1 / np.sqrt(max(1, len(grams[i])))
-    kernel = np.array([marks[r[r >= 0]].sum(0) / np.sqrt(max(1, len(g)))
-                       for g, r in ((g, row[g]) for g in grams)]).reshape(len(grams), len(chosen))
-    values, vectors = np.linalg.eigh(marks.T @ marks)
+    rows = [_places(vocabulary, grams[i]) for i in chosen]
+    norms = np.array([1 / np.sqrt(max(1, len(grams[i]))) for i in chosen])
+    # the landmarks that have an n-gram, n-gram after n-gram (no table of n-grams x landmarks)
+    flat = np.concatenate(rows) if rows else np.zeros(0, np.int64)
+    owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])[np.argsort(flat, kind="stable")]
+    sizes = np.bincount(flat, minlength=len(vocabulary))
+    starts = np.cumsum(sizes) - sizes
+
+    def common(g: np.ndarray) -> np.ndarray:
+        r = _places(vocabulary, g)
+        n = sizes[r]
+        at = np.repeat(starts[r] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        return np.bincount(owner[at], minlength=len(chosen))
+
+    kernel = np.array([common(g) * norms / np.sqrt(max(1, len(g))) for g in grams]).reshape(len(grams), len(chosen))
+    values, vectors = np.linalg.eigh(kernel[chosen])
     good = values > 1e-8 * max(values.max(initial=0), 1e-300)
     root = vectors[:, good] / np.sqrt(values[good])  # kernel of the landmarks to the power -1/2
     features = kernel @ root
     target = np.where(np.array(langs)[:, None] == np.array(languages)[None, :], 1.0, -1.0)
     inner = features.T @ features + ridge * np.eye(features.shape[1])
-    weights = marks @ (root @ np.linalg.solve(inner, features.T @ target))
-    return KernelModel(languages, alphabet, row, weights)
+    folded = norms[:, None] * (root @ np.linalg.solve(inner, features.T @ target))
+    weights = np.zeros((len(vocabulary), len(languages)))
+    for r, w in zip(rows, folded):
+        weights[r] += w
+    return KernelModel(languages, alphabet, vocabulary, weights)
 
 
 def learn(docs: DataFrame, sample: int = SAMPLE) -> KernelModel | None:
     """Model from at most `sample` documents of each language outside the held-out fold (null
-    without any).  Texts without a letter teach nothing.  The driver sees letter counts and
-    the n-gram numbers of the sample only, at most `sample` x languages short lists."""
-    spark = docs.sparkSession
+    without any).  Texts without a letter teach nothing.  The driver sees the n-gram
+    numbers of the sample only, at most `sample` x languages short lists."""
     per_lang = Window.partitionBy("lang").orderBy("h", "doc_id")
     ids = (docs.select("doc_id", "lang").filter(F.col("lang").isNotNull() & ~held_out())
            .withColumn("h", F.md5(F.concat_ws(" ", F.lit("langid"), "doc_id")))
@@ -125,27 +140,15 @@ def learn(docs: DataFrame, sample: int = SAMPLE) -> KernelModel | None:
     rows = stored(picked.filter(F.col("text").isNotNull()).groupBy("doc_id", "lang", "h").agg(F.min("text").alias("text"))
                   .select("lang", "h", "text"), "langid-sample")
 
-    @F.arrow_udf("array<int>")
-    def letters(texts: pa.Array) -> pa.Array:
-        return pa.array([[ord(c) for c in set(t.lower()) if c.isalpha()] for t in texts.to_pylist()],
-                        pa.list_(pa.int32()))
-
-    frequent = (rows.select(F.explode(letters("text")).alias("c")).groupBy("c").count()
-                .orderBy(F.desc("count"), "c").limit(LETTERS).collect())
-    if not frequent:
-        return None
-    table = spark.sparkContext.broadcast(letter_table([r["c"] for r in frequent]))
-
-    @F.arrow_udf("array<int>")
+    @F.arrow_udf("array<bigint>")
     def grams(texts: pa.Array) -> pa.Array:
-        seen = np.zeros(_SPACE, bool)
-        return pa.array([ngrams(t, table.value, seen).astype(np.int32) if has_letter(t) else None
-                         for t in texts.to_pylist()], pa.list_(pa.int32()))
+        return pa.array([ngrams(t, every_letter()) if has_letter(t) else None for t in texts.to_pylist()],
+                        pa.list_(pa.int64()))
 
     known = rows.select("lang", "h", grams("text").alias("g")).filter("g IS NOT NULL").orderBy("lang", "h", "g").collect()
     if not known:
         return None
-    return fit([np.array(r["g"], np.int64) for r in known], [r["lang"] for r in known], table.value)
+    return fit([np.array(r["g"], np.int64) for r in known], [r["lang"] for r in known])
 
 
 def identify(docs: DataFrame, model: KernelModel | None) -> DataFrame:
