@@ -6,7 +6,8 @@ from typing import Callable
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tessera.llm import chat, decontam, langid, licenses, mixing, neardup, quality_model, quality_rules, sharding, tokens
+from tessera.llm import (chat, decontam, langid, lexical, licenses, mixing, neardup, quality_model, quality_rules, sharding,
+                         tokens, toxicity, whitening)
 from tessera.llm.common import table
 
 QUERIES: dict[str, Callable] = {}
@@ -162,6 +163,25 @@ def op9_decontamination(spark, sf):
     return decontam.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
+@query("op11_lexical_search", sql=lexical.sql())
+def op11_lexical_search(spark, sf):
+    """The ten best documents of each benchmark item (the SQL scores all pairs)."""
+    return lexical.rank_documents(table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "benchmark"))
+
+
+@query("op12_toxicity")
+def op12_toxicity(spark, sf):
+    """Toxicity score of every document (held-out accuracy and brute force in the tests)."""
+    return toxicity.classify(table(spark, sf, "documents").select("doc_id", "text"),
+                             table(spark, sf, "labels").select("doc_id", "toxic"))
+
+
+@query("op13_whitening")
+def op13_whitening(spark, sf):
+    """Every embedding on the eight leading whitened components (checked against numpy in the tests)."""
+    return whitening.whiten(table(spark, sf, "embeddings"))
+
+
 @query("pipeline")
 def pipeline(spark, sf):
     """The stages of corpus_pipeline.py over documents."""

@@ -16,7 +16,7 @@ SF = SF_SMALL
 
 def test_one_query_for_each_operator():
     names = [q for q in E.queries() if q.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in E.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in E.queries()
 
 
 def test_stage_functions_keep_columns(spark):
