@@ -32,3 +32,15 @@ def test_ngrams_are_those_of_the_letters():
         assert not np.array_equal(langid.ngrams(a, langid.every_letter()), langid.ngrams(b, langid.every_letter()))
     every = langid.every_letter()
     assert len(langid.ngrams("日本、日本🙂", every)) == len({"_", "日", "本", "_日", "日本", "本_", "_日本", "日本_", "本_日"})
+
+
+def test_repeated_id_is_one_of_the_sample(spark):
+    """An id that is repeated a thousand times takes one place of its language's sample."""
+    from tessera.llm import langid
+    from pyspark.sql import functions as F
+    rows = [(i, f"the word {'abcdefgh'[i % 8]}{i} of it", "en") for i in range(400)] + [(1000 + i, f"das wort {i} für es", "de") for i in range(400)]
+    docs = spark.createDataFrame(rows + [rows[0]] * 1000 + [rows[3]] * 1000, "doc_id long, text string, lang string")
+    once, often = langid.learn(spark.createDataFrame(rows, docs.schema), 50), langid.learn(docs, 50)
+    assert (once.vocabulary == often.vocabulary).all() and (abs(once.weights - often.weights) < 1e-12).all()
+    got = langid.identify(docs.select("doc_id", "text"), often).join(docs.select("doc_id", "lang").distinct(), "doc_id")
+    assert got.filter(F.col("lang") != F.col("lang_pred")).count() == 0

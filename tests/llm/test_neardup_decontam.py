@@ -20,8 +20,8 @@ def shingle_tuples(text):
     return {tuple(ws[i:i + 5]) for i in range(len(ws) - 4)} if len(ws) >= 5 else ({tuple(ws)} if ws else set())
 
 
-def brute_groups(docs):
-    """[(doc_id, n_shingles, component_id)] from all pairs."""
+def brute_groups(docs, percent=85):
+    """[(doc_id, n_shingles, component_id)] from all pairs, linked from `percent` on."""
     sets = [shingle_tuples(t) for _, t in docs]
     root = list(range(len(docs)))
 
@@ -32,7 +32,7 @@ def brute_groups(docs):
 
     for i in range(len(docs)):
         for j in range(i):
-            if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j]):
+            if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]):
                 root[find(i)] = find(j)
     least = {}
     for i, (d, _) in enumerate(docs):
