@@ -25,7 +25,7 @@ RIDGE = 1.0
 _OTHER = 1         # letters that an alphabet of the caller's does not have
 _POINTS, _BITS = 0x110000, 21
 _SPACE = 1 << 18   # size of the scratch array that callers may hand to ngrams
-_BLOCK = 256       # texts in one matrix product
+_BLOCK = 32        # texts in one matrix product
 
 
 def has_letter(text: str) -> bool:
@@ -86,7 +86,11 @@ class KernelModel:
         out = np.zeros((len(texts), len(self.languages)))
         for at in range(0, len(texts), _BLOCK):
             grams = [ngrams(t, alphabet) for t in texts[at:at + _BLOCK]]
-            product = np.array([self.weights[_places(self.vocabulary, g)].sum(0) for g in grams])  # presence rows x weights
+            # sparse presence rows (texts x n-grams, all entries 1) times the dense weights, for the whole block
+            columns = [_places(self.vocabulary, g) for g in grams]
+            owner = np.repeat(np.arange(len(grams)), [len(c) for c in columns])
+            entries = self.weights[np.concatenate(columns)]
+            product = np.column_stack([np.bincount(owner, w, len(grams)) for w in entries.T])
             out[at:at + _BLOCK] = product / np.sqrt([max(1, len(g)) for g in grams])[:, None]
         return out
 
@@ -130,10 +134,10 @@ def learn(docs: DataFrame, sample: int = SAMPLE) -> KernelModel | None:
     without any).  Texts without a letter teach nothing.  The driver sees the n-gram
     numbers of the sample only, at most `sample` x languages short lists."""
     per_lang = Window.partitionBy("lang").orderBy("h", "doc_id")
-    ids = (docs.select("doc_id", "lang").filter(F.col("lang").isNotNull() & ~held_out())
+    ids = (docs.select("doc_id", "lang").filter(F.col("lang").isNotNull() & ~held_out()).distinct()
            .withColumn("h", F.md5(F.concat_ws(" ", F.lit("langid"), "doc_id")))
            .withColumn("n", F.row_number().over(per_lang)).filter(F.col("n") <= sample)
-           .select(F.col("doc_id").alias("__id"), F.col("lang").alias("__lang"), "h").distinct())
+           .select(F.col("doc_id").alias("__id"), F.col("lang").alias("__lang"), "h"))
     picked = docs.select("doc_id", "lang", "text").join(
         F.broadcast(ids), (F.col("doc_id") == F.col("__id")) & (F.col("lang") == F.col("__lang")))
     # one text for each id however often it is repeated: the sample stays bounded, and the same
