@@ -22,6 +22,13 @@ def append_table(df: DataFrame, path: str, fmt: str = "parquet", ts_col: str = "
     df.withColumn(ts_col, F.current_timestamp()).write.format(fmt).mode("append").save(path)
 
 
+def append_run(df: DataFrame, path: str, run_id: str, ts_col: str = "prediction_ts", run_col: str = "run_id") -> None:
+    """Append the rows of one run, stamped with the run time, so that a run which is repeated after a failure
+    leaves one copy: the run is a partition of the table, and only partitions that are written are replaced."""
+    stamped = df.withColumn(ts_col, F.current_timestamp()).withColumn(run_col, F.lit(run_id))
+    stamped.write.format("parquet").mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(run_col).save(path)
+
+
 def latest_run(df: DataFrame, keys: list[str], ts_col: str = "prediction_ts") -> DataFrame:
     """Rows of the newest run per key: one row per key is reduced map-side, the history is not sorted."""
     last = df.groupBy(*keys).agg(F.max(ts_col).alias("_last")).select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_last")

@@ -2,13 +2,18 @@
 forecast table, top-n windows."""
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from tessera.operators import arima
 from tessera.operators import forecast as FC
 from tessera.operators.series import bfill, drop_last, ffill, resample
 from tessera.operators.windows import last_n, top_n_per
+from tessera.plans import forecasting as FP
 from tessera.plans.sales import orders_fact, sales_model
-from tessera.session import materialize
+from tessera.session import materialize, scratch_path
+from tessera.sources.model_store import ModelStore
 from tessera.sources.tables import load
 from tessera.suite.common import FACT_SQL, rounded
 from tessera.suite.registry import query
@@ -62,10 +67,7 @@ ma AS (SELECT test.k, test.ds, test.y, 'moving_average' AS model,
   (SELECT avg(tr.y) FROM train tr WHERE tr.k = test.k AND tr.t > test.nt - {WINDOW}) AS yhat FROM test),
 fit AS (SELECT k, regr_slope(y, t) AS b, regr_intercept(y, t) AS a FROM train GROUP BY k),
 trend AS (SELECT test.k, test.ds, test.y, 'linear_trend' AS model, fit.a + fit.b * test.t AS yhat
-  FROM test JOIN fit ON fit.k = test.k),
-pred AS (SELECT * FROM snaive UNION ALL SELECT * FROM ma UNION ALL SELECT * FROM trend),
-err AS (SELECT k, model, avg(abs((y - yhat) / y)) AS mape FROM pred WHERE y <> 0 AND yhat IS NOT NULL GROUP BY k, model),
-best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY mape, model) AS rn FROM err) WHERE rn = 1)"""
+  FROM test JOIN fit ON fit.k = test.k)"""
 
 
 @query("resample_day", sql=f"""
@@ -145,21 +147,6 @@ def q_fc_trend(spark, sf):
     return _pred(spark, sf, "linear_trend")
 
 
-def _errors(spark, sf):
-    p = FC.closed_form_candidates(_indexed(spark, sf), KEYS, H, SEASON, WINDOW)
-    return FC.mape(p, KEYS)
-
-
-@query("fc_mape", sql=IX_SQL + " SELECT k AS c_mktsegment, model, round(mape, 6) AS mape FROM err")
-def q_fc_mape(spark, sf):
-    return rounded(_errors(spark, sf), 6)
-
-
-@query("fc_best_model", sql=IX_SQL + " SELECT k AS c_mktsegment, model, round(mape, 6) AS mape FROM best")
-def q_fc_best(spark, sf):
-    return rounded(FC.best_model(_errors(spark, sf), KEYS), 6)
-
-
 def _more_models_sql(h: int, season: int, future_lags: bool = False) -> str:
     """CTEs after `ser`: hold-out of h, the closed forms, smoothing step by step for every alpha, and the
     pooled regression on three lags by successive orthogonal projections."""
@@ -206,7 +193,8 @@ def q_fc_lag(spark, sf):
     return rounded(rounded(pred, 0, ["yhat"]), 2, ["y"])
 
 
-def _select_sql(series: str, freq: str) -> str:
+def _errors_sql(series: str, freq: str) -> str:
+    """CTEs up to `err` (MAPE of the five candidates) and `best` (a series without one: the moving average)."""
     h, season = FC.HORIZON[freq], FC.SEASON[freq]
     return "WITH RECURSIVE " + series.removeprefix("WITH") + _more_models_sql(h, season) + f""",
 ahead(k, i, l1, l2, l3) AS (
@@ -214,20 +202,78 @@ ahead(k, i, l1, l2, l3) AS (
   UNION ALL SELECT k, i + 1, c + w1 * l1 + w2 * l2 + w3 * l3, l1, l2 FROM ahead, cf WHERE i < {h}),
 line AS (SELECT k, regr_slope(y, t) AS b, regr_intercept(y, t) AS a FROM train GROUP BY k),
 mean AS (SELECT tr.k, avg(tr.y) AS v FROM train tr WHERE tr.t > tr.n - {h} - {WINDOW} GROUP BY tr.k),
-pred AS (SELECT test.k, test.y, 'seasonal_naive' AS model, tr.y AS yhat
+pred AS (SELECT test.k, test.ds, test.y, 'seasonal_naive' AS model, tr.y AS yhat
            FROM test LEFT JOIN train tr ON tr.k = test.k AND tr.t = test.t - {season} * ceil((test.t - test.nt) / {season})
-  UNION ALL SELECT test.k, test.y, 'moving_average', v FROM test JOIN mean ON mean.k = test.k
-  UNION ALL SELECT test.k, test.y, 'linear_trend', a + b * test.t FROM test JOIN line ON line.k = test.k
-  UNION ALL SELECT test.k, test.y, 'exp_smoothing', level FROM test JOIN sm ON sm.k = test.k
-  UNION ALL SELECT test.k, test.y, 'lag_regression', l1 FROM test JOIN ahead ON ahead.k = test.k AND ahead.i = test.t - test.nt),
-err AS (SELECT k, model, avg(abs((y - yhat) / y)) AS mape FROM pred WHERE y <> 0 AND yhat IS NOT NULL GROUP BY k, model)
+  UNION ALL SELECT test.k, test.ds, test.y, 'moving_average', v FROM test JOIN mean ON mean.k = test.k
+  UNION ALL SELECT test.k, test.ds, test.y, 'linear_trend', a + b * test.t FROM test JOIN line ON line.k = test.k
+  UNION ALL SELECT test.k, test.ds, test.y, 'exp_smoothing', level FROM test JOIN sm ON sm.k = test.k
+  UNION ALL SELECT test.k, test.ds, test.y, 'lag_regression', l1 FROM test JOIN ahead ON ahead.k = test.k AND ahead.i = test.t - test.nt),
+err AS (SELECT k, model, avg(abs((y - yhat) / y)) AS mape FROM pred WHERE y <> 0 AND yhat IS NOT NULL GROUP BY k, model),
+best AS (SELECT s.k, coalesce(e.model, 'moving_average') AS model, e.mape FROM (SELECT DISTINCT k FROM ix) s
+  LEFT JOIN (SELECT * FROM err QUALIFY row_number() OVER (PARTITION BY k ORDER BY mape, model) = 1) e ON e.k = s.k)"""
+
+
+def _select_sql(series: str, freq: str) -> str:
+    return _errors_sql(series, freq) + """
 SELECT k AS c_mktsegment, model, round(mape, 4) AS mape,
        row_number() OVER (PARTITION BY k ORDER BY mape, model) = 1 AS chosen FROM err"""
 
 
+WEEK_ERRORS_SQL = _errors_sql(WEEKLY_SQL, "W")
+
+
+def _fitted(spark, sf, models=FC.LINEAR_FORMS):
+    """Weekly series, MAPEs, chosen models and pooled fits of all candidates that SQL can restate."""
+    return FC.fit_select(materialize(_weekly(spark, sf)), KEYS, "W", WINDOW, models)
+
+
+@query("fc_mape", sql=WEEK_ERRORS_SQL + " SELECT k AS c_mktsegment, model, round(mape, 6) AS mape FROM err")
+def q_fc_mape(spark, sf):
+    """Hold-out error of every candidate and segment."""
+    return rounded(_fitted(spark, sf)[1], 6)
+
+
+@query("fc_best_model", sql=WEEK_ERRORS_SQL + " SELECT k AS c_mktsegment, model, round(mape, 6) AS mape FROM best")
+def q_fc_best(spark, sf):
+    """The candidate with the least hold-out error of each segment."""
+    return rounded(_fitted(spark, sf)[2], 6)
+
+
+@query("fc_arima", sql=IX_SQL.replace("WITH ", "WITH RECURSIVE ", 1) + f""",
+z0 AS (SELECT k, t, y, y - lag(y) OVER w AS z FROM train WINDOW w AS (PARTITION BY k ORDER BY t)),
+z1 AS (SELECT *, lag(z, 1) OVER w AS a, lag(z, 2) OVER w AS b FROM z0 WINDOW w AS (PARTITION BY k ORDER BY t)),
+mo AS (SELECT k, avg(z) AS mz, avg(a) AS ma, avg(b) AS mb, covar_pop(a, a) AS saa, covar_pop(a, b) AS sab, covar_pop(b, b) AS sbb,
+              covar_pop(a, z) AS saz, covar_pop(b, z) AS sbz FROM z1 WHERE b IS NOT NULL GROUP BY k),
+co AS (SELECT *, (saz * sbb - sbz * sab) / (saa * sbb - sab * sab) AS u, (sbz * saa - saz * sab) / (saa * sbb - sab * sab) AS v FROM mo),
+step(k, i, y, z, zb) AS (
+  SELECT k, 0, arg_max(y, t), arg_max(z, t), arg_max(a, t) FROM z1 GROUP BY k
+  UNION ALL SELECT s.k, i + 1, y + (mz - u * ma - v * mb + u * z + v * zb), mz - u * ma - v * mb + u * z + v * zb, z
+    FROM step s JOIN co ON co.k = s.k WHERE i < {H})
+SELECT test.k AS c_mktsegment, test.ds, round(test.y, 2) AS y, round(step.y, 0) AS yhat, round(co.u, 4) AS ar1, round(co.v, 4) AS ar2
+FROM test JOIN step ON step.k = test.k AND step.i = test.t - test.nt JOIN co ON co.k = test.k""")
+def q_fc_arima(spark, sf):
+    """ARIMA(2, 1, 0) of each segment, fitted on the training weeks: its weights and the held-out weeks."""
+    g = FC.grouped(_indexed(spark, sf), KEYS, H)
+    g = g.withColumn("_m", arima.fitted(F.col("_y"), (2, 1, 0)))
+    g = g.withColumn("_p", arima.ahead(F.col("_y"), F.col("_m"), H)).withColumn("_x", F.explode("_tgt"))
+    out = g.select(*KEYS, "_x.ds", F.round("_x.y", 2).alias("y"), F.round(F.get("_p", F.col("_x.t") - F.col("nt") - 1), 0).alias("yhat"),
+                   F.round(F.col("_m.ar")[0], 4).alias("ar1"), F.round(F.col("_m.ar")[1], 4).alias("ar2"))
+    return out
+
+
+@query("fc_select_every")
+def q_fc_select_every(spark, sf):
+    """Hold-out errors of all seven candidates on weekly series and the one chosen (ARIMA orders and boosted
+    trees have no SQL; the tests hold them against plain versions)."""
+    _, err, best, _ = _fitted(spark, sf, FC.MODELS)
+    best = best.select(F.col("c_mktsegment").alias("_k"), F.col("model").alias("_m"))
+    j = err.join(best, F.col("c_mktsegment").eqNullSafe(F.col("_k")), "left")
+    return rounded(j.select("c_mktsegment", "model", "mape", (F.col("model") == F.col("_m")).alias("chosen")), 4, ["mape"])
+
+
 def _select(spark, sf, freq):
     series = resample(_segment_sales(spark, sf), "o_orderdate", "l_extendedprice", freq, KEYS)
-    _, err, best, _ = FC.fit_select(materialize(series), KEYS, freq, WINDOW)
+    _, err, best, _ = FC.fit_select(materialize(series), KEYS, freq, WINDOW, FC.LINEAR_FORMS)
     best = best.select(F.col("c_mktsegment").alias("_k"), F.col("model").alias("_m"))
     j = err.join(best, F.col("c_mktsegment").eqNullSafe(F.col("_k")), "left")
     return rounded(j.select("c_mktsegment", "model", "mape", (F.col("model") == F.col("_m")).alias("chosen")), 4, ["mape"])
@@ -261,46 +307,101 @@ def q_resample_null_segment(spark, sf):
 
 
 def _next(spark, sf):
-    s = _indexed(spark, sf)
-    best = FC.best_model(FC.mape(FC.closed_form_candidates(s, KEYS, H, SEASON, WINDOW), KEYS), KEYS)
-    return FC.forecast_next(s, best, KEYS, H, SEASON, WINDOW, "W")
-
-
-NEXT_SQL = IX_SQL + f""",
-hist AS (SELECT * FROM ix), last AS (SELECT k, max(t) AS nt, max(ds) AS lastd FROM hist GROUP BY k),
-fut AS (SELECT k, nt, lastd, unnest(generate_series(1, {H})) AS i FROM last),
-f2 AS (SELECT k, nt, lastd, i, nt + i AS t FROM fut),
-fs AS (SELECT f2.*, 'seasonal_naive' AS model,
-   (SELECT h.y FROM hist h WHERE h.k = f2.k AND h.t = f2.t - {SEASON} * ceil((f2.t - f2.nt) / {SEASON})) AS yhat FROM f2),
-fm AS (SELECT f2.*, 'moving_average' AS model,
-   (SELECT avg(h.y) FROM hist h WHERE h.k = f2.k AND h.t > f2.nt - {WINDOW}) AS yhat FROM f2),
-ffit AS (SELECT k, regr_slope(y, t) AS b, regr_intercept(y, t) AS a FROM hist GROUP BY k),
-ft AS (SELECT f2.*, 'linear_trend' AS model, ffit.a + ffit.b * f2.t AS yhat FROM f2 JOIN ffit ON ffit.k = f2.k),
-fall AS (SELECT * FROM fs UNION ALL SELECT * FROM fm UNION ALL SELECT * FROM ft),
+    s, _, best, fits = _fitted(spark, sf)
+    return FC.forecast_next(s, best, KEYS, H, SEASON, WINDOW, "W", FC.LINEAR_FORMS, fits)
+
+
+def _future_sql(history: str, alpha: str, line: str) -> str:
+    """CTEs from `best` to `nxt`: the chosen model of each series carried H weeks beyond `history` (k, ds, y, t, n),
+    with the smoothing alphas and trend lines of the given CTEs."""
+    return f""",
+lastw AS (SELECT k, max(t) AS nt, max(ds) AS lastd FROM {history} GROUP BY k),
+fut AS (SELECT k, nt, lastd, i, nt + i AS t FROM lastw, range(1, {H} + 1) r(i)),
+lev(k, t, level) AS (SELECT k, 1, CAST(y AS DOUBLE) FROM {history} WHERE t = 1
+  UNION ALL SELECT l.k, l.t + 1, a.alpha * h.y + (1 - a.alpha) * l.level
+    FROM lev l JOIN {history} h ON h.k = l.k AND h.t = l.t + 1 JOIN {alpha} a ON a.k = l.k),
+fah(k, i, l1, l2, l3) AS (
+  SELECT h.k, 0, max(y) FILTER (t = nt), max(y) FILTER (t = nt - 1), max(y) FILTER (t = nt - 2) FROM {history} h JOIN lastw ON lastw.k = h.k GROUP BY h.k
+  UNION ALL SELECT k, i + 1, c + w1 * l1 + w2 * l2 + w3 * l3, l1, l2 FROM fah, cf WHERE i < {H}),
+fall AS (
+  SELECT f.*, 'seasonal_naive' AS model, h.y AS yhat FROM fut f LEFT JOIN {history} h ON h.k = f.k AND h.t = f.t - {SEASON} * ceil((f.t - f.nt) / {SEASON})
+  UNION ALL SELECT f.*, 'moving_average', m.v FROM fut f JOIN (SELECT h.k, avg(y) AS v FROM {history} h JOIN lastw ON lastw.k = h.k WHERE t > nt - {WINDOW} GROUP BY h.k) m ON m.k = f.k
+  UNION ALL SELECT f.*, 'linear_trend', a + b * f.t FROM fut f JOIN {line} li ON li.k = f.k
+  UNION ALL SELECT f.*, 'exp_smoothing', level FROM fut f JOIN lev ON lev.k = f.k AND lev.t = f.nt
+  UNION ALL SELECT f.*, 'lag_regression', l1 FROM fut f JOIN fah ON fah.k = f.k AND fah.i = f.i),
 nxt AS (SELECT fall.k, CAST(fall.lastd + CAST(fall.i * 7 AS INTEGER) AS DATE) AS ds, fall.model, fall.yhat AS predicted_sales
         FROM fall JOIN best ON best.k = fall.k AND best.model = fall.model)"""
 
 
+def _smoothing_sql(name: str, history: str) -> str:
+    """CTE `name` (k, alpha): the alpha of least one-step error over the whole of `history`."""
+    return f""",
+{name}s(k, a, t, level, sse) AS (
+  SELECT k, a, 1, CAST(y AS DOUBLE), CAST(0 AS DOUBLE) FROM {history}, al WHERE t = 1
+  UNION ALL SELECT s.k, s.a, s.t + 1, s.a * h.y + (1 - s.a) * s.level, s.sse + (h.y - s.level) * (h.y - s.level)
+    FROM {name}s s JOIN {history} h ON h.k = s.k AND h.t = s.t + 1),
+{name} AS (SELECT s.k, arg_min(s.a, (sse, s.a)) AS alpha FROM {name}s s JOIN (SELECT k, max(t) AS t FROM {history} GROUP BY k) e
+  ON e.k = s.k AND e.t = s.t GROUP BY s.k),
+{name}l AS (SELECT k, regr_slope(y, t) AS b, regr_intercept(y, t) AS a FROM {history} GROUP BY k)"""
+
+
+NEXT_SQL = WEEK_ERRORS_SQL + _smoothing_sql("whole", "ix") + _future_sql("ix", "whole", "wholel")
+
+
 @query("forecast_next", sql=NEXT_SQL + " SELECT k AS c_mktsegment, ds, model, round(predicted_sales, 0) AS predicted_sales FROM nxt")
 def q_forecast_next(spark, sf):
     """The selected model refitted on the whole series, next 4 weeks per segment."""
     return rounded(_next(spark, sf), 0)
 
 
-@query("actual_vs_forecast", sql=IX_SQL + """,
+@query("actual_vs_forecast", sql=WEEK_ERRORS_SQL + """,
 bp AS (SELECT pred.* FROM pred JOIN best ON best.k = pred.k AND best.model = pred.model)
 SELECT coalesce(test.k, bp.k) AS c_mktsegment, coalesce(test.ds, bp.ds) AS ds, round(test.y, 2) AS actual,
        round(bp.yhat, 0) AS predicted
 FROM test FULL JOIN bp ON bp.k = test.k AND bp.ds = test.ds""")
 def q_actual_vs_forecast(spark, sf):
-    s = _indexed(spark, sf)
-    pred = FC.closed_form_candidates(s, KEYS, H, SEASON, WINDOW)
-    best = FC.best_model(FC.mape(pred, KEYS), KEYS)
-    bp = FC._of_best(pred, best, KEYS)
+    s, _, best, fits = _fitted(spark, sf)
+    bp = FC._of_best(FC.holdout_predictions(s, KEYS, "W", WINDOW, FC.LINEAR_FORMS, fits), best, KEYS)
     j = FC.compare(s.filter(F.col("split") == "test"), bp, KEYS)
     return rounded(rounded(j, 0, ["predicted"]), 2, ["actual"])
 
 
+OLD_SERIES_SQL = WEEKLY_SQL.replace("ser AS (", "ser0 AS (") + f""",
+ser AS (SELECT k, ds, y FROM ser0 QUALIFY row_number() OVER (PARTITION BY k ORDER BY ds DESC) > {H})"""
+STORE_SQL = _errors_sql(OLD_SERIES_SQL, "W") + _smoothing_sql("old", "ix") + """,
+full0 AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY ds) AS t, count(*) OVER (PARTITION BY k) AS n FROM ser0)""" \
+    + _future_sql("full0", "old", "oldl")
+
+
+def _stored_model(spark, sf, models):
+    """(store, all weeks): a model trained and registered when the last H weeks were not yet known."""
+    store = ModelStore(spark, scratch_path(spark, f"models-{uuid.uuid4().hex}"))
+    weeks = materialize(_weekly(spark, sf))
+    FP.train(store, "weekly-sales", drop_last(weeks, KEYS, "ds", H), KEYS, "W", WINDOW, models)
+    return store, weeks
+
+
+@query("forecast_from_store", sql=STORE_SQL + """
+SELECT k AS c_mktsegment, ds, model, round(predicted_sales, 0) AS predicted_sales, CAST(1 AS BIGINT) AS version FROM nxt""")
+def q_forecast_from_store(spark, sf):
+    """Train on all but the last 4 weeks, register, then load the newest version and score the series that has
+    grown by 4 weeks: nothing is fitted again."""
+    store, weeks = _stored_model(spark, sf, FC.LINEAR_FORMS)
+    return rounded(FP.infer(store, "weekly-sales", weeks), 0, ["predicted_sales"])
+
+
+@query("forecast_job_history", sql=STORE_SQL + """
+SELECT k AS c_mktsegment, ds, model, round(predicted_sales, 0) AS predicted_sales, run_id
+FROM nxt, (VALUES ('monday'), ('tuesday')) r(run_id)""")
+def q_forecast_job_history(spark, sf):
+    """Two scoring runs appended to a history, the first one repeated as after a failure: one copy of each run."""
+    store, weeks = _stored_model(spark, sf, FC.LINEAR_FORMS)
+    path = scratch_path(spark, f"history-{uuid.uuid4().hex}")
+    for run in ("monday", "monday", "tuesday"):
+        out = FP.score_and_append(spark, store, "weekly-sales", weeks, path, run)
+    return rounded(out.select(*KEYS, "ds", "model", "predicted_sales", F.col("run_id").cast("string").alias("run_id")), 0, ["predicted_sales"])
+
+
 @query("model_latest", sql=IX_SQL + """,
 v1 AS (SELECT k, regr_slope(y, t) AS slope, regr_intercept(y, t) AS intercept, 1 AS version FROM train WHERE t <= n // 2 GROUP BY k),
 v2 AS (SELECT k, regr_slope(y, t) AS slope, regr_intercept(y, t) AS intercept, 2 AS version FROM train GROUP BY k),
@@ -371,9 +472,7 @@ def q_forecast_history(spark, sf):
     """Two forecast runs appended to a history table with their run timestamps; the latest run
     per segment and date is read back (without its timestamp, which differs per run)."""
     import time
-    import uuid
 
-    from tessera.session import scratch_path
     from tessera.sources.sinks import append_table, latest_run
     path = scratch_path(spark, f"forecast-history-{uuid.uuid4().hex}")
     nxt = _next(spark, sf)
