@@ -16,6 +16,7 @@ import json
 import time
 from typing import Callable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -84,12 +85,118 @@ def greedy_batches(df: DataFrame, id_col: str, text_col: str, max_items: int = M
 ROWS_A_BUCKET = 8192
 
 
-def rank_in_shard(df: DataFrame, id_col: str, shards: int, rows_a_bucket: int = ROWS_A_BUCKET) -> DataFrame:
+# --- the same batches without one task a shard -----------------------------------------------------
+
+BLOCK_ROWS = 65536      # consecutive rows of a shard whose batches one task works out
+BLOCKS_A_GROUP = 1024   # blocks whose jump tables are composed into one
+
+
+def next_starts(lengths: np.ndarray, max_items: int, max_chars: int) -> np.ndarray:
+    """For each row: the row after the batch that starts there."""
+    sums = np.concatenate([[0], np.cumsum(lengths)])
+    at = np.arange(len(lengths))
+    full = np.searchsorted(sums, sums[:-1] + max_chars, "right") - 1  # rows that fit
+    return np.minimum(np.maximum(full, at + 1), at + max_items)
+
+
+def jump_table(lengths: np.ndarray, own: int, entries: int, max_items: int, max_chars: int) -> tuple[np.ndarray, np.ndarray]:
+    """For a first batch at each of the first `entries` rows of a block of `own` rows (followed by some of the
+    next block): where in the next block the first batch starts, and how many batches start here.  Every
+    jump is doubled until it leaves the block."""
+    to = next_starts(lengths, max_items, max_chars)[:own]
+    count = np.ones(own, np.int64)
+    while (inside := to < own).any():
+        count[inside] += count[to[inside]]
+        to = np.where(inside, to[np.minimum(to, own - 1)], to)
+    n = min(entries, own)
+    exits, counts = np.zeros(entries, np.int64), np.zeros(entries, np.int64)
+    exits[:n], counts[:n] = to[:n] - own, count[:n]
+    return exits, counts
+
+
+def compose(tables: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """One jump table for a row of blocks."""
+    at, total = np.arange(len(tables[0][0])), np.zeros(len(tables[0][0]), np.int64)
+    for exits, counts in tables:
+        at, total = exits[at], total + counts[at]
+    return at, total
+
+
+def greedy_batches_blocks(df: DataFrame, id_col: str, text_col: str, max_items: int = MAX_ITEMS, max_chars: int = MAX_CHARS,
+                          *, shards: int = 1, rows_a_block: int = BLOCK_ROWS, blocks_a_group: int = BLOCKS_A_GROUP) -> DataFrame:
+    """The batches of ``greedy_batches``, worked out in parallel inside a shard.
+
+    A batch that starts at a row ends where one of the limits is met, so the next start follows from prefix
+    sums.  Blocks of consecutive rows (each with the first `max_items` rows of the next one, as far as a
+    batch can reach) turn that into a table: entered at this row, the block is left at that row of the next
+    one.  Tables of many blocks compose into one; walking the groups, then the blocks of each group in
+    parallel, gives every block its first start and batch number, and the blocks mark their batches.
+    `rows_a_block` is raised to 2 * max_items; no task holds more than a block, a group of tables or the
+    groups' tables of a shard."""
+    rows_a_block = max(rows_a_block, 2 * max_items)
+    kind = df.schema[id_col].dataType.simpleString()
+    base = df.select(F.col(id_col).alias("_id"), F.length(F.col(text_col)).alias("_len")).filter(F.col("_len").isNotNull())
+    order = None if whole_numbers(df, id_col) else F.md5(F.col("_id").cast("string"))
+    ranked = rank_in_shard(base, "_id", shards, ties=[F.col("_len")] if order is None else [order, F.col("_id"), F.col("_len")])
+    from tessera.session import materialize
+    rows = materialize(ranked.select("_id", "_len", "shard", F.col("_rn").cast("long").alias("pos")))
+    block = F.floor(F.col("pos") / rows_a_block).cast("long")
+    near = F.pmod("pos", F.lit(rows_a_block)) < max_items  # the block before needs these rows, too
+    both = F.when(near & (block > 0), F.array(block, block - 1)).otherwise(F.array(block))
+    dealt = rows.withColumn("block", F.explode(both)).select(F.col("shard").alias("s"), F.col("block").alias("b"), "pos", "_len")
+
+    def table(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("pos")
+        b = int(pdf["b"].iloc[0])
+        own = int((pdf["pos"] < (b + 1) * rows_a_block).sum())
+        exits, counts = jump_table(pdf["_len"].to_numpy(), own, max_items, max_items, max_chars)
+        return pd.DataFrame({"s": pdf["s"].iloc[:1], "b": [b], "exits": [exits], "counts": [counts]})
+
+    tables = materialize(dealt.groupBy("s", "b").applyInPandas(table, "s int, b long, exits array<long>, counts array<long>")
+                         .withColumn("g", F.floor(F.col("b") / blocks_a_group).cast("long")))
+
+    def of(pdf: pd.DataFrame, by: str) -> list[tuple[np.ndarray, np.ndarray]]:
+        return [(np.asarray(r.exits), np.asarray(r.counts)) for r in pdf.sort_values(by).itertuples()]
+
+    def whole(pdf: pd.DataFrame) -> pd.DataFrame:
+        exits, counts = compose(of(pdf, "b"))
+        return pd.DataFrame({"s": pdf["s"].iloc[:1], "g": pdf["g"].iloc[:1], "exits": [exits], "counts": [counts]})
+
+    def walk(pdf: pd.DataFrame, by: str, at: int, total: int) -> pd.DataFrame:
+        pdf, first, before = pdf.sort_values(by), [], []
+        for exits, counts in of(pdf, by):
+            first.append(at)
+            before.append(total)
+            at, total = int(exits[at]), total + int(counts[at])
+        return pd.DataFrame({"s": pdf["s"], by: pdf[by], "at": first, "before": before})
+
+    groups = tables.groupBy("s", "g").applyInPandas(whole, "s int, g long, exits array<long>, counts array<long>")
+    starts = groups.groupBy("s").applyInPandas(lambda pdf: walk(pdf, "g", 0, 0), "s int, g long, at long, before long")
+    entries = tables.join(starts, ["s", "g"]).groupBy("s", "g").applyInPandas(
+        lambda pdf: walk(pdf, "b", int(pdf["at"].iloc[0]), int(pdf["before"].iloc[0])), "s int, b long, at long, before long")
+
+    def mark(key, mine: pd.DataFrame, entry: pd.DataFrame) -> pd.DataFrame:
+        mine = mine.sort_values("pos")
+        to, pos = next_starts(mine["_len"].to_numpy(), max_items, max_chars), int(entry["at"].iloc[0])
+        begins = np.zeros(len(mine), np.int64)
+        while pos < len(mine):  # one step a batch
+            begins[pos], pos = 1, int(to[pos])
+        number = int(entry["before"].iloc[0]) + np.cumsum(begins) - 1
+        return pd.DataFrame({"_id": mine["_id"], "shard": mine["shard"], "batch": number, "_len": mine["_len"]})
+
+    mine = rows.withColumn("block", block)
+    out = mine.groupBy("shard", "block").cogroup(entries.groupBy("s", "b")).applyInPandas(mark, f"_id {kind}, shard int, batch int, _len int")
+    return out.select(F.col("_id").alias(id_col), "shard", "batch", F.col("_len").alias("n_chars"))
+
+
+def rank_in_shard(df: DataFrame, id_col: str, shards: int, rows_a_bucket: int = ROWS_A_BUCKET,
+                  ties: list[Column] | None = None) -> DataFrame:
     """0-based position of each row inside its shard, computed in parallel: rows are grouped in
     buckets that follow the order (ranges of whole-number ids, as wide as the ids are sparse;
     else ranges of the id's hash), a small table of counts per (shard, bucket) gives each
     bucket's starting offset, and ``row_number`` runs only inside one bucket, so no task ever
-    sorts a whole shard.  Deterministic (no sampling), and independent of partitioning."""
+    sorts a whole shard.  Deterministic (no sampling), and independent of partitioning.  `ties`
+    orders rows of equal hash or id (default: the id)."""
     d = df.withColumn("shard", shard_of(df, id_col, shards))
     order = F.col(id_col) if whole_numbers(df, id_col) else id_hash(id_col)
     n, lo, hi = d.agg(F.count(F.lit(1)), F.min(order), F.max(order)).first()  # one row of metadata
@@ -99,7 +206,7 @@ def rank_in_shard(df: DataFrame, id_col: str, shards: int, rows_a_bucket: int =
     wo = Window.partitionBy("shard").orderBy(F.asc_nulls_first("_bkt")).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(F.col("shard").alias("_s"), F.col("_bkt").alias("_b"),
                             F.coalesce(F.sum("_n").over(wo), F.lit(0)).alias("_off"))
-    wb = Window.partitionBy("shard", "_bkt").orderBy("_o", id_col)
+    wb = Window.partitionBy("shard", "_bkt").orderBy("_o", *(ties or [F.col(id_col)]))
     r = d.withColumn("_rb", F.row_number().over(wb) - 1)
     return r.join(offsets, (F.col("shard") == F.col("_s")) & F.col("_bkt").eqNullSafe(F.col("_b"))) \
         .withColumn("_rn", F.col("_off") + F.col("_rb")).drop("_o", "_bkt", "_s", "_b", "_off", "_rb")
@@ -153,10 +260,10 @@ def unbatch(accepted: DataFrame, out_col: str = "score") -> DataFrame:
 
 
 def score_batches(prompts: DataFrame, fn: Callable[[pd.DataFrame], pd.Series], retries: int = 3,
-                  wait_seconds: float = 0.0) -> DataFrame:
+                  wait_seconds: float = 0.0, most_wait: float = 300.0) -> DataFrame:
     """Call `fn` (pandas frame of prompt rows -> series of answer strings) on executors, one
-    request per prompt row.  A failing request is tried up to `retries` times, then the
-    prompt gets a NULL answer and the last error text in ``error``; nothing is gathered on
+    request per prompt row.  A failing request is tried up to `retries` times (waits between
+    them start at `wait_seconds` and double up to `most_wait`), then the prompt gets a NULL answer and the last error text in ``error``; nothing is gathered on
     the driver.  Adds ``answer``, ``error``, ``attempts``.  A task that Spark runs again calls the
     service again for its prompts: store the result (``materialize``) before using it twice."""
     schema = T.StructType(prompts.schema.fields + [T.StructField("answer", T.StringType()),
@@ -170,8 +277,8 @@ def score_batches(prompts: DataFrame, fn: Callable[[pd.DataFrame], pd.Series], r
                 return list(fn(one))[0], None, n
             except Exception as e:  # noqa: BLE001 - any service failure is reported per prompt
                 err = f"{type(e).__name__}: {e}"
-                if wait_seconds:
-                    time.sleep(wait_seconds)
+                if wait_seconds and n < retries:
+                    time.sleep(min(most_wait, wait_seconds * 2 ** (n - 1)))
         return None, err, n
 
     def run(it):

@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -9,8 +10,9 @@ from pyspark.sql import functions as F
 from tessera.functions.arrays import first_translation, non_empty
 from tessera.operators import batching as B
 from tessera.operators.joins import exclude_by_name, extend_lookup, merge_left, one_per_key, translate_lookup
+from tessera.operators.ledger import Ledger, answer_missing, text_key, translate_resumable, translations
 from tessera.operators.translate import WORD_DICTIONARY, translate_columns, translate_job
-from tessera.session import literal_frame
+from tessera.session import literal_frame, scratch_path
 from tessera.sources.tables import load
 from tessera.suite.common import rounded
 from tessera.suite.registry import query
@@ -123,6 +125,40 @@ def q_translate_job(spark, sf):
     return r.select("doc_id", "text_en", "lang_en", "text_error")
 
 
+@query("translate_resume", sql="""
+SELECT doc_id, 'en:' || text AS text_en, 'en:' || lang AS lang_en,
+       CAST(length(text) % 10 = 3 AS BOOLEAN) AS sent_twice FROM documents""")
+def q_translate_resume(spark, sf):
+    """Texts and language names translated by a service through the answer ledger: a first run in which the
+    requests with some texts fail, and a second one that sends only what is missing.  `sent_twice`:
+    texts that the first run left open."""
+    d = load(spark, sf, "documents").select("doc_id", "text", "lang")
+    ledger = Ledger(spark, scratch_path(spark, f"answers-{uuid.uuid4().hex}"))
+
+    def call(pdf: pd.DataFrame, broken: bool) -> pd.Series:
+        out = []
+        for items in pdf["items"]:
+            if broken and len(items[0]["text"]) % 10 == 3:
+                raise RuntimeError("service unavailable")
+            out.append(json.dumps([{"translations": [{"text": "en:" + i["text"], "to": "en"}]} for i in items]))
+        return pd.Series(out)
+
+    first = answer_missing(d, ["text"], lambda p: call(p, True), ledger, parse=translations, max_items=1, retries=1)
+    left = first.select("key").distinct().withColumn("open", F.lit(True))
+    out = translate_resumable(d, ["text", "lang"], lambda p: call(p, False), ledger)
+    out = out.withColumn("key", text_key("text")).join(left, "key", "left")
+    return out.select("doc_id", "text_en", "lang_en", F.when(F.col("text").isNotNull(), F.coalesce("open", F.lit(False))).alias("sent_twice"))
+
+
+@query("greedy_batches_parallel", sql=f"""WITH RECURSIVE
+d AS (SELECT doc_id AS id, 0 AS shard, length(text) AS len, row_number() OVER (ORDER BY doc_id) AS rn FROM documents WHERE text IS NOT NULL),
+{_GREEDY_STEPS_SQL}
+SELECT id AS doc_id, shard, CAST(batch AS INTEGER) AS batch, CAST(len AS INTEGER) AS n_chars FROM r""")
+def q_greedy_batches_parallel(spark, sf):
+    """All documents batched greedily in one sequence (no shards), in parallel."""
+    return B.greedy_batches_blocks(load(spark, sf, "documents"), "doc_id", "text")
+
+
 @query("first_translation", sql="""
 SELECT doc_id, CASE WHEN length(text) % 3 > 0 THEN string_split(text, chr(10))[1] END AS first_text FROM documents""")
 def q_first_translation(spark, sf):
