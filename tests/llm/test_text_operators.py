@@ -129,7 +129,7 @@ License along with this program."""
     ("This work is licensed under the GNU General Public License, version 3.", ["GPL-3.0"], "one"),
     ("Licensed under CC BY-NC 4.0. All rights reserved.", ["CC-BY-NC", "All-Rights-Reserved"], "several"),
     ("Licensed under our own licence, ask us.", [], "unknown"),
-    ("SPDX-License-Identifier: MIT", ["SPDX"], "one"), (MIT, ["MIT"], "one"), (GPL, ["GPL-3.0-or-later"], "one")])
+    ("SPDX-License-Identifier: MIT", ["MIT"], "one"), (MIT, ["MIT"], "one"), (GPL, ["GPL-3.0-or-later"], "one")])
 def test_licences(spark, frame, text, found, verdict):
     r = licenses.scan(frame([(1, text)], extra=True)).first()
     assert (r["licenses"], r["verdict"]) == (found, verdict), r["sentence_ids"]
@@ -145,7 +145,7 @@ def test_licence_scan_odd_rows(spark, frame):
 
 def test_every_sentence_has_a_stem_and_every_rule_known_sentences():
     names = {n for n, _ in licenses.SENTENCES}
-    assert all(set(needs) <= names for _, needs in licenses.RULES)
+    assert all({n.rstrip("?") for n in needs} <= names | {"SpdxOther"} for _, needs in licenses.RULES)
     for _, pattern in licenses.SENTENCES:  # each alternative of a pattern must hold a stem or follow one
         assert any(s in pattern.replace("\\", "") for s in licenses.STEMS), pattern
 
