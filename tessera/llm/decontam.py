@@ -12,11 +12,16 @@ Every benchmark item is compared with the windows of a document that have as man
 3. The exact weighted similarity of the shingles (counts as weights: sum of least over sum of
    greatest) confirms or drops each candidate.
 
-Items are sent to the tasks in blocks of bounded size, one pass over the documents for each.
+An item of fewer than five words is one shingle, its whole sequence: the windows of its length that
+equal it are copies.  Items are sent to the tasks in blocks of bounded size, one pass over the
+documents for each; a task holds one block.
+
+An item of n words has n - 4 shingles, and one replaced word changes five of them: at a similarity of
+0.8 a copy with one word replaced in the middle counts from 49 words on, one with two from 94.
 """
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,8 +30,8 @@ from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import free_name
-from tessera.llm.shingles import shingles, word_hashes
+from tessera.llm.common import free_name, stored
+from tessera.llm.shingles import shingles, windows, word_hashes
 
 SHINGLE = 5
 LEAST = 0.8            # similarity from which a window counts as a copy of an item
@@ -88,14 +93,16 @@ class Hit:
 
 
 class Benchmark:
-    """Items prepared for search.  Items of fewer than SHINGLE words are too short to be evidence
-    and are left out, as are null texts."""
+    """Items prepared for search; null texts and texts without a word are left out."""
 
     def __init__(self, items: list[tuple[int, str]]):
         self.ids, self.counts, self.sizes, prints, every = [], [], [], [], []
+        self.short: dict[int, dict[int, list[int]]] = {}  # items of fewer than SHINGLE words: length, hash, ids
         for item_id, text in items:
             h = word_hashes((text or "").encode())
             if len(h) < SHINGLE:
+                if len(h):
+                    self.short.setdefault(len(h), {}).setdefault(int(windows(h, len(h))[0]), []).append(item_id)
                 continue
             s = shingles(h, SHINGLE)
             self.ids.append(item_id)
@@ -116,6 +123,21 @@ class Benchmark:
         """The best window of its length for each item that the text holds a copy of (ties: the
         first).  A text shorter than an item is one window as a whole."""
         h = word_hashes(text)
+        return self._short(h) + self._long(h)
+
+    def _short(self, h: np.ndarray) -> list[Hit]:
+        """Items of fewer than SHINGLE words: the first window with the same words."""
+        out = []
+        for n, items in self.short.items():
+            if len(h) >= n:
+                own = windows(h, n)
+                known = np.fromiter(items, np.uint64, len(items))
+                values, at = np.unique(own[np.isin(own, known)], return_index=True)
+                place = np.flatnonzero(np.isin(own, known))
+                out += [Hit(i, int(place[k]), n, 0, 1.0) for v, k in zip(values.tolist(), at) for i in items[v]]
+        return out
+
+    def _long(self, h: np.ndarray) -> list[Hit]:
         if len(h) < SHINGLE or not len(self.known):
             return []
         s = shingles(h, SHINGLE)
@@ -181,13 +203,14 @@ def _prepared(block: list[tuple[int, str]]) -> Benchmark:
 _HITS = "array<struct<item_id:bigint,start_word:bigint,n_words:bigint,hamming:int,similarity:double>>"
 
 
-def blocks_of(benchmark: DataFrame, size: int = PASS_ITEMS) -> list[list[tuple[int, str]]]:
-    """The benchmark's (item_id, text) in blocks of about `size` rows, each small enough to send."""
+def blocks_of(benchmark: DataFrame, size: int = PASS_ITEMS) -> Iterator[list[tuple[int, str]]]:
+    """The benchmark's (item_id, text) in blocks of about `size` rows, each small enough to send; the driver
+    gathers one after another."""
     items = benchmark.select("item_id", "text").distinct()  # a repeated item is one item
-    n = items.count()
-    k = max(1, -(-n // size))
+    k = -(-items.count() // size)
     part = F.pmod(F.xxhash64("item_id", "text"), F.lit(k))
-    return [[(r[0], r[1]) for r in items.filter(part == b).orderBy("item_id", "text").collect()] for b in range(k)] if n else []
+    for b in range(k):
+        yield [(r[0], r[1]) for r in items.filter(part == b).orderBy("item_id", "text").collect()]
 
 
 _HIT = pa.list_(pa.struct([("item_id", pa.int64()), ("start_word", pa.int64()), ("n_words", pa.int64()),
@@ -202,33 +225,39 @@ def _searcher(sent: Broadcast) -> Callable[[pa.Array], pa.Array]:
     return search
 
 
-def with_hits(docs: DataFrame, benchmark: DataFrame, column: str) -> DataFrame:
-    """`docs` with an array column of the items found in each text; one Python pass for each block
-    of items, no shuffle.  (Marked as not deterministic, or Spark would search a text again for
-    each later use of the column.)"""
-    spark = docs.sparkSession
-    out, text = docs, F.coalesce(F.col("text"), F.lit(""))
-    found = []
-    for k, block in enumerate(blocks_of(benchmark)):
-        sent = spark.sparkContext.broadcast(block)
-        name = free_name(out, f"__hits{k}")
-        out = out.withColumn(name, F.arrow_udf(_searcher(sent), _HITS).asNondeterministic()(text))
-        found.append(name)
-    together = F.concat(*found) if found else F.array().cast(_HITS)
-    return out.withColumn(column, together).drop(*found)
+def with_hits(docs: DataFrame, block: list[tuple[int, str]], column: str) -> DataFrame:
+    """`docs` with an array column of the items of one block found in each text; one Python pass, no
+    shuffle.  (Marked as not deterministic, or Spark would search a text again for each later use of
+    the column.)"""
+    sent = docs.sparkSession.sparkContext.broadcast(block)
+    return docs.withColumn(column, F.arrow_udf(_searcher(sent), _HITS).asNondeterministic()(F.coalesce(F.col("text"), F.lit(""))))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document and item found in it: doc_id, item_id, start_word, n_words, hamming,
     similarity (of the best window).
 
-    Documents with null or short texts hold nothing; null ids and repeated rows are reported like
-    any other row; an empty benchmark or table gives an empty result."""
-    rows = with_hits(docs.select("doc_id", "text"), benchmark, "hits")
-    return rows.filter(F.size("hits") > 0).select("doc_id", F.explode("hits").alias("h")).select("doc_id", "h.*")
+    Documents with null or empty texts hold nothing; null ids and repeated rows are reported like
+    any other row; an empty benchmark or table gives an empty result.  Each block of items is a pass
+    of its own over the documents."""
+    rows, out = docs.select("doc_id", "text"), None
+    for block in blocks_of(benchmark):
+        hits = with_hits(rows, block, "hits").filter(F.size("hits") > 0).select("doc_id", F.explode("hits").alias("h"))
+        hits = hits.select("doc_id", "h.*")
+        out = hits if out is None else out.unionByName(hits)
+    if out is None:
+        out = with_hits(rows.limit(0), [], "hits").select("doc_id", F.explode("hits").alias("h")).select("doc_id", "h.*")
+    return out
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """`docs` without the documents that hold a copy of a benchmark item."""
-    hits = free_name(docs, "__hits")
-    return with_hits(docs, benchmark, hits).filter(F.size(hits) == 0).drop(hits)
+    """`docs` without the documents that hold a copy of a benchmark item, columns unchanged.
+
+    Documents with null or empty texts and null ids stay unless they hold a copy, repeated rows stay or go
+    together; an empty benchmark keeps all.  Between two blocks of items the documents that are left
+    are written to the shared folder, so no task holds two blocks."""
+    hits, out = free_name(docs, "__hits"), docs
+    for k, block in enumerate(blocks_of(benchmark)):
+        out = stored(out, f"clean-{k}") if k else out
+        out = with_hits(out, block, hits).filter(F.size(hits) == 0).drop(hits)
+    return out

@@ -124,6 +124,17 @@ def test_matrix_and_pairwise_intersections_agree():
     assert (many == few).all() and many.any()
 
 
+def test_a_row_repeated_many_times_and_keys_of_128_bits(spark, frame):
+    """Copies of one row meet their class once, and ids do not run into texts in the row key."""
+    base = [f"b{i}" for i in range(60)]
+    near = base[:30] + ["z"] + base[31:]
+    docs = [(5, " ".join(base))] * 300 + [(6, " ".join(base[:58] + ["y", "x"])), (7, " ".join(near)), (1, "1 a"), (11, " a")]
+    got = sorted({tuple(r) for r in rows_of(neardup.groups(frame(docs), percent=80))}, key=str)
+    assert got == sorted({tuple(r) for r in brute_groups(docs, 80)}, key=str)
+    keys = frame(docs).select(neardup.row_key().alias("k")).distinct().collect()
+    assert len(keys) == 5 and all(len(r["k"]) == 16 for r in keys)
+
+
 def test_components(spark):
     rng = random.Random(1)
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, k) for k in range(101, 300)] + [(5000 + i, 5000 + rng.randrange(400)) for i in range(400)]
@@ -149,9 +160,11 @@ def brute_hits(docs, items):
     """{(doc_id, item_id): best similarity} over all windows of the item's length."""
     counts = lambda ws: collections.Counter(tuple(ws[i:i + 5]) for i in range(len(ws) - 4))
     known = {i: counts(word_list(t)) for i, t in items if len(word_list(t)) >= 5}
+    short = {i: word_list(t) for i, t in items if 0 < len(word_list(t)) < 5}  # one shingle, the whole sequence
     out = {}
     for d, t in docs:
         ws = word_list(t)
+        out |= {(d, i): 1.0 for i, s in short.items() if any(ws[at:at + len(s)] == s for at in range(len(ws)))}
         for i, c in known.items():
             n = min(sum(c.values()) + 4, len(ws))
             for at in range(len(ws) - n + 1):
@@ -196,13 +209,33 @@ def test_contaminated_equals_all_windows(spark, frame):
     assert all(abs(got[k] - want[k]) < 1e-9 for k in want)
 
 
+def test_short_items_are_whole_sequences(spark, frame):
+    items = [(1, "one two"), (2, "Single"), (3, "a b c d"), (4, "two one"), (5, " "), (6, "one two")]
+    docs = [(1, "x one two y one two"), (2, "one  two"), (3, "one"), (4, "a b c e a b c d"), (5, "single."), (6, "A B\nC D"), (7, None)]
+    out = decontam.contaminated(frame(docs), items_frame(spark, items)).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["start_word"], r["n_words"]) for r in out) == [
+        (1, 1, 1, 2), (1, 6, 1, 2), (2, 1, 0, 2), (2, 6, 0, 2), (4, 3, 4, 4), (6, 3, 0, 4)]
+    assert {(r["doc_id"], r["item_id"]) for r in out} == set(brute_hits(docs, items))
+
+
+@pytest.mark.parametrize("words, replaced, found", [(48, 1, False), (49, 1, True), (93, 2, False), (94, 2, True)])
+def test_replaced_words(spark, frame, words, replaced, found):
+    """From which length on a copy with one or two words replaced in the middle is found."""
+    item = [f"w{i}" for i in range(words)]
+    copy = list(item)
+    for k in range(replaced):
+        copy[(k + 1) * words // (replaced + 1)] = "other"
+    out = decontam.contaminated(frame([(1, " ".join(["x"] * 9 + copy + ["y"] * 9))]), items_frame(spark, [(1, " ".join(item))]))
+    assert out.count() == int(found)
+
+
 def test_more_than_one_pass_and_table(spark, frame, monkeypatch):
     monkeypatch.setattr(decontam, "TABLE_ITEMS", 3)
     docs, items = leak_case()
     once = decontam.contaminated(frame(docs), items_frame(spark, items)).collect()
     blocks = decontam.blocks_of
     monkeypatch.setattr(decontam, "blocks_of", lambda b: blocks(b, 4))
-    assert len(blocks(items_frame(spark, items), 4)) == 3
+    assert len(list(blocks(items_frame(spark, items), 4))) == 3
     assert sorted(decontam.contaminated(frame(docs), items_frame(spark, items)).collect()) == sorted(once)
 
 
