@@ -23,11 +23,11 @@ skew handling for big ones).
 from __future__ import annotations
 
 from collections import deque
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import timedelta
 from typing import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -79,6 +79,7 @@ class Model:
     summarize_by: dict[str, str] = field(default_factory=dict)   # "table.col" -> sum|none
     hierarchies: dict[str, list[str]] = field(default_factory=dict)
     date_columns: dict[str, str] = field(default_factory=dict)      # table -> its date column
+    sort_by: dict[str, str] = field(default_factory=dict)           # "table.col" -> column of the same table that orders it
 
     # -- metadata -----------------------------------------------------------
     def table(self, name: str) -> DataFrame:
@@ -186,8 +187,7 @@ class Model:
         """A copy of the model where table `name` is defined by `fn`."""
         tables = dict(self.tables)
         tables[name] = fn
-        return Model(tables, self.relationships, self.measures, self.summarize_by, self.hierarchies,
-                     self.date_columns)
+        return replace(self, tables=tables)
 
     def partials(self, m: Measure, group_by: list[str], filters: dict | None = None,
                  extra_home: dict[str, Column] | None = None) -> DataFrame:
@@ -239,7 +239,7 @@ class Model:
     def without(self, *names: str) -> "Model":
         """A copy of the model without some relationships."""
         left = [r for r in self.relationships if r.name not in names]
-        return Model(self.tables, left, self.measures, self.summarize_by, self.hierarchies, self.date_columns)
+        return replace(self, relationships=left)
 
     def period_pairs(self, m: Measure, group_by: list[str], filters: dict, period: Callable[[Column], Column]
                      ) -> tuple[DataFrame, DataFrame]:
@@ -371,7 +371,35 @@ class Model:
         if not keep_empty and measures:
             result = result.filter(F.greatest(*[F.col(n).isNotNull() for n in measures]) if len(measures) > 1
                                    else F.col(measures[0]).isNotNull())
-        return result.select(*[F.col(g).alias(n) for g, n in zip(gcols, names)], *measures)
+        return result.select(*[F.col(g).alias(n, metadata=self.about(ref)) for g, n, ref in zip(gcols, names, group_by)], *measures)
+
+    def about(self, ref: str) -> dict:
+        """Column metadata of a group column: where it comes from, and the column that orders it."""
+        by = self.sort_by.get(ref)
+        return {"group": ref} | ({"sort_by": by} if by else {})
+
+    def order(self, df: DataFrame, position: str | None = None) -> DataFrame:
+        """A result of ``evaluate``, ``with_time`` or ``items_long`` in the order of its group columns: each by the
+        column that its metadata names (of the result itself, or of the table it comes from: one value
+        a group, the least), else by itself.  `position` adds the 1-based place of each row; results
+        are as large as their groups, and so is the one window that counts them."""
+        out, keys = df, []
+        for i, f in enumerate(df.schema.fields):
+            ref, by = f.metadata.get("group"), f.metadata.get("sort_by")
+            if by and by in df.columns:
+                keys.append(F.asc_nulls_first(by))
+            elif by:
+                t, c = _split(ref)
+                known = self.table(t).groupBy(F.col(c).alias(f"_v{i}")).agg(F.min(by).alias(f"_o{i}"))
+                out = out.join(known, out[f.name].eqNullSafe(known[f"_v{i}"]), "left")
+                keys.append(F.asc_nulls_first(f"_o{i}"))
+            if ref:
+                keys.append(F.asc_nulls_first(f.name))
+        if not keys:
+            return df
+        if position:
+            return out.select(*df.columns, F.row_number().over(Window.orderBy(*keys)).alias(position)).orderBy(position)
+        return out.orderBy(*keys).select(*df.columns)
 
     def drill(self, measures: list[str], table: str, levels: list[str], filters: dict | None = None) -> DataFrame:
         """Measures at every prefix of the hierarchy `levels` of `table`, with ``level`` =

@@ -54,6 +54,9 @@ MEASURES = [
 SUMMARIZE_BY = {"orders.l_extendedprice": "sum", "orders.l_tax": "sum", "orders.l_quantity": "sum",
                 "payments.payment_value": "sum", "orders.l_linenumber": "none"}
 HIERARCHIES = {"part.segment": ["p_type", "p_brand"]}
+SORT_BY = {"date.month": "month_number", "date.month_year": "year_month_number", "date.quarter": "quarter_number",
+           "date.quarter_year": "year_quarter_number", "date.week_day": "week_day_number", "date.week": "week_number",
+           "date.week_year": "week_year_order"}
 DATE_COLUMNS = {"orders": "o_orderdate", "reviews": "ts", "payments": "ts", "sales_forecast": "date"}
 
 
@@ -131,4 +134,4 @@ def sales_model(spark: SparkSession, sf_dir: str, cfg: CalendarConfig | None = N
     if forecast is not None:
         tables["sales_forecast"] = lambda: forecast
     return Model(tables, RELATIONSHIPS, {m.name: m for m in MEASURES}, SUMMARIZE_BY, HIERARCHIES,
-                 DATE_COLUMNS)
+                 DATE_COLUMNS, SORT_BY)

@@ -6,6 +6,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from tessera.sources.parallel import AT_ONCE, run_all
 from tessera.sources.sinks import write_table
 
 
@@ -44,13 +45,18 @@ def list_csv(spark: SparkSession, folder: str) -> list[str]:
 
 
 def ingest_folder(spark: SparkSession, src: str, dst: str, name_fn: Callable[[str], str] = table_name_from_file,
-                  infer: bool = False, fmt: str = "parquet", multiline: bool = False) -> list[tuple[str, str]]:
+                  infer: bool = False, fmt: str = "parquet", multiline: bool = False, at_once: int = AT_ONCE) -> list[tuple[str, str]]:
     """Every CSV of `src` becomes table `dst/<name_fn(file)>`, overwritten (schema changes
-    allowed).  Returns [(table, path)]."""
-    out = []
-    for f in list_csv(spark, src):
-        t = name_fn(f)
-        path = f"{dst.rstrip('/')}/{t}"
-        write_table(read_csv(spark, f"{src.rstrip('/')}/{f}", infer=infer, multiline=multiline), path, fmt=fmt, overwrite_schema=True)
-        out.append((t, path))
-    return out
+    allowed), several files at once.  Returns [(table, path)]; if files failed, the others are written and
+    an error names those that were not."""
+    paths = {f: f"{dst.rstrip('/')}/{name_fn(f)}" for f in list_csv(spark, src)}
+
+    def load(f: str) -> None:
+        df = read_csv(spark, f"{src.rstrip('/')}/{f}", infer=infer, multiline=multiline)
+        write_table(df, paths[f], fmt=fmt, overwrite_schema=True)
+
+    done = run_all(spark, "ingest", {f: (lambda f=f: load(f)) for f in paths}, at_once)
+    failed = {f: r for f, r in done.items() if isinstance(r, Exception)}
+    if failed:
+        raise RuntimeError("not ingested: " + "; ".join(f"{f}: {r}" for f, r in failed.items())) from next(iter(failed.values()))
+    return [(name_fn(f), paths[f]) for f in paths]

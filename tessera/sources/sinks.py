@@ -4,6 +4,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.sources.parallel import AT_ONCE, run_all
+
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "parquet",
                 overwrite_schema: bool = False, partition_by: list[str] | None = None) -> None:
@@ -36,19 +38,20 @@ def latest_run(df: DataFrame, keys: list[str], ts_col: str = "prediction_ts") ->
     return df.join(last, same, "left_semi")
 
 
-def export_tables(spark: SparkSession, tables: dict, dst: str, fmt: str = "parquet") -> DataFrame:
-    """Write every table (name -> DataFrame factory) to `dst/<name>`; a failing table does not
-    stop the others.  Returns (table, ok, error, rows): the whole error text, and the rows that
+def export_tables(spark: SparkSession, tables: dict, dst: str, fmt: str = "parquet", at_once: int = AT_ONCE) -> DataFrame:
+    """Write every table (name -> DataFrame factory) to `dst/<name>`, several at once; a failing table does
+    not stop the others.  Returns (table, ok, error, rows): the whole error text, and the rows that
     were written, counted by the write itself."""
     from tessera.session import literal_frame
-    status = []
-    for name, make in tables.items():
-        try:
-            seen = Observation()
-            write_table(make().observe(seen, F.count(F.lit(1)).alias("rows")), f"{dst.rstrip('/')}/{name}", fmt=fmt)
-            status.append((name, True, None, seen.get.get("rows", 0)))
-        except Exception as e:  # noqa: BLE001 - reported per table
-            status.append((name, False, f"{type(e).__name__}: {e}", None))
+
+    def write(name: str, make) -> int:
+        seen = Observation()
+        write_table(make().observe(seen, F.count(F.lit(1)).alias("rows")), f"{dst.rstrip('/')}/{name}", fmt=fmt)
+        return seen.get.get("rows", 0)
+
+    done = run_all(spark, "export", {name: (lambda n=name, m=make: write(n, m)) for name, make in tables.items()}, at_once)
+    status = [(name, False, f"{type(r).__name__}: {r}", None) if isinstance(r, Exception) else (name, True, None, r)
+              for name, r in done.items()]
     return literal_frame(spark, status, "table string, ok boolean, error string, rows long")
 
 

@@ -189,6 +189,23 @@ def q_holidays_pt(spark, sf):
     return _holiday_sales(spark, sf, "PT").select("date", "holiday_name", "total_sales")
 
 
+@query("holidays_se", sql=f"""
+WITH {CAL_CTE}, yrs AS (SELECT unnest(generate_series(y0 - 1, y1 + 1)) AS y FROM b),
+se AS (
+  SELECT make_date(y, m, dd) AS d, name, prio FROM yrs, (VALUES
+    (1, 1, 'New Year''s Day', 100), (1, 6, 'Epiphany', 100), (5, 1, 'Labour Day', 100), (6, 6, 'National Day', 100),
+    (12, 25, 'Christmas Day', 100), (12, 26, 'Boxing Day', 100), (12, 24, 'Christmas Eve', 50), (12, 31, 'New Year''s Eve', 50)) r(m, dd, name, prio)
+  UNION ALL SELECT CAST({EASTER_SQL} - 2 AS DATE), 'Good Friday', 50 FROM yrs
+  UNION ALL SELECT CAST({EASTER_SQL} + 1 AS DATE), 'Easter Monday', 50 FROM yrs
+  UNION ALL SELECT CAST({EASTER_SQL} + 39 AS DATE), 'Ascension Day', 50 FROM yrs
+  UNION ALL SELECT d, 'Midsummer Eve', 50 FROM alld WHERE month(d) = 6 AND day(d) BETWEEN 19 AND 25 AND dayofweek(d) = 5)
+SELECT se.d AS date, arg_min(se.name, (prio, se.name)) AS holiday_name, any_value(ds.total_sales) AS total_sales
+FROM se LEFT JOIN ds USING (d) GROUP BY se.d""")
+def q_holidays_se(spark, sf):
+    """Swedish holidays (Easter and Midsummer move) and the sales of their days."""
+    return _holiday_sales(spark, sf, "SE").select("date", "holiday_name", "total_sales")
+
+
 @query("holidays_us", sql=f"""
 WITH {CAL_CTE},
 yd AS (SELECT d, year(d) AS y, month(d) AS m, dayofweek(d) AS w,

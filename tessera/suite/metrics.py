@@ -34,6 +34,17 @@ def q_sales_by_dim(spark, sf):
     return rounded(m.evaluate(["total_sales", "total_orders", "active_customers"], ["customer.c_mktsegment"]))
 
 
+@query("sales_by_month_ordered", sql=f"""
+SELECT strftime(order_date, '%b') AS month, c.c_mktsegment, round(sum(f.l_extendedprice), 2) AS total_sales,
+       CAST(row_number() OVER (ORDER BY min(month(order_date)), c.c_mktsegment NULLS FIRST) AS INTEGER) AS position
+FROM {F_} f LEFT JOIN customer c ON f.o_custkey = c.c_custkey GROUP BY 1, 2""")
+def q_sales_by_month_ordered(spark, sf):
+    """Sales by the name of the month and segment, in the order that the model gives its columns: months by
+    their number (from the column's metadata), segments by name."""
+    m = sales_model(spark, sf)
+    return m.order(rounded(m.evaluate(["total_sales"], ["date.month", "customer.c_mktsegment"])), position="position")
+
+
 @query("sales_blank_member", sql=f"""
 SELECT p.p_type, round(sum(f.l_extendedprice), 2) AS total_sales, count(*) AS total_orders
 FROM {F_} f LEFT JOIN (SELECT * FROM part WHERE p_size > 10) p ON f.l_partkey = p.p_partkey GROUP BY 1""")
@@ -419,6 +430,59 @@ def q_ti_mtd_day_filter(spark, sf):
                              filters={"date.date": ("between", "1998-03-10", "1998-04-05")}))
 
 
+@query("ti_py_quarter", sql=f"""
+WITH f AS (SELECT year(o_orderdate) * 12 + month(o_orderdate) - 1 AS mo, l_extendedprice AS v FROM {F_} x),
+b AS (SELECT min(mo) // 3 AS lo, (max(mo) // 12 + 1) * 4 - 1 AS hi FROM f),
+sp AS (SELECT unnest(generate_series(lo, hi)) AS q FROM b),
+r AS (SELECT q, (SELECT sum(v) FROM f WHERE mo // 3 = q) AS cur, (SELECT sum(v) FROM f WHERE mo = q * 3 + 2) AS mtd,
+             (SELECT sum(v) FROM f WHERE mo // 12 = q // 4 AND mo <= q * 3 + 2) AS ytd, (SELECT sum(v) FROM f WHERE mo // 3 = q - 4) AS py FROM sp)
+SELECT CAST(q // 4 AS INTEGER) AS year, CAST(q % 4 + 1 AS INTEGER) AS quarter, round(cur, 2) AS cur, round(mtd, 2) AS mtd, round(ytd, 2) AS ytd,
+       round(py, 2) AS py, round(CASE WHEN cur IS NULL AND py IS NULL THEN NULL ELSE coalesce(cur, 0) - coalesce(py, 0) END, 2) AS yoy
+FROM r WHERE coalesce(cur, mtd, ytd, py) IS NOT NULL""")
+def q_ti_py_quarter(spark, sf):
+    """Sales by quarter: month and year to date at the quarter's end, the same quarter a year earlier."""
+    return rounded(with_time(sales_model(spark, sf), "total_sales", ["Current", "MTD", "YTD", "PY", "YOY"], "quarter"))
+
+
+@query("ti_year_distinct", sql=f"""
+WITH f AS (SELECT c.c_mktsegment AS g, year(o_orderdate) AS y, month(o_orderdate) AS m, o_custkey AS k FROM {F_} x
+             LEFT JOIN customer c ON x.o_custkey = c.c_custkey),
+b AS (SELECT g, min(y) AS lo, least(max(y) + 1, (SELECT max(y) FROM f)) AS hi FROM f GROUP BY g),
+sp AS (SELECT g, unnest(generate_series(lo, hi)) AS y FROM b),
+r AS (SELECT sp.g, sp.y, count(DISTINCT f.k) AS cur, count(DISTINCT f.k) FILTER (f.m = 12) AS mtd FROM sp LEFT JOIN f ON f.g = sp.g AND f.y = sp.y GROUP BY ALL),
+z AS (SELECT g, y, nullif(cur, 0) AS cur, nullif(mtd, 0) AS mtd, lag(nullif(cur, 0)) OVER (PARTITION BY g ORDER BY y) AS py FROM r)
+SELECT g AS c_mktsegment, CAST(y AS INTEGER) AS year, cur, mtd, cur AS ytd, py FROM z WHERE coalesce(cur, mtd, py) IS NOT NULL""")
+def q_ti_year_distinct(spark, sf):
+    """Active customers of each segment and year: a customer counts once a year; the month to date is December's."""
+    return with_time(sales_model(spark, sf), "active_customers", ["Current", "MTD", "YTD", "PY"], "year", ["customer.c_mktsegment"])
+
+
+_CUT_SQL = f"""
+WITH f AS (SELECT CAST(o_orderdate AS DATE) AS d, l_extendedprice AS v, o_custkey AS k FROM {F_} x),
+kept AS (SELECT CAST(unnest(generate_series(DATE '1997-12-20', DATE '1998-04-05', INTERVAL 1 DAY)) AS DATE) AS d),
+p AS (SELECT year(d) AS y, month(d) AS m, max(d) AS last FROM kept GROUP BY 1, 2),
+r AS (SELECT y, m,
+  (SELECT {{a}} FROM f WHERE d IN (SELECT d FROM kept WHERE year(d) = y AND month(d) = m)) AS cur,
+  (SELECT {{a}} FROM f WHERE d <= last AND d >= make_date(y, m, 1)) AS mtd, (SELECT {{a}} FROM f WHERE d <= last AND d >= make_date(y, 1, 1)) AS ytd,
+  (SELECT {{a}} FROM f WHERE d IN (SELECT CAST(d - INTERVAL 1 YEAR AS DATE) FROM kept WHERE year(d) = y AND month(d) = m)) AS py FROM p)
+SELECT CAST(y AS INTEGER) AS year, CAST(m AS INTEGER) AS month, {{cols}} FROM r"""
+
+
+@query("ti_ytd_cut_month", sql=_CUT_SQL.format(a="sum(v)", cols=", ".join(f"round({c}, 2) AS {c}" for c in ("cur", "mtd", "ytd", "py"))))
+def q_ti_ytd_cut_month(spark, sf):
+    """Sales by month under a Date filter that begins and ends inside a month: kept dates, the same dates a year
+    earlier, and running values at the last kept date."""
+    return rounded(with_time(sales_model(spark, sf), "total_sales", ["Current", "MTD", "YTD", "PY"], "month",
+                             filters={"date.date": ("between", "1997-12-20", "1998-04-05")}))
+
+
+@query("ti_cut_month_distinct", sql=_CUT_SQL.format(a="count(DISTINCT k)", cols="cur, mtd, ytd, py"))
+def q_ti_cut_month_distinct(spark, sf):
+    """Active customers under the same filter."""
+    return with_time(sales_model(spark, sf), "active_customers", ["Current", "MTD", "YTD", "PY"], "month",
+                     filters={"date.date": ("between", "1997-12-20", "1998-04-05")})
+
+
 _BRIDGED_SQL = f"""f AS (SELECT DISTINCT {{g}} AS g, CAST(o_orderdate AS DATE) AS d, o_custkey AS k FROM {F_} x
          LEFT JOIN customer c ON x.o_custkey = c.c_custkey),
 e AS (SELECT user_id AS k, sum(value) AS s, count(value) AS n, count(*) AS rows FROM events GROUP BY user_id)"""

@@ -98,16 +98,6 @@ def test_fact_is_read_once_for_all_kinds_of_measures(spark):
     assert len(_scans(E.queries()["sales_by_dim"](spark, SF_SMALL), "lineitem")) == 1
 
 
-def test_month_grain_refuses_partial_months(spark):
-    import pytest
-    from conftest import SF_SMALL
-    from tessera.plans.sales import sales_model
-    from tessera.plans.timeintel import with_time
-    with pytest.raises(ValueError):
-        with_time(sales_model(spark, SF_SMALL), "total_sales", ["YTD"], "month",
-                  filters={"date.date": ("between", "1997-01-05", "1997-03-31")})
-
-
 def test_groups_outside_the_calendar_have_no_spine(spark):
     from conftest import SF_SMALL
     from tessera.plans.sales import sales_model
