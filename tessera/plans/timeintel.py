@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.plans.model import Model, align, distinct_count_with_blank
+from tessera.plans.model import Model, align, distinct_count_with_blank, sketched, with_blank
 from tessera.session import materialize
 
 # Calculation items and their ordinals.
@@ -42,7 +42,7 @@ def _null_safe_join(a: DataFrame, b: DataFrame, keys: list[str], how: str = "lef
 
 def with_time(model: Model, measure: str, items=tuple(ITEMS), grain: str = "day",
               group_by: list[str] | None = None, filters: dict | None = None,
-              date_column: str | None = None) -> DataFrame:
+              date_column: str | None = None, sketch: int | None = None) -> DataFrame:
     """Apply calculation `items` to `measure` by 'day', 'month', 'quarter' or 'year'.
 
     Returns group columns, ``date`` (day grain) or ``year`` and ``month`` / ``quarter`` (none at year
@@ -53,6 +53,11 @@ def with_time(model: Model, measure: str, items=tuple(ITEMS), grain: str = "day"
     order dates of their customers) takes each bridge key once per period, and once per year or
     month in running values.
 
+    With `sketch` (4 to 21) a distinct count is estimated from sketches of 2**sketch registers, one for
+    each group and period, united for running values: no (period, value) rows are written, and the
+    relative standard error is 1.04 / sqrt(2**sketch) (1.6 % at 12).  Not for measures that dates
+    reach through a bridge.
+
     The day grain writes one row per group and day from the group's first date on: meant for groups
     of a dimension's attributes, not for millions of customers."""
     for it in items:
@@ -64,11 +69,13 @@ def with_time(model: Model, measure: str, items=tuple(ITEMS), grain: str = "day"
     shown = {r: c for r, c in filters.items() if r.split(".")[0] == "date"}
     filters = {r: c for r, c in filters.items() if r not in shown}
     m = model.measures[measure]
+    if sketch is not None:
+        m = sketched(m, sketch)
     gk = [f"g{i}" for i in range(len(group_by))]
     names = [g.rsplit(".", 1)[1] for g in group_by]
     day = grain == "day"
     if shown and not day and _cuts(model, shown, MONTHS[grain]):
-        return _cut_periods(model, measure, items, grain, group_by, filters, shown, date_column)
+        return _cut_periods(model, measure, items, grain, group_by, filters, shown, date_column, sketch)
     wide = 1 if day else MONTHS[grain]
     a_year = 12 // wide
     base = (lambda c: F.to_date(c)) if day else _month_number
@@ -84,6 +91,8 @@ def with_time(model: Model, measure: str, items=tuple(ITEMS), grain: str = "day"
     # month (m0, m1) so far; small (groups x periods)
     dcol = date_column or model.date_columns[m.table]
     through = [] if date_column or not model.related_to_dates(m) else model.path("date", m.table, m)
+    if len(through) > 1 and sketch is not None:
+        raise ValueError(f"dates reach {measure} through a bridge: it cannot be sketched by period")
     if len(through) > 1:
         pairs, per_key = model.period_pairs(m, group_by, filters, base)
         pairs = coarse(materialize(pairs))
@@ -92,11 +101,20 @@ def with_time(model: Model, measure: str, items=tuple(ITEMS), grain: str = "day"
         part = materialize(_stacked(parts, keys))
     elif m.kind == "distinct":
         values = materialize(model.partials(m, group_by, filters, extra_home={"_p": base(F.col(dcol))}))
-        values = coarse(values.withColumn("_vk", F.coalesce(F.col("_v").cast("string"), F.lit("\u0000blank"))))
+        values = coarse(values.withColumn("_vk", with_blank(F.col("_v"))))
         parts = [_first(rows, gk, over, "_vk").groupBy(*keys).agg(F.count(F.lit(1)).alias(f"{name}0"))
                  .withColumn(f"{name}1", F.lit(None).cast("bigint"))
                  for name, rows, over in (("c", values, None), ("y", values, year), ("m", _in_last(values), month))]
         part = materialize(_stacked(parts, keys))
+    elif sketch is not None:
+        part = coarse(model.partials(m, group_by, filters, extra_home={"_p": base(F.col(dcol))}))
+        if wide > 1:  # one sketch a month; a wider period unites them
+            part = part.groupBy(*keys).agg(F.hll_union_agg("_p0").alias("_p0"), F.count_if("_last").alias("_n"),
+                                           F.hll_union_agg(F.when(F.col("_last"), F.col("_p0"))).alias("_l"))
+            part = part.withColumn("m0", F.when(F.col("_n") > 0, F.col("_l")))
+        part = materialize(part.select(*keys, F.col("_p0").alias("c0"), *["m0"] * (wide > 1)))
+        one = F.lit(None).cast("bigint")
+        part = part.withColumns({"y0": F.col("c0"), "m0": F.col("m0" if wide > 1 else "c0"), "c1": one, "y1": one, "m1": one})
     elif wide > 1:
         part = coarse(model.partials(m, group_by, filters, extra_home={"_p": base(F.col(dcol))}))
         both = ["_p0", "_p1"] if m.kind == "avg" else ["_p0"]
@@ -128,6 +146,10 @@ def with_time(model: Model, measure: str, items=tuple(ITEMS), grain: str = "day"
     value = (lambda a, b: F.try_divide(a, b.cast("double"))) if m.kind == "avg" else (lambda a, b: a)
     so_far = lambda *by: Window.partitionBy(*gk, *by).orderBy("_p").rowsBetween(Window.unboundedPreceding, 0)
     running = lambda n, w: value(F.sum(f"{n}0").over(w), F.sum(f"{n}1").over(w))
+    if sketch is not None:
+        value = lambda a, b: F.hll_sketch_estimate(a)
+        running = lambda n, w: F.when(F.count(f"{n}0").over(w) > 0,
+                                      F.hll_sketch_estimate(F.hll_union_agg(f"{n}0").over(w)))
     s = s.withColumns({"cur": value(F.col("c0"), F.col("c1")), "ytd": running("y", so_far("_y")),
                        "mtd": running("m", so_far("_y", "_m"))})
     base = s.select(*gk, "_p", "cur", "mtd", "ytd")
@@ -180,11 +202,11 @@ def _cuts(model: Model, shown: dict, months: int) -> bool:
 
 
 def _cut_periods(model: Model, measure: str, items, grain: str, group_by: list[str], filters: dict, shown: dict,
-                 date_column: str | None) -> DataFrame:
+                 date_column: str | None, sketch: int | None) -> DataFrame:
     """``with_time`` by month, quarter or year where a Date filter keeps a part of a period.  Current and PY come
     from the rows of the kept dates (and of the same dates a year earlier); the running items are those of
     the last kept date at day grain."""
-    m = model.measures[measure]
+    m = model.measures[measure] if sketch is None else sketched(model.measures[measure], sketch)
     gk = [f"g{i}" for i in range(len(group_by))]
     names = [g.rsplit(".", 1)[1] for g in group_by]
     kept = model._filtered("date", shown).select("date", F.floor(_month_number(F.col("date")) / MONTHS[grain]).alias("_p"))
@@ -205,13 +227,14 @@ def _cut_periods(model: Model, measure: str, items, grain: str, group_by: list[s
         if len(through) > 1:
             here = here.select(*keys, "_k").distinct().join(per_key, F.col("_k") == F.col("_hk"))
         total = F.sum("_p0") if m.kind != "distinct" else distinct_count_with_blank(F.col("_v"))
+        total = total if sketch is None else F.hll_sketch_estimate(F.hll_union_agg("_p0"))
         value = F.try_divide(F.sum("_p0"), F.sum("_p1").cast("double")) if m.kind == "avg" else total
         return here.groupBy(*keys).agg(value.alias(name))
 
     cur = over(kept, "cur")
     py = over(kept.select(F.add_months("date", -12).alias("date"), "_p"), "py")
     last = kept.groupBy("_p").agg(F.max("date").alias("_last"))
-    running = with_time(model, measure, ("MTD", "YTD"), "day", group_by, filters, date_column)
+    running = with_time(model, measure, ("MTD", "YTD"), "day", group_by, filters, date_column, sketch)
     running = running.select(*[F.col(n).alias(g) for g, n in zip(gk, names)], "date", "mtd", "ytd")
     running = running.join(F.broadcast(last), F.col("date") == F.col("_last")).select(*gk, "_p", "mtd", "ytd")
     out = align(align(cur, py, gk + ["_p"]), running, gk + ["_p"])

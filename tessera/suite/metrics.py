@@ -457,6 +457,23 @@ def q_ti_year_distinct(spark, sf):
     return with_time(sales_model(spark, sf), "active_customers", ["Current", "MTD", "YTD", "PY"], "year", ["customer.c_mktsegment"])
 
 
+@query("ti_ytd_distinct_sketch", sql=f"""
+WITH f AS (SELECT year(o_orderdate) AS y, month(o_orderdate) AS m, o_custkey AS k FROM {F_} x),
+p AS (SELECT DISTINCT y, m FROM f)
+SELECT CAST(p.y AS INTEGER) AS year, CAST(p.m AS INTEGER) AS month, (SELECT count(DISTINCT k) FROM f WHERE f.y = p.y AND f.m = p.m) AS cur,
+       (SELECT count(DISTINCT k) FROM f WHERE f.y = p.y AND f.m <= p.m) AS ytd, true AS within_bound FROM p""")
+def q_ti_ytd_distinct_sketch(spark, sf):
+    """Active customers by month and year to date from mergeable sketches beside the exact counts: the estimates
+    stay within four standard errors (6.5 % with 4,096 registers, one customer at least)."""
+    m = sales_model(spark, sf)
+    exact = with_time(m, "active_customers", ["Current", "YTD"], "month")
+    near = with_time(m, "active_customers", ["Current", "YTD"], "month", sketch=12).select(
+        F.col("year").alias("_y"), F.col("month").alias("_m"), F.col("cur").alias("_c"), F.col("ytd").alias("_t"))
+    off = lambda a, b: F.abs(F.col(a) - F.col(b)) <= F.greatest(F.lit(1.0), 4 * 1.04 / 64 * F.col(a))
+    j = exact.join(near, (F.col("year") == F.col("_y")) & (F.col("month") == F.col("_m"))).filter(F.col("cur").isNotNull())
+    return j.select("year", "month", "cur", "ytd", (off("cur", "_c") & off("ytd", "_t")).alias("within_bound"))
+
+
 _CUT_SQL = f"""
 WITH f AS (SELECT CAST(o_orderdate AS DATE) AS d, l_extendedprice AS v, o_custkey AS k FROM {F_} x),
 kept AS (SELECT CAST(unnest(generate_series(DATE '1997-12-20', DATE '1998-04-05', INTERVAL 1 DAY)) AS DATE) AS d),

@@ -78,6 +78,33 @@ def test_cut_periods(spark, kind, grain, months):
     assert {k: v[:3] for k, v in have.items()} == {k: v[:3] for k, v in want.items()}
 
 
+@pytest.mark.parametrize("grain, months", [("month", 1), ("quarter", 3), ("year", 12)])
+def test_sketches_of_few_values_are_exact(spark, grain, months):
+    rows = with_time(model(spark), "who", ("Current", "MTD", "YTD", "PY"), grain, ["fact.g"], sketch=12).collect()
+    have = {(r["g"], r["year"], r[grain] if grain != "year" else 1): (r["cur"], r["mtd"], r["ytd"], r["py"]) for r in rows}
+    assert have == plain("who", months)
+
+
+def test_sketches_within_their_error_and_without_value_rows(spark, monkeypatch):
+    from tessera.plans import timeintel
+    big = model(spark).replace_table("fact", lambda: spark.range(60000).select(
+        F.lit("a").alias("g"), F.expr("date_add(DATE '2020-01-01', CAST(id % 700 AS INT))").alias("d"), (F.col("id") * 7919 % 20011).cast("int").alias("k"))
+        .withColumn("key", F.date_format("d", "yyyyMMdd").cast("int")))
+    written = []
+    real = timeintel.materialize
+    monkeypatch.setattr(timeintel, "materialize", lambda df: (written.append(real(df)), written[-1])[1])
+    near = {(r["year"], r["month"]): r for r in with_time(big, "who", ("Current", "YTD"), "month", sketch=12).collect()}
+    assert [w.count() for w in written] == [23]  # a sketch a month
+    exact = {(r["year"], r["month"]): r for r in with_time(big, "who", ("Current", "YTD"), "month").collect()}
+    assert set(near) == set(exact)
+    assert all(abs(near[p][c] - exact[p][c]) <= 4 * 1.04 / 64 * exact[p][c] for p in exact for c in ("cur", "ytd") if exact[p][c])
+    cut = {"date.date": F.col("date") <= F.lit(dt.date(2020, 5, 10))}
+    a, b = (with_time(big, "who", ("Current", "YTD"), "month", filters=cut, **k).orderBy("year", "month").collect() for k in ({}, {"sketch": 12}))
+    assert len(a) == len(b) == 5 and all(abs(x["ytd"] - y["ytd"]) <= 4 * 1.04 / 64 * x["ytd"] for x, y in zip(a, b))
+    with pytest.raises(ValueError):
+        with_time(model(spark), "total", sketch=12)
+
+
 def test_year_over_year_and_refused_grain(spark):
     r = {(x.year, x.quarter): (x.yoy, x.yoy_pct) for x in with_time(model(spark), "total", ("YOY", "YOY%"), "quarter").collect()}
     assert r[2021, 1] == (21.0 - 31.0, (21.0 - 31.0) / 31.0)
