@@ -7,6 +7,8 @@ vectors, so nothing is matched by position.
 """
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,13 +39,17 @@ def embed_text(df: DataFrame, text_col: str, num_features: int = 1 << 12) -> Dat
 
 def pca_by_variance(df: DataFrame, vec_col: str, share: float = 0.95, out_col: str = "pca"):
     """Centre the vectors, fit a full PCA, keep the first k components whose cumulative
-    explained variance reaches `share`.  Returns (frame with `out_col`, k)."""
+    explained variance reaches `share`.  Returns (frame with `out_col`, k).  Vectors (arrays) of more than
+    FULL_FIT entries go by ``pca_subspace``, which needs no square matrix."""
     from pyspark.ml.feature import PCA, StandardScaler
     from pyspark.ml.functions import array_to_vector, vector_to_array
 
     d = df.withColumn("_v", array_to_vector(F.col(vec_col)) if dict(df.dtypes)[vec_col].startswith("array")
                       else F.col(vec_col))
     dim = len(d.select("_v").first()[0])
+    if dim > FULL_FIT:
+        out, k = pca_subspace(d.withColumn("_v", vector_to_array("_v")), "_v", share, out_col)
+        return out.withColumn(out_col, array_to_vector(F.col(out_col))).drop("_v"), k
     scaler = StandardScaler(inputCol="_v", outputCol="_c", withMean=True, withStd=False).fit(d)
     c = scaler.transform(d)
     pca = PCA(k=dim, inputCol="_c", outputCol="_p").fit(c)
@@ -58,6 +64,77 @@ def pca_by_variance(df: DataFrame, vec_col: str, share: float = 0.95, out_col: s
     return out.drop("_v", "_c", "_p"), k
 
 
+FULL_FIT = 1024  # entries of a vector up to which a square matrix is fitted on the driver
+START_RANK, PASSES, SETTLED = 16, 40, 1e-9  # of the subspace iteration
+
+
+def pca_subspace(df: DataFrame, vec_col: str, share: float = 0.95, out_col: str = "pca", start: int = START_RANK,
+                 passes: int = PASSES, settled: float = SETTLED):
+    """The same as ``pca_by_variance`` for vectors (arrays) of any length, without a square matrix: returns (frame with
+    `out_col` as an array, k).
+
+    A block of `start` directions is multiplied by the covariance again and again (each pass streams the
+    vectors once through the executors and sums one short row a dimension) until its share of the
+    variance settles; while that share is too small, the block is doubled.  The driver holds
+    dimensions x directions numbers."""
+    spark = df.sparkSession
+    about = df.select(F.posexplode(vec_col).alias("i", "v")).groupBy("i").agg(
+        F.avg("v").alias("m"), F.var_pop("v").alias("s"), F.count(F.lit(1)).alias("n")).orderBy("i").collect()
+    mean, total, n, dim = np.array([r["m"] for r in about]), sum(r["s"] for r in about), about[0]["n"], len(about)
+    rng = np.random.default_rng(42)
+
+    def times_covariance(block: np.ndarray) -> np.ndarray:
+        sent = spark.sparkContext.broadcast((mean, block))
+
+        def product(parts):
+            m, q = sent.value
+            out = np.zeros(q.shape)
+            for p in parts:
+                x = p.column(0).flatten().to_numpy(zero_copy_only=False).reshape(p.num_rows, len(m)) - m
+                out += x.T @ (x @ q)
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(m))), pa.array(list(out), pa.list_(pa.float64()))], names=["i", "row"])
+
+        parts = df.select(F.col(vec_col).cast("array<double>").alias("v")).mapInArrow(product, "i long, row array<double>")
+        cells = parts.select("i", F.posexplode("row").alias("j", "x")).groupBy("i", "j").agg(F.sum("x").alias("x")).collect()
+        out = np.zeros(block.shape)
+        for r in cells:
+            out[r["i"], r["j"]] = r["x"]
+        sent.unpersist()
+        return out / n
+
+    rank = min(start, dim)
+    block = np.linalg.qr(rng.normal(size=(dim, rank)))[0]
+    while True:
+        before = -1.0
+        for _ in range(1 if rank == dim else passes):
+            image = times_covariance(block)
+            values, turn = np.linalg.eigh(block.T @ image)
+            values, turn = values[::-1], turn[:, ::-1]
+            found = values.sum() / total if total > 0 else 1.0
+            directions = block @ turn
+            if abs(found - before) < settled:
+                break
+            before = found
+            block = np.linalg.qr(image @ turn)[0]
+        if found >= share - 1e-12 or rank == dim:
+            break
+        rank = min(2 * rank, dim)
+        more = rng.normal(size=(dim, rank - block.shape[1]))
+        block = np.linalg.qr(np.column_stack([block, more]))[0]
+    explained = np.cumsum(values) / total if total > 0 else np.ones(rank)
+    k = int(min(rank, np.searchsorted(explained, share - 1e-12) + 1))
+    turn = np.sign(directions[np.abs(directions).argmax(axis=0), np.arange(directions.shape[1])])
+    sent = spark.sparkContext.broadcast((mean, (directions * np.where(turn == 0, 1, turn))[:, :k]))
+
+    @F.arrow_udf("array<double>")
+    def project(v: pa.Array) -> pa.Array:
+        m, q = sent.value
+        x = v.flatten().to_numpy(zero_copy_only=False).reshape(len(v), len(m)) - m
+        return pa.array(list(x @ q), pa.list_(pa.float64()))
+
+    return df.withColumn(out_col, project(F.col(vec_col).cast("array<double>"))), k
+
+
 def kmeans(df: DataFrame, vec_col: str, k: int = 18, seed: int = 42, out_col: str = "cluster") -> DataFrame:
     from pyspark.ml.clustering import KMeans
     model = KMeans(k=k, seed=seed, featuresCol=vec_col, predictionCol=out_col).fit(df)

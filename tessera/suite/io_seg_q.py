@@ -4,11 +4,13 @@ from __future__ import annotations
 import uuid
 from functools import reduce
 
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators import segment as S
+from tessera.operators.transformers import TextEmbedder, TextTranslator
 from tessera.plans.sales import sales_model
 from tessera.session import scratch_path
 from tessera.sources import catalog, files, sinks
@@ -93,6 +95,38 @@ def q_embed_text(spark, sf):
     return e.select("doc_id", norm.alias("norm")).withColumn("has_words", (F.col("norm") > 0).cast("int"))
 
 
+def text_profile(texts: list[str]) -> list[list[float]]:
+    """An embedding service: characters, lines, vowels and blanks of each text; it cannot do texts whose length ends in 3."""
+    if any(len(t) % 10 == 3 for t in texts):
+        raise RuntimeError("service unavailable")
+    return [[float(len(t)), t.count("\n") + 1.0, float(sum(map(t.count, "aeiou"))), float(t.count(" "))] for t in texts]
+
+
+def first_line(texts: list[str]) -> list[str]:
+    """A text service: the first line as a heading."""
+    return ["# " + t.split("\n")[0] for t in texts]
+
+
+@query("embed_service", sql="""
+SELECT doc_id, CASE WHEN length(text) % 10 <> 3 THEN CAST(length(text) AS DOUBLE) END AS n_chars,
+       CASE WHEN length(text) % 10 <> 3 THEN CAST(length(text) - length(replace(text, chr(10), '')) + 1 AS DOUBLE) END AS n_lines,
+       CASE WHEN length(text) % 10 <> 3 THEN CAST(length(regexp_replace(text, '[^aeiou]', '', 'g')) AS DOUBLE) END AS n_vowels,
+       CASE WHEN length(text) % 10 <> 3 THEN CAST(length(text) - length(replace(text, ' ', '')) AS DOUBLE) END AS n_blanks,
+       CASE WHEN length(text) % 10 = 3 THEN 'RuntimeError: service unavailable' END AS error,
+       '# ' || string_split(text, chr(10))[1] AS heading FROM documents""")
+def q_embed_service(spark, sf):
+    """Documents through a Pipeline of two services that was saved and loaded again: a text service, and an
+    embedding whose failing texts keep their error."""
+    pipe = Pipeline(stages=[TextTranslator(inputCol="text", outputCol="heading", errorCol="heading_error", function="tessera.suite.io_seg_q:first_line"),
+                            TextEmbedder(inputCol="text", outputCol="embedding", function="tessera.suite.io_seg_q:text_profile", retries=1)])
+    docs = load(spark, sf, "documents").select("doc_id", "text")
+    path = scratch_path(spark, f"pipeline-{uuid.uuid4().hex}")
+    pipe.fit(docs).write().save(path)
+    out = PipelineModel.load(path).transform(docs)
+    names = ("n_chars", "n_lines", "n_vowels", "n_blanks")
+    return out.select("doc_id", *[F.col("embedding")[i].alias(n) for i, n in enumerate(names)], "error", "heading")
+
+
 @query("csv_roundtrip_documents", sql="""
 SELECT doc_id, lang, source, n_chars, CAST(length(text) AS INTEGER) AS text_chars, true AS same_text FROM documents""")
 def q_csv_roundtrip(spark, sf):
