@@ -140,12 +140,13 @@ class Model:
         return cur
 
     def _restricted(self, name: str, filters: dict, m: Measure | None = None,
-                    visiting: frozenset = frozenset()) -> DataFrame:
+                    visiting: frozenset = frozenset(), carried: frozenset = frozenset()) -> DataFrame:
         """Table `name` under the filter context: its own filters plus one ``left_semi`` join
         per incoming relationship that a filtered table reaches it through.  The key set of
         that relationship comes from the neighbour table restricted by every filter reaching
         *it*, so filters combine as one context (rows satisfying all of them), and the fact
-        behind a hub is scanned once however many filters pass through it."""
+        behind a hub is scanned once however many filters pass through it.  `carried`: relationships
+        (src, src_col, dst_col) that a bridge brings the restricted keys of anyway."""
         df = self._filtered(name, filters)
         visiting = visiting | {name}
         last_edges: dict = {}
@@ -161,6 +162,8 @@ class Model:
             e = p[-1]
             last_edges.setdefault((e.src, e.src_col, e.dst_col), e)
         for (src, src_col, dst_col), e in last_edges.items():
+            if (src, src_col, dst_col) in carried:
+                continue
             keys = self._restricted(src, filters, m, visiting).select(F.col(src_col).alias("_k"))
             df = df.join(keys, df[dst_col] == keys["_k"], "left_semi")
         return self._within_dates(df, name, filters)
@@ -180,8 +183,13 @@ class Model:
             return df.filter(F.lit(False))
         return df.filter((c >= F.lit(lo)) & (c < F.lit(hi + timedelta(days=1))))
 
-    def _home(self, m: Measure, filters: dict) -> DataFrame:
-        return self._restricted(m.table, filters, m)
+    def _home(self, m: Measure, filters: dict, group_tables: list[str] = ()) -> DataFrame:
+        """The measure's table under the filters.  A group table that reaches it through a hub brings (group,
+        key) pairs of the hub's kept rows, and only those keys are joined: the hub need not be read
+        again to restrict the home table."""
+        paths = [p for t in group_tables if t != m.table and (p := self._reach(t, m)) and len(p) > 1]
+        carried = frozenset((p[-1].src, p[-1].src_col, p[-1].dst_col) for p in paths)
+        return self._restricted(m.table, filters, m, carried=carried)
 
     def replace_table(self, name: str, fn: Callable[[], DataFrame]) -> "Model":
         """A copy of the model where table `name` is defined by `fn`."""
@@ -289,7 +297,7 @@ class Model:
         A group table unrelated to the measure repeats the result for each of its groups."""
         m0 = ms[0]
         gk = [f"g{i}" for i in range(len(group_by))]
-        home = self._home(m0, filters)
+        home = self._home(m0, filters, [_split(g)[0] for g in group_by])
         for i, m in enumerate(ms):
             home = home.withColumn(f"_v{i}", F.col(m.column) if m.column else F.lit(1))
         gtabs: dict = {}

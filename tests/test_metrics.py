@@ -98,6 +98,14 @@ def test_fact_is_read_once_for_all_kinds_of_measures(spark):
     assert len(_scans(E.queries()["sales_by_dim"](spark, SF_SMALL), "lineitem")) == 1
 
 
+def test_fact_is_read_once_a_home_table(spark):
+    """Measures of orders and of reviews, grouped and filtered through orders: one read for either."""
+    import __spark_entry__ as E
+    from conftest import SF_SMALL
+    assert len(_scans(E.queries()["evaluate_multi"](spark, SF_SMALL), "lineitem")) == 2
+    assert len(_scans(E.queries()["avg_review_bridged"](spark, SF_SMALL), "lineitem")) == 1
+
+
 def test_groups_outside_the_calendar_have_no_spine(spark):
     from conftest import SF_SMALL
     from tessera.plans.sales import sales_model
