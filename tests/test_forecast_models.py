@@ -218,3 +218,26 @@ def test_repeated_run_leaves_one_copy(spark):
     for run in ("a", "a", "b", "a"):
         append_run(df, path, run)
     assert sorted((r.run_id, r.k) for r in spark.read.parquet(path).collect()) == [("a", 1), ("a", 2), ("b", 1), ("b", 2)]
+
+
+def test_selection_among_all_candidates_of_the_query(spark):
+    """fc_select_every: the candidates with an oracle as in fc_mape, ARIMA as worked out by numpy, the least error chosen."""
+    import __spark_entry__ as E
+    from conftest import SF_SMALL
+    q = E.queries()
+    rows = q["fc_select_every"](spark, SF_SMALL).collect()
+    got = {(r["c_mktsegment"], r["model"]): r["mape"] for r in rows}
+    assert {r["model"] for r in rows} == set(FC.MODELS)
+    for r in q["fc_mape"](spark, SF_SMALL).collect():
+        assert abs(got[r["c_mktsegment"], r["model"]] - r["mape"]) < 2e-4
+    weeks = {}
+    for r in q["holdout_split"](spark, SF_SMALL).orderBy("t").collect():
+        weeks.setdefault(r["c_mktsegment"], []).append(r["y"])
+    for k, y in weeks.items():
+        train, test = np.array(y[:-4]), np.array(y[-4:])
+        ahead = arima.forecast(train, arima.fit(train), 4)
+        want = np.mean([abs((a - p) / a) for a, p in zip(test, ahead) if a != 0])
+        assert abs(got[k, "arima"] - want) < 2e-3 * max(1, want)
+    for k in weeks:
+        best = min((v, m) for (s, m), v in got.items() if s == k)
+        assert any(r["chosen"] and r["c_mktsegment"] == k and r["mape"] == best[0] for r in rows)
