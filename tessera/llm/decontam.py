@@ -2,13 +2,13 @@
 
 Every benchmark item is compared with the windows of a document that have as many words as it:
 
-1. A window is worth a fingerprint only if enough of its 5-word shingles occur in items of that
-   length; a window with fewer cannot reach the similarity, whatever its fingerprint.  One
-   look-up per shingle decides that, and most documents end here.
-2. Its SimHash (64 bits, over its words) is looked up in a multi-index: four blocks of 16 bits;
-   fingerprints within RADIUS bits differ by at most RADIUS // 4 bits in one block at least, and
-   each block's table knows the items within so many bits of any value.  No item within the
-   radius is lost.
+1. Every window that has a 5-word shingle of some item of its length gets a fingerprint, its SimHash
+   (64 bits, over its words).  Windows without one have similarity 0 with all items of the length; one
+   look-up per shingle tells them, and most documents end here.
+2. The fingerprints are looked up in the multi-index of the items of that length: four blocks of 16
+   bits; fingerprints within RADIUS bits differ by at most RADIUS // 4 bits in one block at least,
+   and each block's table knows the items within so many bits of any value.  No item within the
+   radius is lost.  These are the candidates.
 3. The exact weighted similarity of the shingles (counts as weights: sum of least over sum of
    greatest) confirms or drops each candidate.
 
@@ -37,8 +37,9 @@ SHINGLE = 5
 LEAST = 0.8            # similarity from which a window counts as a copy of an item
 RADIUS = 19            # a window of that similarity has about 5 bits, at worst 9 or 10 bits, of 64 changed
 _BLOCKS, _BITS = 4, 16
-TABLE_ITEMS = 500      # items in one multi-index (its tables take about 10,000 entries an item)
-PASS_ITEMS = 20_000    # items sent with one pass over the documents
+TABLE_ITEMS = 500      # items in one multi-index (its tables take about 10,000 entries of 4 bytes an item)
+PASS_ITEMS = 10_000    # items sent with one pass over the documents
+WINDOWS = 4096         # windows fingerprinted and looked up at once
 _FILTER = 20           # bits of the first, inexact look-up
 
 
@@ -55,32 +56,43 @@ def running_bits(h: np.ndarray) -> np.ndarray:
     return out
 
 
-_BALL = np.array([x for x in range(1 << _BITS) if x.bit_count() <= RADIUS // _BLOCKS], np.int64)
+_BALL = np.array([x for x in range(1 << _BITS) if x.bit_count() <= RADIUS // _BLOCKS], np.uint16)
+
+
+def _block(prints: np.ndarray, k: int) -> np.ndarray:
+    return (prints >> np.uint64(_BITS * k)).astype(np.uint16)
 
 
 class MultiIndex:
-    """Items by the values of each fingerprint block, and all values near them."""
+    """Items by the values of each fingerprint block, and all values near them, sorted."""
 
     def __init__(self, prints: np.ndarray):
         self.prints = prints
-        self.blocks = prints.view(np.uint16).reshape(len(prints), _BLOCKS).astype(np.int64)
+        items = np.repeat(np.arange(len(prints), dtype=np.uint16), len(_BALL))
         self.tables = []
         for k in range(_BLOCKS):
-            values = (self.blocks[:, k][:, None] ^ _BALL[None, :]).ravel()
-            items = np.repeat(np.arange(len(prints), dtype=np.int32), len(_BALL))
+            values = (_block(prints, k)[:, None] ^ _BALL[None, :]).ravel()
             order = np.argsort(values, kind="stable")
-            ends = np.cumsum(np.bincount(values, minlength=1 << _BITS))
-            self.tables.append((np.concatenate(([0], ends)), items[order]))
+            self.tables.append((values[order], items[order]))
+
+    def within(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Every (place in `prints`, item, distance) with at most RADIUS bits between the two, in order."""
+        near = []
+        for k, (values, items) in enumerate(self.tables):
+            own = _block(prints, k)
+            first = np.searchsorted(values, own, "left")
+            n = np.searchsorted(values, own, "right") - first
+            at = np.repeat(np.arange(len(own)), n)
+            item = items[np.repeat(first, n) + runs(n)].astype(np.int64)
+            close = np.bitwise_count(prints[at] ^ self.prints[item]) <= RADIUS
+            near.append(at[close] * len(self.prints) + item[close])
+        at, item = np.divmod(np.unique(np.concatenate(near)), len(self.prints))
+        return at, item, np.bitwise_count(prints[at] ^ self.prints[item])
 
-    def within(self, one: np.uint64) -> list[tuple[int, int]]:
-        """(item, distance) of every item within RADIUS bits of a fingerprint."""
-        found: list[np.ndarray] = []
-        for k, (ends, items) in enumerate(self.tables):
-            v = (int(one) >> (_BITS * k)) & 0xFFFF
-            found.append(items[ends[v]:ends[v + 1]])
-        near = np.unique(np.concatenate(found))
-        apart = np.bitwise_count(self.prints[near] ^ one)
-        return [(int(i), int(d)) for i, d in zip(near, apart) if d <= RADIUS]
+
+def runs(n: np.ndarray) -> np.ndarray:
+    """0 .. n[0] - 1, 0 .. n[1] - 1, and so on."""
+    return np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
 
 
 @dataclass(frozen=True)
@@ -96,7 +108,8 @@ class Benchmark:
     """Items prepared for search; null texts and texts without a word are left out."""
 
     def __init__(self, items: list[tuple[int, str]]):
-        self.ids, self.counts, self.sizes, prints, every = [], [], [], [], []
+        self.ids, self.counts, every = [], [], []
+        prints: dict[int, list[tuple[int, np.uint64]]] = {}  # items and their fingerprints by size
         self.short: dict[int, dict[int, list[int]]] = {}  # items of fewer than SHINGLE words: length, hash, ids
         for item_id, text in items:
             h = word_hashes((text or "").encode())
@@ -107,8 +120,8 @@ class Benchmark:
             s = shingles(h, SHINGLE)
             self.ids.append(item_id)
             self.counts.append(np.unique(s, return_counts=True))
-            self.sizes.append(len(s))
-            prints.append(fingerprints(running_bits(h), np.zeros(1, np.int64), len(h))[0])
+            one = fingerprints(running_bits(h), np.zeros(1, np.int64), len(h))[0]
+            prints.setdefault(len(s), []).append((len(self.ids) - 1, one))
             every.append(np.stack([self.counts[-1][0], np.full(len(self.counts[-1][0]), len(s), np.uint64)], 1))
         pairs = np.unique(np.concatenate(every), axis=0) if every else np.zeros((0, 2), np.uint64)
         # the shingles of all items, and for each the sizes (in shingles) of the items that have it
@@ -116,8 +129,10 @@ class Benchmark:
         self.first, self.of_size = np.append(first, len(pairs)), pairs[:, 1].astype(np.int64)
         self.maybe = np.zeros(1 << _FILTER, bool)
         self.maybe[(self.known >> np.uint64(64 - _FILTER)).astype(np.int64)] = True
-        prints = np.array(prints, np.uint64)
-        self.indexes = [(at, MultiIndex(prints[at:at + TABLE_ITEMS])) for at in range(0, len(prints), TABLE_ITEMS)]
+        #: for each size the multi-indexes of its items, with the items' numbers
+        self.indexes = {size: [(np.array([i for i, _ in part]), MultiIndex(np.array([x for _, x in part], np.uint64)))
+                               for part in (own[at:at + TABLE_ITEMS] for at in range(0, len(own), TABLE_ITEMS))]
+                        for size, own in prints.items()}
 
     def search(self, text: bytes) -> list[Hit]:
         """The best window of its length for each item that the text holds a copy of (ties: the
@@ -149,36 +164,34 @@ class Benchmark:
         at, row = at[real], row[real]
         n = self.first[row + 1] - self.first[row]  # sizes for each shingle found
         where = np.repeat(at, n)
-        sizes = self.of_size[np.repeat(self.first[row], n) + np.arange(len(where)) - np.repeat(np.cumsum(n) - n, n)]
+        sizes = self.of_size[np.repeat(self.first[row], n) + runs(n)]
         best: dict[int, Hit] = {}
-        bits = None
         for size in np.unique(sizes).tolist():
-            found = where[sizes == size]
-            if len(found) < LEAST * size - 1e-9:
-                continue
             wide = min(size, len(s))
-            hits = np.zeros(len(s) + 1, np.int64)
-            hits[found + 1] = 1
-            np.cumsum(hits, out=hits)
-            starts = np.flatnonzero(hits[wide:] - hits[:-wide] >= LEAST * size - 1e-9)
-            if not len(starts):
-                continue
-            bits = running_bits(h) if bits is None else bits
-            seen: dict[bytes, list[tuple[int, int, float]]] = {}
-            for start, one in zip(starts.tolist(), fingerprints(bits, starts, wide + SHINGLE - 1)):
-                window = np.sort(s[start:start + wide])
-                key = window.tobytes()
-                if key not in seen:  # the same words again have the same answer
-                    counts = np.unique(window, return_counts=True)
-                    near = [(i, d) for i, d in self._near(one) if self.sizes[i] == size]
-                    seen[key] = [(i, d, x) for i, d in near if (x := similarity(counts, self.counts[i])) >= LEAST]
-                for i, d, x in seen[key]:
-                    if i not in best or x > best[i].similarity:
+            shared = np.zeros(len(s) + 1, np.int64)
+            shared[where[sizes == size] + 1] = 1
+            np.cumsum(shared, out=shared)
+            starts = np.flatnonzero(shared[wide:] > shared[:-wide])
+            seen: dict[tuple[int, bytes], float] = {}  # the same words again have the same answer
+            for k in range(0, len(starts), WINDOWS):
+                for start, i, d in self._near(h, starts[k:k + WINDOWS], size, wide + SHINGLE - 1):
+                    window = np.sort(s[start:start + wide])
+                    key = i, window.tobytes()
+                    if key not in seen:
+                        seen[key] = similarity(np.unique(window, return_counts=True), self.counts[i])
+                    x = seen[key]
+                    if x >= LEAST and (i not in best or x > best[i].similarity):
                         best[i] = Hit(self.ids[i], start, wide + SHINGLE - 1, d, x)
         return [best[i] for i in sorted(best)]
 
-    def _near(self, one: np.uint64) -> list[tuple[int, int]]:
-        return [(at + i, d) for at, index in self.indexes for i, d in index.within(one)]
+    def _near(self, h: np.ndarray, starts: np.ndarray, size: int, words: int) -> Iterator[tuple[int, int, int]]:
+        """(start, item, distance) of the windows of `words` words at `starts` (rising) and the items of `size`
+        shingles within the radius; only the words that the windows span are held as bits."""
+        for run in np.split(starts, np.flatnonzero(np.diff(starts) > WINDOWS) + 1):
+            prints = fingerprints(running_bits(h[run[0]:run[-1] + words]), run - run[0], words)
+            for numbers, index in self.indexes[size]:
+                for at, item, d in zip(*(x.tolist() for x in index.within(prints))):
+                    yield int(run[at]), int(numbers[item]), d
 
 
 Counts = tuple[np.ndarray, np.ndarray]

@@ -243,12 +243,35 @@ def test_multi_index_finds_all_within_the_radius():
     rng = np.random.default_rng(5)
     prints = rng.integers(0, 2 ** 64, 300, np.uint64)
     index = decontam.MultiIndex(prints)
+    probes = prints[:60].copy()
     for k in range(60):
-        probe = prints[k]
         for bit in rng.permutation(64)[:k % 24]:
-            probe = probe ^ (np.uint64(1) << np.uint64(bit))
-        apart = np.bitwise_count(prints ^ probe)
-        assert index.within(probe) == [(i, int(d)) for i, d in enumerate(apart) if d <= decontam.RADIUS]
+            probes[k] ^= np.uint64(1) << np.uint64(bit)
+    apart = np.bitwise_count(probes[:, None] ^ prints[None, :])
+    want = [(k, i, int(apart[k, i])) for k in range(60) for i in range(300) if apart[k, i] <= decontam.RADIUS]
+    assert list(zip(*(x.tolist() for x in index.within(probes)))) == want
+    assert all(len(x) == 0 for x in index.within(probes[:0]))
+
+
+def test_fingerprints_alone_make_the_candidates(monkeypatch):
+    """Without the multi-index nothing is found, whatever shingles a text shares with an item."""
+    docs, items = leak_case()
+    items = items[:-1]  # without the one of four words
+    ready = decontam.Benchmark(items)
+    texts = [t.encode() for _, t in docs]
+    assert sum(len(ready._long(shingles.word_hashes(t))) for t in texts) == len(brute_hits(docs, items))
+    monkeypatch.setattr(decontam.MultiIndex, "within", lambda self, prints: (np.zeros(0, np.int64),) * 3)
+    assert not any(ready._long(shingles.word_hashes(t)) for t in texts)
+
+
+def test_long_texts_and_small_runs_of_windows(monkeypatch):
+    """The same hits however many windows are looked up at once."""
+    docs, items = leak_case()
+    text = (" gap " * 50).join(t for _, t in docs).encode()
+    ready = decontam.Benchmark(items)
+    once = ready.search(text)
+    monkeypatch.setattr(decontam, "WINDOWS", 7)
+    assert ready.search(text) == once and len(once) >= 11
 
 
 def test_decontaminate_keeps_clean_documents(spark, frame):
