@@ -327,8 +327,8 @@ def compile_template(source: str) -> Callable[[Iterable[dict]], Iterator[Piece]]
 
 #: The registered format.  Assistant texts are what the loss covers.
 TEMPLATE = """{% for m in messages %}\
-{% if m.role == 'system' %}{{ '###' ~ ' System: ' }}{% elif m.role == 'user' %}{{ '###' ~ ' User: ' }}\
-{% elif m.role == 'assistant' %}{{ '###' ~ ' Assistant: ' }}{% else %}### @{{ m.role | escape }}</role>{% endif %}\
+{% if m.role == 'system' %}### System: {% elif m.role == 'user' %}### User: \
+{% elif m.role == 'assistant' %}### Assistant: {% else %}### @{{ m.role | escape }}</role>{% endif %}\
 {% if m.role == 'assistant' %}{% generation %}{{ m.text | escape }}{% endgeneration %}\
 {% else %}{{ m.text | escape }}{% endif %}</turn>
 {% endfor %}"""
@@ -419,11 +419,16 @@ def _format(stream: Iterator[tuple[object, dict]], render: Callable, part_chars:
             yield conv, part, n, "".join(out), loss
 
 
-def digests(formatted: DataFrame) -> DataFrame:
+def digests(formatted: DataFrame, in_order: bool = False) -> DataFrame:
     """What the formatted rows hold, read back from them: conv_id, n_turns, turns_sha256 (role, \\n,
     text, \\n of every turn), loss_chars and loss_sha256 (the unescaped text under the loss), and
-    formatted_chars.  It follows format_conversations without a shuffle: the parts of a
-    conversation are neighbours, in order."""
+    formatted_chars.  Parts may come in any order and partition, as after writing and reading them;
+    `in_order` says that they come straight from format_conversations, where the parts of a
+    conversation are neighbours, and saves the shuffle.  A null conv_id is one conversation; an
+    empty table gives an empty result; extra columns are ignored."""
+    if not in_order:
+        formatted = formatted.select("conv_id", "part", "formatted", "loss").repartition("conv_id").sortWithinPartitions(
+            "conv_id", "part")
     kind = formatted.schema["conv_id"].dataType
     schema = (f"conv_id {kind.simpleString()}, n_turns long, turns_sha256 string, loss_chars long, "
               "loss_sha256 string, formatted_chars long")

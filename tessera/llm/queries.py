@@ -147,7 +147,7 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 def op8_chat_format(spark, sf):
     """Every conversation formatted and read back."""
     turns = chat.with_tricky(spark, table(spark, sf, "conversations"))
-    return chat.digests(chat.format_conversations(turns))
+    return chat.digests(chat.format_conversations(turns), in_order=True)
 
 
 @query("op2_minhash_neardup", sql=neardup.sql())
