@@ -36,8 +36,9 @@ def order_key(doc_id: Column, text: Column, seed: str = SEED) -> Column:
 
 def sized(docs: DataFrame, whole: bool = False) -> DataFrame:
     """doc_id, source, size (words; null text: 0) and the order key of every row; with `whole`, the
-    row itself too, as one struct (so that no name of a caller can clash with ours)."""
-    row = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc")] if whole else []
+    row itself too, as one struct (so that no name of a caller can clash with ours), and a hash of
+    its text, which orders rows of one id and size."""
+    row = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc"), F.xxhash64("text").alias("__t")] if whole else []
     return docs.select(
         "doc_id", "source", F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD)).cast("long").alias("size"),
         order_key(F.col("doc_id"), F.col("text")).alias("__h"), *row)
@@ -129,11 +130,12 @@ def planned(docs: DataFrame) -> DataFrame:
         Window.partitionBy("source").orderBy("__b")) - F.col("s")).alias("before"))
     src = quotas(targets(sizes)).select(F.col("source").alias("__src"), "rank", "source_size", "target", "block",
                                         "blocks", "quota")
-    inside = Window.partitionBy("source", "__b").orderBy("__h", F.asc_nulls_first("doc_id"), "size")
+    last = ["__t"] if "__t" in sizes.columns else []
+    inside = Window.partitionBy("source", "__b").orderBy("__h", F.asc_nulls_first("doc_id"), "size", *last)
     out = sizes.withColumn("__in", F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
     out = out.join(before, F.col("source").eqNullSafe(F.col("__s")) & (F.col("__b") == F.col("__sb")))
     out = out.join(src, F.col("source").eqNullSafe(F.col("__src")))
-    return out.withColumn("__start", F.col("before") + F.col("__in")).drop("__s", "__sb", "__src", "before", "__in", "__b", "__h")
+    return out.withColumn("__start", F.col("before") + F.col("__in")).drop("__s", "__sb", "__src", "before", "__in", "__b", "__h", "__t")
 
 
 def spans() -> Column:
