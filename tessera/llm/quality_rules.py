@@ -79,7 +79,8 @@ def passes(version: int = CURRENT, bits: Column | str = "fail_bits") -> Column:
 def ablation(led: DataFrame, version: int = CURRENT, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """One row per rule of a policy: documents and words that fail it, that fail it alone, and
     that the policy would keep without it.  The ledger is first reduced to one row per distinct
-    failure pattern (map-side), all else is bit operations on those rows."""
+    failure pattern (map-side), all else is bit operations on those rows.  Repeated rows count each, null
+    ids like others; an empty ledger gives an empty result; extra columns are ignored."""
     full = mask(POLICIES[version])
     patterns = led.groupBy("fail_bits").agg(F.count(F.lit(1)).alias("docs"), F.sum("n_words").alias("words"))
     names = F.array(*[F.struct(F.lit(r.name).alias("rule"), F.lit(1 << r.bit).cast("long").alias("bit"))

@@ -17,6 +17,7 @@ from tessera.llm.common import free_name
 
 SHARDS = 32
 SLOTS = 4099  # prime, over 100 slots a shard
+ROWS_A_FILE = 1_000_000
 
 
 def _number(text: str) -> int:
@@ -80,8 +81,13 @@ def place(df: DataFrame, shards: list[str] | None = None, slots: int = SLOTS, ke
     return out.withColumns({"slot": F.col(at), "shard": F.col(shard)}).drop(own, at, shard)
 
 
-def write_shards(df: DataFrame, path: str, files: int = 1) -> None:
-    """One folder per shard, in about `files` files each (a shard's rows are dealt over that many
-    tasks, so a shard need not fit one)."""
-    dealt = df.repartition(F.col("shard"), F.floor(F.rand(11) * files)) if files > 1 else df.repartition("shard")
+def write_shards(df: DataFrame, path: str, files: int | None = None) -> None:
+    """One folder per shard, in about `files` files each, by default as many as hold ROWS_A_FILE rows of the
+    largest shard.  A shard's rows are dealt over its files by a hash of the row, so a rerun deals them alike
+    and a shard need not fit one task; repeated rows meet in one file.  Rows with a null shard get a folder
+    of their own, null ids and texts and extra columns stay, an empty table writes no shard."""
+    shards, most = df.groupBy("shard").count().agg(F.count(F.lit(1)), F.max("count")).first()
+    files = files or -(-(most or 1) // ROWS_A_FILE)
+    names = [F.col(f"`{c}`") for c in df.columns if "map<" not in df.schema[c].dataType.simpleString()]
+    dealt = df.repartition(max(1, shards * files), F.col("shard"), F.pmod(F.xxhash64(*names), F.lit(files)))
     dealt.write.partitionBy("shard").parquet(path)
