@@ -27,6 +27,8 @@ MAX_ITEMS = 900
 MAX_CHARS = 45000
 CHUNK_SIZE = 20
 
+MEMBERS = 1000  # members in one array of a group
+
 
 def shards_for(rows: int, rows_per_shard: int = 1_000_000) -> int:
     """A number of shards that grows with the data."""
@@ -189,29 +191,51 @@ def greedy_batches_blocks(df: DataFrame, id_col: str, text_col: str, max_items:
     return out.select(F.col("_id").alias(id_col), "shard", "batch", F.col("_len").alias("n_chars"))
 
 
-def rank_in_shard(df: DataFrame, id_col: str, shards: int, rows_a_bucket: int = ROWS_A_BUCKET,
+def rank_in_group(df: DataFrame, group: str, id_col: str, rows_a_bucket: int = ROWS_A_BUCKET,
                   ties: list[Column] | None = None) -> DataFrame:
-    """0-based position of each row inside its shard, computed in parallel: rows are grouped in
-    buckets that follow the order (ranges of whole-number ids, as wide as the ids are sparse;
-    else ranges of the id's hash), a small table of counts per (shard, bucket) gives each
+    """`df` with ``_rn``, the 0-based position of each row inside its group (null: a group), computed in
+    parallel: rows are in buckets that follow the order (ranges of whole-number ids, as wide as the ids
+    are sparse; else ranges of the id's hash), a small table of counts per (group, bucket) gives each
     bucket's starting offset, and ``row_number`` runs only inside one bucket, so no task ever
-    sorts a whole shard.  Deterministic (no sampling), and independent of partitioning.  `ties`
+    sorts a whole group.  Deterministic (no sampling), and independent of partitioning.  `ties`
     orders rows of equal hash or id (default: the id)."""
-    d = df.withColumn("shard", shard_of(df, id_col, shards))
     order = F.col(id_col) if whole_numbers(df, id_col) else id_hash(id_col)
-    n, lo, hi = d.agg(F.count(F.lit(1)), F.min(order), F.max(order)).first()  # one row of metadata
+    n, lo, hi = df.agg(F.count(F.lit(1)), F.min(order), F.max(order)).first()  # one row of metadata
     width = max(1, -(-((hi or 0) - (lo or 0) + 1) * rows_a_bucket // max(n, 1)))
-    d = d.withColumns({"_o": order, "_bkt": F.floor((order - F.lit(lo or 0)) / F.lit(width)).cast("long")})
-    counts = d.groupBy("shard", "_bkt").agg(F.count(F.lit(1)).alias("_n"))
-    wo = Window.partitionBy("shard").orderBy(F.asc_nulls_first("_bkt")).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(F.col("shard").alias("_s"), F.col("_bkt").alias("_b"),
+    d = df.withColumns({"_o": order, "_bkt": F.floor((order - F.lit(lo or 0)) / F.lit(width)).cast("long")})
+    counts = d.groupBy(group, "_bkt").agg(F.count(F.lit(1)).alias("_n"))
+    wo = Window.partitionBy(group).orderBy(F.asc_nulls_first("_bkt")).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(F.col(group).alias("_s"), F.col("_bkt").alias("_b"),
                             F.coalesce(F.sum("_n").over(wo), F.lit(0)).alias("_off"))
-    wb = Window.partitionBy("shard", "_bkt").orderBy("_o", *(ties or [F.col(id_col)]))
+    wb = Window.partitionBy(group, "_bkt").orderBy("_o", *(ties or [F.col(id_col)]))
     r = d.withColumn("_rb", F.row_number().over(wb) - 1)
-    return r.join(offsets, (F.col("shard") == F.col("_s")) & F.col("_bkt").eqNullSafe(F.col("_b"))) \
+    return r.join(offsets, F.col(group).eqNullSafe(F.col("_s")) & F.col("_bkt").eqNullSafe(F.col("_b"))) \
         .withColumn("_rn", F.col("_off") + F.col("_rb")).drop("_o", "_bkt", "_s", "_b", "_off", "_rb")
 
 
+def rank_in_shard(df: DataFrame, id_col: str, shards: int, rows_a_bucket: int = ROWS_A_BUCKET,
+                  ties: list[Column] | None = None) -> DataFrame:
+    """`rank_in_group` over the shards of the ids: adds shard and ``_rn``."""
+    return rank_in_group(df.withColumn("shard", shard_of(df, id_col, shards)), "shard", id_col, rows_a_bucket, ties)
+
+
+def member_arrays(df: DataFrame, key: str, member: str, size: int = MEMBERS) -> DataFrame:
+    """The members of every group as arrays: one row per group and part with key, part (0-based), n_members, n_rows
+    (rows of these members) and members (distinct, in order).  A group has as many parts as it needs: all hold
+    `size` members but the last, so groups may be ragged and of any size.
+
+    Order: whole numbers rise, other types follow their hash.  A null group is a group; null members are left out (a
+    group of nulls only has no row), repeated rows are reduced map-side; an empty table gives an empty result."""
+    from tessera.session import materialize
+    own = df.filter(F.col(member).isNotNull()).groupBy(F.col(key).alias("_key"), F.col(member).alias("_member")).agg(
+        F.count(F.lit(1)).alias("_rows"))
+    d = rank_in_group(materialize(own), "_key", "_member")
+    g = d.groupBy("_key", F.floor(F.col("_rn") / size).cast("long").alias("part")).agg(
+        F.array_sort(F.collect_list(F.struct("_rn", "_member"))).alias("_all"), F.sum("_rows").alias("n_rows"))
+    return g.select(F.col("_key").alias(key), "part", F.size("_all").cast("long").alias("n_members"), "n_rows",
+                    F.transform("_all", lambda x: x["_member"]).alias("members"))
+
+
 def chunk(df: DataFrame, id_col: str, size: int = CHUNK_SIZE, *, shards: int) -> DataFrame:
     """Fixed-size chunks in order inside each shard: adds shard, batch, pos (0-based)."""
     d = rank_in_shard(df, id_col, shards)

@@ -9,6 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators import batching as B
 from tessera.operators import segment as S
 from tessera.operators.transformers import TextEmbedder, TextTranslator
 from tessera.plans.sales import sales_model
@@ -54,6 +55,29 @@ def q_category_mapping(spark, sf):
     return S.category_mapping(e, "label", "name", S.name_groups(e, "label", "name", "embedding"))
 
 
+def _members_sql(table: str, key: str, member: str, order: str, size: int) -> str:
+    return f"""WITH m AS (SELECT {key}, {member} AS m, count(*) AS n FROM {table} WHERE {member} IS NOT NULL GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {order}) - 1 AS rn FROM m)
+SELECT {key}, CAST(rn // {size} AS BIGINT) AS part, count(*) AS n_members, CAST(sum(n) AS BIGINT) AS n_rows,
+       string_agg(CAST(m AS VARCHAR), '|' ORDER BY rn) AS members FROM r GROUP BY 1, 2"""
+
+
+def _joined(df: DataFrame) -> DataFrame:
+    return df.withColumn("members", F.array_join(F.transform("members", lambda x: x.cast("string")), "|"))
+
+
+@query("group_members", sql=_members_sql("part", "p_type", "p_name", "CAST('0x' || substr(md5(m), 1, 8) AS BIGINT), m", 1000))
+def q_group_members(spark, sf):
+    """The distinct names of every product type, as arrays (joined for the comparison)."""
+    return _joined(B.member_arrays(load(spark, sf, "part"), "p_type", "p_name"))
+
+
+@query("group_members_in_parts", sql=_members_sql("orders", "o_orderpriority", "o_custkey", "m", 64))
+def q_group_members_in_parts(spark, sf):
+    """The customers of every order priority, in arrays of 64: groups of any size, the last array ragged."""
+    return _joined(B.member_arrays(load(spark, sf, "orders"), "o_orderpriority", "o_custkey", 64))
+
+
 @query("segment_chain", sql="""
 SELECT replace(p_type, '_', ' ') AS original_category, count(*) AS n_products, true AS named_after_a_category FROM part
 WHERE p_type IS NOT NULL GROUP BY 1""")

@@ -1,5 +1,6 @@
 """Batching, parsing and un-batching (synthetic cases of FIXTURES.md section 6)."""
 import json
+from functools import partial
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -165,3 +166,24 @@ def test_scratch_folders_can_be_dropped(spark):
     assert not where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
     from tessera.plans.sales import refresh_dates
     refresh_dates()  # the Date tables were among them
+
+
+def test_member_arrays(spark, monkeypatch):
+    """Ragged groups, hot groups over several parts and buckets, null groups and members, repeated rows."""
+    rows = [("hot", i) for i in range(500)] * 2 + [("one", 7), (None, 3), (None, 1), ("none", None), ("one", None)]
+    monkeypatch.setattr(B, "rank_in_group", partial(B.rank_in_group, rows_a_bucket=16))
+    for kind, text in (("long", lambda x: x), ("string", lambda x: None if x is None else f"m{x}")):
+        df = spark.createDataFrame([(k, text(m), "x") for k, m in rows], f"k string, m {kind}, _rows string").repartition(5)
+        out = B.member_arrays(df, "k", "m", 64).collect()
+        parts = {(r["k"], r["part"]): r for r in out}
+        assert len(parts) == len(out) == 8 + 1 + 1
+        got = {k: [m for p in range(8) if (k, p) in parts for m in parts[k, p]["members"]] for k in ("hot", "one", None)}
+        assert sorted(got["hot"]) == sorted(text(i) for i in range(500)) and got["one"] == [text(7)]
+        assert sorted(got[None]) == [text(1), text(3)]
+        assert [parts["hot", p]["n_members"] for p in range(8)] == [64] * 7 + [52]
+        assert sum(parts["hot", p]["n_rows"] for p in range(8)) == 1000
+        if kind == "long":
+            assert got["hot"] == list(range(500)) and got[None] == [1, 3]
+        again = B.member_arrays(df.repartition(2), "k", "m", 64).collect()
+        assert sorted(map(str, again)) == sorted(map(str, out))
+    assert B.member_arrays(df.limit(0), "k", "m").count() == 0
