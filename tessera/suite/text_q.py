@@ -5,6 +5,7 @@ import json
 import uuid
 
 import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.arrays import first_translation, non_empty
@@ -17,7 +18,8 @@ from tessera.sources.tables import load
 from tessera.suite.common import rounded
 from tessera.suite.registry import query
 
-SHARDS = 4
+SHARDS = 4  # at least; jobs that scan a shard in one task take more as the data grow
+SHARDS_SQL = f"(SELECT greatest({SHARDS}, (count(*) + 999999) // 1000000) FROM documents)"
 INSTRUCTION = "Score each review for product defects from 0 to 1.\nReviews: "
 
 CHUNK_SQL = """ch AS (SELECT doc_id, text, CAST(doc_id % 4 AS INTEGER) AS shard,
@@ -26,10 +28,14 @@ CHUNK_SQL = """ch AS (SELECT doc_id, text, CAST(doc_id % 4 AS INTEGER) AS shard,
    FROM documents WHERE text IS NOT NULL)"""
 
 
-@query("greedy_batches", sql="""
-WITH RECURSIVE d AS (SELECT doc_id, CAST(doc_id % 4 AS INTEGER) AS shard, length(text) AS len,
-                            row_number() OVER (PARTITION BY doc_id % 4 ORDER BY doc_id) AS rn
-                     FROM documents WHERE text IS NOT NULL),
+def _shards(docs: DataFrame) -> int:
+    return max(SHARDS, B.shards_for(docs.count()))
+
+
+@query("greedy_batches", sql=f"""
+WITH RECURSIVE d0 AS (SELECT doc_id, CAST(doc_id % {SHARDS_SQL} AS INTEGER) AS shard, length(text) AS len
+                      FROM documents WHERE text IS NOT NULL),
+d AS (SELECT *, row_number() OVER (PARTITION BY shard ORDER BY doc_id) AS rn FROM d0),
 r AS (SELECT shard, rn, doc_id, len, 0 AS batch, 1 AS cnt, len AS chars FROM d WHERE rn = 1
       UNION ALL
       SELECT d.shard, d.rn, d.doc_id, d.len,
@@ -39,8 +45,10 @@ r AS (SELECT shard, rn, doc_id, len, 0 AS batch, 1 AS cnt, len AS chars FROM d W
       FROM r JOIN d ON d.shard = r.shard AND d.rn = r.rn + 1)
 SELECT doc_id, shard, CAST(batch AS INTEGER) AS batch, CAST(len AS INTEGER) AS n_chars FROM r""")
 def q_greedy_batches(spark, sf):
-    """Documents batched greedily under 900 texts / 45,000 characters, 4 shards by doc_id."""
-    return B.greedy_batches(load(spark, sf, "documents"), "doc_id", "text", shards=SHARDS)
+    """Documents batched greedily under 900 texts / 45,000 characters, in shards by doc_id of a million rows
+    at most (four shards at least)."""
+    d = load(spark, sf, "documents")
+    return B.greedy_batches(d, "doc_id", "text", shards=_shards(d))
 
 
 @query("fixed_chunks", sql=f"""WITH {CHUNK_SQL}
@@ -53,9 +61,9 @@ def q_fixed_chunks(spark, sf):
                                            F.max("doc_id").alias("last_id"), F.sum("chars").cast("bigint").alias("chars"))
 
 
-STRING_IDS_SQL = """d0 AS (SELECT 'r' || doc_id AS review_id, length(text) AS len, md5('r' || doc_id) AS h,
+STRING_IDS_SQL = f"""d0 AS (SELECT 'r' || doc_id AS review_id, length(text) AS len, md5('r' || doc_id) AS h,
    CAST('0x' || substr(md5('r' || doc_id), 1, 8) AS BIGINT) AS o FROM documents WHERE text IS NOT NULL),
-d1 AS (SELECT *, CAST(o % 4 AS INTEGER) AS shard FROM d0)"""
+d1 AS (SELECT *, CAST(o % {SHARDS_SQL} AS INTEGER) AS shard FROM d0)"""
 
 
 def _string_ids(spark, sf):
@@ -69,7 +77,7 @@ SELECT shard, CAST(rn // 20 AS INTEGER) AS batch, count(*) AS n_items, min(revie
        CAST(sum(len) AS BIGINT) AS chars FROM c GROUP BY 1, 2""")
 def q_fixed_chunks_string_id(spark, sf):
     """Chunks of 20 over ids that are strings."""
-    c = B.chunk(_string_ids(spark, sf).select("review_id", "chars"), "review_id", shards=SHARDS)
+    c = B.chunk(_string_ids(spark, sf).select("review_id", "chars"), "review_id", shards=_shards(load(spark, sf, "documents")))
     return c.groupBy("shard", "batch").agg(F.count(F.lit(1)).alias("n_items"), F.min("review_id").alias("first_id"),
                                            F.max("review_id").alias("last_id"), F.sum("chars").cast("bigint").alias("chars"))
 
@@ -89,7 +97,7 @@ d AS (SELECT review_id AS id, shard, len, row_number() OVER (PARTITION BY shard
 SELECT id AS review_id, shard, CAST(batch AS INTEGER) AS batch, CAST(len AS INTEGER) AS n_chars FROM r""")
 def q_greedy_batches_string_id(spark, sf):
     """Greedy batches over ids that are strings."""
-    return B.greedy_batches(_string_ids(spark, sf), "review_id", "text", shards=SHARDS)
+    return B.greedy_batches(_string_ids(spark, sf), "review_id", "text", shards=_shards(load(spark, sf, "documents")))
 
 
 def _service(pdf: pd.DataFrame) -> pd.Series:
@@ -107,8 +115,9 @@ def _service(pdf: pd.DataFrame) -> pd.Series:
 def _job_sql(col: str) -> str:
     steps = _GREEDY_STEPS_SQL.replace("r AS (", f"r_{col} AS (").replace("FROM r JOIN d ON d.shard = r.shard AND d.rn = r.rn + 1",
                                                                       f"FROM r_{col} r JOIN d_{col} d ON d.shard = r.shard AND d.rn = r.rn + 1")
-    return f"""d_{col} AS (SELECT doc_id AS id, CAST(doc_id % 4 AS INTEGER) AS shard, length({col}) AS len,
-      row_number() OVER (PARTITION BY doc_id % 4 ORDER BY doc_id) AS rn FROM documents WHERE {col} IS NOT NULL),
+    return f"""s_{col} AS (SELECT doc_id AS id, CAST(doc_id % {SHARDS_SQL} AS INTEGER) AS shard, length({col}) AS len
+      FROM documents WHERE {col} IS NOT NULL),
+d_{col} AS (SELECT *, row_number() OVER (PARTITION BY shard ORDER BY id) AS rn FROM s_{col}),
 {steps.replace("FROM d WHERE rn = 1", f"FROM d_{col} WHERE rn = 1")},
 b_{col} AS (SELECT id, min(id) OVER (PARTITION BY shard, batch) % 5 = 0 AS failed FROM r_{col})"""
 
@@ -121,7 +130,7 @@ def q_translate_job(spark, sf):
     """Two columns translated in turn by a service under its batch limits, joined back by id; failed
     requests leave NULL and their error."""
     d = load(spark, sf, "documents").select("doc_id", "text", "lang")
-    r = translate_job(d, "doc_id", ["text", "lang"], _service, shards=SHARDS)
+    r = translate_job(d, "doc_id", ["text", "lang"], _service, shards=_shards(d))
     return r.select("doc_id", "text_en", "lang_en", "text_error")
 
 
