@@ -454,8 +454,7 @@ class Model:
                     if m.kind != "distinct":
                         continue
                     pairs = j.select(*levels, F.col(f"_v{i}").alias("_v")).distinct()
-                    one = pairs.rollup(*levels).agg(distinct_count_with_blank(F.col("_v")).alias(m.name),
-                                                    F.grouping_id().alias("level"))
+                    one = _roll_up_distinct(pairs, levels, m.name)
                     out = one if out is None else align(out, one, levels + ["level"])
                 return out.select(*levels, "level", *measures)
         types = dict(self.table(table).select(*levels).dtypes)
@@ -542,6 +541,25 @@ def distinct_count_with_blank(c: Column) -> Column:
     return (F.count_distinct(c) + F.max(c.isNull().cast("int"))).cast("bigint")
 
 
+def _roll_up_distinct(pairs: DataFrame, levels: list[str], name: str) -> DataFrame:
+    """Distinct counts (a NULL counts as a value) at every prefix of `levels`, with ``level``, from the distinct
+    (levels, _v) pairs.
+
+    In the order of the levels, a value is new to a prefix where that prefix differs from the value's row
+    before.  The marks of one pass add up to the members, and the members' sums along the roll-up, so
+    no pair is copied for each level."""
+    w = Window.partitionBy("_v").orderBy(*levels)
+    marks, new = [], F.row_number().over(w) == 1
+    for c in [None, *levels]:
+        new = new if c is None else new | ~F.col(c).eqNullSafe(F.lag(c).over(w))
+        marks.append(new.cast("bigint").alias(f"_m{len(marks)}"))
+    members = pairs.select(*levels, *marks).groupBy(*levels).agg(*[F.sum(f"_m{i}").alias(f"_m{i}") for i in range(len(marks))])
+    rolled = members.rollup(*levels).agg(*[F.sum(f"_m{i}").alias(f"_m{i}") for i in range(len(marks))], F.grouping_id().alias("level"))
+    n = len(levels)
+    count = F.coalesce(*[F.when(F.col("level") == (1 << (n - i)) - 1, F.col(f"_m{i}")) for i in range(n + 1)])
+    return rolled.select(*levels, count.alias(name), "level")
+
+
 def align(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
     """Null-safe full outer join of two per-group results on `keys`."""
     if not keys:  # grand totals: one row each, joined on a constant key

@@ -30,6 +30,32 @@ def test_distinct_count_blank(spark):
     assert df.agg(distinct_count_with_blank(F.col("v")).alias("n")).first().n == 2
 
 
+def test_distinct_drill_copies_no_pair_for_a_level(spark):
+    """Distinct counts at every level, with NULL values, NULL members and one very common customer; the rows
+    that Spark copies for the roll-up are members, not (member, value) pairs."""
+    parts = [(0, "a", "x"), (1, "a", "y"), (2, "b", "x"), (3, "b", None), (4, None, "x")]
+    items = [(i % 6, [None, 7, 7, i % 11, i % 13][i % 5]) for i in range(400)] + [(2, 7)] * 300 + [(None, 99)]
+    rels = [Relationship("R5", "orders", "part", "parts", "part")]
+    m = Model({"orders": lambda: spark.createDataFrame(items, "part long, customer long"),
+               "parts": lambda: spark.createDataFrame(parts, "part long, kind string, brand string")}, rels,
+              {"n": Measure("n", "orders", "distinct", "customer"), "rows": Measure("rows", "orders", "count")})
+    known = {p: (k, b) for p, k, b in parts}
+    want = {}
+    for p, c in items:
+        k, b = known.get(p, (None, None))
+        for key in ((k, b, 0), (k, None, 1), (None, None, 3)):
+            want.setdefault(key, set()).add(c)
+    want = {k: len(v) for k, v in want.items()}
+    out = m.drill(["n"], "parts", ["kind", "brand"])
+    assert {(r.kind, r.brand, r.level): r.n for r in out.collect()} == want and out.count() == len(want)
+    both = m.drill(["n", "rows"], "parts", ["kind", "brand"])
+    assert {(r.kind, r.brand, r.level): r.n for r in both.collect()} == want
+    assert dict(out.dtypes)["n"] == "bigint" and m.drill(["n"], "parts", ["kind", "brand"], {"orders.part": [-1]}).count() == 0
+    plan = out._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    below = plan[next(i for i, x in enumerate(plan) if "Expand" in x) + 1:]
+    assert next(x for x in below if "Aggregate" in x).count("sum(") == 3
+
+
 def test_resample_synthetic(spark):
     rows = [(dt.datetime(2017, 1, 1, 23, 50), 1.0), (dt.datetime(2017, 1, 2, 0, 10), 2.0),
             (dt.datetime(2017, 1, 5), 3.0), (dt.datetime(2017, 1, 16), 4.0), (dt.datetime(2017, 2, 3), 5.0)]
