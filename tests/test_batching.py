@@ -86,6 +86,21 @@ def test_flaky_scorer_retries(spark):
     assert all(r.answer is None and "down" in r.error and r.attempts == 2 for r in bad)
 
 
+def test_scored_batches_are_dealt_to_as_many_tasks_as_the_shuffle_has(spark):
+    """The registered job has no number of tasks of its own, so that a task's share does not grow with the texts."""
+    import __spark_entry__ as E
+    from conftest import SF_SMALL
+    keys = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "23"}
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        assert E.queries()["score_batches_retry"](spark, SF_SMALL).rdd.getNumPartitions() == 23
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_rank_in_shard_matches_global_order(spark):
     ids = [7, 3, 11, 2, 40, 41, 5, 100, 64, 63, 9, 8]
     df = spark.createDataFrame([(i,) for i in ids], "id long")
