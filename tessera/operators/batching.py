@@ -28,6 +28,7 @@ MAX_CHARS = 45000
 CHUNK_SIZE = 20
 
 MEMBERS = 1000  # members in one array of a group
+ANSWERS_A_FRAME = 32  # answered requests that a Python worker holds and gives back at once
 
 
 def shards_for(rows: int, rows_per_shard: int = 1_000_000) -> int:
@@ -307,12 +308,11 @@ def score_batches(prompts: DataFrame, fn: Callable[[pd.DataFrame], pd.Series], r
 
     def run(it):
         for pdf in it:
-            res = [call(pdf.iloc[[i]].reset_index(drop=True)) for i in range(len(pdf))]
-            out = pdf.copy()
-            out["answer"] = [r[0] for r in res]
-            out["error"] = [r[1] for r in res]
-            out["attempts"] = [r[2] for r in res]
-            yield out
+            for at in range(0, len(pdf), ANSWERS_A_FRAME):
+                few = pdf.iloc[at:at + ANSWERS_A_FRAME]
+                res = [call(few.iloc[[i]].reset_index(drop=True)) for i in range(len(few))]
+                yield few.assign(answer=[r[0] for r in res], error=[r[1] for r in res], attempts=[r[2] for r in res])
+            pdf = few = None  # else they stay while the next frame is made
 
     return prompts.mapInPandas(run, schema)
 

@@ -123,6 +123,36 @@ def test_waits_grow(monkeypatch):
     assert waits == [2.0, 4.0, 8.0, 10.0] and out["attempts"][0] == 5 and out["error"][0] == "TimeoutError: later"
 
 
+def test_answers_leave_a_worker_in_small_frames():
+    """However many requests Spark hands over at once, few are held answered, and the frame before is gone
+    when the next is made."""
+    import gc
+    import weakref
+    run, alive = {}, []
+
+    class Frame:
+        schema = B.T.StructType([])
+
+        def mapInPandas(self, fn, schema):
+            run["fn"] = fn
+
+    def frames():
+        for n in (1000, 0, 1, 333):
+            gc.collect()
+            assert not [1 for r in alive if r() is not None]
+            pdf = pd.DataFrame({"items": [[i, n] for i in range(n)]}, index=range(5, 5 + n))
+            alive.append(weakref.ref(pdf))
+            yield pdf
+            del pdf
+    B.score_batches(Frame(), lambda pdf: pd.Series([json.dumps(pdf["items"].iloc[0])]))
+    out, largest = [], 0
+    for f in run["fn"](frames()):
+        assert list(f.columns) == ["items", "answer", "error", "attempts"]
+        out += [(i, json.loads(a), e, n) for i, a, e, n in f.itertuples(index=False)]
+        largest = max(largest, len(f))
+    assert out == [([i, n], [i, n], None, 1) for n in (1000, 0, 1, 333) for i in range(n)] and largest <= B.ANSWERS_A_FRAME
+
+
 # --- batching in parallel -----------------------------------------------------------------
 
 def plain(lengths, max_items, max_chars):
