@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tessera.functions.arrays import first_translation, non_empty
 from tessera.operators import batching as B
 from tessera.operators.joins import exclude_by_name, extend_lookup, merge_left, one_per_key, translate_lookup
-from tessera.operators.ledger import Ledger, answer_missing, text_key, translate_resumable, translations
+from tessera.operators.ledger import Ledger, answer_missing, translate_resumable, translations
 from tessera.operators.translate import WORD_DICTIONARY, translate_columns, translate_job
 from tessera.session import literal_frame, scratch_path
 from tessera.sources.tables import load
@@ -154,9 +154,9 @@ def q_translate_resume(spark, sf):
 
     first = answer_missing(d, ["text"], lambda p: call(p, True), ledger, parse=translations, max_items=1, retries=1)
     left = first.select("key").distinct().withColumn("open", F.lit(True))
-    out = translate_resumable(d, ["text", "lang"], lambda p: call(p, False), ledger)
-    out = out.withColumn("key", text_key("text")).join(left, "key", "left")
-    return out.select("doc_id", "text_en", "lang_en", F.when(F.col("text").isNotNull(), F.coalesce("open", F.lit(False))).alias("sent_twice"))
+    out = translate_resumable(d, ["text", "lang"], lambda p: call(p, False), ledger, keys=True)
+    out = out.join(left, F.col("text_key") == F.col("key"), "left")
+    return out.select("doc_id", "text_en", "lang_en", F.when(F.col("text_key").isNotNull(), F.coalesce("open", F.lit(False))).alias("sent_twice"))
 
 
 @query("greedy_batches_parallel", sql=f"""WITH RECURSIVE

@@ -99,6 +99,39 @@ def test_short_and_malformed_answers_are_failures(spark):
     assert [r.error for r in bad.collect()] == ["no answer for this text"]
 
 
+def test_answers_are_stored_once_and_texts_stay_where_they_are(spark, tmp_path, monkeypatch):
+    """Answers are written to the ledger only, and the joins move the keys of a row, not its texts, with the
+    column that has the most text joined last."""
+    stored, store = [], L.materialize
+    monkeypatch.setattr(L, "materialize", lambda df: stored.append(df.columns) or store(df))
+    ledger = L.Ledger(spark, scratch_path(spark, f"ledger-{uuid.uuid4().hex}"))
+    rows = [(i, f"a long text of row {i}" if i % 7 else None, "xy"[i % 2]) for i in range(40)] + [(1, "zwei", None)]
+    df = frame(spark, rows).withColumn("title_key", F.col("id"))
+    out = L.translate_resumable(df, ["title", "body"], service(str(tmp_path), fail=lambda ts: "zwei" in ts), ledger, max_items=1, retries=1)
+    assert stored and not [c for c in stored if "answer" in c] and out.columns == df.columns + ["title_en", "title_error", "body_en", "body_error"]
+    got = sorted(((r.id, r.title_key, r.title_en, r.title_error, r.body_en, r.body_error) for r in out.collect()), key=str)
+    en = lambda t: None if t in (None, "zwei") else "en:" + t
+    down = "RuntimeError: service unavailable"
+    assert got == sorted(((i, i, en(t), down if t == "zwei" else None, en(b), None) for i, t, b in rows), key=str)
+    plan = out.select("id", "title_en", "body_en")._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    moved = [x.split("Project [")[1].rsplit("]", 1)[0] for x in plan if "sha2(cast(title" in x]
+    assert moved and not [x for x in moved for c in x.split(", ") if c.startswith(("title#", "body#"))]
+    first = {c: next(i for i, x in enumerate(plan) if f"AS {c}" in x) for c in ("title_en", "body_en")}
+    assert first["body_en"] < first["title_en"] and not [x for x in plan if "Union" in x]
+    again = L.translate_resumable(df.drop("title_key"), ["title", "body"], service(str(tmp_path)), ledger, keys=True)
+    assert {r.title: r.title_key for r in again.collect()} == {r.title: r.k for r in again.select("title", L.text_key("title").alias("k")).collect()}
+    assert again.filter("title_error is not null or title_en is null and title is not null").count() == 0
+
+
+def test_ledgers_without_failures_are_read(spark):
+    """A ledger of (key, answer), as runs wrote it before failures were noted in it."""
+    path = scratch_path(spark, f"ledger-{uuid.uuid4().hex}")
+    key = spark.range(1).select(F.lit("eins").alias("t")).select(L.text_key("t").alias("key"), F.lit("one").alias("answer"))
+    key.write.parquet(path)
+    ledger = L.Ledger(spark, path)
+    assert [r.answer for r in ledger.answers().collect()] == ["one"] and ledger.failures("x").count() == 0
+
+
 def test_nothing_to_send(spark, tmp_path):
     ledger = L.Ledger(spark, scratch_path(spark, f"ledger-{uuid.uuid4().hex}"))
     assert translated(spark, ledger, service(str(tmp_path)), [(1, None, None)]) == wanted([(1, None, None)])
