@@ -453,7 +453,10 @@ class Model:
                 for i, m in enumerate(ms):
                     if m.kind != "distinct":
                         continue
-                    pairs = j.select(*levels, F.col(f"_v{i}").alias("_v")).distinct()
+                    # dealt once between the joins and the distinct, so that no task holds the sorted fact and a table
+                    # of pairs; by task as well, so that a very common pair is in many of them
+                    rows = j.select(*levels, F.col(f"_v{i}").alias("_v"), F.spark_partition_id().alias("_task"))
+                    pairs = rows.repartition(*levels, "_v", "_task").drop("_task").distinct()
                     one = _roll_up_distinct(pairs, levels, m.name)
                     out = one if out is None else align(out, one, levels + ["level"])
                 return out.select(*levels, "level", *measures)

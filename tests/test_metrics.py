@@ -54,6 +54,8 @@ def test_distinct_drill_copies_no_pair_for_a_level(spark):
     plan = out._jdf.queryExecution().optimizedPlan().toString().splitlines()
     below = plan[next(i for i, x in enumerate(plan) if "Expand" in x) + 1:]
     assert next(x for x in below if "Aggregate" in x).count("sum(") == 3
+    dealt = next(i for i, x in enumerate(below) if "RepartitionByExpression" in x)  # between the joins and the pairs
+    assert "_task" in below[dealt] and not [x for x in below[:dealt] if "Join" in x] and [x for x in below[dealt:] if "Join" in x]
 
 
 def test_resample_synthetic(spark):
