@@ -86,6 +86,7 @@ def greedy_batches(df: DataFrame, id_col: str, text_col: str, max_items: int = M
 
 
 ROWS_A_BUCKET = 8192
+MARKS = 1000  # percentiles from which the bounds of buckets are taken
 
 
 # --- the same batches without one task a shard -----------------------------------------------------
@@ -192,26 +193,46 @@ def greedy_batches_blocks(df: DataFrame, id_col: str, text_col: str, max_items:
     return out.select(F.col("_id").alias(id_col), "shard", "batch", F.col("_len").alias("n_chars"))
 
 
+def in_buckets(df: DataFrame, rows_a_bucket: int) -> DataFrame:
+    """`df` with ``_bkt``, a bucket of about `rows_a_bucket` rows that rises with the whole number ``_o`` (null: the first).
+
+    Bounds are approximate percentiles (one row of metadata), so far or crowded numbers change no bucket's share; a
+    number finds its place among them by halving.  Rows for more than MARKS buckets are cut again inside
+    each, by equal widths."""
+    at = ", ".join(f"{i / MARKS!r}D" for i in range(MARKS + 1))
+    n, marks = df.agg(F.count(F.lit(1)), F.expr(f"percentile_approx(_o, array({at}), {10 * MARKS})")).first()
+    buckets = max(1, -(-n // rows_a_bucket))
+    few, parts = min(MARKS, buckets), -(-buckets // MARKS)
+    bounds = sorted({marks[k * MARKS // few] for k in range(few + 1)}) if marks else [0]
+    table = F.split(F.lit(",".join(map(str, bounds))), ",").cast("array<long>")  # a constant of the plan
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(bounds).bit_length()))])
+    d = df.withColumn("_bkt", F.aggregate(steps, F.lit(0), lambda below, step: F.when(
+        F.get(table, below + step - 1) < F.col("_o"), below + step).otherwise(below)).cast("long"))
+    if parts == 1:
+        return d
+    low, high = (F.get(table, (F.col("_bkt") - k).cast("int")).cast("double") for k in (1, 0))
+    part = F.least(F.floor((F.col("_o") - low) / (high - low) * parts), F.lit(parts - 1))
+    return d.withColumn("_bkt", F.col("_bkt") * parts + F.when(low < high, part).otherwise(0))
+
+
 def rank_in_group(df: DataFrame, group: str, id_col: str, rows_a_bucket: int = ROWS_A_BUCKET,
                   ties: list[Column] | None = None) -> DataFrame:
     """`df` with ``_rn``, the 0-based position of each row inside its group (null: a group), computed in
-    parallel: rows are in buckets that follow the order (ranges of whole-number ids, as wide as the ids
-    are sparse; else ranges of the id's hash), a small table of counts per (group, bucket) gives each
-    bucket's starting offset, and ``row_number`` runs only inside one bucket, so no task ever
-    sorts a whole group.  Deterministic (no sampling), and independent of partitioning.  `ties`
-    orders rows of equal hash or id (default: the id)."""
+    parallel: rows are in buckets that follow the order (whole-number ids, else the id's hash; ``in_buckets``),
+    a small table of counts per (group, bucket) gives each bucket's starting offset, and ``row_number`` runs only
+    inside one bucket, so no task ever sorts a whole group.  The rows are moved once: the offsets come to the
+    tasks that number them (a struct, as a null group joins itself in one).  Deterministic: positions
+    depend neither on the bounds nor on partitioning.  `ties` orders rows of equal hash or id (default: the id)."""
     order = F.col(id_col) if whole_numbers(df, id_col) else id_hash(id_col)
-    n, lo, hi = df.agg(F.count(F.lit(1)), F.min(order), F.max(order)).first()  # one row of metadata
-    width = max(1, -(-((hi or 0) - (lo or 0) + 1) * rows_a_bucket // max(n, 1)))
-    d = df.withColumns({"_o": order, "_bkt": F.floor((order - F.lit(lo or 0)) / F.lit(width)).cast("long")})
-    counts = d.groupBy(group, "_bkt").agg(F.count(F.lit(1)).alias("_n"))
-    wo = Window.partitionBy(group).orderBy(F.asc_nulls_first("_bkt")).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(F.col(group).alias("_s"), F.col("_bkt").alias("_b"),
+    d = in_buckets(df.withColumns({"_o": order.cast("long"), "_g": F.struct(F.col(group))}), rows_a_bucket)
+    counts = d.groupBy("_g", "_bkt").agg(F.count(F.lit(1)).alias("_n"))
+    wo = Window.partitionBy("_g").orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(F.col("_g").alias("_s"), F.col("_bkt").alias("_b"),
                             F.coalesce(F.sum("_n").over(wo), F.lit(0)).alias("_off"))
-    wb = Window.partitionBy(group, "_bkt").orderBy("_o", *(ties or [F.col(id_col)]))
+    wb = Window.partitionBy("_g", "_bkt").orderBy("_o", *(ties or [F.col(id_col)]))
     r = d.withColumn("_rb", F.row_number().over(wb) - 1)
-    return r.join(offsets, F.col(group).eqNullSafe(F.col("_s")) & F.col("_bkt").eqNullSafe(F.col("_b"))) \
-        .withColumn("_rn", F.col("_off") + F.col("_rb")).drop("_o", "_bkt", "_s", "_b", "_off", "_rb")
+    return r.join(offsets, (F.col("_g") == F.col("_s")) & (F.col("_bkt") == F.col("_b"))) \
+        .withColumn("_rn", F.col("_off") + F.col("_rb")).drop("_o", "_g", "_bkt", "_s", "_b", "_off", "_rb")
 
 
 def rank_in_shard(df: DataFrame, id_col: str, shards: int, rows_a_bucket: int = ROWS_A_BUCKET,

@@ -1,5 +1,6 @@
 """Batching, parsing and un-batching (synthetic cases of FIXTURES.md section 6)."""
 import json
+import re
 from functools import partial
 
 import pandas as pd
@@ -110,6 +111,49 @@ def test_rank_in_shard_matches_global_order(spark):
         assert [got[i] for i in members] == [(sh, k) for k in range(len(members))]
 
 
+def test_far_and_crowded_ids_are_dealt_evenly(spark, monkeypatch):
+    """One far id does not put all others in one bucket, hence one task; positions stay exact, also where buckets are
+    cut again and where no table is broadcast."""
+    crowded = [*range(2000), *(10**9 + 7 * i for i in range(1000)), -5, 2**62]
+    keys = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "97"}
+    before = {k: spark.conf.get(k) for k in keys}
+    df = spark.createDataFrame([(i,) for i in crowded], "id long").repartition(3)
+    want = {i: (s, k) for s in (0, 1) for k, i in enumerate(sorted(i for i in crowded if i % 2 == s))}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        ranked = B.rank_in_shard(df, "id", 2, rows_a_bucket=50)
+        assert {r.id: (r.shard, r._rn) for r in ranked.collect()} == want
+        assert max(r["count"] for r in ranked.groupBy(F.spark_partition_id()).count().collect()) < 300
+        monkeypatch.setattr(B, "MARKS", 8)
+        again = B.rank_in_shard(df, "id", 2, rows_a_bucket=50)
+        assert {r.id: (r.shard, r._rn) for r in again.collect()} == want
+        nulls = df.select(F.when(F.pmod("id", F.lit(3)) > 0, F.pmod("id", F.lit(3))).alias("g"), F.when(F.col("id") != 4, F.col("id")).alias("id"))
+        got = sorted((r.g or 0, r._rn, -1 if r.id is None else r.id) for r in B.rank_in_group(nulls, "g", "id", 10).collect())
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    at = {g: sorted((float("-inf") if i == 4 else i) for i in crowded if i % 3 == g) for g in (0, 1, 2)}
+    assert got == [(g, k, -1 if i == float("-inf") else i) for g in at for k, i in enumerate(at[g])]
+
+
+def test_texts_are_moved_twice_for_prompts(spark):
+    """Once to be numbered, once to be grouped; the offsets come to the tasks that number."""
+    keys = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        df = spark.range(100).select("id", F.col("id").cast("string").alias("text"))
+        plan = B.batch_prompts(B.chunk(df, "id", shards=4), "id", "text", "score:\n")._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    moved = re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]", plan)
+    assert (sum("text#" in x for x in moved), sum("buf#" in x for x in moved)) == (1, 1)
+
+
 def test_string_and_null_ids(spark):
     rows = [(f"r{i}", f"t{i}") for i in range(57)] + [(None, "n"), ("r3", "again")]
     df = spark.createDataFrame(rows, "id string, text string")
